@@ -42,13 +42,21 @@ def with_reject_reason(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+def valid_rows(df: DataFrame) -> DataFrame:
+    """The rows without a reason against them."""
+    return df.where(F.col(REASON) == "").drop(REASON)
+
+
+def rejected_rows(df: DataFrame, columns: Sequence[str] = REJECT_COLUMNS) -> DataFrame:
+    """The rows to quarantine, reduced to what identifies and explains them."""
+    return df.where(F.col(REASON) != "").select(*columns)
+
+
 def split_valid(
     df: DataFrame, reject_columns: Sequence[str] = REJECT_COLUMNS
 ) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows) of a frame that has been through the rules."""
-    valid = df.where(F.col(REASON) == "").drop(REASON)
-    rejected = df.where(F.col(REASON) != "").select(*reject_columns)
-    return valid, rejected
+    return valid_rows(df), rejected_rows(df, reject_columns)
 
 
 def reject_summary(rejected: DataFrame) -> DataFrame:
