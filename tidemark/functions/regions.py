@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import strip_text
-
 
 def region_type(code: Column, aggregate_prefix: str = "OWID_", country_len: int = 3) -> Column:
-    """unknown / aggregate / country / other. The aggregate prefix is tested before the length."""
-    stripped = strip_text(code)
+    """unknown / aggregate / country / other of a stripped code. The aggregate prefix is tested
+    before the length."""
     return (
         F.when(code.isNull() | (code == ""), "unknown")
-        .when(stripped.startswith(aggregate_prefix), "aggregate")
-        .when(F.length(stripped) == country_len, "country")
+        .when(code.startswith(aggregate_prefix), "aggregate")
+        .when(F.length(code) == country_len, "country")
         .otherwise("other")
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.regions import region_key, region_type
-from tidemark.functions.text import normalise_code, strip_text
+from tidemark.functions.text import NO_CODE, normalise_code, null_if_in, strip_text
 
 
 def fill_from_alias(
@@ -44,9 +44,9 @@ def standardise_regions(
     """Strip names and codes, fill codes from aliases, add region_type and region_key.
 
     Works on wide or long rows alike; on wide rows there are fewer of them."""
-    out = df.withColumns(
-        {name_col: strip_text(F.col(name_col)), code_col: normalise_code(F.col(code_col))}
-    )
+    # One step per column that is used twice below, so that no expression is worked out twice.
+    out = df.withColumns({c: strip_text(F.col(c)) for c in (name_col, code_col)})
+    out = out.withColumn(code_col, null_if_in(F.col(code_col), NO_CODE))
     if aliases is not None:
         out = fill_from_alias(out, aliases, name_col, code_col)
     return out.withColumns(

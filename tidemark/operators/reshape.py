@@ -31,7 +31,7 @@ def unpivot_indicators(
         return df.select(
             *map(quoted, ids),
             F.lit(None).cast("string").alias("indicator_source_col"),
-            F.lit(None).cast("string").alias("value"),
+            F.lit(None).cast("double").alias("value"),
         ).where(F.lit(False))
     return df.unpivot(
         [quoted(c) for c in ids], [quoted(c) for c in wanted], "indicator_source_col", "value"

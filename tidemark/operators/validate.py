@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import Settings
-from tidemark.functions.text import strip_text
+from tidemark.functions.text import is_blank
 
 REASON = "reject_reason"
 REJECT_COLUMNS = (
@@ -30,7 +31,7 @@ def row_rules(settings: Settings, as_of_year: int) -> list[Rule]:
     in_range = value.between(settings.value_min, settings.value_max)
     return [
         Rule("invalid_year", year.isNull() | ~in_years),
-        Rule("missing_region", name.isNull() | (strip_text(name) == "")),
+        Rule("missing_region", is_blank(name)),
         Rule("value_out_of_range", value.isNotNull() & ~in_range),
     ]
 
@@ -42,21 +43,29 @@ def with_reject_reason(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def valid_rows(df: DataFrame) -> DataFrame:
-    """The rows without a reason against them."""
-    return df.where(F.col(REASON) == "").drop(REASON)
+def _violated(rules: Sequence[Rule]) -> Column:
+    return reduce(Column.__or__, [r.violated for r in rules])
 
 
-def rejected_rows(df: DataFrame, columns: Sequence[str] = REJECT_COLUMNS) -> DataFrame:
-    """The rows to quarantine, reduced to what identifies and explains them."""
-    return df.where(F.col(REASON) != "").select(*columns)
+def valid_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The rows no rule objects to. A plain filter, of which the conditions on region and year
+    move below the unpivot."""
+    return df.where(~_violated(rules))
+
+
+def rejected_rows(
+    df: DataFrame, rules: Sequence[Rule], columns: Sequence[str] = REJECT_COLUMNS
+) -> DataFrame:
+    """The rows to quarantine, reduced to what identifies and explains them. Reasons are only
+    spelled out for these."""
+    return with_reject_reason(df.where(_violated(rules)), rules).select(*columns)
 
 
 def split_valid(
-    df: DataFrame, reject_columns: Sequence[str] = REJECT_COLUMNS
+    df: DataFrame, rules: Sequence[Rule], reject_columns: Sequence[str] = REJECT_COLUMNS
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows) of a frame that has been through the rules."""
-    return valid_rows(df), rejected_rows(df, reject_columns)
+    """(valid rows, quarantined rows): each row of ``df`` is in exactly one of them."""
+    return valid_rows(df, rules), rejected_rows(df, rules, reject_columns)
 
 
 def reject_summary(rejected: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from tidemark.config import Settings
 from tidemark.operators.metrics import load_audit
 from tidemark.operators.regions import first_seen_dimension
 from tidemark.operators.revisions import detect_revisions
-from tidemark.operators.validate import valid_rows
+from tidemark.operators.validate import row_rules, valid_rows
 from tidemark.operators.warehouse import (
     Warehouse,
     build_dim_date,
@@ -23,7 +23,6 @@ from tidemark.operators.warehouse import (
 from tidemark.plans.tidy import (
     KEYS,
     REGION_ATTRS,
-    checked_long,
     clean_outputs,
     melt_order,
     tidy_long,
@@ -120,7 +119,7 @@ def stage_regions(
     wide: DataFrame, long: DataFrame, settings: Settings, as_of_year: int, row_col: str
 ) -> DataFrame:
     """One row per region among the valid rows, sorted by name."""
-    valid = valid_rows(checked_long(long, settings, as_of_year))
+    valid = valid_rows(long, row_rules(settings, as_of_year))
     order = melt_order(wide, settings, row_col)
     regions = first_seen_dimension(valid, "region_key", REGION_ATTRS, order)
     return regions.orderBy(F.asc_nulls_last("region_name"), "region_key")

@@ -25,7 +25,6 @@ from tidemark.operators.validate import (
     split_valid,
     with_estimated_flag,
     with_missing_flag,
-    with_reject_reason,
 )
 
 KEYS = ("region_key", "year", "indicator_code")
@@ -40,18 +39,21 @@ def tidy_long(
 ) -> DataFrame:
     """Standardised long rows before validation.
 
-    Regions and years are put right on the wide rows: a wide row is a fourth of its long rows, and
-    an alias join there moves a fourth of the data. From there on nothing shuffles. ``carry``
-    names further columns to keep."""
+    Regions, years and numbers are put right on the wide rows. There is one of them for several
+    long rows, an alias join there moves that much less data, and Catalyst does not carry an
+    expression through an unpivot, so none is worked out again in the filters above it. From there
+    on nothing shuffles. ``carry`` names further columns to keep."""
     regions = standardise_regions(
         wide,
         aliases,
         aggregate_prefix=settings.aggregate_prefix,
         country_len=settings.country_len,
-    ).withColumn("year", to_year(F.col("year").cast("string")))
+    )
+    numbers = coerce_numeric(regions, present_indicators(wide, settings.indicators))
+    typed = numbers.withColumn("year", to_year(F.col("year").cast("string")))
     ids = [*carry, "region_key", *REGION_ATTRS, "year"]
-    long = unpivot_indicators(regions, settings.indicators, ids)
-    return apply_indicator_metadata(coerce_numeric(long, ["value"]), settings.indicators)
+    long = unpivot_indicators(typed, settings.indicators, ids)
+    return apply_indicator_metadata(long, settings.indicators)
 
 
 def melt_order(wide: DataFrame, settings: Settings, row_col: str = "source_row") -> Column:
@@ -63,11 +65,6 @@ def melt_order(wide: DataFrame, settings: Settings, row_col: str = "source_row")
     return (place.cast("decimal(9,0)") * step + F.col(row_col)).cast("decimal(38,0)")
 
 
-def checked_long(long: DataFrame, settings: Settings, as_of_year: int) -> DataFrame:
-    """Long rows with the missing flag and their reasons for rejection."""
-    return with_reject_reason(with_missing_flag(long), row_rules(settings, as_of_year))
-
-
 @dataclass(frozen=True)
 class CleanOutputs:
     indicators: DataFrame
@@ -83,8 +80,8 @@ def clean_outputs(
     reject_columns: Sequence[str] = REJECT_COLUMNS,
 ) -> CleanOutputs:
     """Flagged valid rows and quarantined rows. ``revisions`` is None without a prior snapshot."""
-    valid, rejected = split_valid(checked_long(long, settings, as_of_year), reject_columns)
-    flagged = with_estimated_flag(flag_revised(valid, revisions, KEYS))
+    valid, rejected = split_valid(long, row_rules(settings, as_of_year), reject_columns)
+    flagged = with_estimated_flag(flag_revised(with_missing_flag(valid), revisions, KEYS))
     return CleanOutputs(
         flagged.withColumn("loaded_at", run_ts), rejected.withColumn("loaded_at", run_ts)
     )

@@ -26,7 +26,7 @@ from tidemark.operators import (
 )
 from tidemark.operators.quality import AcceptedRange, Relationship
 from tidemark.plans import reports
-from tidemark.plans.tidy import KEYS, REGION_ATTRS, checked_long, clean_outputs, melt_order
+from tidemark.plans.tidy import KEYS, REGION_ATTRS, clean_outputs, melt_order
 from tidemark.sources import snapshots
 from tidemark.sources.files import read_wide
 from tidemark.sources.tables import register_views
@@ -221,19 +221,19 @@ def region_key_slug(w: Workspace) -> DataFrame:
     return w.wide().select("k", "y", region_key(no_code, name).alias("region_key"))
 
 
-def _checked(w: Workspace) -> DataFrame:
-    return checked_long(w.long(), SETTINGS, AS_OF_YEAR)
+def rules() -> list[validate.Rule]:
+    return validate.row_rules(SETTINGS, AS_OF_YEAR)
 
 
 @on_workspace
 def validate_rejects(w: Workspace) -> DataFrame:
     columns = ["k", "y", "region_name", "iso_code", "year", "indicator_code", "value", validate.REASON]
-    return validate.rejected_rows(_checked(w), columns)
+    return validate.rejected_rows(w.long(), rules(), columns)
 
 
 @on_workspace
 def validate_clean(w: Workspace) -> DataFrame:
-    return validate.valid_rows(_checked(w)).select("k", "y", *KEYS, "value")
+    return validate.valid_rows(w.long(), rules()).select("k", "y", *KEYS, "value")
 
 
 @on_workspace
@@ -290,7 +290,7 @@ def order_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @on_workspace
 def regions_first_seen(w: Workspace) -> DataFrame:
     long = w.long(carry=("source_row",))
-    valid = validate.valid_rows(checked_long(long, SETTINGS, AS_OF_YEAR))
+    valid = validate.valid_rows(long, rules())
     order = melt_order(w.wide(), SETTINGS)
     seen = regions.first_seen_dimension(valid, "region_key", REGION_ATTRS, order)
     return seen.orderBy(F.asc_nulls_last("region_name"), "region_key")
