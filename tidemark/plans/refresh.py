@@ -12,7 +12,7 @@ from tidemark.config import Settings
 from tidemark.operators.metrics import load_audit
 from tidemark.operators.regions import first_seen_dimension
 from tidemark.operators.revisions import detect_revisions
-from tidemark.operators.validate import row_rules, valid_rows
+from tidemark.operators.validate import REJECT_COLUMNS, row_rules, valid_rows
 from tidemark.operators.warehouse import (
     Warehouse,
     build_dim_date,
@@ -32,13 +32,14 @@ from tidemark.sources.schemas import QUALITY_LOG, STAGING
 from tidemark.sources.snapshots import prior_snapshot_date, read_snapshot
 from tidemark.sources.tables import (
     check_mode,
+    constant_rows,
     current_paths,
     key_conflicts,
     publish,
     read_paths,
     read_published,
     table_path,
-    write_table,
+    write_tables,
 )
 
 PRIMARY_KEYS = {"stg_health_indicators": KEYS, "stg_regions": ("region_key",)}
@@ -83,32 +84,40 @@ def run(
     stamp = F.lit(run_ts)
     counts: dict[str, int] = {}
 
-    def write(name: str, df: DataFrame) -> DataFrame:
-        counts[name] = write_table(df, root, run_id, name)
-        return read_paths(spark, name, [table_path(root, run_id, name)])
+    def write(**frames: DataFrame) -> dict[str, DataFrame]:
+        counts.update(write_tables(frames, root, run_id))
+        return {n: read_paths(spark, n, [table_path(root, run_id, n)]) for n in frames}
 
     wide = read_snapshot(spark, raw_root(root), snapshot_date)
     long = tidy_long(wide, settings, aliases, carry=[row_col])
     prior = prior_snapshot_date(landed_dates(spark, root), snapshot_date).first()[0]
 
-    revisions = None
+    found = None
     if prior is not None:
         before = tidy_long(read_snapshot(spark, raw_root(root), prior), settings, aliases)
-        found = detect_revisions(long, before, KEYS, prior_date=prior)
-        revisions = write("stg_data_revisions", found.withColumn("detected_at", stamp))
+        revisions = detect_revisions(long, before, KEYS, prior_date=prior)
+        revisions = revisions.withColumn("detected_at", stamp)
+        found = write(stg_data_revisions=revisions)["stg_data_revisions"]
     else:
-        write("stg_data_revisions", spark.createDataFrame([], STAGING["stg_data_revisions"]))
-
-    outputs = clean_outputs(long, revisions, settings, as_of_year, stamp)
-    rejected = outputs.rejected.withColumnRenamed(row_col, "source_row")
-    staged = {
-        "stg_health_indicators": write("stg_health_indicators", outputs.indicators),
-        "stg_rejected_rows": write("stg_rejected_rows", rejected),
-        "stg_regions": write("stg_regions", stage_regions(wide, long, settings, as_of_year, row_col)),
-    }
+        write(stg_data_revisions=spark.createDataFrame([], STAGING["stg_data_revisions"]))
+
+    outputs = clean_outputs(long, found, settings, as_of_year, stamp, [row_col, *REJECT_COLUMNS[1:]])
+    staged = write(
+        stg_health_indicators=outputs.indicators,
+        stg_rejected_rows=outputs.rejected.withColumnRenamed(row_col, "source_row"),
+        stg_regions=stage_regions(wide, long, settings, as_of_year, row_col),
+    )
     if mode == "append":
         staged = append_to_current(spark, root, staged)
-    build_warehouse(staged["stg_health_indicators"], staged["stg_regions"], write)
+
+    indicators = staged["stg_health_indicators"]
+    # The fact table is joined to the dimensions as written: their sizes are known by then.
+    dims = write(
+        dim_region=build_dim_region(staged["stg_regions"]),
+        dim_date=build_dim_date(indicators),
+        dim_indicator=build_dim_indicator(indicators),
+    )
+    write(fact_health_indicator=build_fact(indicators, **dims))
 
     publish(spark, root, run_id, run_ts, mode, list(counts))
     log_loads(spark, root, counts, run_ts)
@@ -142,23 +151,14 @@ def append_to_current(
     return both
 
 
-def build_warehouse(indicators: DataFrame, regions: DataFrame, write) -> None:
-    """Dimensions first, then the fact table joined to the dimensions as written, whose sizes are
-    known from their files."""
-    dims = {
-        "dim_region": write("dim_region", build_dim_region(regions)),
-        "dim_date": write("dim_date", build_dim_date(indicators)),
-        "dim_indicator": write("dim_indicator", build_dim_indicator(indicators)),
-    }
-    write("fact_health_indicator", build_fact(indicators, *dims.values()))
-
-
 def log_loads(
     spark: SparkSession, root: str, counts: dict[str, int], run_ts: datetime
 ) -> None:
     """Append the audit rows of the staging tables to the quality log."""
     rows = [(n, c) for n, c in counts.items() if n in STAGING]
-    loads = spark.createDataFrame(rows, "table_name string, row_count bigint")
+    loads = constant_rows(spark, rows, ["table_name", "row_count"]).withColumn(
+        "row_count", F.col("row_count").cast("bigint")
+    )
     load_audit(loads, F.lit(run_ts)).coalesce(1).write.mode("append").parquet(
         f"{root}/{QUALITY_LOG}"
     )

@@ -11,8 +11,23 @@ from pyspark.sql import types as T
 from tidemark.functions.text import quoted
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES: Mapping[str, T.DataType] = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "figure": T.DecimalType(8, 2),
+    "count": T.DecimalType(38, 0),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """A schema from "name type, ..."; unlike DDL text it needs no running session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Quarantined rows and revisions keep their values as read: they have not passed validation, and
@@ -21,7 +36,7 @@ STAGING: Mapping[str, T.StructType] = {
     "stg_health_indicators": _schema(
         "region_key string, region_name string, iso_code string, region_type string, year int,"
         " indicator_code string, indicator_name string, indicator_category string,"
-        " indicator_unit string, value decimal(8,2), is_missing boolean, is_revised boolean,"
+        " indicator_unit string, value figure, is_missing boolean, is_revised boolean,"
         " is_estimated boolean, loaded_at timestamp"
     ),
     "stg_regions": _schema(
@@ -33,7 +48,7 @@ STAGING: Mapping[str, T.StructType] = {
     ),
     "stg_data_revisions": _schema(
         "region_key string, year int, indicator_code string, old_value double,"
-        " new_value double, old_values bigint, new_values bigint, pair_count decimal(38,0),"
+        " new_value double, old_values bigint, new_values bigint, pair_count count,"
         " prior_snapshot string, detected_at timestamp"
     ),
 }
@@ -52,7 +67,7 @@ WAREHOUSE: Mapping[str, T.StructType] = {
         " indicator_unit string"
     ),
     "fact_health_indicator": _schema(
-        "region_key string, region_id string, value decimal(8,2), is_missing boolean,"
+        "region_key string, region_id string, value figure, is_missing boolean,"
         " is_revised boolean, is_estimated boolean, loaded_at timestamp,"
         " indicator_id string, date_id int"
     ),

@@ -8,6 +8,7 @@ ones like any other."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.sources.schemas import PARTITIONS, SCHEMAS, STAGING, conform
 
 MODES = ("replace", "append")
-_PUBLISHED = "run_id string, run_ts timestamp, mode string, table_name string, path string"
+_PUBLISHED = ("run_id", "run_ts", "mode", "table_name", "path")
 
 
 def table_path(root: str, run_id: str, name: str) -> str:
@@ -43,6 +44,14 @@ def write_table(df: DataFrame, root: str, run_id: str, name: str) -> int:
     return seen.get["rows"]
 
 
+def write_tables(frames: Mapping[str, DataFrame], root: str, run_id: str) -> dict[str, int]:
+    """Write tables that do not depend on each other at the same time, so that executors done
+    with one go on with the next. Returns their numbers of rows."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        rows = pool.map(lambda name: write_table(frames[name], root, run_id, name), frames)
+        return dict(zip(frames, rows))
+
+
 def read_paths(spark: SparkSession, name: str, paths: Sequence[str]) -> DataFrame:
     """A table kept in one or more folders, read with its fixed schema."""
     schema = SCHEMAS[name]
@@ -62,9 +71,15 @@ def publish(
         (run_id, run_ts, mode if n in STAGING else "replace", n, table_path(root, run_id, n))
         for n in names
     ]
-    spark.createDataFrame(rows, _PUBLISHED).coalesce(1).write.mode("append").parquet(
-        f"{root}/published"
-    )
+    constant_rows(spark, rows, _PUBLISHED).write.mode("append").parquet(f"{root}/published")
+
+
+def constant_rows(
+    spark: SparkSession, rows: Sequence[Sequence[object]], columns: Sequence[str]
+) -> DataFrame:
+    """A handful of known rows as one partition, without going through a Python worker."""
+    structs = [F.struct(*[F.lit(v).alias(c) for v, c in zip(row, columns)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
 def check_mode(mode: str) -> None:
@@ -77,7 +92,7 @@ def current_paths(spark: SparkSession, root: str) -> dict[str, list[str]]:
 
     One row per run and table is read here, so the driver holds a list of runs, not data."""
     try:
-        published = spark.read.schema(_PUBLISHED).parquet(f"{root}/published")
+        published = spark.read.parquet(f"{root}/published")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

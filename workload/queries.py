@@ -29,6 +29,7 @@ from tidemark.plans import reports
 from tidemark.plans.tidy import KEYS, REGION_ATTRS, clean_outputs, melt_order
 from tidemark.sources import snapshots
 from tidemark.sources.files import read_wide
+from tidemark.sources.schemas import STAGING
 from tidemark.sources.tables import register_views
 from tidemark.streaming.ingest import land_folder, stream_snapshots
 from workload import inputs
@@ -139,11 +140,11 @@ def prior_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @on_workspace
 def stage_indicators(w: Workspace) -> DataFrame:
-    return w.tables()["stg_health_indicators"].drop("loaded_at")
+    return w.table("stg_health_indicators").drop("loaded_at")
 
 
 def _published_counts(w: Workspace) -> DataFrame:
-    staged = {n: df for n, df in w.tables().items() if n.startswith("stg_")}
+    staged = {n: w.table(n) for n in STAGING}
     return metrics.view_status(staged).select(F.col("view_name").alias("table_name"), "row_count")
 
 
@@ -298,25 +299,24 @@ def regions_first_seen(w: Workspace) -> DataFrame:
 
 @on_workspace
 def dim_region(w: Workspace) -> DataFrame:
-    return warehouse.build_dim_region(w.tables()["stg_regions"])
+    return warehouse.build_dim_region(w.table("stg_regions"))
 
 
 @on_workspace
 def dim_date(w: Workspace) -> DataFrame:
-    dates = warehouse.build_dim_date(w.tables()["stg_health_indicators"])
+    dates = warehouse.build_dim_date(w.table("stg_health_indicators"))
     return dates.withColumn("date_day", F.col("date_day").cast("string"))
 
 
 @on_workspace
 def dim_indicator(w: Workspace) -> DataFrame:
-    return warehouse.build_dim_indicator(w.tables()["stg_health_indicators"])
+    return warehouse.build_dim_indicator(w.table("stg_health_indicators"))
 
 
 @on_workspace
 def fact_indicator(w: Workspace) -> DataFrame:
-    t = w.tables()
-    dims = (t["dim_region"], t["dim_date"], t["dim_indicator"])
-    return warehouse.build_fact(t["stg_health_indicators"], *dims).drop("loaded_at")
+    dims = (w.table("dim_region"), w.table("dim_date"), w.table("dim_indicator"))
+    return warehouse.build_fact(w.table("stg_health_indicators"), *dims).drop("loaded_at")
 
 
 @on_workspace
@@ -368,7 +368,7 @@ def comparison_low_band(w: Workspace) -> DataFrame:
 
 def _chosen_names(w: Workspace, keys: tuple[str, ...]) -> list[str]:
     """The names behind a handful of keys, as a user would pick them from a list."""
-    picked = w.tables()["dim_region"].where(F.col("region_key").isin(*keys))
+    picked = w.table("dim_region").where(F.col("region_key").isin(*keys))
     return [row.region_name for row in picked.select("region_name").collect()]
 
 
@@ -410,7 +410,7 @@ def latest_year(w: Workspace) -> DataFrame:
 
 @on_workspace
 def count_below_threshold(w: Workspace) -> DataFrame:
-    return metrics.count_below(w.tables()["stg_health_indicators"], MAIN, SETTINGS.threshold)
+    return metrics.count_below(w.table("stg_health_indicators"), MAIN, SETTINGS.threshold)
 
 
 @on_workspace
@@ -423,12 +423,11 @@ def headline_metrics(w: Workspace) -> DataFrame:
 
 @on_workspace
 def quality_stats(w: Workspace) -> DataFrame:
-    t = w.tables()
     stats = metrics.quality_stats(
-        t["stg_health_indicators"],
-        t["stg_regions"],
-        t["stg_rejected_rows"],
-        t["stg_data_revisions"],
+        w.table("stg_health_indicators"),
+        w.table("stg_regions"),
+        w.table("stg_rejected_rows"),
+        w.table("stg_data_revisions"),
         MAIN,
         SETTINGS.threshold,
     )
@@ -437,12 +436,13 @@ def quality_stats(w: Workspace) -> DataFrame:
 
 @on_workspace
 def reject_summary(w: Workspace) -> DataFrame:
-    return validate.reject_summary(w.tables()["stg_rejected_rows"])
+    return validate.reject_summary(w.table("stg_rejected_rows"))
 
 
 @on_tables
 def dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = workspace(spark, sf_dir).tables()
+    space = workspace(spark, sf_dir)
+    tables = {n: space.table(n) for n in space.paths}
     for name in ("orders", "customer", "lineitem", "events"):
         tables[name] = inputs.table(spark, sf_dir, name)
     more = (

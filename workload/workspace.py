@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 from threading import Lock
 from uuid import uuid4
 
@@ -14,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.warehouse import Warehouse
-from tidemark.plans.refresh import raw_root, read_warehouse, run
+from tidemark.plans.refresh import raw_root, run
 from tidemark.plans.tidy import tidy_long
 from tidemark.session import shared_dir
 from tidemark.sources.snapshots import land_snapshot, read_snapshot
-from tidemark.sources.tables import read_published
+from tidemark.sources.tables import current_paths, read_paths
 from workload import inputs
 from workload.inputs import AS_OF_YEAR, CURRENT, PRIOR, SETTINGS
 
@@ -39,11 +40,17 @@ class Workspace:
     def long(self, day: str = CURRENT, carry: tuple[str, ...] = ("k", "y")) -> DataFrame:
         return tidy_long(self.wide(day), SETTINGS, carry=list(carry))
 
-    def tables(self) -> dict[str, DataFrame]:
-        return read_published(self.spark, self.root)
+    @cached_property
+    def paths(self) -> dict[str, list[str]]:
+        """The published folders; a workspace is published once."""
+        return current_paths(self.spark, self.root)
+
+    def table(self, name: str) -> DataFrame:
+        return read_paths(self.spark, name, self.paths[name])
 
     def warehouse(self) -> Warehouse:
-        return read_warehouse(self.spark, self.root)
+        names = ("fact_health_indicator", "dim_region", "dim_date", "dim_indicator")
+        return Warehouse(*map(self.table, names))
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
