@@ -27,7 +27,7 @@ from tidemark.plans.tidy import (
     melt_order,
     tidy_long,
 )
-from tidemark.sources.files import snapshot_files
+from tidemark.sources.files import dated_folders
 from tidemark.sources.schemas import QUALITY_LOG, STAGING
 from tidemark.sources.snapshots import prior_snapshot_date, read_snapshot
 from tidemark.sources.tables import (
@@ -58,8 +58,9 @@ def raw_root(root: str) -> str:
 
 
 def landed_dates(spark: SparkSession, root: str) -> DataFrame:
-    """The snapshot date of every landed file, from the listing alone."""
-    return snapshot_files(spark, raw_root(root), "*.parquet").select("snapshot_date")
+    """The dates of the landed snapshots."""
+    dates = [(d,) for d in dated_folders(spark, raw_root(root))]
+    return constant_rows(spark, dates, ["snapshot_date"])
 
 
 def run(

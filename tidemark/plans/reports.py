@@ -155,9 +155,10 @@ def headline(
 
 
 def ordered(name: str, report: DataFrame, coverage: str = COVERAGE) -> DataFrame:
-    """A report in the order it is shown, ties broken by region."""
+    """A report in the order it is shown. Ties are broken by further columns, which also lets the
+    sort divide a region that has a large part of all rows."""
     order = {
-        "trends": [F.asc_nulls_last("region_name"), F.asc_nulls_last("year")],
+        "trends": [F.asc_nulls_last("region_name"), F.asc_nulls_last("year"), F.asc(coverage)],
         "comparison": [F.desc_nulls_first(coverage), F.asc("region_key")],
         "below_threshold": [F.asc_nulls_last(coverage), F.asc("region_key")],
     }

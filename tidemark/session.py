@@ -19,6 +19,8 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # Dimensions of some million rows are broadcast rather than the fact table shuffled.
+        "spark.sql.autoBroadcastJoinThreshold": "64MB",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
     }

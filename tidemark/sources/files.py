@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import NA_TOKENS
@@ -15,12 +16,12 @@ ALIAS_SCHEMA = "alias string, iso_code string, notes string"
 _SNAPSHOT_DATE = r"(?:^|[/=])(\d{4}-\d{2}-\d{2})/[^/]+$"
 
 
-def normalise_na(df: DataFrame, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
-    """Null for every text field that holds one of the "no value" tokens."""
+def normalised_columns(df: DataFrame, na_tokens: Sequence[str] = NA_TOKENS) -> list[Column]:
+    """The columns of ``df``, null where a text field holds one of the "no value" tokens."""
     text = {name for name, kind in df.dtypes if kind == "string"}
-    return df.select(
-        [null_if_in(quoted(c), na_tokens).alias(c) if c in text else quoted(c) for c in df.columns]
-    )
+    return [
+        null_if_in(quoted(c), na_tokens).alias(c) if c in text else quoted(c) for c in df.columns
+    ]
 
 
 def read_wide(
@@ -29,19 +30,26 @@ def read_wide(
     renames: Mapping[str, str],
     na_tokens: Sequence[str] = NA_TOKENS,
     row_id: str | None = None,
+    file_col: str | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
     """A wide snapshot, columns taken from the header and all read as text.
 
     ``row_id`` names a column that identifies each row of this read, in file order; land the
-    snapshot before relying on it. ``enforceSchema=False`` makes files whose header differs from
-    the first one fail rather than be read by position. Quoted line breaks need ``multi_line``,
-    at the price of one task per file."""
+    snapshot before relying on it. ``file_col`` names a column for the name of the file.
+    ``enforceSchema=False`` makes files whose header differs from the first one fail rather than
+    be read by position. Quoted line breaks need ``multi_line``, at the price of one task per
+    file."""
     raw = spark.read.csv(
         path, header=True, quote='"', escape='"', enforceSchema=False, multiLine=multi_line
     )
-    df = normalise_na(raw, na_tokens).withColumnsRenamed(dict(renames))
-    return df.withColumn(row_id, F.monotonically_increasing_id()) if row_id else df
+    extra = []
+    if row_id:
+        extra.append(F.monotonically_increasing_id().alias(row_id))
+    if file_col:
+        extra.append(F.col("_metadata.file_name").alias(file_col))
+    columns = normalised_columns(raw, na_tokens)
+    return raw.select(*columns, *extra).withColumnsRenamed(dict(renames))
 
 
 def read_aliases(spark: SparkSession, path: str) -> DataFrame:
@@ -52,7 +60,7 @@ def read_aliases(spark: SparkSession, path: str) -> DataFrame:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], ALIAS_SCHEMA + ", alias_row bigint")
-    return normalise_na(raw).select(
+    return raw.select(*normalised_columns(raw)).select(
         strip_text(F.col("alias")).alias("alias"),
         strip_text(F.col("iso_code")).alias("iso_code"),
         "notes",
@@ -60,11 +68,28 @@ def read_aliases(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def snapshot_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """One row per file under ``root/<date>/`` or ``root/snapshot_date=<date>/``.
+def dated_folders(spark: SparkSession, root: str) -> list[str]:
+    """The dates of the snapshot folders directly below ``root``, oldest first.
+
+    One listing of one folder, whatever the number of files further down. Folders that are not
+    named by a date are left out."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(top):
+        return []
+    names = [f.getPath().getName() for f in store.listStatus(top) if f.isDirectory()]
+    return sorted(d for d in (n.removeprefix("snapshot_date=") for n in names) if _is_date(d))
+
 
-    Only the listing is read, no file is opened. Folders that are not named by a date are left
-    out."""
+def _is_date(text: str) -> bool:
+    try:
+        return date.fromisoformat(text).isoformat() == text
+    except ValueError:
+        return False
+
+
+def snapshot_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """One row per file in the dated folders below ``root``. No file is opened."""
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)

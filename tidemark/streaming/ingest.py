@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import Settings
+from tidemark.plans.refresh import raw_root, run
 from tidemark.session import shared_dir
-from tidemark.sources.files import read_wide, with_snapshot_date
+from tidemark.sources.files import dated_folders, read_aliases, read_wide, with_snapshot_date
 from tidemark.sources.snapshots import land_snapshot
 
+OnSnapshot = Callable[[SparkSession, date, str], None]
+
 # What a binary-file source reports per file; only the path is ever read.
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -20,7 +23,7 @@ _LISTING = "path string, modificationTime timestamp, length bigint, content bina
 def stream_snapshots(
     spark: SparkSession,
     source_root: str,
-    on_snapshot: Callable[[SparkSession, date, str], None],
+    on_snapshot: OnSnapshot,
     checkpoint: str | None = None,
     pattern: str = "*.csv",
     files_per_batch: int = 1000,
@@ -56,15 +59,51 @@ def stream_snapshots(
     )
 
 
-def land_folder(
-    raw: str, settings: Settings, pattern: str = "*.csv", row_id: str = "source_row"
-) -> Callable[[SparkSession, date, str], None]:
+def land_folder(raw: str, settings: Settings, pattern: str = "*.csv") -> OnSnapshot:
     """An ``on_snapshot`` that reads a folder's files and lands them under their date."""
 
     def land(spark: SparkSession, day: date, folder: str) -> None:
         wide = read_wide(
-            spark, f"{folder}/{pattern}", settings.renames, settings.na_tokens, row_id=row_id
+            spark,
+            f"{folder}/{pattern}",
+            settings.renames,
+            settings.na_tokens,
+            row_id="source_row",
+            file_col="file",
         )
         land_snapshot(wide, raw, day)
 
     return land
+
+
+def refresh_folder(
+    root: str, settings: Settings, alias_path: str | None = None, pattern: str = "*.csv"
+) -> OnSnapshot:
+    """An ``on_snapshot`` for the whole chain: land a folder, then publish a run of it."""
+    land = land_folder(raw_root(root), settings, pattern)
+
+    def refresh(spark: SparkSession, day: date, folder: str) -> None:
+        land(spark, day, folder)
+        aliases = read_aliases(spark, alias_path) if alias_path else None
+        run(spark, root, day, settings, datetime.now(timezone.utc), aliases)
+
+    return refresh
+
+
+def land_pending(
+    spark: SparkSession,
+    source_root: str,
+    root: str,
+    settings: Settings,
+    pattern: str = "*.csv",
+    again: bool = False,
+) -> list[str]:
+    """Land every dated folder that is not landed yet, or all of them ``again``; no stream, no
+    checkpoint. Returns the dates."""
+    raw = raw_root(root)
+    known = set() if again else set(dated_folders(spark, raw))
+    days = [d for d in dated_folders(spark, source_root) if d not in known]
+    land = land_folder(raw, settings, pattern)
+    for day in days:
+        land(spark, date.fromisoformat(day), f"{source_root}/{day}")
+    return days

@@ -343,7 +343,7 @@ def _below(w: Workspace) -> DataFrame:
 
 @on_workspace
 def vaccination_trends(w: Workspace) -> DataFrame:
-    return reports.ordered("trends", _trends(w))
+    return reports.ordered("trends", _trends(w), COVERAGE)
 
 
 @on_workspace
