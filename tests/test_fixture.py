@@ -30,7 +30,7 @@ def root(spark, tmp_path_factory):
     result = run(spark, root, "2026-02-22", SETTINGS, NOW)
     assert result.prior_snapshot is None
     assert result.counts == {
-        "stg_data_revisions": 0, "stg_health_indicators": 16, "stg_rejected_rows": 0,
+        "stg_data_revisions": 0, "stg_revision_values": 0, "stg_health_indicators": 16, "stg_rejected_rows": 0,
         "stg_regions": 3, "dim_region": 3, "dim_date": 2, "dim_indicator": 4,
         "fact_health_indicator": 15,
     }
@@ -77,7 +77,7 @@ def test_quality(spark, root):
     t = read_published(spark, root)
     stats = quality_stats(
         t["stg_health_indicators"], t["stg_regions"], t["stg_rejected_rows"],
-        t["stg_data_revisions"], "dtp3",
+        t["stg_data_revisions"], t["stg_revision_values"], "dtp3",
     ).first()
     assert (stats.indicator_rows, stats.region_count, stats.country_count) == (16, 3, 2)
     assert (stats.null_values, stats.rejected_rows, stats.revisions_detected) == (1, 0, 0)
@@ -86,13 +86,13 @@ def test_quality(spark, root):
     assert len(results) == len(STANDARD_CHECKS) == 20
     assert all(r.failures == 0 for r in results)
     log = spark.read.parquet(f"{root}/data_quality_log")
-    assert log.count() == 5 and log.where("check_name = 'pipeline_run'").count() == 1
+    assert log.count() == 6 and log.where("check_name = 'pipeline_run'").count() == 1
     assert '"total_rows":19' in log.where("table_name = 'pipeline'").first().details
 
 
 def test_names_analysts_query(spark, root):
     names = publish_catalog(spark, root, SETTINGS)
-    assert len(names) == 11
+    assert len(names) == 12
     sql = lambda text: [tuple(r) for r in spark.sql(text).collect()]
     assert sql("SELECT count(*) FROM reporting.rpt_below_threshold") == [(1,)]
     assert sql("SELECT * FROM reporting.rpt_below_threshold ORDER BY dtp3_coverage_pct") == [

@@ -111,4 +111,5 @@ def test_cleaning_does_not_shuffle(spark):
 
 def test_big_aggregates_hash_and_shrink_before_the_shuffle(spark):
     text = plan(QUERIES["detect_revisions"](spark, SMALL))
-    assert "Sort" not in text and text.count("partial_") >= 2
+    assert "Sort" not in text and text.count("Exchange hashpartitioning") == 0
+    assert "partial_min" in text and sum(") Exchange" in x for x in text.splitlines()) == 1

@@ -57,6 +57,7 @@ def build(spark: SparkSession, args: argparse.Namespace) -> int:
         tables["stg_regions"],
         tables["stg_rejected_rows"],
         tables["stg_data_revisions"],
+        tables["stg_revision_values"],
         SETTINGS.main_indicator,
         SETTINGS.threshold,
     ).show(vertical=True, truncate=False)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.coverage import is_below
+from tidemark.operators.revisions import pair_total
 
 
 def one_row(*parts: DataFrame) -> DataFrame:
@@ -58,6 +59,7 @@ def quality_stats(
     regions: DataFrame,
     rejected: DataFrame,
     revisions: DataFrame,
+    revision_values: DataFrame,
     indicator: str,
     threshold: float = 80.0,
 ) -> DataFrame:
@@ -73,11 +75,7 @@ def quality_stats(
             F.count_if(F.col("region_type") == "country").alias("country_count"),
         ),
         rejected.agg(rows.alias("rejected_rows")),
-        revisions.agg(
-            F.coalesce(F.sum("pair_count"), F.lit(0)).cast("decimal(38,0)").alias(
-                "revisions_detected"
-            )
-        ),
+        pair_total(revisions, revision_values),
         below.withColumnsRenamed(
             {"latest_year": "latest_main_year", "countries_below": "countries_below_target"}
         ),

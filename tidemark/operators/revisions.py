@@ -2,9 +2,9 @@
 
 Both sides hold one row per key when the data is clean. When it is not (keys repeated, or null),
 every old value of a key meets every new one, which grows with the square of the group. The same
-facts are kept here in linear size: one row per revised key with the exact number of differing
-row pairs, and for keys with several values a list of those values. Everything is counted by
-(key, value) first, so a key that holds a third of all rows collapses before any shuffle."""
+facts are kept here in linear size: a row per revised key with the number of rows on each side,
+and for keys with several values a list of those values with their numbers of rows. The number of
+differing row pairs follows from the two exactly, see ``pair_total``."""
 
 from __future__ import annotations
 
@@ -20,97 +20,114 @@ from tidemark.functions.text import quoted
 NULL_KEYS = ("match", "drop")
 
 
-def _counts_by_value(
-    current: DataFrame, prior: DataFrame, keys: Sequence[str], value: str, null_keys: str
+def _both_sides(
+    current: DataFrame, prior: DataFrame, keys: Sequence[str], values: Sequence[str], null_keys: str
 ) -> DataFrame:
-    """(keys, value, old_rows, new_rows) over the non-null values of both snapshots."""
+    """(keys, values, _new) of both snapshots under each other."""
     if null_keys not in NULL_KEYS:
         raise ValueError(f"null_keys must be one of {NULL_KEYS}, not {null_keys!r}")
 
     def side(df: DataFrame, is_new: bool) -> DataFrame:
-        kept = df.where(quoted(value).isNotNull())
-        if null_keys == "drop":
-            kept = kept.dropna(subset=list(keys))
-        return kept.select(
-            *map(quoted, keys), quoted(value).alias("_value"), F.lit(is_new).alias("_new")
-        )
-
-    both = side(current, True).unionByName(side(prior, False))
-    return both.groupBy(*keys, "_value").agg(
-        F.count_if(~F.col("_new")).alias("_old_rows"), F.count_if("_new").alias("_new_rows")
-    )
-
+        kept = df.dropna(subset=list(keys)) if null_keys == "drop" else df
+        return kept.select(*map(quoted, [*keys, *values]), F.lit(is_new).alias("_new"))
 
-def _count(col: str) -> Column:
-    """Row counts as decimals: their products outgrow a bigint."""
-    return F.col(col).cast("decimal(19,0)")
-
-
-def _revised_keys(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    old, new = F.col("_old_rows") > 0, F.col("_new_rows") > 0
-    per_key = counts.groupBy(*keys).agg(
-        F.sum(_count("_old_rows")).alias("_old_total"),
-        F.sum(_count("_new_rows")).alias("_new_total"),
-        F.sum(_count("_old_rows") * _count("_new_rows")).alias("_same_pairs"),
-        F.count_if(old).alias("old_values"),
-        F.count_if(new).alias("new_values"),
-        F.min(F.when(old, F.col("_value"))).alias("_any_old"),
-        F.min(F.when(new, F.col("_value"))).alias("_any_new"),
-    )
-    pairs = (F.col("_old_total") * F.col("_new_total")).cast("decimal(38,0)")
-    return per_key.select(
-        *keys,
-        F.when(F.col("old_values") == 1, F.col("_any_old")).alias("old_value"),
-        F.when(F.col("new_values") == 1, F.col("_any_new")).alias("new_value"),
-        "old_values",
-        "new_values",
-        (pairs - F.col("_same_pairs")).cast("decimal(38,0)").alias("pair_count"),
-    ).where(F.col("pair_count") > 0)
+    return side(current, True).unionByName(side(prior, False))
 
 
 def detect_revisions(
     current: DataFrame,
     prior: DataFrame,
     keys: Sequence[str],
-    value: str = "value",
+    values: Sequence[str] = ("value",),
+    measure_col: str | None = None,
     prior_date: date | str | None = None,
     null_keys: str = "match",
 ) -> DataFrame:
-    """One row per key whose value differs between the snapshots.
-
-    Only keys found on both sides with a value count; a value that appears or disappears is no
-    revision. ``old_value``/``new_value`` are set where that side has a single value, else see
-    ``revision_values``. ``pair_count`` is the number of (old row, new row) pairs that differ: 1
-    for clean data. Null keys match each other, or are left out with ``null_keys="drop"``."""
-    counts = _counts_by_value(current, prior, keys, value, null_keys)
+    """One row per key, and per column of ``values``, that differs between the snapshots.
+
+    ``measure_col`` names a column for the name of the value column, so wide rows can be compared
+    before they are unpivoted: the keys travel once for all their values. Only keys with a value
+    on both sides count; a value that appears or disappears is no revision. ``old_value`` and
+    ``new_value`` are set where that side has a single value, else see ``revision_values``;
+    ``old_rows`` and ``new_rows`` say how many rows have one. Null keys match each other, or are
+    left out with ``null_keys="drop"``.
+
+    A single aggregation on the keys. Its buffers are numbers, so it hashes, and a key that holds
+    a third of all rows is one row per task before anything is shuffled."""
+    both = _both_sides(current, prior, keys, values, null_keys)
+    new = F.col("_new")
+    columns, found = [], []
+    for i, value in enumerate(values):
+        old_side, new_side = F.when(~new, quoted(value)), F.when(new, quoted(value))
+        low_old, high_old, low_new, high_new, old_rows, new_rows = (f"_{n}{i}" for n in "abcdef")
+        columns += [
+            F.min(old_side).alias(low_old),
+            F.max(old_side).alias(high_old),
+            F.min(new_side).alias(low_new),
+            F.max(new_side).alias(high_new),
+            F.count(old_side).alias(old_rows),
+            F.count(new_side).alias(new_rows),
+        ]
+        one_old, one_new = F.col(low_old) == F.col(high_old), F.col(low_new) == F.col(high_new)
+        on_both = (F.col(old_rows) > 0) & (F.col(new_rows) > 0)
+        same = one_old & one_new & (F.col(low_old) == F.col(low_new))
+        found.append(
+            F.struct(
+                F.lit(value).alias(measure_col or "_measure"),
+                F.when(one_old, F.col(low_old)).alias("old_value"),
+                F.when(one_new, F.col(low_new)).alias("new_value"),
+                F.col(old_rows).alias("old_rows"),
+                F.col(new_rows).alias("new_rows"),
+                (on_both & ~same).alias("_revised"),
+            )
+        )
+    per_key = both.groupBy(*map(quoted, keys)).agg(*columns)
     label = None if prior_date is None else str(prior_date)
-    return _revised_keys(counts, keys).withColumn(
-        "prior_snapshot", F.lit(label).cast("string")
-    )
+    revised = per_key.select(*map(quoted, keys), F.inline(F.array(*found))).where("_revised")
+    out = revised.drop("_revised").withColumn("prior_snapshot", F.lit(label).cast("string"))
+    return out if measure_col else out.drop("_measure")
+
+
+def several_values(revisions: DataFrame) -> DataFrame:
+    """The revisions whose key has more than one value on a side."""
+    return revisions.where(F.col("old_value").isNull() | F.col("new_value").isNull())
 
 
 def revision_values(
     current: DataFrame,
     prior: DataFrame,
+    revisions: DataFrame,
     keys: Sequence[str],
     value: str = "value",
     null_keys: str = "match",
 ) -> DataFrame:
-    """(keys, value, old_rows, new_rows) of the revised keys that have several values on a side:
-    together with ``detect_revisions`` this says all that the pairs would say."""
-    counts = _counts_by_value(current, prior, keys, value, null_keys)
-    several = _revised_keys(counts, keys).where(
-        (F.col("old_values") > 1) | (F.col("new_values") > 1)
-    )
-    renamed = several.select(*[quoted(k).alias(f"_k_{k}") for k in keys])
-    return counts.join(renamed, same_keys(keys), "left_semi").select(
-        *keys,
-        F.col("_value").alias(value),
-        F.col("_old_rows").alias("old_rows"),
-        F.col("_new_rows").alias("new_rows"),
+    """(keys, value, old_rows, new_rows): the values of the ``revisions`` with several of them.
+
+    Rows are counted by (key, value) after the keys of interest are picked out; clean data has
+    none, and then nothing is read. A hot key spreads over its values."""
+    several = several_values(revisions).select(*[quoted(k).alias(f"_k_{k}") for k in keys])
+    both = _both_sides(current, prior, keys, [value], null_keys)
+    wanted = both.where(quoted(value).isNotNull()).join(several, same_keys(keys), "left_semi")
+    return wanted.groupBy(*map(quoted, [*keys, value])).agg(
+        F.count_if(~F.col("_new")).alias("old_rows"), F.count_if("_new").alias("new_rows")
     )
 
 
+def pair_total(revisions: DataFrame, values: DataFrame) -> DataFrame:
+    """One row, ``revisions_detected``: the number of (old row, new row) pairs that differ.
+
+    All pairs of the revised keys, less the pairs of equal values. A decimal: the products of row
+    counts outgrow a bigint."""
+
+    def pairs(sign: int) -> Column:
+        old, new = (F.col(c).cast("decimal(18,0)") for c in ("old_rows", "new_rows"))
+        return (old * new * F.lit(sign)).cast("decimal(38,0)").alias("pairs")
+
+    terms = revisions.select(pairs(1)).unionByName(values.select(pairs(-1)))
+    total = F.coalesce(F.sum("pairs"), F.lit(0)).cast("decimal(38,0)")
+    return terms.agg(total.alias("revisions_detected"))
+
+
 def same_keys(keys: Sequence[str], prefix: str = "_k_") -> Column:
     """Null-safe equality of ``keys`` with their prefixed copies on the other side of a join."""
     return reduce(
@@ -118,17 +135,34 @@ def same_keys(keys: Sequence[str], prefix: str = "_k_") -> Column:
     )
 
 
+def _look_up(df: DataFrame, unique: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the other columns of ``unique``, whose keys are unique; null where not found."""
+    copies = unique.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    return df.join(copies, same_keys(keys), "left").drop(*[f"_k_{k}" for k in keys])
+
+
 def flag_revised(df: DataFrame, revisions: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Add ``is_revised``: is the row's key among the revisions? Never adds or drops a row."""
     if revisions is None:
         return df.withColumn("is_revised", F.lit(False))
-    marked = (
-        revisions.select(*[quoted(k).alias(f"_k_{k}") for k in keys])
-        .distinct()
-        .withColumn("_revised", F.lit(True))
-    )
-    return (
-        df.join(marked, same_keys(keys), "left")
-        .withColumn("is_revised", F.col("_revised").isNotNull())
-        .drop("_revised", *[f"_k_{k}" for k in keys])
-    )
+    marked = revisions.select(*map(quoted, keys)).distinct().withColumn("_found", F.lit(True))
+    flagged = _look_up(df, marked, keys)
+    return flagged.withColumn("is_revised", F.col("_found").isNotNull()).drop("_found")
+
+
+def revised_measures(
+    wide: DataFrame,
+    revisions: DataFrame | None,
+    keys: Sequence[str],
+    measure_col: str,
+    into: str = "revised_measures",
+) -> DataFrame:
+    """Add to wide rows the list of their measures that are revised, empty for none.
+
+    The same as ``flag_revised`` on the unpivoted rows, for a fraction of the rows to join. The
+    list holds each measure once at most."""
+    nothing = F.array().cast("array<string>")
+    if revisions is None:
+        return wide.withColumn(into, nothing)
+    lists = revisions.groupBy(*map(quoted, keys)).agg(F.collect_set(measure_col).alias(into))
+    return _look_up(wide, lists, keys).withColumn(into, F.coalesce(into, nothing))

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import Settings
 from tidemark.operators.metrics import load_audit
 from tidemark.operators.regions import first_seen_dimension
-from tidemark.operators.revisions import detect_revisions
-from tidemark.operators.validate import REJECT_COLUMNS, row_rules, valid_rows
+from tidemark.operators.revisions import revision_values
+from tidemark.operators.validate import row_rules, valid_rows
 from tidemark.operators.warehouse import (
     Warehouse,
     build_dim_date,
@@ -24,8 +25,10 @@ from tidemark.plans.tidy import (
     KEYS,
     REGION_ATTRS,
     clean_outputs,
+    long_rows,
     melt_order,
-    tidy_long,
+    snapshot_revisions,
+    typed_wide,
 )
 from tidemark.sources.files import dated_folders
 from tidemark.sources.schemas import QUALITY_LOG, STAGING
@@ -42,6 +45,8 @@ from tidemark.sources.tables import (
     write_tables,
 )
 
+REVISION_TABLES = ("stg_data_revisions", "stg_revision_values")
+Writer = Callable[..., dict[str, DataFrame]]
 PRIMARY_KEYS = {"stg_health_indicators": KEYS, "stg_regions": ("region_key",)}
 
 
@@ -90,23 +95,22 @@ def run(
         return {n: read_paths(spark, n, [table_path(root, run_id, n)]) for n in frames}
 
     wide = read_snapshot(spark, raw_root(root), snapshot_date)
-    long = tidy_long(wide, settings, aliases, carry=[row_col])
+    typed = typed_wide(wide, settings, aliases)
     prior = prior_snapshot_date(landed_dates(spark, root), snapshot_date).first()[0]
 
     found = None
     if prior is not None:
-        before = tidy_long(read_snapshot(spark, raw_root(root), prior), settings, aliases)
-        revisions = detect_revisions(long, before, KEYS, prior_date=prior)
-        revisions = revisions.withColumn("detected_at", stamp)
-        found = write(stg_data_revisions=revisions)["stg_data_revisions"]
+        before = typed_wide(read_snapshot(spark, raw_root(root), prior), settings, aliases)
+        found = write_revisions(write, typed, before, settings, prior, stamp)
     else:
-        write(stg_data_revisions=spark.createDataFrame([], STAGING["stg_data_revisions"]))
+        empty = {n: spark.createDataFrame([], STAGING[n]) for n in REVISION_TABLES}
+        write(**empty)
 
-    outputs = clean_outputs(long, found, settings, as_of_year, stamp, [row_col, *REJECT_COLUMNS[1:]])
+    outputs = clean_outputs(typed, found, settings, as_of_year, stamp, [row_col])
     staged = write(
         stg_health_indicators=outputs.indicators,
         stg_rejected_rows=outputs.rejected.withColumnRenamed(row_col, "source_row"),
-        stg_regions=stage_regions(wide, long, settings, as_of_year, row_col),
+        stg_regions=stage_regions(typed, settings, as_of_year, row_col),
     )
     if mode == "append":
         staged = append_to_current(spark, root, staged)
@@ -125,12 +129,30 @@ def run(
     return RunResult(run_id, str(snapshot_date), None if prior is None else str(prior), counts)
 
 
+def write_revisions(
+    write: Writer,
+    current: DataFrame,
+    prior: DataFrame,
+    settings: Settings,
+    prior_date: date,
+    stamp: Column,
+) -> DataFrame:
+    """Write the revisions, then the values of those that have several. The second table starts
+    from the first one as written: where that has no such row, the snapshots are not read."""
+    revisions = snapshot_revisions(current, prior, settings, prior_date)
+    revisions = revisions.withColumn("detected_at", stamp)
+    found = write(stg_data_revisions=revisions)["stg_data_revisions"]
+    sides = (long_rows(side, settings) for side in (current, prior))
+    write(stg_revision_values=revision_values(*sides, found, KEYS))
+    return found
+
+
 def stage_regions(
-    wide: DataFrame, long: DataFrame, settings: Settings, as_of_year: int, row_col: str
+    typed: DataFrame, settings: Settings, as_of_year: int, row_col: str
 ) -> DataFrame:
     """One row per region among the valid rows, sorted by name."""
-    valid = valid_rows(long, row_rules(settings, as_of_year))
-    order = melt_order(wide, settings, row_col)
+    valid = valid_rows(long_rows(typed, settings, [row_col]), row_rules(settings, as_of_year))
+    order = melt_order(typed, settings, row_col)
     regions = first_seen_dimension(valid, "region_key", REGION_ATTRS, order)
     return regions.orderBy(F.asc_nulls_last("region_name"), "region_key")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -18,31 +19,29 @@ from tidemark.operators.reshape import (
     present_indicators,
     unpivot_indicators,
 )
-from tidemark.operators.revisions import flag_revised
+from tidemark.operators.revisions import detect_revisions, revised_measures
 from tidemark.operators.validate import (
-    REJECT_COLUMNS,
+    REASON,
+    rejected_rows,
     row_rules,
-    split_valid,
+    valid_rows,
     with_estimated_flag,
     with_missing_flag,
 )
 
-KEYS = ("region_key", "year", "indicator_code")
+WIDE_KEYS = ("region_key", "year")
+KEYS = (*WIDE_KEYS, "indicator_code")
 REGION_ATTRS = ("region_name", "iso_code", "region_type")
 
 
-def tidy_long(
-    wide: DataFrame,
-    settings: Settings,
-    aliases: DataFrame | None = None,
-    carry: Sequence[str] = (),
+def typed_wide(
+    wide: DataFrame, settings: Settings, aliases: DataFrame | None = None
 ) -> DataFrame:
-    """Standardised long rows before validation.
+    """Wide rows with standardised regions, whole years and figures as numbers.
 
-    Regions, years and numbers are put right on the wide rows. There is one of them for several
-    long rows, an alias join there moves that much less data, and Catalyst does not carry an
-    expression through an unpivot, so none is worked out again in the filters above it. From there
-    on nothing shuffles. ``carry`` names further columns to keep."""
+    All of this is done before the unpivot. There is one wide row for several long ones, a join
+    there moves that much less data, and Catalyst does not carry an expression through an
+    unpivot, so none is worked out again in the filters above it."""
     regions = standardise_regions(
         wide,
         aliases,
@@ -50,12 +49,40 @@ def tidy_long(
         country_len=settings.country_len,
     )
     numbers = coerce_numeric(regions, present_indicators(wide, settings.indicators))
-    typed = numbers.withColumn("year", to_year(F.col("year").cast("string")))
+    return numbers.withColumn("year", to_year(F.col("year").cast("string")))
+
+
+def long_rows(typed: DataFrame, settings: Settings, carry: Sequence[str] = ()) -> DataFrame:
+    """Described long rows of typed wide rows; ``carry`` names further columns to keep."""
     ids = [*carry, "region_key", *REGION_ATTRS, "year"]
     long = unpivot_indicators(typed, settings.indicators, ids)
     return apply_indicator_metadata(long, settings.indicators)
 
 
+def tidy_long(
+    wide: DataFrame,
+    settings: Settings,
+    aliases: DataFrame | None = None,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """Standardised long rows before validation."""
+    return long_rows(typed_wide(wide, settings, aliases), settings, carry)
+
+
+def snapshot_revisions(
+    current: DataFrame, prior: DataFrame, settings: Settings, prior_date: date | str
+) -> DataFrame:
+    """Revisions between two typed wide snapshots by region, year and indicator."""
+    known = present_indicators(prior, settings.indicators)
+    shared = [c for c in present_indicators(current, settings.indicators) if c in known]
+    if not shared:
+        raise ValueError("the snapshots have no indicator in common")
+    found = detect_revisions(
+        current, prior, WIDE_KEYS, shared, "indicator_source_col", prior_date
+    )
+    return apply_indicator_metadata(found, settings.indicators)
+
+
 def melt_order(wide: DataFrame, settings: Settings, row_col: str = "source_row") -> Column:
     """A number that sorts long rows as a melt lists them: indicator by indicator in the order of
     the file, within each by row. A decimal, since row numbers may use all of a bigint."""
@@ -72,16 +99,24 @@ class CleanOutputs:
 
 
 def clean_outputs(
-    long: DataFrame,
+    typed: DataFrame,
     revisions: DataFrame | None,
     settings: Settings,
     as_of_year: int,
     run_ts: Column,
-    reject_columns: Sequence[str] = REJECT_COLUMNS,
+    carry: Sequence[str] = ("source_row",),
 ) -> CleanOutputs:
-    """Flagged valid rows and quarantined rows. ``revisions`` is None without a prior snapshot."""
-    valid, rejected = split_valid(long, row_rules(settings, as_of_year), reject_columns)
-    flagged = with_estimated_flag(flag_revised(with_missing_flag(valid), revisions, KEYS))
+    """Flagged valid rows and quarantined rows of typed wide rows. ``revisions`` is None without
+    a prior snapshot."""
+    rules = row_rules(settings, as_of_year)
+    marked = revised_measures(typed, revisions, WIDE_KEYS, "indicator_code")
+    flagged = long_rows(marked, settings, [*carry, "revised_measures"]).withColumn(
+        "is_revised", F.array_contains("revised_measures", F.col("indicator_code"))
+    )
+    valid = with_estimated_flag(with_missing_flag(valid_rows(flagged, rules)))
+    columns = [*carry, "region_name", "iso_code", "year", "indicator_code", "value", REASON]
+    rejected = rejected_rows(long_rows(typed, settings, carry), rules, columns)
     return CleanOutputs(
-        flagged.withColumn("loaded_at", run_ts), rejected.withColumn("loaded_at", run_ts)
+        valid.drop("revised_measures").withColumn("loaded_at", run_ts),
+        rejected.withColumn("loaded_at", run_ts),
     )

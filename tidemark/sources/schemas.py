@@ -20,7 +20,6 @@ _TYPES: Mapping[str, T.DataType] = {
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
     "figure": T.DecimalType(8, 2),
-    "count": T.DecimalType(38, 0),
 }
 
 
@@ -48,8 +47,12 @@ STAGING: Mapping[str, T.StructType] = {
     ),
     "stg_data_revisions": _schema(
         "region_key string, year int, indicator_code string, old_value double,"
-        " new_value double, old_values bigint, new_values bigint, pair_count count,"
-        " prior_snapshot string, detected_at timestamp"
+        " new_value double, old_rows bigint, new_rows bigint, prior_snapshot string,"
+        " detected_at timestamp"
+    ),
+    "stg_revision_values": _schema(
+        "region_key string, year int, indicator_code string, value double, old_rows bigint,"
+        " new_rows bigint"
     ),
 }
 

@@ -83,14 +83,33 @@ pairs AS (
    AND n.indicator_code IS NOT DISTINCT FROM o.indicator_code
   WHERE n.value IS NOT NULL AND o.value IS NOT NULL
 ),
-revised AS (
+sides AS (
   SELECT region_key, year, indicator_code,
-    CASE WHEN count(DISTINCT old_value) = 1 THEN min(old_value) END AS old_value,
-    CASE WHEN count(DISTINCT new_value) = 1 THEN min(new_value) END AS new_value,
-    count(DISTINCT old_value) AS old_values, count(DISTINCT new_value) AS new_values,
-    count(*) FILTER (WHERE old_value <> new_value) AS pair_count
-  FROM pairs GROUP BY region_key, year, indicator_code
-  HAVING count(*) FILTER (WHERE old_value <> new_value) > 0
+    count(*) FILTER (WHERE is_new) AS new_rows, count(*) FILTER (WHERE NOT is_new) AS old_rows
+  FROM (SELECT region_key, year, indicator_code, TRUE AS is_new FROM long WHERE value IS NOT NULL
+        UNION ALL SELECT region_key, year, indicator_code, FALSE FROM prior_long
+        WHERE value IS NOT NULL)
+  GROUP BY region_key, year, indicator_code
+),
+revised AS (
+  SELECT p.region_key, p.year, p.indicator_code,
+    CASE WHEN count(DISTINCT p.old_value) = 1 THEN min(p.old_value) END AS old_value,
+    CASE WHEN count(DISTINCT p.new_value) = 1 THEN min(p.new_value) END AS new_value,
+    max(s.old_rows) AS old_rows, max(s.new_rows) AS new_rows
+  FROM pairs p JOIN sides s ON s.region_key IS NOT DISTINCT FROM p.region_key
+    AND s.year IS NOT DISTINCT FROM p.year AND s.indicator_code = p.indicator_code
+  GROUP BY p.region_key, p.year, p.indicator_code
+  HAVING count(*) FILTER (WHERE p.old_value <> p.new_value) > 0
+),
+listed AS (
+  SELECT v.region_key, v.year, v.indicator_code, v.value,
+    count(*) FILTER (WHERE NOT v.is_new) AS old_rows, count(*) FILTER (WHERE v.is_new) AS new_rows
+  FROM (SELECT region_key, year, indicator_code, value, TRUE AS is_new FROM long
+        UNION ALL SELECT region_key, year, indicator_code, value, FALSE FROM prior_long) v
+  JOIN revised r ON r.region_key IS NOT DISTINCT FROM v.region_key
+    AND r.year IS NOT DISTINCT FROM v.year AND r.indicator_code = v.indicator_code
+  WHERE v.value IS NOT NULL AND (r.old_value IS NULL OR r.new_value IS NULL)
+  GROUP BY 1, 2, 3, 4
 )"""
 
 _STAGED = """
@@ -156,7 +175,8 @@ _TABLE_COUNTS = """
   SELECT 'stg_health_indicators' AS table_name, count(*) AS n FROM staged
   UNION ALL SELECT 'stg_regions', count(*) FROM regions
   UNION ALL SELECT 'stg_rejected_rows', count(*) FROM checked WHERE reject_reason <> ''
-  UNION ALL SELECT 'stg_data_revisions', count(*) FROM revised"""
+  UNION ALL SELECT 'stg_data_revisions', count(*) FROM revised
+  UNION ALL SELECT 'stg_revision_values', count(*) FROM listed"""
 
 
 def _check(check: str, table: str, column: str, failures: str) -> str:
@@ -345,22 +365,10 @@ SELECT event_id, TRY_CAST(CASE event_id % 3 WHEN 0 THEN 'True' WHEN 1 THEN 'Fals
     "detect_revisions": _with(
         _UP_TO_REVISED, "SELECT *, '2024-01-08' AS prior_snapshot FROM revised"
     ),
-    "revision_values": _with(
-        _UP_TO_REVISED,
-        """
-SELECT v.region_key, v.year, v.indicator_code, v.value,
-  count(*) FILTER (WHERE NOT v.is_new) AS old_rows, count(*) FILTER (WHERE v.is_new) AS new_rows
-FROM (SELECT region_key, year, indicator_code, value, TRUE AS is_new FROM long
-      UNION ALL SELECT region_key, year, indicator_code, value, FALSE FROM prior_long) v
-JOIN revised r ON r.region_key IS NOT DISTINCT FROM v.region_key
-  AND r.year IS NOT DISTINCT FROM v.year
-  AND r.indicator_code IS NOT DISTINCT FROM v.indicator_code
-WHERE v.value IS NOT NULL AND (r.old_values > 1 OR r.new_values > 1)
-GROUP BY 1, 2, 3, 4""",
-    ),
+    "revision_values": _with(_UP_TO_REVISED, "SELECT * FROM listed"),
     "order_revisions": """
 SELECT o_orderkey, o_totalprice + 1 AS old_value, o_totalprice AS new_value,
-  CAST(1 AS BIGINT) AS old_values, CAST(1 AS BIGINT) AS new_values, CAST(1 AS BIGINT) AS pair_count
+  CAST(1 AS BIGINT) AS old_rows, CAST(1 AS BIGINT) AS new_rows
 FROM orders WHERE o_orderkey % 19 = 0 AND o_orderdate < TIMESTAMP '2001-01-01'""",
     # Dimensions and fact
     "regions_first_seen": _with(_UP_TO_STAR, "SELECT * FROM regions"),

@@ -26,7 +26,7 @@ from tidemark.operators import (
 )
 from tidemark.operators.quality import AcceptedRange, Relationship
 from tidemark.plans import reports
-from tidemark.plans.tidy import KEYS, REGION_ATTRS, clean_outputs, melt_order
+from tidemark.plans.tidy import KEYS, REGION_ATTRS, melt_order, snapshot_revisions
 from tidemark.sources import snapshots
 from tidemark.sources.files import read_wide
 from tidemark.sources.schemas import STAGING
@@ -34,7 +34,7 @@ from tidemark.sources.tables import register_views
 from tidemark.streaming.ingest import land_folder, stream_snapshots
 from workload import inputs
 from workload.inputs import AS_OF_YEAR, CURRENT, PRIOR, SETTINGS
-from workload.workspace import RUN_TS, Workspace, scratch, workspace
+from workload.workspace import Workspace, scratch, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -239,12 +239,11 @@ def validate_clean(w: Workspace) -> DataFrame:
 
 @on_workspace
 def quality_flags(w: Workspace) -> DataFrame:
-    long = w.long()
-    revised = revisions.detect_revisions(long, w.long(PRIOR), KEYS)
-    flagged = clean_outputs(long, revised, SETTINGS, AS_OF_YEAR, F.lit(RUN_TS), ["k"])
-    return flagged.indicators.select(
-        "k", "y", "indicator_code", "is_missing", "is_revised", "is_estimated"
-    )
+    """Flags of the long rows; the published rows take theirs from the wide ones."""
+    found = revisions.detect_revisions(w.long(), w.long(PRIOR), KEYS)
+    valid = validate.with_missing_flag(validate.valid_rows(w.long(), rules()))
+    flagged = validate.with_estimated_flag(revisions.flag_revised(valid, found, KEYS))
+    return flagged.select("k", "y", "indicator_code", "is_missing", "is_revised", "is_estimated")
 
 
 @on_tables
@@ -258,19 +257,20 @@ def coerce_bool(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Revisions
 
 
-def _with_bigint_pairs(found: DataFrame) -> DataFrame:
-    return found.withColumn("pair_count", F.col("pair_count").cast("bigint"))
+def _found(w: Workspace) -> DataFrame:
+    return snapshot_revisions(w.typed(), w.typed(PRIOR), SETTINGS, PRIOR)
 
 
 @on_workspace
 def detect_revisions(w: Workspace) -> DataFrame:
-    found = revisions.detect_revisions(w.long(), w.long(PRIOR), KEYS, prior_date=PRIOR)
-    return _with_bigint_pairs(found)
+    return _found(w).select(
+        *KEYS, "old_value", "new_value", "old_rows", "new_rows", "prior_snapshot"
+    )
 
 
 @on_workspace
 def revision_values(w: Workspace) -> DataFrame:
-    return revisions.revision_values(w.long(), w.long(PRIOR), KEYS)
+    return revisions.revision_values(w.long(), w.long(PRIOR), _found(w), KEYS)
 
 
 @on_tables
@@ -281,8 +281,8 @@ def order_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     off = F.when(F.col("o_orderkey") % 19 == 0, 1.0).otherwise(0.0)
     earlier = orders.where(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz"))
     earlier = earlier.withColumn("o_totalprice", F.col("o_totalprice") + off)
-    found = revisions.detect_revisions(orders, earlier, ["o_orderkey"], "o_totalprice")
-    return _with_bigint_pairs(found).drop("prior_snapshot")
+    found = revisions.detect_revisions(orders, earlier, ["o_orderkey"], ["o_totalprice"])
+    return found.drop("prior_snapshot")
 
 
 # Dimensions and fact
@@ -428,6 +428,7 @@ def quality_stats(w: Workspace) -> DataFrame:
         w.table("stg_regions"),
         w.table("stg_rejected_rows"),
         w.table("stg_data_revisions"),
+        w.table("stg_revision_values"),
         MAIN,
         SETTINGS.threshold,
     )

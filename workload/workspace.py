@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.warehouse import Warehouse
 from tidemark.plans.refresh import raw_root, run
-from tidemark.plans.tidy import tidy_long
+from tidemark.plans.tidy import long_rows, typed_wide
 from tidemark.session import shared_dir
 from tidemark.sources.snapshots import land_snapshot, read_snapshot
 from tidemark.sources.tables import current_paths, read_paths
@@ -37,8 +37,11 @@ class Workspace:
         """A landed snapshot, under the column names the library works with."""
         return read_snapshot(self.spark, raw_root(self.root), day)
 
+    def typed(self, day: str = CURRENT) -> DataFrame:
+        return typed_wide(self.wide(day), SETTINGS)
+
     def long(self, day: str = CURRENT, carry: tuple[str, ...] = ("k", "y")) -> DataFrame:
-        return tidy_long(self.wide(day), SETTINGS, carry=list(carry))
+        return long_rows(self.typed(day), SETTINGS, carry)
 
     @cached_property
     def paths(self) -> dict[str, list[str]]:
