@@ -25,7 +25,7 @@ from tidemark.operators.validate import (
     with_missing_flag,
     with_reject_reason,
 )
-from tidemark.plans.tidy import melt_order, tidy_long
+from tidemark.plans.tidy import seen_regions, tidy_long, typed_wide
 
 SETTINGS = Settings()
 RULES = lambda: row_rules(SETTINGS, 2026)
@@ -130,13 +130,23 @@ def test_regions_are_seen_in_the_order_of_a_melt(spark):
         [(0, "Old", "AAA", "2020", "999", "5"), (1, "New", "AAA", "2020", "7", "7")],
         "source_row bigint, region_name string, iso_code string, year string, a string, b string",
     )
-    long = tidy_long(wide, settings, carry=["source_row"])
-    valid, _ = split_valid(long, row_rules(settings, 2026))
-    dim = first_seen_dimension(valid, "region_key", ["region_name"], melt_order(wide, settings))
+    dim = seen_regions(typed_wide(wide, settings), settings, 2026).select("region_key", "region_name")
     # Column a comes first in the file; its value in row 0 is rejected, so row 1 is seen first.
     assert rows(dim) == [("AAA", "New")]
 
 
+def test_a_region_is_seen_only_in_valid_rows(spark):
+    settings = Settings(indicators=(Indicator("a", "a", "a", "x", "%"), Indicator("b", "b", "b", "x", "%")))
+    wide = spark.createDataFrame(
+        [(0, "X", "XXX", "1900", "1", "1"), (1, "Y", "YYY", "2020", "101", "-1"),
+         (2, "Z", "ZZZ", "2020", None, "-1"), (3, " ", "WWW", "2020", "1", "1")],
+        "source_row bigint, region_name string, iso_code string, year string, a string, b string",
+    )
+    assert rows(seen_regions(typed_wide(wide, settings), settings, 2026), "region_key") == [("ZZZ",)]
+    valid, _ = split_valid(tidy_long(wide, settings, carry=["source_row"]), row_rules(settings, 2026))
+    assert {r[0] for r in rows(valid, "region_key")} == {"ZZZ"}
+
+
 # Validation
 
 

@@ -10,8 +10,10 @@ from helpers import rows
 from tidemark.operators.metrics import count_below, load_audit, one_row, view_status
 from tidemark.operators.quality import (
     AcceptedRange,
+    MaxLength,
     NotNull,
     Relationship,
+    RowCount,
     Unique,
     duplicate_keys,
     orphans,
@@ -154,12 +156,15 @@ def test_each_check_counts_its_failures(spark):
     checks = [
         NotNull("t", "k"), NotNull("t", "p"), NotNull("p", "code"), Unique("t", ["k"]),
         Unique("t", ["k", "p"]), Relationship("t", "p", "p", "code"), AcceptedRange("t", "v", 0, 100),
+        MaxLength("t", "p", 1), MaxLength("t", "p", 0), RowCount("t", 5), RowCount("p", 3),
     ]
     assert rows(run_checks(tables, checks)) == sorted(
         [
             ("not_null", "t", "k", 2), ("not_null", "t", "p", 1), ("not_null", "p", "code", 1),
             ("unique", "t", "k", 1), ("unique_combination", "t", "k,p", 2),
             ("relationships", "t", "p", 2), ("accepted_range", "t", "v", 2),
+            ("max_length", "t", "p", 0), ("max_length", "t", "p", 4), ("row_count", "t", "*", 0),
+            ("row_count", "p", "*", 1),
         ],
         key=repr,
     )

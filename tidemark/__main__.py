@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Settings
 from tidemark.operators.metrics import quality_stats, view_status
-from tidemark.operators.quality import run_checks
+from tidemark.operators.quality import LENGTH_CHECKS, STANDARD_CHECKS, run_checks
 from tidemark.plans import reports
 from tidemark.plans.refresh import raw_root, read_warehouse, run
 from tidemark.session import build_session
@@ -71,7 +71,8 @@ def refresh(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> int:
-    results = run_checks(read_published(spark, args.root)).collect()
+    checks = (*STANDARD_CHECKS, *LENGTH_CHECKS)
+    results = run_checks(read_published(spark, args.root), checks).collect()
     for r in results:
         state = "pass" if r.failures == 0 else f"FAIL {r.failures}"
         print(f"{r.check_name} {r.table_name}.{r.column_name}: {state}")

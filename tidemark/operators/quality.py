@@ -24,6 +24,21 @@ class AcceptedRange(NamedTuple):
     high: float
 
 
+class MaxLength(NamedTuple):
+    """At most so many characters; null passes."""
+
+    table: str
+    column: str
+    limit: int
+
+
+class RowCount(NamedTuple):
+    """Exactly so many rows; the difference counts as failures."""
+
+    table: str
+    expected: int
+
+
 class Unique(NamedTuple):
     """No combination of the columns occurs twice. A single null column is not compared."""
 
@@ -40,7 +55,8 @@ class Relationship(NamedTuple):
     to_column: str
 
 
-Check = NotNull | AcceptedRange | Unique | Relationship
+RowCheck = NotNull | AcceptedRange | MaxLength | RowCount
+Check = RowCheck | Unique | Relationship
 
 # The tests of the warehouse, the staging tables and their keys.
 STANDARD_CHECKS: tuple[Check, ...] = (
@@ -67,6 +83,23 @@ STANDARD_CHECKS: tuple[Check, ...] = (
 )
 
 
+# The longest text each staging column may hold.
+LENGTH_CHECKS: tuple[Check, ...] = (
+    MaxLength("stg_health_indicators", "region_key", 50),
+    MaxLength("stg_health_indicators", "region_name", 200),
+    MaxLength("stg_health_indicators", "iso_code", 20),
+    MaxLength("stg_health_indicators", "region_type", 20),
+    MaxLength("stg_health_indicators", "indicator_code", 50),
+    MaxLength("stg_health_indicators", "indicator_name", 200),
+    MaxLength("stg_health_indicators", "indicator_category", 50),
+    MaxLength("stg_health_indicators", "indicator_unit", 20),
+    MaxLength("stg_rejected_rows", "region_name", 200),
+    MaxLength("stg_rejected_rows", "iso_code", 20),
+    MaxLength("stg_rejected_rows", "reject_reason", 200),
+    MaxLength("stg_data_revisions", "region_key", 50),
+)
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each key that occurs more than once, with its number of rows."""
     return (
@@ -98,23 +131,31 @@ def _result(check: str, table: str, column: str, failures: Column) -> Column:
     )
 
 
-def _row_failures(check: NotNull | AcceptedRange) -> Column:
-    col = F.col(check.column)
-    if isinstance(check, NotNull):
-        return F.count_if(col.isNull())
-    return F.count_if((col < check.low) | (col > check.high))
+def _row_failures(check: RowCheck) -> Column:
+    match check:
+        case RowCount(_, expected):
+            return F.abs(F.count(F.lit(1)) - F.lit(expected))
+        case NotNull(_, column):
+            return F.count_if(F.col(column).isNull())
+        case AcceptedRange(_, column, low, high):
+            return F.count_if((F.col(column) < low) | (F.col(column) > high))
+        case MaxLength(_, column, limit):
+            return F.count_if(F.length(column) > limit)
+
+
+_ROW_CHECK_NAMES = {
+    NotNull: "not_null",
+    AcceptedRange: "accepted_range",
+    MaxLength: "max_length",
+    RowCount: "row_count",
+}
 
 
-def _row_checks(df: DataFrame, checks: Sequence[NotNull | AcceptedRange]) -> DataFrame:
+def _row_checks(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     """All checks of single rows of a table, in one pass over it."""
     counts = df.agg(*[_row_failures(c).alias(f"c{i}") for i, c in enumerate(checks)])
     results = [
-        _result(
-            "not_null" if isinstance(c, NotNull) else "accepted_range",
-            c.table,
-            c.column,
-            F.col(f"c{i}"),
-        )
+        _result(_ROW_CHECK_NAMES[type(c)], c.table, getattr(c, "column", "*"), F.col(f"c{i}"))
         for i, c in enumerate(checks)
     ]
     return counts.select(F.inline(F.array(*results)))
@@ -144,7 +185,7 @@ def run_checks(
     by_table: dict[str, list] = {}
     results: list[DataFrame] = []
     for check in checks:
-        if isinstance(check, (NotNull, AcceptedRange)):
+        if isinstance(check, RowCheck):
             by_table.setdefault(check.table, []).append(check)
         elif isinstance(check, Unique):
             results.append(_unique_check(tables[check.table], check))

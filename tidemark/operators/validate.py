@@ -25,17 +25,27 @@ class Rule(NamedTuple):
     violated: Column
 
 
-def row_rules(settings: Settings, as_of_year: int) -> list[Rule]:
-    year, name, value = F.col("year"), F.col("region_name"), F.col("value")
+def region_year_rules(settings: Settings, as_of_year: int) -> list[Rule]:
+    """The rules that look at region and year only; wide rows have these too."""
+    year, name = F.col("year"), F.col("region_name")
     in_years = year.between(settings.min_year, settings.max_year(as_of_year))
-    in_range = value.between(settings.value_min, settings.value_max)
     return [
         Rule("invalid_year", year.isNull() | ~in_years),
         Rule("missing_region", is_blank(name)),
-        Rule("value_out_of_range", value.isNotNull() & ~in_range),
     ]
 
 
+def value_rule(settings: Settings, value: Column) -> Rule:
+    """A missing value breaks no rule."""
+    in_range = value.between(settings.value_min, settings.value_max)
+    return Rule("value_out_of_range", value.isNotNull() & ~in_range)
+
+
+def row_rules(settings: Settings, as_of_year: int) -> list[Rule]:
+    """The rules of long rows, in the order their reasons are listed."""
+    return [*region_year_rules(settings, as_of_year), value_rule(settings, F.col("value"))]
+
+
 def with_reject_reason(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add the reasons that apply, joined by ``|`` in the order of ``rules``; '' for none."""
     return df.withColumn(

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import Settings
 from tidemark.operators.metrics import load_audit
-from tidemark.operators.regions import first_seen_dimension
 from tidemark.operators.revisions import revision_values
-from tidemark.operators.validate import row_rules, valid_rows
 from tidemark.operators.warehouse import (
     Warehouse,
     build_dim_date,
@@ -23,10 +20,10 @@ from tidemark.operators.warehouse import (
 )
 from tidemark.plans.tidy import (
     KEYS,
-    REGION_ATTRS,
-    clean_outputs,
+    flagged_rows,
     long_rows,
-    melt_order,
+    quarantined_rows,
+    seen_regions,
     snapshot_revisions,
     typed_wide,
 )
@@ -45,8 +42,6 @@ from tidemark.sources.tables import (
     write_tables,
 )
 
-REVISION_TABLES = ("stg_data_revisions", "stg_revision_values")
-Writer = Callable[..., dict[str, DataFrame]]
 PRIMARY_KEYS = {"stg_health_indicators": KEYS, "stg_regions": ("region_key",)}
 
 
@@ -98,30 +93,41 @@ def run(
     typed = typed_wide(wide, settings, aliases)
     prior = prior_snapshot_date(landed_dates(spark, root), snapshot_date).first()[0]
 
-    found = None
     if prior is not None:
         before = typed_wide(read_snapshot(spark, raw_root(root), prior), settings, aliases)
-        found = write_revisions(write, typed, before, settings, prior, stamp)
+        revisions = snapshot_revisions(typed, before, settings, prior)
+        revisions = revisions.withColumn("detected_at", stamp)
     else:
-        empty = {n: spark.createDataFrame([], STAGING[n]) for n in REVISION_TABLES}
-        write(**empty)
-
-    outputs = clean_outputs(typed, found, settings, as_of_year, stamp, [row_col])
-    staged = write(
-        stg_health_indicators=outputs.indicators,
-        stg_rejected_rows=outputs.rejected.withColumnRenamed(row_col, "source_row"),
-        stg_regions=stage_regions(typed, settings, as_of_year, row_col),
+        before = revisions = None
+    rejected = quarantined_rows(typed, settings, as_of_year, stamp, row_col)
+    first = write(
+        stg_data_revisions=_or_empty(spark, revisions, "stg_data_revisions"),
+        stg_rejected_rows=rejected,
+        stg_regions=_by_name(seen_regions(typed, settings, as_of_year, row_col)),
     )
+
+    # From here on the revisions are read as written: their size is known, and where no key has
+    # several values the snapshots are not read for the list of them.
+    found = first["stg_data_revisions"] if prior is not None else None
+    values = None
+    if prior is not None:
+        sides = (long_rows(side, settings) for side in (typed, before))
+        values = revision_values(*sides, found, KEYS)
+    second = write(
+        stg_health_indicators=flagged_rows(typed, found, settings, as_of_year, stamp),
+        stg_revision_values=_or_empty(spark, values, "stg_revision_values"),
+    )
+    staged = {**first, **second}
     if mode == "append":
         staged = append_to_current(spark, root, staged)
 
     indicators = staged["stg_health_indicators"]
-    # The fact table is joined to the dimensions as written: their sizes are known by then.
     dims = write(
         dim_region=build_dim_region(staged["stg_regions"]),
         dim_date=build_dim_date(indicators),
         dim_indicator=build_dim_indicator(indicators),
     )
+    # Joined to the dimensions as written, whose sizes are known as well.
     write(fact_health_indicator=build_fact(indicators, **dims))
 
     publish(spark, root, run_id, run_ts, mode, list(counts))
@@ -129,31 +135,11 @@ def run(
     return RunResult(run_id, str(snapshot_date), None if prior is None else str(prior), counts)
 
 
-def write_revisions(
-    write: Writer,
-    current: DataFrame,
-    prior: DataFrame,
-    settings: Settings,
-    prior_date: date,
-    stamp: Column,
-) -> DataFrame:
-    """Write the revisions, then the values of those that have several. The second table starts
-    from the first one as written: where that has no such row, the snapshots are not read."""
-    revisions = snapshot_revisions(current, prior, settings, prior_date)
-    revisions = revisions.withColumn("detected_at", stamp)
-    found = write(stg_data_revisions=revisions)["stg_data_revisions"]
-    sides = (long_rows(side, settings) for side in (current, prior))
-    write(stg_revision_values=revision_values(*sides, found, KEYS))
-    return found
-
-
-def stage_regions(
-    typed: DataFrame, settings: Settings, as_of_year: int, row_col: str
-) -> DataFrame:
-    """One row per region among the valid rows, sorted by name."""
-    valid = valid_rows(long_rows(typed, settings, [row_col]), row_rules(settings, as_of_year))
-    order = melt_order(typed, settings, row_col)
-    regions = first_seen_dimension(valid, "region_key", REGION_ATTRS, order)
+def _or_empty(spark: SparkSession, df: DataFrame | None, name: str) -> DataFrame:
+    return spark.createDataFrame([], STAGING[name]) if df is None else df
+
+
+def _by_name(regions: DataFrame) -> DataFrame:
     return regions.orderBy(F.asc_nulls_last("region_name"), "region_key")
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from datetime import date
 from decimal import Decimal
 
@@ -12,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Settings
 from tidemark.functions.numbers import to_year
-from tidemark.operators.regions import standardise_regions
+from tidemark.functions.text import quoted
+from tidemark.operators.regions import first_seen_dimension, standardise_regions
 from tidemark.operators.reshape import (
     apply_indicator_metadata,
     coerce_numeric,
@@ -21,10 +21,11 @@ from tidemark.operators.reshape import (
 )
 from tidemark.operators.revisions import detect_revisions, revised_measures
 from tidemark.operators.validate import (
-    REASON,
+    region_year_rules,
     rejected_rows,
     row_rules,
     valid_rows,
+    value_rule,
     with_estimated_flag,
     with_missing_flag,
 )
@@ -83,40 +84,53 @@ def snapshot_revisions(
     return apply_indicator_metadata(found, settings.indicators)
 
 
-def melt_order(wide: DataFrame, settings: Settings, row_col: str = "source_row") -> Column:
-    """A number that sorts long rows as a melt lists them: indicator by indicator in the order of
-    the file, within each by row. A decimal, since row numbers may use all of a bigint."""
-    names = [F.lit(c) for c in present_indicators(wide, settings.indicators)] or [F.lit("")]
-    place = F.array_position(F.array(*names), F.col("indicator_source_col"))
+def seen_regions(
+    typed: DataFrame, settings: Settings, as_of_year: int, row_col: str = "source_row"
+) -> DataFrame:
+    """One row per region among the valid long rows, with the attributes of its first one.
+
+    Long rows are in the order a melt lists them: indicator by indicator in the order of the file,
+    within each by row. A wide row is first seen at its first valid indicator, so there is no need
+    to unpivot. The order is one number, a decimal since row numbers may use all of a bigint."""
+    valid = valid_rows(typed, region_year_rules(settings, as_of_year))
+    places = [
+        F.when(~value_rule(settings, quoted(c)).violated, F.lit(place))
+        for place, c in enumerate(present_indicators(typed, settings.indicators))
+    ]
+    seen = valid.withColumn("_place", F.coalesce(*places, F.lit(None).cast("int")))
     step = F.lit(Decimal(10) ** 19)
-    return (place.cast("decimal(9,0)") * step + F.col(row_col)).cast("decimal(38,0)")
-
-
-@dataclass(frozen=True)
-class CleanOutputs:
-    indicators: DataFrame
-    rejected: DataFrame
+    order = (F.col("_place").cast("decimal(9,0)") * step + F.col(row_col)).cast("decimal(38,0)")
+    return first_seen_dimension(
+        seen.where(F.col("_place").isNotNull()), "region_key", REGION_ATTRS, order
+    )
 
 
-def clean_outputs(
+def flagged_rows(
     typed: DataFrame,
     revisions: DataFrame | None,
     settings: Settings,
     as_of_year: int,
     run_ts: Column,
-    carry: Sequence[str] = ("source_row",),
-) -> CleanOutputs:
-    """Flagged valid rows and quarantined rows of typed wide rows. ``revisions`` is None without
-    a prior snapshot."""
-    rules = row_rules(settings, as_of_year)
+) -> DataFrame:
+    """The valid long rows of typed wide rows with their flags. ``revisions`` is None without a
+    prior snapshot."""
     marked = revised_measures(typed, revisions, WIDE_KEYS, "indicator_code")
-    flagged = long_rows(marked, settings, [*carry, "revised_measures"]).withColumn(
+    long = long_rows(marked, settings, ["revised_measures"]).withColumn(
         "is_revised", F.array_contains("revised_measures", F.col("indicator_code"))
     )
-    valid = with_estimated_flag(with_missing_flag(valid_rows(flagged, rules)))
-    columns = [*carry, "region_name", "iso_code", "year", "indicator_code", "value", REASON]
-    rejected = rejected_rows(long_rows(typed, settings, carry), rules, columns)
-    return CleanOutputs(
-        valid.drop("revised_measures").withColumn("loaded_at", run_ts),
-        rejected.withColumn("loaded_at", run_ts),
-    )
+    valid = with_missing_flag(valid_rows(long, row_rules(settings, as_of_year)))
+    return with_estimated_flag(valid.drop("revised_measures")).withColumn("loaded_at", run_ts)
+
+
+def quarantined_rows(
+    typed: DataFrame,
+    settings: Settings,
+    as_of_year: int,
+    run_ts: Column,
+    row_col: str = "source_row",
+) -> DataFrame:
+    """The rejected long rows of typed wide rows. A reject is found again by its wide row and
+    indicator."""
+    long = long_rows(typed, settings, [row_col]).withColumnRenamed(row_col, "source_row")
+    rejected = rejected_rows(long, row_rules(settings, as_of_year))
+    return rejected.withColumn("loaded_at", run_ts)

@@ -26,7 +26,7 @@ from tidemark.operators import (
 )
 from tidemark.operators.quality import AcceptedRange, Relationship
 from tidemark.plans import reports
-from tidemark.plans.tidy import KEYS, REGION_ATTRS, melt_order, snapshot_revisions
+from tidemark.plans.tidy import KEYS, REGION_ATTRS, seen_regions, snapshot_revisions
 from tidemark.sources import snapshots
 from tidemark.sources.files import read_wide
 from tidemark.sources.schemas import STAGING
@@ -290,10 +290,7 @@ def order_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @on_workspace
 def regions_first_seen(w: Workspace) -> DataFrame:
-    long = w.long(carry=("source_row",))
-    valid = validate.valid_rows(long, rules())
-    order = melt_order(w.wide(), SETTINGS)
-    seen = regions.first_seen_dimension(valid, "region_key", REGION_ATTRS, order)
+    seen = seen_regions(w.typed(), SETTINGS, AS_OF_YEAR)
     return seen.orderBy(F.asc_nulls_last("region_name"), "region_key")
 
 
