@@ -116,7 +116,8 @@ def test_alias_fills_only_missing_codes_and_the_last_row_counts(spark):
 
 def test_first_seen_takes_the_attributes_of_the_first_row(spark):
     df = spark.createDataFrame(
-        [("K", "late", 9), ("K", "early", 2), ("K", "late", 1), ("L", None, 5), ("L", "named", 6)],
+        [("K", "late", 9), ("K", "early", 2), ("K", "late", 1), ("L", None, 5), ("L", "named", 6),
+         ("M", "unseen", None)],
         "key string, name string, at int",
     )
     got = rows(first_seen_dimension(df, "key", ["name"], F.col("at")))

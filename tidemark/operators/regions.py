@@ -58,14 +58,25 @@ def standardise_regions(
 
 
 def first_seen_dimension(
-    df: DataFrame, key: str, attrs: Sequence[str], order: Column
+    df: DataFrame, key: str, attrs: Sequence[str], *order: Column
 ) -> DataFrame:
-    """One row per key with the attributes of its first row by the number ``order``.
+    """One row per key with the attributes of its first row by the whole number ``order``.
 
-    The rows shrink first to the distinct spellings of each key: that step keeps only a number in
+    Rows whose order is null are not seen. With several orders, each stands for one of several
+    lists put end to end, in which the same row may appear: a row in the first list comes before
+    all that are not.
+
+    The rows shrink first to the distinct spellings of each key: that step keeps only numbers in
     its buffer, so it hashes, and a key holding a third of all rows collapses before the shuffle.
     Choosing among the few spellings left then needs a struct, for which Spark has to sort. Rows
-    that share an ``order`` fall back on the attributes themselves."""
-    spellings = df.groupBy(key, *attrs).agg(F.min(order).alias("_seen"))
-    first = F.min_by(F.struct(*attrs), F.struct("_seen", *attrs))
+    that share an order fall back on the attributes themselves."""
+    places = [f"_seen{i}" for i in range(len(order))]
+    spellings = (
+        df.groupBy(key, *attrs)
+        .agg(*[F.min(o.cast("bigint")).alias(p) for o, p in zip(order, places)])
+        .where(F.coalesce(*places).isNotNull())
+    )
+    never = F.lit(2**63 - 1)
+    position = F.struct(*[F.coalesce(p, never).alias(p) for p in places], *attrs)
+    first = F.min_by(F.struct(*attrs), position)
     return spellings.groupBy(key).agg(first.alias("_first")).select(key, "_first.*")

@@ -53,14 +53,15 @@ def with_reject_reason(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def _violated(rules: Sequence[Rule]) -> Column:
+def violates_any(rules: Sequence[Rule]) -> Column:
+    """Never null: each rule says for itself what a null means."""
     return reduce(Column.__or__, [r.violated for r in rules])
 
 
 def valid_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The rows no rule objects to. A plain filter, of which the conditions on region and year
     move below the unpivot."""
-    return df.where(~_violated(rules))
+    return df.where(~violates_any(rules))
 
 
 def rejected_rows(
@@ -68,7 +69,7 @@ def rejected_rows(
 ) -> DataFrame:
     """The rows to quarantine, reduced to what identifies and explains them. Reasons are only
     spelled out for these."""
-    return with_reject_reason(df.where(_violated(rules)), rules).select(*columns)
+    return with_reject_reason(df.where(violates_any(rules)), rules).select(*columns)
 
 
 def split_valid(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +25,7 @@ from tidemark.operators.validate import (
     row_rules,
     valid_rows,
     value_rule,
+    violates_any,
     with_estimated_flag,
     with_missing_flag,
 )
@@ -90,19 +90,15 @@ def seen_regions(
     """One row per region among the valid long rows, with the attributes of its first one.
 
     Long rows are in the order a melt lists them: indicator by indicator in the order of the file,
-    within each by row. A wide row is first seen at its first valid indicator, so there is no need
-    to unpivot. The order is one number, a decimal since row numbers may use all of a bigint."""
-    valid = valid_rows(typed, region_year_rules(settings, as_of_year))
-    places = [
-        F.when(~value_rule(settings, quoted(c)).violated, F.lit(place))
-        for place, c in enumerate(present_indicators(typed, settings.indicators))
+    within each by row. So each indicator is a list of wide rows, and there is no need to unpivot.
+    The rules sit inside the aggregates: as a filter they would be moved below the parsing of the
+    figures and have it done twice."""
+    ok = typed.withColumn("_ok", ~violates_any(region_year_rules(settings, as_of_year)))
+    lists = [
+        F.when(F.col("_ok") & ~value_rule(settings, quoted(c)).violated, F.col(row_col))
+        for c in present_indicators(typed, settings.indicators)
     ]
-    seen = valid.withColumn("_place", F.coalesce(*places, F.lit(None).cast("int")))
-    step = F.lit(Decimal(10) ** 19)
-    order = (F.col("_place").cast("decimal(9,0)") * step + F.col(row_col)).cast("decimal(38,0)")
-    return first_seen_dimension(
-        seen.where(F.col("_place").isNotNull()), "region_key", REGION_ATTRS, order
-    )
+    return first_seen_dimension(ok, "region_key", REGION_ATTRS, *lists)
 
 
 def flagged_rows(
