@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import Settings
+from tidemark.functions.coverage import AT_TARGET, LOW, MODERATE
 from tidemark.operators.metrics import quality_stats, view_status
 from tidemark.operators.quality import LENGTH_CHECKS, STANDARD_CHECKS, run_checks
 from tidemark.plans import reports
@@ -87,8 +88,12 @@ def verify(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def show(spark: SparkSession, args: argparse.Namespace) -> int:
-    report = _reports(spark, args.root)[args.report]
-    reports.ordered(args.report, report).show(args.rows, False)
+    report = reports.ordered(args.report, _reports(spark, args.root)[args.report])
+    if args.regions:
+        report = reports.trends_for(report, args.regions)
+    if args.report == "comparison":
+        report = reports.comparison_by_band(report, args.band)
+    report.show(args.rows, False)
     return 0
 
 
@@ -117,6 +122,8 @@ def parser() -> argparse.ArgumentParser:
     sub = step(show, "print a report")
     sub.add_argument("report", choices=["trends", "comparison", "below_threshold"])
     sub.add_argument("--rows", type=int, default=20)
+    sub.add_argument("--regions", nargs="+", help="names of regions; all if left out")
+    sub.add_argument("--band", choices=[AT_TARGET, MODERATE, LOW], help="for comparison")
     return top
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import Settings
@@ -27,7 +27,8 @@ from tidemark.plans.tidy import (
     snapshot_revisions,
     typed_wide,
 )
-from tidemark.sources.files import dated_folders
+from tidemark.session import sized_shuffles
+from tidemark.sources.files import dated_folders, folder_bytes
 from tidemark.sources.schemas import QUALITY_LOG, STAGING
 from tidemark.sources.snapshots import prior_snapshot_date, read_snapshot
 from tidemark.sources.tables import (
@@ -81,37 +82,66 @@ def run(
     cheap and narrow, while the long form is four times the rows to write and read back."""
     check_mode(mode)
     run_id = run_ts.strftime("%Y%m%dT%H%M%S.%f")
-    as_of_year = run_ts.year if as_of_year is None else as_of_year
-    stamp = F.lit(run_ts)
+    prior = prior_snapshot_date(landed_dates(spark, root), snapshot_date).first()[0]
+    snapshots = [str(d) for d in (snapshot_date, prior) if d is not None]
+    volume = sum(folder_bytes(spark, f"{raw_root(root)}/snapshot_date={d}") for d in snapshots)
+    with sized_shuffles(spark, volume):
+        counts = _write_all(
+            spark,
+            root,
+            run_id,
+            [read_snapshot(spark, raw_root(root), d) for d in snapshots],
+            settings,
+            prior,
+            F.lit(run_ts),
+            aliases,
+            mode,
+            run_ts.year if as_of_year is None else as_of_year,
+            row_col,
+        )
+    publish(spark, root, run_id, run_ts, mode, list(counts))
+    log_loads(spark, root, counts, run_ts)
+    return RunResult(run_id, str(snapshot_date), None if prior is None else str(prior), counts)
+
+
+def _write_all(
+    spark: SparkSession,
+    root: str,
+    run_id: str,
+    snapshots: list[DataFrame],
+    settings: Settings,
+    prior_date: date | None,
+    stamp: Column,
+    aliases: DataFrame | None,
+    mode: str,
+    as_of_year: int,
+    row_col: str,
+) -> dict[str, int]:
+    """Write every table of a run from the snapshot and, if there is one, the one before it.
+    Returns the numbers of rows."""
     counts: dict[str, int] = {}
 
     def write(**frames: DataFrame) -> dict[str, DataFrame]:
         counts.update(write_tables(frames, root, run_id))
         return {n: read_paths(spark, n, [table_path(root, run_id, n)]) for n in frames}
 
-    wide = read_snapshot(spark, raw_root(root), snapshot_date)
-    typed = typed_wide(wide, settings, aliases)
-    prior = prior_snapshot_date(landed_dates(spark, root), snapshot_date).first()[0]
-
-    if prior is not None:
-        before = typed_wide(read_snapshot(spark, raw_root(root), prior), settings, aliases)
-        revisions = snapshot_revisions(typed, before, settings, prior)
+    typed, *before = [typed_wide(s, settings, aliases) for s in snapshots]
+    revisions = None
+    if before:
+        revisions = snapshot_revisions(typed, *before, settings, prior_date)
         revisions = revisions.withColumn("detected_at", stamp)
-    else:
-        before = revisions = None
-    rejected = quarantined_rows(typed, settings, as_of_year, stamp, row_col)
     first = write(
         stg_data_revisions=_or_empty(spark, revisions, "stg_data_revisions"),
-        stg_rejected_rows=rejected,
+        stg_rejected_rows=quarantined_rows(typed, settings, as_of_year, stamp, row_col),
         stg_regions=_by_name(seen_regions(typed, settings, as_of_year, row_col)),
     )
 
     # From here on the revisions are read as written: their size is known, and where no key has
     # several values the snapshots are not read for the list of them.
-    found = first["stg_data_revisions"] if prior is not None else None
-    values = None
-    if prior is not None:
-        sides = (long_rows(side, settings) for side in (typed, before))
+    found = values = None
+    if before:
+        found = first["stg_data_revisions"]
+        sides = [long_rows(side, settings) for side in (typed, *before)]
         values = revision_values(*sides, found, KEYS)
     second = write(
         stg_health_indicators=flagged_rows(typed, found, settings, as_of_year, stamp),
@@ -129,10 +159,7 @@ def run(
     )
     # Joined to the dimensions as written, whose sizes are known as well.
     write(fact_health_indicator=build_fact(indicators, **dims))
-
-    publish(spark, root, run_id, run_ts, mode, list(counts))
-    log_loads(spark, root, counts, run_ts)
-    return RunResult(run_id, str(snapshot_date), None if prior is None else str(prior), counts)
+    return counts
 
 
 def _or_empty(spark: SparkSession, df: DataFrame | None, name: str) -> DataFrame:

@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from math import ceil
 
 from pyspark.sql import SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
+# A shuffle partition of this size is sorted or hashed in the memory of one task. More partitions
+# than the limit cost the driver more, in map statuses, than they save the tasks.
+PARTITION_BYTES = 256 * 2**20
+MOST_PARTITIONS = 20_000
+
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on: it coalesces, splits skewed join and write
@@ -29,6 +37,24 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def shuffle_partitions(configured: int, input_bytes: int) -> int:
+    """Partitions for shuffling about ``input_bytes``; never fewer than configured. Adaptive
+    execution merges what turns out too small, but cannot divide an aggregation's partitions."""
+    return max(configured, min(ceil(input_bytes / PARTITION_BYTES), MOST_PARTITIONS))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Within, shuffles are sized for ``input_bytes`` of input."""
+    key = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(key)
+    spark.conf.set(key, str(shuffle_partitions(int(configured), input_bytes)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, configured)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -68,19 +68,30 @@ def read_aliases(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _storage(spark: SparkSession, path: str):
+    """The path and the file system it is on, as Hadoop objects."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def dated_folders(spark: SparkSession, root: str) -> list[str]:
     """The dates of the snapshot folders directly below ``root``, oldest first.
 
     One listing of one folder, whatever the number of files further down. Folders that are not
     named by a date are left out."""
-    top = spark._jvm.org.apache.hadoop.fs.Path(root)
-    store = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    top, store = _storage(spark, root)
     if not store.exists(top):
         return []
     names = [f.getPath().getName() for f in store.listStatus(top) if f.isDirectory()]
     return sorted(d for d in (n.removeprefix("snapshot_date=") for n in names) if _is_date(d))
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files below ``path``."""
+    where, store = _storage(spark, path)
+    return store.getContentSummary(where).getLength()
+
+
 def _is_date(text: str) -> bool:
     try:
         return date.fromisoformat(text).isoformat() == text

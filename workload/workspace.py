@@ -18,6 +18,7 @@ from tidemark.operators.warehouse import Warehouse
 from tidemark.plans.refresh import raw_root, run
 from tidemark.plans.tidy import long_rows, typed_wide
 from tidemark.session import shared_dir
+from tidemark.sources.files import folder_bytes
 from tidemark.sources.snapshots import land_snapshot, read_snapshot
 from tidemark.sources.tables import current_paths, read_paths
 from workload import inputs
@@ -61,12 +62,6 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid4().hex}"
 
 
-def _modified(spark: SparkSession, path: str) -> int:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.getFileStatus(where).getModificationTime()
-
-
 def _land(spark: SparkSession, sf_dir: str, root: str) -> Workspace:
     space = Workspace(spark, root)
     row = (F.col("k") * 10000 + F.col("y")).alias("source_row")
@@ -79,8 +74,8 @@ def _land(spark: SparkSession, sf_dir: str, root: str) -> Workspace:
 
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     """The workspace of ``sf_dir``, built on first use by this application."""
-    stamps = tuple(_modified(spark, f"{sf_dir}/{t}.parquet") for t in ("lineitem", "part"))
-    key = (spark.sparkContext.applicationId, sf_dir, stamps)
+    sizes = tuple(folder_bytes(spark, f"{sf_dir}/{t}.parquet") for t in ("lineitem", "part"))
+    key = (spark.sparkContext.applicationId, sf_dir, sizes)
     with _LOCK:
         if key not in _READY:
             space = _land(spark, sf_dir, scratch(spark, "workspace"))
