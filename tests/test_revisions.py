@@ -118,8 +118,13 @@ def test_flag_never_repeats_a_row(spark):
 
 def test_wide_rows_give_what_long_rows_give(spark):
     schema = "region_key string, year int, x double, y double"
-    now = spark.createDataFrame([("A", 1, 1.0, 2.0), ("A", 1, 1.0, None), ("B", None, 5.0, 6.0), ("C", 1, 1.0, 1.0)], schema)
-    then = spark.createDataFrame([("A", 1, 1.0, 3.0), ("B", None, 4.0, 6.0), ("B", None, 5.0, 6.0), ("C", 1, None, 1.0)], schema)
+    now = spark.createDataFrame(
+        [("A", 1, 1.0, 2.0), ("A", 1, 1.0, None), ("B", None, 5.0, 6.0), ("C", 1, 1.0, 1.0)], schema
+    )
+    then = spark.createDataFrame(
+        [("A", 1, 1.0, 3.0), ("B", None, 4.0, 6.0), ("B", None, 5.0, 6.0), ("C", 1, None, 1.0)],
+        schema,
+    )
 
     def unpivot(df):
         return df.unpivot(["region_key", "year"], ["x", "y"], "indicator_code", "value")

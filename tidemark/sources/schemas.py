@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import quoted

@@ -115,7 +115,7 @@ listed AS (
 _STAGED = """
 staged AS (
   SELECT c.region_key, c.region_name, c.iso_code, c.region_type, c.year, c.indicator_code,
-    CAST(c.value AS DECIMAL(8,2)) AS value, c.value IS NULL AS is_missing,
+    CAST(CAST(c.value AS DECIMAL(8,2)) AS DOUBLE) AS value, c.value IS NULL AS is_missing,
     r.indicator_code IS NOT NULL AS is_revised,
     c.value IS NULL OR r.indicator_code IS NOT NULL AS is_estimated, c.k, c.y, c.place
   FROM checked c LEFT JOIN revised r
@@ -150,7 +150,7 @@ comparison AS (
 ),
 below AS (
   SELECT region_key, region_name, iso_code, year, coverage_pct,
-    CAST(80 - coverage_pct AS DECIMAL(9,2)) AS gap_to_target_pct
+    CAST(80 - coverage_pct AS DOUBLE) AS gap_to_target_pct
   FROM comparison WHERE coverage_pct < 80
 )"""
 

@@ -1,7 +1,7 @@
 """One query per operator, each over whole tables.
 
 Queries of the cleaning operators read the landed snapshots; queries of the warehouse and the
-reports read the published tables. Dates are shown as text and counts as bigint."""
+reports read the published tables."""
 
 from __future__ import annotations
 
@@ -44,15 +44,25 @@ CHOSEN_REGIONS = ("C0000004", "C0000005", "C0000008", "C0000009", "C0000015")
 _QUERIES: dict[str, Query] = {}
 
 
-def on_workspace(fn: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], DataFrame]:
-    """Register a query that reads landed or published tables."""
-    _QUERIES[fn.__name__] = lambda spark, sf_dir: fn(workspace(spark, sf_dir))
-    return fn
+def portable(df: DataFrame) -> DataFrame:
+    """Dates as text and decimals as doubles, which every reader of the results shows alike."""
+    casts = {
+        name: F.col(name).cast("string" if kind == "date" else "double")
+        for name, kind in df.dtypes
+        if kind == "date" or kind.startswith("decimal")
+    }
+    return df.withColumns(casts) if casts else df
 
 
 def on_tables(fn: Query) -> Query:
     """Register a query that reads the test tables themselves."""
-    _QUERIES[fn.__name__] = fn
+    _QUERIES[fn.__name__] = lambda spark, sf_dir: portable(fn(spark, sf_dir))
+    return fn
+
+
+def on_workspace(fn: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], DataFrame]:
+    """Register a query that reads landed or published tables."""
+    _QUERIES[fn.__name__] = lambda spark, sf_dir: portable(fn(workspace(spark, sf_dir)))
     return fn
 
 
@@ -88,7 +98,7 @@ def land_snapshot_idempotent(w: Workspace) -> DataFrame:
     for day in (PRIOR, CURRENT, PRIOR):
         snapshots.land_snapshot(w.wide(day), root, day)
     return w.spark.read.parquet(root).select(
-        F.col("snapshot_date").cast("string"), "k", "y", "region_name", "ind_f"
+        "snapshot_date", "k", "y", "region_name", "ind_f"
     )
 
 
@@ -103,7 +113,7 @@ def stream_ingest(w: Workspace) -> DataFrame:
     )
     stream.awaitTermination()
     return w.spark.read.parquet(raw).select(
-        F.col("snapshot_date").cast("string"),
+        "snapshot_date",
         F.col("k").cast("bigint"),
         F.col("y").cast("int"),
         "region_name",
@@ -120,22 +130,19 @@ def _event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @on_tables
 def source_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = snapshots.source_row_counts(_event_files(spark, sf_dir))
-    return counts.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+    return snapshots.source_row_counts(_event_files(spark, sf_dir))
 
 
 @on_tables
 def pending_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files of a month of which the first half is landed."""
     files = _event_files(spark, sf_dir)
-    pending = snapshots.pending_snapshots(files, files.where(F.dayofmonth("ts") <= 15))
-    return pending.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+    return snapshots.pending_snapshots(files, files.where(F.dayofmonth("ts") <= 15))
 
 
 @on_tables
 def prior_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = snapshots.prior_snapshot_date(_event_files(spark, sf_dir), "2024-01-15")
-    return found.select(F.col("prior_snapshot").cast("string"))
+    return snapshots.prior_snapshot_date(_event_files(spark, sf_dir), "2024-01-15")
 
 
 @on_workspace
@@ -301,8 +308,7 @@ def dim_region(w: Workspace) -> DataFrame:
 
 @on_workspace
 def dim_date(w: Workspace) -> DataFrame:
-    dates = warehouse.build_dim_date(w.table("stg_health_indicators"))
-    return dates.withColumn("date_day", F.col("date_day").cast("string"))
+    return warehouse.build_dim_date(w.table("stg_health_indicators"))
 
 
 @on_workspace
