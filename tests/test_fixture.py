@@ -32,7 +32,7 @@ def root(spark, tmp_path_factory):
     assert result.counts == {
         "stg_data_revisions": 0, "stg_revision_values": 0, "stg_health_indicators": 16, "stg_rejected_rows": 0,
         "stg_regions": 3, "dim_region": 3, "dim_date": 2, "dim_indicator": 4,
-        "fact_health_indicator": 15,
+        "fact_health_indicator": 15, "fact_periods": 8,
     }
     return root
 
@@ -92,7 +92,7 @@ def test_quality(spark, root):
 
 def test_names_analysts_query(spark, root):
     names = publish_catalog(spark, root, SETTINGS)
-    assert len(names) == 12
+    assert len(names) == 13
     sql = lambda text: [tuple(r) for r in spark.sql(text).collect()]
     assert sql("SELECT count(*) FROM reporting.rpt_below_threshold") == [(1,)]
     assert sql("SELECT * FROM reporting.rpt_below_threshold ORDER BY dtp3_coverage_pct") == [

@@ -25,6 +25,7 @@ from tidemark.operators.warehouse import (
     build_dim_indicator,
     build_dim_region,
     build_fact,
+    build_periods,
     star,
 )
 from tidemark.plans import reports
@@ -93,6 +94,7 @@ def test_latest_year_comparison_and_below(spark):
 def test_latest_year_may_come_from_an_aggregate(spark):
     _, w = warehouse(spark, [("OWID_X", 2025, "d", 50), ("AAA", 2024, "d", 50)])
     assert rows(reports.latest_year(w, "d")) == [(2025,)]
+    assert rows(reports.latest_year(w._replace(periods=build_periods(w.fact)), "d")) == [(2025,)]
     assert reports.regional_comparison(w, "d").count() == 0
     assert reports.below_threshold(w, "d").count() == 0
 

@@ -56,7 +56,7 @@ def detect_revisions(
     a third of all rows is one row per task before anything is shuffled."""
     both = _both_sides(current, prior, keys, values, null_keys)
     new = F.col("_new")
-    columns, found = [], []
+    columns, found, revised = [], [], []
     for i, value in enumerate(values):
         old_side, new_side = F.when(~new, quoted(value)), F.when(new, quoted(value))
         low_old, high_old, low_new, high_new, old_rows, new_rows = (f"_{n}{i}" for n in "abcdef")
@@ -71,6 +71,7 @@ def detect_revisions(
         one_old, one_new = F.col(low_old) == F.col(high_old), F.col(low_new) == F.col(high_new)
         on_both = (F.col(old_rows) > 0) & (F.col(new_rows) > 0)
         same = one_old & one_new & (F.col(low_old) == F.col(low_new))
+        revised.append(on_both & ~same)
         found.append(
             F.struct(
                 F.lit(value).alias(measure_col or "_measure"),
@@ -78,13 +79,14 @@ def detect_revisions(
                 F.when(one_new, F.col(low_new)).alias("new_value"),
                 F.col(old_rows).alias("old_rows"),
                 F.col(new_rows).alias("new_rows"),
-                (on_both & ~same).alias("_revised"),
+                revised[-1].alias("_revised"),
             )
         )
-    per_key = both.groupBy(*map(quoted, keys)).agg(*columns)
+    # Most keys are as they were; only the others are taken apart into a row per value.
+    per_key = both.groupBy(*map(quoted, keys)).agg(*columns).where(reduce(Column.__or__, revised))
     label = None if prior_date is None else str(prior_date)
-    revised = per_key.select(*map(quoted, keys), F.inline(F.array(*found))).where("_revised")
-    out = revised.drop("_revised").withColumn("prior_snapshot", F.lit(label).cast("string"))
+    listed = per_key.select(*map(quoted, keys), F.inline(F.array(*found))).where("_revised")
+    out = listed.drop("_revised").withColumn("prior_snapshot", F.lit(label).cast("string"))
     return out if measure_col else out.drop("_measure")
 
 

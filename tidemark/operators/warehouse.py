@@ -11,10 +11,14 @@ from tidemark.functions.regions import region_type_label
 
 
 class Warehouse(NamedTuple):
+    """The star schema. ``periods`` says for which dates each indicator has facts; it is a few
+    hundred rows, and without it the fact table is asked."""
+
     fact: DataFrame
     region: DataFrame
     date: DataFrame
     indicator: DataFrame
+    periods: DataFrame | None = None
 
 
 def build_dim_region(regions: DataFrame) -> DataFrame:
@@ -79,6 +83,12 @@ def build_fact(
     )
 
 
+def build_periods(fact: DataFrame) -> DataFrame:
+    """Facts per indicator and date. Both partition the fact table, so this counts its files'
+    rows without reading a column."""
+    return fact.groupBy("indicator_id", "date_id").agg(F.count(F.lit(1)).alias("fact_rows"))
+
+
 def star(w: Warehouse) -> DataFrame:
     """Every fact row with its region, date and indicator attributes. Filters put on the result
     travel to the dimensions, and from there to the partitions of the fact table."""

@@ -19,8 +19,7 @@ WHERE i.indicator_code = '{indicator}'"""
 _LATEST = """
   AND r.region_type = 'country'
   AND d.year = (SELECT max(ld.year) FROM warehouse.dim_date ld WHERE ld.date_id IN
-    (SELECT lf.date_id FROM warehouse.fact_health_indicator lf
-     WHERE lf.indicator_id = '{indicator}'))"""
+    (SELECT p.date_id FROM warehouse.fact_periods p WHERE p.indicator_id = '{indicator}'))"""
 
 REPORT_VIEWS = {
     "rpt_vaccination_trends": "SELECT r.region_name, r.iso_code, r.region_type_label, d.year,"

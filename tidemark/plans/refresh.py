@@ -17,6 +17,7 @@ from tidemark.operators.warehouse import (
     build_dim_indicator,
     build_dim_region,
     build_fact,
+    build_periods,
 )
 from tidemark.plans.tidy import (
     KEYS,
@@ -158,7 +159,8 @@ def _write_all(
         dim_indicator=build_dim_indicator(indicators),
     )
     # Joined to the dimensions as written, whose sizes are known as well.
-    write(fact_health_indicator=build_fact(indicators, **dims))
+    fact = write(fact_health_indicator=build_fact(indicators, **dims))["fact_health_indicator"]
+    write(fact_periods=build_periods(fact))
     return counts
 
 
@@ -208,4 +210,5 @@ def read_warehouse(spark: SparkSession, root: str) -> Warehouse:
         tables["dim_region"],
         tables["dim_date"],
         tables["dim_indicator"],
+        tables["fact_periods"],
     )

@@ -20,7 +20,8 @@ COVERAGE = "dtp3_coverage_pct"
 
 def latest_year(w: Warehouse, indicator: str) -> DataFrame:
     """One row: the last year with a value of ``indicator`` in any region, null if none."""
-    present = w.fact.where(F.col("indicator_id") == indicator).select("date_id").distinct()
+    facts = w.fact if w.periods is None else w.periods
+    present = facts.where(F.col("indicator_id") == indicator).select("date_id").distinct()
     return w.date.join(present, "date_id", "left_semi").agg(F.max("year").alias("latest_year"))
 
 

@@ -73,6 +73,7 @@ WAREHOUSE: Mapping[str, T.StructType] = {
         " is_revised boolean, is_estimated boolean, loaded_at timestamp,"
         " indicator_id string, date_id int"
     ),
+    "fact_periods": _schema("indicator_id string, date_id int, fact_rows bigint"),
 }
 
 # A report reads one indicator, and mostly its last year: one folder of the fact table.

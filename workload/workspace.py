@@ -53,8 +53,8 @@ class Workspace:
         return read_paths(self.spark, name, self.paths[name])
 
     def warehouse(self) -> Warehouse:
-        names = ("fact_health_indicator", "dim_region", "dim_date", "dim_indicator")
-        return Warehouse(*map(self.table, names))
+        dims = ("dim_region", "dim_date", "dim_indicator")
+        return Warehouse(*map(self.table, ("fact_health_indicator", *dims, "fact_periods")))
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
