@@ -138,6 +138,8 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["show", root, "trends", "--regions", "Kenya"], spark) == 0
     out = capsys.readouterr().out
     assert "Kenya" in out and "South Africa" not in out
+    assert main(["show", root, "comparison", "--indicator", "measles_mcv1"], spark) == 0
+    assert "|76.00" in capsys.readouterr().out
     assert main(["show", root, "comparison", "--band", MID], spark) == 0
     out = capsys.readouterr().out
     assert "South Africa" in out and "Kenya" not in out

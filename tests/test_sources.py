@@ -3,6 +3,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import FOUR_ROWS, HEADER, rows, write_snapshot
 from tidemark.config import Settings
@@ -130,7 +131,10 @@ def test_the_same_run_twice_gives_the_same_tables(spark, landed):
         run(spark, landed, "2026-02-22", SETTINGS, datetime(2026, 3, 1))
         return {n: rows(df) for n, df in read_published(spark, landed).items()}
 
-    assert tables() == tables()
+    first, folders = tables(), current_paths(spark, landed)
+    assert tables() == first
+    # Not in the folders of the first one: a run that dies must not harm what is published.
+    assert not {p[0] for p in folders.values()} & {p[0] for p in current_paths(spark, landed).values()}
 
 
 def test_append_keeps_earlier_rows_and_refuses_repeated_keys(spark, landed):
@@ -147,6 +151,17 @@ def test_append_keeps_earlier_rows_and_refuses_repeated_keys(spark, landed):
     assert key_conflicts(t["stg_regions"], t["stg_regions"], ["region_key"]).count() == 4
 
 
+def test_a_run_that_fails_leaves_the_published_tables(spark, landed):
+    run(spark, landed, "2026-02-15", SETTINGS, datetime(2026, 3, 1))
+    before = current_paths(spark, landed)
+    broken = spark.createDataFrame([("x", "y", 1)], "alias string, iso_code string, alias_row int")
+    broken = broken.withColumn("iso_code", F.raise_error(F.lit("no aliases today")))
+    with pytest.raises(Exception, match="no aliases today"):
+        run(spark, landed, "2026-02-22", SETTINGS, datetime(2026, 3, 2), broken)
+    assert current_paths(spark, landed) == before
+    assert read_published(spark, landed)["stg_health_indicators"].count() == 16
+
+
 def test_unknown_mode_is_refused_before_anything_is_written(spark, landed):
     with pytest.raises(ValueError, match="mode"):
         run(spark, landed, "2026-02-15", SETTINGS, datetime(2026, 3, 1), mode="truncate")

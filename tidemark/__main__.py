@@ -6,7 +6,7 @@ import argparse
 import sys
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import Settings
@@ -22,14 +22,19 @@ from tidemark.sources.tables import MODES, read_published
 from tidemark.streaming.ingest import land_pending, refresh_folder, stream_snapshots
 
 SETTINGS = Settings()
+COVERAGE = "coverage_pct"
 
 
-def _reports(spark: SparkSession, root: str) -> dict:
-    w, main, target = read_warehouse(spark, root), SETTINGS.main_indicator, SETTINGS.threshold
+def _reports(
+    spark: SparkSession, root: str, indicator: str = SETTINGS.main_indicator
+) -> dict[str, DataFrame]:
+    w, target = read_warehouse(spark, root), SETTINGS.threshold
     return {
-        "trends": reports.vaccination_trends(w, main),
-        "comparison": reports.regional_comparison(w, main, target, SETTINGS.moderate_floor),
-        "below_threshold": reports.below_threshold(w, main, target),
+        "trends": reports.vaccination_trends(w, indicator, COVERAGE),
+        "comparison": reports.regional_comparison(
+            w, indicator, target, SETTINGS.moderate_floor, COVERAGE
+        ),
+        "below_threshold": reports.below_threshold(w, indicator, target, COVERAGE),
     }
 
 
@@ -88,7 +93,8 @@ def verify(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def show(spark: SparkSession, args: argparse.Namespace) -> int:
-    report = reports.ordered(args.report, _reports(spark, args.root)[args.report])
+    report = _reports(spark, args.root, args.indicator)[args.report]
+    report = reports.ordered(args.report, report, COVERAGE)
     if args.regions:
         report = reports.trends_for(report, args.regions)
     if args.report == "comparison":
@@ -122,6 +128,8 @@ def parser() -> argparse.ArgumentParser:
     sub = step(show, "print a report")
     sub.add_argument("report", choices=["trends", "comparison", "below_threshold"])
     sub.add_argument("--rows", type=int, default=20)
+    codes = [i.code for i in SETTINGS.indicators]
+    sub.add_argument("--indicator", choices=codes, default=SETTINGS.main_indicator)
     sub.add_argument("--regions", nargs="+", help="names of regions; all if left out")
     sub.add_argument("--band", choices=[AT_TARGET, MODERATE, LOW], help="for comparison")
     return top

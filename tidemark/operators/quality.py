@@ -112,13 +112,13 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def orphans(child: DataFrame, column: str, parent: DataFrame, to_column: str) -> DataFrame:
     """Values of the child column without a parent, with their number of rows.
 
-    The child shrinks to its distinct values before the join, so a hot value is one row."""
+    Both sides shrink to their distinct values before the join, so a hot value is one row."""
     values = (
         child.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("value"))
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
-    known = parent.select(F.col(to_column).alias("_known"))
+    known = parent.select(F.col(to_column).alias("_known")).distinct()
     return values.join(known, F.col("value") == F.col("_known"), "left_anti")
 
 

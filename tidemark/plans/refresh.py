@@ -37,6 +37,7 @@ from tidemark.sources.tables import (
     constant_rows,
     current_paths,
     key_conflicts,
+    new_run_id,
     publish,
     read_paths,
     read_published,
@@ -82,7 +83,7 @@ def run(
     The wide snapshot is scanned once per output rather than kept in its long form: unpivoting is
     cheap and narrow, while the long form is four times the rows to write and read back."""
     check_mode(mode)
-    run_id = run_ts.strftime("%Y%m%dT%H%M%S.%f")
+    run_id = new_run_id(run_ts)
     prior = prior_snapshot_date(landed_dates(spark, root), snapshot_date).first()[0]
     snapshots = [str(d) for d in (snapshot_date, prior) if d is not None]
     volume = sum(folder_bytes(spark, f"{raw_root(root)}/snapshot_date={d}") for d in snapshots)

@@ -48,8 +48,11 @@ def prior_snapshot_date(
 def pending_snapshots(
     files: DataFrame, landed: DataFrame, keys: Sequence[str] = ("snapshot_date", "file")
 ) -> DataFrame:
-    """The files not landed yet."""
-    return files.select(*keys).distinct().join(landed.select(*keys), list(keys), "left_anti")
+    """The files not landed yet. Both sides shrink to their distinct keys first, so it does not
+    matter how many rows a file has."""
+    return files.select(*keys).distinct().join(
+        landed.select(*keys).distinct(), list(keys), "left_anti"
+    )
 
 
 def source_row_counts(

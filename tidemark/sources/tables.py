@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from time import time_ns
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,7 +20,12 @@ from pyspark.sql import functions as F
 from tidemark.sources.schemas import PARTITIONS, SCHEMAS, STAGING, conform
 
 MODES = ("replace", "append")
-_PUBLISHED = ("run_id", "run_ts", "mode", "table_name", "path")
+_PUBLISHED = ("published_ns", "run_id", "run_ts", "mode", "table_name", "path")
+
+
+def new_run_id(run_ts: datetime) -> str:
+    """Never used before, also when a run is repeated with its old time."""
+    return f"{run_ts:%Y%m%dT%H%M%S}-{uuid4().hex}"
 
 
 def table_path(root: str, run_id: str, name: str) -> str:
@@ -67,8 +74,9 @@ def publish(
 ) -> None:
     """Make the tables of a run current. ``append`` keeps the earlier staging rows beside them."""
     check_mode(mode)
+    now = time_ns()
     rows = [
-        (run_id, run_ts, mode if n in STAGING else "replace", n, table_path(root, run_id, n))
+        (now, run_id, run_ts, mode if n in STAGING else "replace", n, table_path(root, run_id, n))
         for n in names
     ]
     constant_rows(spark, rows, _PUBLISHED).write.mode("append").parquet(f"{root}/published")
@@ -98,7 +106,7 @@ def current_paths(spark: SparkSession, root: str) -> dict[str, list[str]]:
             raise
         return {}
     paths: dict[str, list[str]] = {}
-    for row in published.orderBy("run_ts", "run_id").collect():
+    for row in published.orderBy("published_ns").collect():
         if row.mode == "replace":
             paths[row.table_name] = [row.path]
         elif row.path not in paths.setdefault(row.table_name, []):
@@ -113,7 +121,9 @@ def read_published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def key_conflicts(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of ``new`` that are already in ``existing``."""
-    return new.select(*keys).distinct().join(existing.select(*keys), list(keys), "left_semi")
+    return new.select(*keys).distinct().join(
+        existing.select(*keys).distinct(), list(keys), "left_semi"
+    )
 
 
 def register_views(views: Mapping[str, DataFrame]) -> None:
