@@ -162,6 +162,20 @@ def test_a_run_that_fails_leaves_the_published_tables(spark, landed):
     assert read_published(spark, landed)["stg_health_indicators"].count() == 16
 
 
+def test_snapshots_with_other_columns(spark, tmp_path):
+    source, root = tmp_path / "source", str(tmp_path / "root")
+    for day, text in (
+        ("2024-01-01", "Entity,Code,Year,Other\nKenya,KEN,2020,1\n"),
+        ("2024-01-08", "Entity,Code,Year,Other,Polio (Pol3)\nKenya,KEN,2020,1,2\n"),
+    ):
+        write_snapshot(source, day).write_text(text)
+    land_pending(spark, str(source), root, SETTINGS)
+    with pytest.raises(ValueError, match="none of the configured indicators"):
+        run(spark, root, "2024-01-01", SETTINGS, datetime(2026, 3, 1))
+    counts = run(spark, root, "2024-01-08", SETTINGS, datetime(2026, 3, 1)).counts
+    assert counts["stg_health_indicators"] == 1 and counts["stg_data_revisions"] == 0
+
+
 def test_unknown_mode_is_refused_before_anything_is_written(spark, landed):
     with pytest.raises(ValueError, match="mode"):
         run(spark, landed, "2026-02-15", SETTINGS, datetime(2026, 3, 1), mode="truncate")

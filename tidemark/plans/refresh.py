@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Settings
 from tidemark.operators.metrics import load_audit
+from tidemark.operators.reshape import present_indicators
 from tidemark.operators.revisions import revision_values
 from tidemark.operators.warehouse import (
     Warehouse,
@@ -87,12 +88,15 @@ def run(
     prior = prior_snapshot_date(landed_dates(spark, root), snapshot_date).first()[0]
     snapshots = [str(d) for d in (snapshot_date, prior) if d is not None]
     volume = sum(folder_bytes(spark, f"{raw_root(root)}/snapshot_date={d}") for d in snapshots)
+    frames = [read_snapshot(spark, raw_root(root), d) for d in snapshots]
+    if not present_indicators(frames[0], settings.indicators):
+        raise ValueError(f"snapshot {snapshot_date} has none of the configured indicators")
     with sized_shuffles(spark, volume):
         counts = _write_all(
             spark,
             root,
             run_id,
-            [read_snapshot(spark, raw_root(root), d) for d in snapshots],
+            frames,
             settings,
             prior,
             F.lit(run_ts),

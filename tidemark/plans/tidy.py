@@ -34,6 +34,12 @@ WIDE_KEYS = ("region_key", "year")
 KEYS = (*WIDE_KEYS, "indicator_code")
 REGION_ATTRS = ("region_name", "iso_code", "region_type")
 
+_NO_REVISIONS = (
+    "region_key string, year int, indicator_source_col string, old_value double,"
+    " new_value double, old_rows bigint, new_rows bigint, prior_snapshot string,"
+    " indicator_code string"
+)
+
 
 def typed_wide(
     wide: DataFrame, settings: Settings, aliases: DataFrame | None = None
@@ -73,11 +79,12 @@ def tidy_long(
 def snapshot_revisions(
     current: DataFrame, prior: DataFrame, settings: Settings, prior_date: date | str
 ) -> DataFrame:
-    """Revisions between two typed wide snapshots by region, year and indicator."""
+    """Revisions between two typed wide snapshots by region, year and indicator. An indicator
+    that only one of them has was not revised."""
     known = present_indicators(prior, settings.indicators)
     shared = [c for c in present_indicators(current, settings.indicators) if c in known]
     if not shared:
-        raise ValueError("the snapshots have no indicator in common")
+        return current.sparkSession.createDataFrame([], _NO_REVISIONS)
     found = detect_revisions(
         current, prior, WIDE_KEYS, shared, "indicator_source_col", prior_date
     )
