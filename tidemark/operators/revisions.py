@@ -95,6 +95,12 @@ def several_values(revisions: DataFrame) -> DataFrame:
     return revisions.where(F.col("old_value").isNull() | F.col("new_value").isNull())
 
 
+def rows_with_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` whose keys occur in ``wanted``, null keys included."""
+    copies = wanted.select(*[quoted(k).alias(f"_k_{k}") for k in keys]).distinct()
+    return df.join(copies, same_keys(keys), "left_semi")
+
+
 def revision_values(
     current: DataFrame,
     prior: DataFrame,
@@ -107,9 +113,9 @@ def revision_values(
 
     Rows are counted by (key, value) after the keys of interest are picked out; clean data has
     none, and then nothing is read. A hot key spreads over its values."""
-    several = several_values(revisions).select(*[quoted(k).alias(f"_k_{k}") for k in keys])
     both = _both_sides(current, prior, keys, [value], null_keys)
-    wanted = both.where(quoted(value).isNotNull()).join(several, same_keys(keys), "left_semi")
+    present = both.where(quoted(value).isNotNull())
+    wanted = rows_with_keys(present, several_values(revisions), keys)
     return wanted.groupBy(*map(quoted, [*keys, value])).agg(
         F.count_if(~F.col("_new")).alias("old_rows"), F.count_if("_new").alias("new_rows")
     )

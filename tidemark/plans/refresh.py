@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tidemark.config import Settings
 from tidemark.operators.metrics import load_audit
 from tidemark.operators.reshape import present_indicators
-from tidemark.operators.revisions import revision_values
 from tidemark.operators.warehouse import (
     Warehouse,
     build_dim_date,
@@ -23,9 +22,9 @@ from tidemark.operators.warehouse import (
 from tidemark.plans.tidy import (
     KEYS,
     flagged_rows,
-    long_rows,
     quarantined_rows,
     seen_regions,
+    snapshot_revision_values,
     snapshot_revisions,
     typed_wide,
 )
@@ -147,8 +146,7 @@ def _write_all(
     found = values = None
     if before:
         found = first["stg_data_revisions"]
-        sides = [long_rows(side, settings) for side in (typed, *before)]
-        values = revision_values(*sides, found, KEYS)
+        values = snapshot_revision_values(typed, *before, found, settings)
     second = write(
         stg_health_indicators=flagged_rows(typed, found, settings, as_of_year, stamp),
         stg_revision_values=_or_empty(spark, values, "stg_revision_values"),

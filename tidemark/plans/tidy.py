@@ -18,7 +18,13 @@ from tidemark.operators.reshape import (
     present_indicators,
     unpivot_indicators,
 )
-from tidemark.operators.revisions import detect_revisions, revised_measures
+from tidemark.operators.revisions import (
+    detect_revisions,
+    revised_measures,
+    revision_values,
+    rows_with_keys,
+    several_values,
+)
 from tidemark.operators.validate import (
     region_year_rules,
     rejected_rows,
@@ -91,6 +97,18 @@ def snapshot_revisions(
     return apply_indicator_metadata(found, settings.indicators)
 
 
+def snapshot_revision_values(
+    current: DataFrame, prior: DataFrame, revisions: DataFrame, settings: Settings
+) -> DataFrame:
+    """The values of revisions that have several, from typed wide snapshots. The few regions and
+    years concerned are picked out before the unpivot."""
+    several = several_values(revisions)
+    sides = [
+        long_rows(rows_with_keys(side, several, WIDE_KEYS), settings) for side in (current, prior)
+    ]
+    return revision_values(*sides, revisions, KEYS)
+
+
 def seen_regions(
     typed: DataFrame, settings: Settings, as_of_year: int, row_col: str = "source_row"
 ) -> DataFrame:
