@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, fertility, language_id, ngram_join, warc
+from tidemark.llm import bpe, chat, decontaminate, fertility, language_id, materialise, ngram_join, warc
 from tidemark.llm.cluster import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,20 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each sequence of the documents went, read back from the shards."""
+    path, layout = folder(spark, "shards"), materialise.Layout()
+    materialise.write_shards(spark, f"{sf_dir}/documents.parquet", path, layout)
+    return materialise.read_slots(spark, path, layout).select(
+        "slot",
+        "sequence",
+        F.col("first_id").alias("doc_id"),
+        F.octet_length("tokens").cast("bigint").alias("n_tokens"),
+        F.sha2("tokens", 256).alias("tokens_sha256"),
+    )
+
+
 @query
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.neighbours(table(spark, sf_dir, "documents"))
