@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, fertility, language_id, materialise, ngram_join, warc
+from tidemark.llm import bpe, chat, decontaminate, fertility, language_id, materialise, ngram_join, secrets, surrogates, warc
 from tidemark.llm.cluster import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 RULES = fertility.Rules(public_tokenizers.path("piece_bpe_32k.model"))
 
+PII_KEY = "surrogates-1"
+
 
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept out of learning; one without an id is."""
@@ -53,6 +55,12 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = secrets.dictionary(spark, BYTE_BPE)
+    return secrets.scan(table(spark, sf_dir, "documents"), words)
+
+
 @query
 def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each sequence of the documents went, read back from the shards."""
@@ -98,6 +106,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, keep={"held_out": held_out(docs.doc_id)})
 
 
+@query
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replaced(docs, PII_KEY, count_col="n_entities")
+
+
 @query
 def op9_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.measure(table(spark, sf_dir, "documents"), RULES)
