@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.cluster import written
 from tidemark.llm.ngram_join import free_name
 
-ROUNDS = 6
+ROUNDS = 4
 
 # Given names by gender and script, each list a cycle.
 GIVEN = {
@@ -52,28 +52,34 @@ ALPHABETS = (
     "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
     "àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœß", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝŸŒ",
 )
-HEX = ("0123456789abcdef",)
+# Hexadecimal digits of addresses, while they are permuted, so that 9 may become a.
+HEX, HIDDEN = "0123456789abcdef", "ⓐⓑⓒⓓⓔⓕⓖⓗⓘⓙⓚⓛⓜⓝⓞⓟ"
+_letters = "".join((*ALPHABETS, HIDDEN))
+_sizes = [len(a) for a in (*ALPHABETS, HIDDEN)]
+_starts = [sum(_sizes[:i]) for i in range(len(_sizes))]
+_group = "".join(str(i) * n for i, n in enumerate(_sizes))
 
 _names = "|".join(n for names in GIVEN.values() for n in names)
 _titles = "|".join(TITLES)
 _octet = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _begin, _end = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _surname = r"\p{Lu}[\p{L}'’-]{1,40}"
-# In order of preference where several match.
+# In order of preference where several match. Each begins with what rules most places out.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "ipv6": rf"(?<![\p{{L}}\p{{N}}:])(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}{_end}",
-    "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_octet}\.){{3}}{_octet}{_end}(?!\.\d)",
-    "iban": rf"{_begin}[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_end}",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}"
+    "email": r"(?<![._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "ipv6": rf"(?=[0-9A-Fa-f]{{1,4}}:)(?<!:)(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}{_end}",
+    "ip": rf"(?=\d{{1,3}}\.\d)(?<!\.)(?:{_octet}\.){{3}}{_octet}{_end}(?!\.\d)",
+    "iban": rf"(?=[A-Z]{{2}}\d\d)[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_end}",
+    "phone": r"(?=[0-9+(])(?<!\+)(?:\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}"
              r"|\+\d{1,3}(?:[ .-]\d{2,4}){3,4}|\+\d{8,14}|\(\d{3}\) ?\d{3}[ .-]\d{4}"
              r"|\d{3}[.-]\d{3}[.-]\d{4}|0\d(?:[ .]\d{2}){4})(?![\p{L}\p{N}])",
-    "card": rf"{_begin}\d(?:[ -]?\d){{12,18}}{_end}",
-    "ssn": rf"(?<![\p{{L}}\p{{N}}-])\d{{3}}-\d{{2}}-\d{{4}}(?![\p{{L}}\p{{N}}-])",
-    "given": rf"{_begin}(?:{_names})(?= {_surname})",
-    "surname": rf"(?:(?<=(?<![\p{{L}}\p{{N}}])(?:{_titles})\.? )|(?<=(?<![\p{{L}}\p{{N}}])(?:{_names}) )){_surname}",
+    "card": rf"\d(?:[ -]?\d){{12,18}}{_end}",
+    "ssn": rf"(?=\d{{3}}-)(?<!-)\d{{3}}-\d{{2}}-\d{{4}}(?![\p{{L}}\p{{N}}-])",
+    "given": rf"(?=\p{{Lu}})(?:{_names})(?= {_surname})",
+    "surname": rf"(?=\p{{Lu}})(?<= )(?:(?<=(?<![\p{{L}}\p{{N}}])(?:{_titles})\.? )|(?<=(?<![\p{{L}}\p{{N}}])(?:{_names}) )){_surname}",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# Entities begin where a word does, so nothing is tried inside words.
+ANY = _begin + r"(?=[\p{L}\p{N}._%+(-])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
 _DIGITS_ONLY = ("phone", "card", "ssn")
 
 
@@ -119,38 +125,53 @@ def canonical(kind: Column, found: Column) -> Column:
     """What two mentions of one thing have in common."""
     country = F.regexp_extract(found, r"^\+(\d{1,3})(?=[ .(-])", 1)
     digits = F.regexp_replace(found, "[^0-9]", "")
+    octets = F.transform(
+        F.split(found, r"\."), lambda o: F.lpad(F.lower(F.hex(o.try_cast("bigint"))), 2, "0")
+    )
     return (
         F.when(kind == "phone", F.concat(country, F.lit(":"), F.substr(digits, F.length(country) + 1)))
         .when(kind.isin("card", "ssn"), digits)
         .when(kind == "iban", F.replace(found, F.lit(" "), F.lit("")))
-        .when(kind == "ip", F.array_join(F.transform(F.split(found, r"\."), lambda o: F.lpad(F.lower(F.hex(o.cast("bigint"))), 2, "0")), ""))
-        .when(kind.isin("email", "ipv6", "surname"), F.lower(found))
+        .when(kind == "ip", F.translate(F.array_join(octets, ""), HEX, HIDDEN))
+        .when(kind == "ipv6", F.translate(F.lower(found), HEX, HIDDEN))
+        .when(kind.isin("email", "surname"), F.lower(found))
         .otherwise(found)
     )
 
 
-def _shifted(text: Column, stream: Column, alphabets: tuple[str, ...]) -> Column:
+def _shifted(text: Column, stream: Column) -> Column:
     """Each character moved within its alphabet by a byte of ``stream`` (in hexadecimal)."""
-
-    def moved(c: Column, i: Column) -> Column:
-        by = F.conv(F.substr(stream, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
-        out = c
-        for letters in alphabets:
-            at = F.instr(F.lit(letters), c)
-            to = (at - 1 + by) % len(letters) + 1
-            out = F.when((at > 0) & (c != ""), F.substr(F.lit(letters), to, F.lit(1))).otherwise(out)
-        return out
-
-    return F.array_join(F.transform(F.split(text, ""), moved), "")
+    placed = F.transform(
+        F.split(text, ""),
+        lambda c, i: F.struct(
+            c.alias("c"),
+            F.when(c == "", 0).otherwise(F.instr(F.lit(_letters), c)).alias("at"),
+            F.conv(F.substr(stream, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int").alias("by"),
+        ),
+    )
+    known = F.transform(
+        placed, lambda x: F.struct(x.c.alias("c"), x.at.alias("at"), x.by.alias("by"),
+                                   F.substr(F.lit(_group), x.at, F.lit(1)).cast("int").alias("g")),
+    )
+    starts, sizes = F.array(*map(F.lit, _starts)), F.array(*map(F.lit, _sizes))
+    moved = F.transform(
+        known,
+        lambda x: F.when(x.at == 0, x.c).otherwise(
+            F.substr(
+                F.lit(_letters), starts[x.g] + (x.at - 1 - starts[x.g] + x.by) % sizes[x.g] + 1, F.lit(1)
+            )
+        ),
+    )
+    return F.array_join(moved, "")
 
 
-def _round(number: int, key: str, alphabets: tuple[str, ...]) -> Callable[[Column], Column]:
+def _round(number: int, key: str) -> Callable[[Column], Column]:
     """One step: a half is moved by a digest of the other."""
     fixed, moving = ("a", "b") if number % 2 == 0 else ("b", "a")
 
     def step(x: Column) -> Column:
         seed = F.concat_ws("|", F.lit(key), F.lit(str(number)), x.tag, x.attempt, x[fixed])
-        new = _shifted(x[moving], F.sha2(seed, 256), alphabets)
+        new = _shifted(x[moving], F.sha2(seed, 256))
         return F.struct(
             x.tag.alias("tag"), x.attempt.alias("attempt"),
             x[fixed].alias(fixed), new.alias(moving),
@@ -159,7 +180,7 @@ def _round(number: int, key: str, alphabets: tuple[str, ...]) -> Callable[[Colum
     return step
 
 
-def _feistel(values: Column, key: str, alphabets: tuple[str, ...]) -> Column:
+def _feistel(values: Column, key: str) -> Column:
     """For an array of structs (tag, text, attempt): the permuted texts. One step per ``transform``,
     so that no expression is written out twice."""
     half = lambda x: F.floor(F.length(x.text) / 2).cast("int")
@@ -171,7 +192,7 @@ def _feistel(values: Column, key: str, alphabets: tuple[str, ...]) -> Column:
         ),
     )
     for i in range(ROUNDS):
-        out = F.transform(out, _round(i, key, alphabets))
+        out = F.transform(out, _round(i, key))
     return F.transform(out, lambda x: F.concat(x.a, x.b))
 
 
@@ -207,8 +228,7 @@ def surrogates(values: Column, key: str) -> Column:
             body(x).alias("text"), x.attempt.alias("attempt"),
         ),
     )
-    plain, hexed = _feistel(named, key, ALPHABETS), _feistel(named, key, HEX)
-    zipped = F.arrays_zip(values.alias("v"), plain.alias("p"), hexed.alias("h"))
+    zipped = F.arrays_zip(values.alias("v"), _feistel(named, key).alias("p"))
 
     def finished(z: Column) -> Column:
         x = z.v
@@ -220,7 +240,6 @@ def surrogates(values: Column, key: str) -> Column:
         return (
             F.when(x.kind == "card", F.concat(short, luhn.cast("string")))
             .when(x.kind == "iban", F.concat(country, check, z.p))
-            .when(x.kind.isin("ip", "ipv6"), z.h)
             .when(x.kind == "given", _given(x.kind, x.text, x.attempt, key))
             .when(x.kind == "email", F.concat(z.p, F.right(x.text, last(x))))
             .when(x.kind == "phone", short)
@@ -246,13 +265,15 @@ def _refilled(found: Column, text: Column) -> Column:
 
 def rendered(kind: Column, found: Column, text: Column) -> Column:
     """The canonical surrogate ``text`` in the format of ``found``."""
-    octet = lambda i: F.conv(F.substr(text, F.lit(2 * i + 1), F.lit(2)), 16, 10)
+    shown = F.translate(text, HIDDEN, HEX)
+    octet = lambda i: F.conv(F.substr(shown, F.lit(2 * i + 1), F.lit(2)), 16, 10)
     shaped = F.when(found == F.upper(found), F.upper(text)).otherwise(
         F.concat(F.upper(F.left(text, F.lit(1))), F.substr(text, F.lit(2)))
     )
     return (
         F.when(kind.isin(*_DIGITS_ONLY, "iban"), _refilled(found, F.replace(text, F.lit(":"), F.lit(""))))
         .when(kind == "ip", F.concat_ws(".", *map(octet, range(4))))
+        .when(kind == "ipv6", shown)
         .when(kind == "surname", shaped)
         .otherwise(text)
     )
