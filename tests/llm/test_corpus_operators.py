@@ -1,0 +1,327 @@
+"""The n-gram join, surrogates, secret forest and pipeline against brute force."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from tidemark.llm import ngram_join, queries, secrets, surrogates
+from tidemark.llm.cluster import written
+from tidemark.llm.components import components
+
+SMALL = "/root/testdata/sf0.001"
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+# N-gram join
+
+
+def grams(text, n=5):
+    words = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    n = min(n, len(words))
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if n else frozenset()
+
+
+def links(docs, threshold=0.8):
+    """Position of each document to (least id of its class, number of links), over all pairs."""
+    sets = [grams(t) for _, t in docs]
+    parent, count = list(range(len(docs))), Counter()
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and len(a & b) >= threshold * len(a | b) - 1e-9:
+                count[i] += 1
+                count[j] += 1
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    ids = defaultdict(list)
+    for i, (doc, _) in enumerate(docs):
+        ids[root(i)].append(doc)
+    least = {r: min((x for x in own if x is not None), default=None) for r, own in ids.items()}
+    return [(doc, least[root(i)], count[i]) for i, (doc, _) in enumerate(docs)]
+
+
+def joined(df):
+    return Counter((r.doc_id, r.class_id, r.n_links) for r in ngram_join.neighbours(df).collect())
+
+
+def test_links_are_those_of_all_pairs(spark, documents):
+    got = queries.registered()["op4_ngram_join"](spark, SMALL).collect()
+    expected = links([(d[0], d[1]) for d in documents])
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == Counter(expected)
+
+
+def near_copies(n, seed=2):
+    """Texts around a few originals, near the threshold on both sides, in no order."""
+    random.seed(seed)
+    words = [f"w{i}" for i in range(4000)]
+    out = []
+    for original in [[random.choice(words) for _ in range(random.randint(60, 120))] for _ in range(4)]:
+        for _ in range(n):
+            copy = list(original)
+            for _ in range(random.choice([0, 0, 1, 2, 3])):
+                copy[random.randrange(len(copy))] = random.choice(words)
+            out.append(" ".join(copy))
+    random.shuffle(out)
+    return list(enumerate(out))
+
+
+def test_groups_larger_than_blocks_and_salts(spark, monkeypatch):
+    docs = near_copies(60)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    expected = Counter(links(docs))
+    assert joined(df) == expected
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(ngram_join, "SALT_ROWS", 5)
+    assert joined(df) == expected
+
+
+def test_links_of_awkward_rows(spark, awkward, empty):
+    docs = [(r.doc_id, r.text) for r in awkward.collect()]
+    expected = Counter(
+        (d, c if grams(t) else d, n) for (d, c, n), (_, t) in zip(links(docs), docs, strict=True)
+    )
+    assert joined(awkward) == expected
+    assert ngram_join.neighbours(empty).count() == ngram_join.one_of_each(empty).count() == 0
+    kept = ngram_join.one_of_each(awkward)
+    assert kept.dtypes == awkward.dtypes
+    # One of the two equal rows goes; nothing else is alike.
+    assert Counter(r.text for r in kept.collect()) == Counter({t: 1 for _, t in docs})
+
+
+def test_one_of_each_group_stays(spark):
+    docs = near_copies(30, seed=4)
+    kept = ngram_join.one_of_each(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert {r.doc_id for r in kept.collect()} == {c for _, c, _ in links(docs)}
+
+
+def test_bands_reach_the_recall():
+    for threshold in (0.5, 0.8, 0.9):
+        bands, rows = ngram_join.choose_bands(threshold, 0.999)
+        assert 1 - (1 - threshold**rows) ** bands >= 0.999 and bands * rows <= 128
+    with pytest.raises(ValueError):
+        ngram_join.choose_bands(0.001, 0.999999)
+
+
+def test_components_of_random_links(spark):
+    random.seed(9)
+    for n, m in ((50, 30), (60, 60), (300, 280)):
+        pairs = [(random.randrange(n), random.randrange(n)) for _ in range(m)]
+        pairs += [(i, i + 1) for i in range(1000, 1080)] + [(None, 3)]  # a long chain
+        parent = {x: x for p in pairs for x in p if x is not None}
+
+        def root(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in pairs[:-1]:
+            parent[max(root(a), root(b))] = min(root(a), root(b))
+        linked = {x for a, b in pairs[:-1] if a != b for x in (a, b)}
+        got = components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()
+        assert {r.node: r.component for r in got} == {x: root(x) for x in linked}
+        assert len(got) == len(linked)
+
+
+# Surrogates
+
+KINDS = {
+    "email": "Mail Joe.Doe+x@Mail.Example.co.uk or joe.doe+x@mail.example.co.uk now",
+    "iban": "IBAN DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432",
+    "phone": "call +49 (30) 1234-5678, +1-606-555-7814 or (606) 555-7814 or 606-555-7814 or +4915112345678",
+    "card": "card 4111 1111 1111 1111, 4111-1111-1111-1111 but not 4111 1111 1111 1112",
+    "ssn": "ssn 123-45-6789, no 123-45-67890",
+    "ip": "ip 10.0.0.1 or 10.0.0.1, version 1.2.3 and 1.2.3.4.5 and 300.1.1.1",
+    "ipv6": "host 2001:0DB8:85a3:0000:0000:8a2e:0370:7334 at 12:30:45",
+    "name": "Mr Smith met Maria Smith and Dr. John O'Neil; Frau MÜLLER; Иван Петров; Maria said",
+}
+
+
+def luhn(number):
+    digits = [int(c) for c in re.sub(r"\D", "", number)][::-1]
+    return (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
+
+
+@pytest.fixture(scope="module")
+def swapped(spark):
+    rows = spark.createDataFrame(list(KINDS.items()), "doc_id string, text string")
+    return {r.doc_id: r for r in surrogates.replaced(rows, "k", count_col="n").collect()}
+
+
+def test_formats_stay(swapped):
+    counts = {k: r.n for k, r in swapped.items()}
+    assert counts == {"email": 2, "iban": 2, "phone": 5, "card": 2, "ssn": 1, "ip": 2, "ipv6": 1, "name": 8}
+    skeleton = lambda t: re.sub("[A-Z]", "A", re.sub("[a-z]", "a", re.sub(r"\d", "9", t)))
+    for kind in ("iban", "phone", "card", "ssn"):
+        assert skeleton(swapped[kind].text) == skeleton(KINDS[kind]) and swapped[kind].text != KINDS[kind]
+    a, b = re.findall(r"\S+@\S+", swapped["email"].text)
+    assert a == b and a.endswith(".uk") and a != "joe.doe+x@mail.example.co.uk"
+    one, two = re.findall(r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}", swapped["card"].text)[:2]
+    assert luhn(one) and one.replace(" ", "") == two.replace("-", "") and one[0] == "4"
+    assert "not 4111 1111 1111 1112" in swapped["card"].text
+    assert "+49 (" in swapped["phone"].text and "+1-" in swapped["phone"].text
+    first, second = re.findall(r"ip (\S+) or ([\d.]+),", swapped["ip"].text)[0]
+    assert first == second != "10.0.0.1" and all(0 <= int(x) < 256 for x in first.split("."))
+    assert swapped["ip"].text.endswith("version 1.2.3 and 1.2.3.4.5 and 300.1.1.1")
+    assert re.search(r"host (?:[0-9a-f]{4}:){7}[0-9a-f]{4} at 12:30:45$", swapped["ipv6"].text)
+
+
+def test_ibans_have_valid_check_digits(swapped):
+    for found in re.findall(r"[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", swapped["iban"].text):
+        plain = found.replace(" ", "")
+        turned = "".join(str(int(c, 36)) for c in plain[4:] + plain[:4])
+        assert int(turned) % 97 == 1
+
+
+def test_names_keep_gender_script_and_coreference(swapped):
+    text = swapped["name"].text
+    m = re.fullmatch(r"Mr (\S+) met (\S+) (\S+) and Dr\. (\S+) (\S+); Frau (\S+); (\S+) (\S+); Maria said", text)
+    assert m and m[1] == m[3] != "Smith"
+    assert m[2] in surrogates.GIVEN["female latin"] and m[2] != "Maria"
+    assert m[4] in surrogates.GIVEN["male latin"] and m[6].isupper()
+    assert m[7] in surrogates.GIVEN["male cyrillic"] and re.fullmatch("[а-яА-Я]+", m[8])
+
+
+def test_surrogates_are_distinct_and_stable(spark):
+    rows = [(i, f"x{i % 50}@a.io 10.0.{i // 250}.{i % 250}") for i in range(2000)]
+    rows += [(9000 + i, f"{c}@a.io") for i, c in enumerate("abcdefghijklmnopqr")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    out = {r.doc_id: r.text for r in surrogates.replaced(df, "k").collect()}
+    known = {}
+    for i, text in rows:
+        for a, b in zip(text.split(), out[i].split(), strict=True):
+            assert known.setdefault(a, b) == b != a
+    assert len(set(known.values())) == len(known) and not set(known) & set(known.values())
+    other = {r.doc_id: r.text for r in surrogates.replaced(df, "another").collect()}
+    assert sum(out[i] == other[i] for i in out) < 5
+
+
+def test_collisions_are_resolved(spark, monkeypatch):
+    """With every value of a tiny format present, no surrogate may be a value of the corpus."""
+    rows = [(i, f"{c}@a.io") for i, c in enumerate("abcdefghijklm")]
+    found = surrogates.entities(spark.createDataFrame(rows, "doc_id int, text string"), "k3").collect()
+    assert len({r.surrogate for r in found}) == len(found) == 13
+    assert not {r.surrogate for r in found} & {r.text for r in found}
+
+
+def test_nothing_private_is_left(spark, documents):
+    got = {r.doc_id: r for r in queries.registered()["op8_surrogates"](spark, SMALL).collect()}
+    shapes = [r"[\w.+-]+@[\w-]+\.[\w.]+\w", r"\+\d \(\d+\) \d+-\d+", r"(?<!\w)\d{16}(?!\w)",
+              r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w)"]
+    seen = 0
+    for doc, text, *_ in documents:
+        private = [v for s in shapes for v in re.findall(s, text) if not re.fullmatch(r"\d{16}", v) or luhn(v)]
+        seen += len(private)
+        assert not [v for v in private if v in got[doc].text]
+        if not private:
+            assert got[doc].text == text and got[doc].n_entities == 0
+    assert seen > 10
+
+
+def test_surrogates_of_awkward_rows(spark, awkward, empty):
+    out = surrogates.replaced(awkward, "k", count_col="n")
+    assert out.drop("n").dtypes == awkward.dtypes
+    assert Counter(r.text for r in out.collect()) == Counter(r.text for r in awkward.collect())
+    assert surrogates.replaced(empty, "k").count() == 0
+
+
+def test_surrogates_run_without_python(spark):
+    plan = queries.registered()["op8_surrogates"](spark, SMALL)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# Secret forest
+
+
+def test_secrets_of_held_out_documents(spark):
+    """Trained on two thirds of the documents, judged on the others by their shapes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = secrets.dictionary(spark, queries.BYTE_BPE)
+    figures = written(secrets.featured(secrets.findings(docs), words), "figures")
+    out = queries.held_out(figures.id)
+    model = secrets.fit(secrets.labelled_by_shape(figures.where(~out)))
+    judged = secrets.scored(figures.where(out), model)
+    truth = secrets.labelled_by_shape(figures.where(out)).select("id", "number", "label")
+    rows = judged.join(truth, ["id", "number"]).collect()
+    assert sum(r.label for r in rows) >= 4 and len(rows) > 30
+    assert sum(r.kept == bool(r.label) for r in rows) >= 0.95 * len(rows)
+
+
+def test_findings_are_those_of_python(spark, documents):
+    got = secrets.findings(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()
+    shape = re.compile(r"(?<![A-Za-z0-9+/_\-À-ɏ])[A-Za-z0-9+/_\-]{16,}={0,2}(?![A-Za-zÀ-ɏ])")
+    expected = [(d[0], i + 1, m[0]) for d in documents for i, m in enumerate(shape.finditer(d[1]))]
+    assert sorted((r.id, r.number, r.value) for r in got) == sorted(expected)
+
+
+def test_coverage(spark):
+    words = spark.createDataFrame([("cat",), ("cats",), ("dog",)], "word string")
+    values = spark.createDataFrame([("xxCATsdogx",), ("zzzzzzzzzz",), ("dogdogdogd",)], "value string")
+    got = {r.value: r.coverage for r in secrets.coverage(values, words).collect()}
+    assert got == {"xxCATsdogx": 0.7, "zzzzzzzzzz": 0.0, "dogdogdogd": 0.9}
+
+
+def test_secret_scan_of_awkward_rows(spark, awkward, empty):
+    words = secrets.dictionary(spark, queries.BYTE_BPE)
+    text = 'password="a8Fj3kLm9QwErTyU" and internationalization {} 1234567890123456'
+    more = spark.createDataFrame(
+        [(100 + i, text.format("x" * (16 + i)), "en", "src/a.py", 1) for i in range(6)], awkward.select("doc_id", "text", "lang", "source", "n_chars").schema
+    )
+    docs = awkward.unionByName(more, allowMissingColumns=True)
+    got = secrets.scan(docs, words).collect()
+    by_value = {r.value: r.kept for r in got}
+    assert by_value["a8Fj3kLm9QwErTyU"] and not by_value["internationalization"]
+    assert {r.doc_id for r in got} == {8, *range(100, 106)}
+    found = secrets.featured(secrets.findings(empty), words)
+    assert found.count() == 0
+    with pytest.raises(ValueError, match="both kinds"):
+        secrets.fit(secrets.labelled_by_shape(found))
+
+
+def test_secret_scan_runs_without_python(spark):
+    plan = queries.registered()["op2_secret_forest"](spark, "/root/testdata/sf0.01")._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# Pipeline
+
+
+def test_pipeline_keeps_what_brute_force_keeps(spark, documents):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    columns = docs.dtypes
+    kept = {r.doc_id for r in queries.registered()["op9_fertility"](spark, SMALL).where("kept").collect()}
+    own = [(d[0], d[1]) for d in documents if d[0] in kept]
+    kept = {c for _, c, _ in links(own)}
+    dirty = {r.doc_id for r in queries.registered()["op6_decontaminate"](spark, SMALL).where("contaminated").collect()}
+    kept -= dirty
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SMALL), "stage")
+        assert docs.dtypes == columns
+    assert {r.doc_id for r in docs.collect()} == kept and docs.count() == len(kept)
+    assert all(r.n_chars == len(r.text) for r in docs.collect())
+    texts = {d[0]: d[1] for d in documents}
+    assert 0 < sum(r.text != texts[r.doc_id] for r in docs.collect()) < len(kept) / 2
+    out = corpus_pipeline.run(spark, SMALL)
+    assert {r.doc_id for r in out.collect()} == kept
+
+
+def test_pipeline_of_awkward_rows(spark, awkward, empty):
+    for frame in (awkward, empty):
+        docs = frame.select("doc_id", "text", "lang", "source", "n_chars")
+        for _, stage in corpus_pipeline.STAGES:
+            docs = written(stage(spark, docs, SMALL), "stage")
+        assert docs.count() <= frame.count()
+
+
+def test_tables_are_read_whole():
+    """No query of this package selects rows by id, a prefix of texts, or a number of rows."""
+    n = duckdb.sql(f"SELECT count(*) FROM '{SMALL}/documents.parquet'").fetchall()[0][0]
+    assert n == 200

@@ -167,24 +167,28 @@ def texts(stream: DataFrame) -> DataFrame:
 
 
 class Digest:
-    """The figures of one conversation, turn after turn; only hashes and counts are kept."""
+    """The figures of one conversation, row after row; only hashes and counts are kept."""
 
     def __init__(self, conv_id):
         self.conv_id, self.turns, self.chars, self.loss_chars = conv_id, 0, 0, 0
         self.all, self.loss = sha256(), sha256()
 
-    def add(self, piece: str, start: int, loss_from: int | None, loss_to: int | None) -> None:
-        """Read one turn back from its piece of the stream and the loss mask."""
+    def turn(self, piece: str) -> None:
+        """Read a turn back from its piece of the stream."""
         head, body = piece.removeprefix(OPEN).removesuffix(CLOSE).split(": ", 1)
-        self.turns += 1
-        self.chars += len(piece)
         for plain, coded in reversed(ROLE_CODES):
             head = head.replace(coded, plain)
+        self.turns += 1
+        self.chars += len(piece)
         self.all.update(f"{head}\n{unescaped(body)}\n".encode())
-        if loss_from is not None:
-            own = unescaped(piece[loss_from - start : loss_to - start])
-            self.loss_chars += len(own)
-            self.loss.update(own.encode())
+
+    def example(self, reply: str, context_chars: int) -> None:
+        """Read the trainable text of an example; its turn, the last of the stream, comes next."""
+        if context_chars != self.chars:
+            raise ValueError("the context of an example is not what precedes its reply")
+        own = unescaped(reply)
+        self.loss_chars += len(own)
+        self.loss.update(own.encode())
 
     def row(self) -> dict:
         return {
@@ -194,10 +198,10 @@ class Digest:
         }
 
 
-def digests(stream: DataFrame) -> DataFrame:
-    """Per conversation, read back from stream and loss mask: n_turns, turns_sha256, loss_chars,
-    loss_sha256, formatted_chars. Rows pass through in order; a hash has no halves, so one
-    conversation's rows go through one task, but no more than one row is held."""
+def digests(stream: DataFrame, found: DataFrame) -> DataFrame:
+    """Per conversation, read back from the stream and its examples ``found``: n_turns,
+    turns_sha256, loss_chars, loss_sha256, formatted_chars. Rows pass through in order; a hash has
+    no halves, so one conversation's rows go through one task, but no more than one row is held."""
     prepare(stream.sparkSession)
     kind = dict(stream.dtypes)["conv_id"]
     from pyspark.sql.pandas.types import to_arrow_type
@@ -211,22 +215,33 @@ def digests(stream: DataFrame) -> DataFrame:
     def work(batches) -> Iterator[pa.RecordBatch]:
         current, done = None, []
         for batch in batches:
-            for conv, _, piece, start, a, b in zip(
+            for conv, _, is_turn, text, context in zip(
                 *(c.to_pylist() for c in batch.columns), strict=True
             ):
                 if current is None or current.conv_id != conv:
                     if current is not None:
                         done.append(current.row())
                     current = Digest(conv)
-                current.add(piece, start, a, b)
+                if is_turn:
+                    current.turn(text)
+                else:
+                    current.example(text, context)
             if done:
                 yield pa.RecordBatch.from_pylist(done, schema=schema)
                 done = []
         if current is not None:
             yield pa.RecordBatch.from_pylist([current.row()], schema=schema)
 
-    rows = stream.select("conv_id", "position", "piece", "offset", "loss_from", "loss_to")
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "position").mapInArrow(
+    turns = stream.select(
+        "conv_id", "position", F.lit(True).alias("is_turn"), F.col("piece").alias("part"),
+        F.lit(None).cast("bigint").alias("context"),
+    )
+    replies = found.select(
+        "conv_id", F.col("example").alias("position"), F.lit(False).alias("is_turn"),
+        F.col("reply").alias("part"), F.col("context_chars").alias("context"),
+    )
+    rows = turns.unionByName(replies).repartition("conv_id")
+    return rows.sortWithinPartitions("conv_id", "position", "is_turn").mapInArrow(
         work, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint,"
         " loss_sha256 string, formatted_chars bigint",
     )

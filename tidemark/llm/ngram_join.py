@@ -267,19 +267,18 @@ def compared(groups: DataFrame, texts: DataFrame, join: Join, counting: bool) ->
     Gives links that connect what is similar, or (``counting``) per node and pair of blocks the
     documents it is linked to. A group is cut into blocks by hash so that a block has about
     BLOCK_ROWS members and BLOCK_BYTES of text; each pair of blocks is a task's work."""
-    sized = groups.join(texts, "node")
+    # Only numbers are dealt by group; texts are joined by node, when the pairs of blocks are known.
+    sized = groups.join(texts.select("node", "size"), "node")
     blocks = sized.groupBy("group").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum(F.octet_length("text")) / BLOCK_BYTES))
-        .cast("int").alias("blocks")
-    )
+        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("size") / BLOCK_BYTES)).cast("int").alias("blocks")
+    )
     own = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    dealt = sized.join(blocks, "group").select("group", "node", "n_docs", "text", own.alias("own"), "blocks").select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    )
+    dealt = sized.join(blocks, "group").select(
+        "group", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    )
     rows = dealt.select(
-        "group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "own", "node", "n_docs", "text",
-    )
+        "group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node"
+    ).join(texts, "node").select("group", "i", "j", "own", "node", "n_docs", "text")
 
     def work(batches):
         for (_, i, j), members in grouped_rows(batches, 3):
@@ -344,7 +343,8 @@ def linked_classes(
     sources = keyed(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")), "text", "key")
     texts = written(
         sources.join(wanted, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("least")))
-        .groupBy("node", "n_docs").agg(F.first("text").alias("text")),
+        .groupBy("node", "n_docs").agg(F.first("text").alias("text"))
+        .withColumn("size", F.octet_length("text")),
         "texts",
     )
     edges = buckets.where("node <> pivot").select("node", "pivot").distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, chat, decontaminate, fertility, language_id, materialise, ngram_join, secrets, surrogates, warc
-from tidemark.llm.cluster import folder
+from tidemark.llm.cluster import folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -90,7 +90,8 @@ def op5_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select(*names)
     own = [(-7, 0, "user", HOSTILE), (-7, 1, "assistant", HOSTILE)]
     rows = given.unionByName(spark.createDataFrame(own, given.schema))
-    return chat.digests(chat.ordered(chat.formatted(rows)))
+    stream = written(chat.ordered(chat.formatted(rows)), "chat-stream")
+    return chat.digests(stream, chat.examples(stream))
 
 
 @query
