@@ -83,7 +83,7 @@ def test_quality(spark, root):
     assert (stats.null_values, stats.rejected_rows, stats.revisions_detected) == (1, 0, 0)
     assert (stats.latest_main_year, stats.countries_below_target) == (2024, 1)
     results = run_checks(t).collect()
-    assert len(results) == len(STANDARD_CHECKS) == 20
+    assert len(results) == len(STANDARD_CHECKS) == 21
     assert all(r.failures == 0 for r in results)
     log = spark.read.parquet(f"{root}/data_quality_log")
     assert log.count() == 6 and log.where("check_name = 'pipeline_run'").count() == 1
@@ -127,6 +127,8 @@ def test_command_line(spark, tmp_path, capsys):
     out = capsys.readouterr().out
     assert "stg_rejected_rows: 4 rows" in out and "revisions_detected     | 1" in out
     assert main(["check", root], spark) == 0
+    assert main(["check", root, "--expect", "dim_indicator=4", "fact_health_indicator=15"], spark) == 0
+    assert main(["check", root, "--expect", "dim_indicator=5"], spark) == 1
     # South Africa now meets the target: nobody is below it and one view is empty.
     assert main(["verify", root], spark) == 1
     assert "below_threshold: 0 rows [EMPTY]" in capsys.readouterr().out

@@ -4,14 +4,14 @@ from types import SimpleNamespace
 
 import pytest
 
-from tidemark.session import MOST_PARTITIONS, shared_dir, shuffle_partitions, sized_shuffles
+from tidemark.session import PARTITION_BYTES, shared_dir, shuffle_partitions, sized_shuffles
 
 
 def test_shuffles_grow_with_the_input():
     assert shuffle_partitions(200, 10 * 2**20) == 200
     assert shuffle_partitions(200, 2**40) == 4096
-    assert shuffle_partitions(200, 100 * 2**40) == MOST_PARTITIONS
-    assert shuffle_partitions(50_000, 100 * 2**40) == 50_000
+    assert shuffle_partitions(200, 100 * 2**40) == 100 * 2**40 / PARTITION_BYTES == 409_600
+    assert shuffle_partitions(500_000, 100 * 2**40) == 500_000
 
 
 def test_sized_shuffles_gives_the_setting_back(spark):

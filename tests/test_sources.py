@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from helpers import FOUR_ROWS, HEADER, rows, write_snapshot
 from tidemark.config import Settings
+from tidemark.operators.quality import run_checks
 from tidemark.plans.refresh import raw_root, read_warehouse, run
 from tidemark.sources import snapshots
 from tidemark.sources.files import dated_folders, read_aliases, read_wide, snapshot_files
 from tidemark.sources.tables import current_paths, key_conflicts, read_published
-from tidemark.streaming.ingest import land_pending, refresh_folder, stream_snapshots
+from tidemark.streaming.ingest import land_pending, refresh_folders, stream_snapshots
 
 SETTINGS = Settings()
 RENAMES = SETTINGS.renames
@@ -200,7 +201,8 @@ def test_stream_takes_new_folders_only_oldest_first(spark, tmp_path):
 
     def drain():
         stream_snapshots(
-            spark, str(source), lambda _, day, folder: seen.append((str(day), folder)),
+            spark, str(source),
+            lambda _, found: seen.extend((str(d), p.split(":")[-1].replace("///", "/")) for d, own in found.items() for p in own),
             checkpoint=str(tmp_path / "checkpoint"),
         ).awaitTermination()
 
@@ -218,13 +220,129 @@ def test_refresh_as_a_stream(spark, tmp_path):
     write_snapshot(source, "2024-01-08", ["Kenya,KEN,2024,91,88,91,89"])
     aliases = tmp_path / "aliases.csv"
     aliases.write_text("alias,iso_code,notes\nKenya,KEN,\n")
-    step = refresh_folder(root, SETTINGS, str(aliases))
+    step = refresh_folders(root, SETTINGS, str(aliases))
     stream_snapshots(spark, str(source), step, checkpoint=str(tmp_path / "c")).awaitTermination()
     t = read_published(spark, root)
     assert rows(t["stg_data_revisions"], "region_key", "old_value", "new_value") == [("KEN", 90.0, 91.0)]
     assert dated_folders(spark, raw_root(root)) == ["2024-01-01", "2024-01-08"]
 
 
+LATE = ["Peru,PER,2024,88,1,1,1"]
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_late_and_additional_files(spark, tmp_path, files_per_batch):
+    """An older date never takes the place of the newest, whatever the number of files a batch has."""
+    source, root = tmp_path / "source", str(tmp_path / "root")
+
+    def refresh():
+        step = refresh_folders(root, SETTINGS)
+        stream_snapshots(
+            spark, str(source), step, str(tmp_path / "c"), files_per_batch=files_per_batch
+        ).awaitTermination()
+        return {n: df.drop("loaded_at", "detected_at") for n, df in read_published(spark, root).items()}
+
+    write_snapshot(source, "2026-02-15")
+    write_snapshot(source, "2026-02-22", ["Kenya,KEN,2025,91,88,91,89"])
+    write_snapshot(source, "2026-02-22", LATE, name="more.csv")
+    t = refresh()
+    assert rows(t["stg_regions"], "region_key") == [("KEN",), ("PER",)]
+    write_snapshot(source, "2026-02-15", ["Kenya,KEN,2025,70,88,91,89"], name="late.csv")
+    t = refresh()
+    assert rows(t["stg_regions"], "region_key") == [("KEN",), ("PER",)]
+    assert rows(t["stg_data_revisions"], "region_key", "old_value", "new_value") == [("KEN", 70.0, 91.0)]
+    assert rows(t["dim_date"], "year") == [(2024,), (2025,)]
+
+
+def test_a_second_file_of_a_landed_date(spark, tmp_path):
+    source, root = tmp_path / "source", str(tmp_path / "root")
+    write_snapshot(source, "2026-02-15")
+    assert land_pending(spark, str(source), root, SETTINGS) == ["2026-02-15"]
+    write_snapshot(source, "2026-02-15", LATE, name="more.csv")
+    assert land_pending(spark, str(source), root, SETTINGS) == ["2026-02-15"]
+    assert land_pending(spark, str(source), root, SETTINGS) == []
+    landed = snapshots.read_snapshot(spark, raw_root(root), "2026-02-15")
+    assert rows(landed.groupBy("file").count()) == [("coverage.csv", 4), ("more.csv", 1)]
+
+
+def test_folders_named_by_a_column_and_nested_ones(spark, tmp_path):
+    source, root = tmp_path / "source", str(tmp_path / "root")
+    write_snapshot(source, "snapshot_date=2026-02-15")
+    write_snapshot(source / "deeper", "2026-02-22", LATE)
+    stream_snapshots(spark, str(source), refresh_folders(root, SETTINGS), str(tmp_path / "c")).awaitTermination()
+    assert dated_folders(spark, raw_root(root)) == ["2026-02-15", "2026-02-22"]
+    assert land_pending(spark, str(source), str(tmp_path / "other"), SETTINGS) == ["2026-02-15", "2026-02-22"]
+
+
+def test_lines_with_too_many_fields_are_kept_apart(spark, tmp_path):
+    source, root = tmp_path / "source", str(tmp_path / "root")
+    bad = 'Korea, South,KOR,2024,90,91,92,93'
+    path = write_snapshot(source, "2026-02-15", [*FOUR_ROWS, bad, '"Bonaire, BES",BES,2024,1,2,3', "Chad,TCD"])
+    with pytest.raises(Exception, match="too many fields: Korea, South"):
+        read_wide(spark, str(path), RENAMES).collect()
+    with pytest.raises(Exception, match="too many fields"):
+        read_wide(spark, str(path), RENAMES).select("year").collect()
+    df = read_wide(spark, str(path), RENAMES, malformed_col="line")
+    assert df.count() == 7 and rows(df.where("line is not null"), "region_name", "line") == [(None, bad)]
+    assert rows(df.where("iso_code in ('BES', 'TCD')"), "region_name", "year") == [
+        ("Bonaire, BES", "2024"), ("Chad", None),
+    ]
+    land_pending(spark, str(source), root, SETTINGS)
+    run(spark, root, "2026-02-15", SETTINGS, datetime(2026, 3, 1))
+    rejected = read_published(spark, root)["stg_rejected_rows"]
+    assert rows(rejected.where("raw_line is not null"), "source_row", "reject_reason", "raw_line") == [
+        (df_row(spark, root), "malformed_line", bad)
+    ]
+    assert read_published(spark, root)["stg_regions"].where("region_name like 'Korea%'").count() == 0
+
+
+def df_row(spark, root):
+    landed = snapshots.read_snapshot(spark, raw_root(root), "2026-02-15")
+    return landed.where("malformed_line is not null").first().source_row
+
+
+def test_rows_are_in_the_order_of_files(spark, tmp_path):
+    """A small file before a large one of several splits, which Spark reads first."""
+    folder = tmp_path / "2026-02-15"
+    write_snapshot(tmp_path, "2026-02-15", ["Kenya,KEN,2024,1,1,1,1"], name="a.csv")
+    many = [f"Region {i},R{i:05},2024,1,1,1,1" for i in range(4000)]
+    write_snapshot(tmp_path, "2026-02-15", many, name="b.csv")
+    name, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(name, "20000")
+    try:
+        df = read_wide(spark, str(folder), RENAMES, row_id="source_row", file_col="file")
+        got = [(r.region_name, r.file) for r in sorted(df.collect(), key=lambda r: r.source_row)]
+        (tmp_path / "aliases").mkdir()
+        (tmp_path / "aliases" / "a.csv").write_text("alias,iso_code,notes\nX,OLD,\n")
+        (tmp_path / "aliases" / "b.csv").write_text(
+            "alias,iso_code,notes\n" + "".join(f"Y{i},Y,\n" for i in range(3000)) + "X,NEW,\n"
+        )
+        aliases = read_aliases(spark, str(tmp_path / "aliases"))
+        last = aliases.where("alias = 'X'").orderBy(F.desc("alias_row")).first().iso_code
+    finally:
+        spark.conf.set(name, before)
+    assert got == [("Kenya", "a.csv"), *((f"Region {i}", "b.csv") for i in range(4000))]
+    assert last == "NEW" and df.select("source_row").distinct().count() == 4001
+
+
+def test_repeated_keys_without_values_fail_a_check(spark, tmp_path):
+    source, root = tmp_path / "source", str(tmp_path / "root")
+    write_snapshot(source, "2026-02-15", ["Kenya,KEN,2024,,,,", "Kenya,KEN,2024,,,,"])
+    land_pending(spark, str(source), root, SETTINGS)
+    run(spark, root, "2026-02-15", SETTINGS, datetime(2026, 3, 1))
+    failed = run_checks(read_published(spark, root)).where("failures > 0")
+    assert rows(failed, "table_name", "check_name", "failures") == [
+        ("stg_health_indicators", "unique_combination", 4)
+    ]
+
+
+def test_appended_folders_are_one_scan(spark, landed):
+    run(spark, landed, "2026-02-15", SETTINGS, datetime(2026, 3, 1))
+    run(spark, landed, "2026-03-01", SETTINGS, datetime(2026, 3, 2), mode="append")
+    plan = read_published(spark, landed)["stg_health_indicators"]._jdf.queryExecution().toString()
+    assert "Union" not in plan
+
+
 def test_header_text_is_what_the_settings_expect():
     names = [i.source_col for i in SETTINGS.indicators]
     assert all(n in HEADER for n in names)

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from tidemark.config import Settings
 from tidemark.functions.coverage import AT_TARGET, LOW, MODERATE
 from tidemark.operators.metrics import quality_stats, view_status
-from tidemark.operators.quality import LENGTH_CHECKS, STANDARD_CHECKS, run_checks
+from tidemark.operators.quality import LENGTH_CHECKS, STANDARD_CHECKS, RowCount, run_checks
 from tidemark.plans import reports
 from tidemark.plans.refresh import raw_root, read_warehouse, run
-from tidemark.session import build_session
+from tidemark.session import build_session, sized_shuffles
 from tidemark.sources.files import dated_folders, read_aliases
 from tidemark.sources.snapshots import source_row_counts
-from tidemark.sources.tables import MODES, read_published
-from tidemark.streaming.ingest import land_pending, refresh_folder, stream_snapshots
+from tidemark.sources.tables import MODES, published_bytes, read_published
+from tidemark.streaming.ingest import land_pending, refresh_folders, stream_snapshots
 
 SETTINGS = Settings()
 COVERAGE = "coverage_pct"
@@ -42,7 +42,9 @@ def land(spark: SparkSession, args: argparse.Namespace) -> int:
     days = land_pending(spark, args.source, args.root, SETTINGS, again=args.again)
     if days:
         landed = spark.read.parquet(raw_root(args.root))
-        source_row_counts(landed.where(F.col("snapshot_date").isin(days))).show(1000, False)
+        counts = source_row_counts(landed.where(F.col("snapshot_date").isin(days)))
+        for row in counts.orderBy("snapshot_date", "file").toLocalIterator():
+            print(f"{row.snapshot_date} {row.file}: {row.row_count} rows")
     return 0
 
 
@@ -58,27 +60,30 @@ def build(spark: SparkSession, args: argparse.Namespace) -> int:
     ).counts.items():
         print(f"{name}: {rows} rows")
     tables = read_published(spark, args.root)
-    quality_stats(
-        tables["stg_health_indicators"],
-        tables["stg_regions"],
-        tables["stg_rejected_rows"],
-        tables["stg_data_revisions"],
-        tables["stg_revision_values"],
-        SETTINGS.main_indicator,
-        SETTINGS.threshold,
-    ).show(vertical=True, truncate=False)
+    with sized_shuffles(spark, published_bytes(spark, args.root)):
+        quality_stats(
+            tables["stg_health_indicators"],
+            tables["stg_regions"],
+            tables["stg_rejected_rows"],
+            tables["stg_data_revisions"],
+            tables["stg_revision_values"],
+            SETTINGS.main_indicator,
+            SETTINGS.threshold,
+        ).show(vertical=True, truncate=False)
     return 0
 
 
 def refresh(spark: SparkSession, args: argparse.Namespace) -> int:
-    step = refresh_folder(args.root, SETTINGS, args.aliases)
+    step = refresh_folders(args.root, SETTINGS, args.aliases)
     stream_snapshots(spark, args.source, step, f"{args.root}/_seen").awaitTermination()
     return 0
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> int:
-    checks = (*STANDARD_CHECKS, *LENGTH_CHECKS)
-    results = run_checks(read_published(spark, args.root), checks).collect()
+    expected = [RowCount(name, int(n)) for name, n in (x.split("=") for x in args.expect)]
+    checks = (*STANDARD_CHECKS, *LENGTH_CHECKS, *expected)
+    with sized_shuffles(spark, published_bytes(spark, args.root)):
+        results = run_checks(read_published(spark, args.root), checks).collect()
     for r in results:
         state = "pass" if r.failures == 0 else f"FAIL {r.failures}"
         print(f"{r.check_name} {r.table_name}.{r.column_name}: {state}")
@@ -86,7 +91,8 @@ def check(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def verify(spark: SparkSession, args: argparse.Namespace) -> int:
-    rows = view_status(_reports(spark, args.root)).collect()
+    with sized_shuffles(spark, published_bytes(spark, args.root)):
+        rows = view_status(_reports(spark, args.root)).collect()
     for r in rows:
         print(f"{r.view_name}: {r.row_count} rows [{r.status}]")
     return int(any(r.status == "EMPTY" for r in rows))
@@ -99,7 +105,8 @@ def show(spark: SparkSession, args: argparse.Namespace) -> int:
         report = reports.trends_for(report, args.regions)
     if args.report == "comparison":
         report = reports.comparison_by_band(report, args.band)
-    report.show(args.rows, False)
+    with sized_shuffles(spark, published_bytes(spark, args.root)):
+        report.show(args.rows, False)
     return 0
 
 
@@ -123,7 +130,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--date", help="snapshot date; the newest if left out")
     sub.add_argument("--mode", choices=MODES, default="replace")
     step(refresh, "land and build for each new folder, oldest first", source=True, aliases=True)
-    step(check, "run the data tests; fails if one does")
+    sub = step(check, "run the data tests; fails if one does")
+    sub.add_argument("--expect", nargs="*", default=[], metavar="TABLE=ROWS", help="exact row counts")
     step(verify, "count the rows of each report; fails if one is empty")
     sub = step(show, "print a report")
     sub.add_argument("report", choices=["trends", "comparison", "below_threshold"])

@@ -58,11 +58,12 @@ class Relationship(NamedTuple):
 RowCheck = NotNull | AcceptedRange | MaxLength | RowCount
 Check = RowCheck | Unique | Relationship
 
-# The tests of the warehouse, the staging tables and their keys.
+# The tests of the warehouse, the staging tables and their keys.
 STANDARD_CHECKS: tuple[Check, ...] = (
     NotNull("stg_health_indicators", "region_key"),
     NotNull("stg_health_indicators", "year"),
     NotNull("stg_health_indicators", "indicator_code"),
+    Unique("stg_health_indicators", ["region_key", "year", "indicator_code"]),
     NotNull("stg_regions", "region_key"),
     Unique("stg_regions", ["region_key"]),
     NotNull("dim_region", "region_key"),
@@ -93,10 +94,17 @@ LENGTH_CHECKS: tuple[Check, ...] = (
     MaxLength("stg_health_indicators", "indicator_name", 200),
     MaxLength("stg_health_indicators", "indicator_category", 50),
     MaxLength("stg_health_indicators", "indicator_unit", 20),
+    MaxLength("stg_regions", "region_key", 50),
+    MaxLength("stg_regions", "region_name", 200),
+    MaxLength("stg_regions", "iso_code", 20),
+    MaxLength("stg_regions", "region_type", 20),
     MaxLength("stg_rejected_rows", "region_name", 200),
     MaxLength("stg_rejected_rows", "iso_code", 20),
     MaxLength("stg_rejected_rows", "reject_reason", 200),
+    MaxLength("stg_rejected_rows", "indicator_code", 50),
     MaxLength("stg_data_revisions", "region_key", 50),
+    MaxLength("stg_data_revisions", "indicator_code", 50),
+    MaxLength("stg_data_revisions", "prior_snapshot", 20),
 )
 
 

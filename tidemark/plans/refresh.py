@@ -39,12 +39,14 @@ from tidemark.sources.tables import (
     key_conflicts,
     new_run_id,
     publish,
+    published_bytes,
     read_paths,
     read_published,
     table_path,
     write_tables,
 )
 
+MALFORMED = "malformed_line"
 PRIMARY_KEYS = {"stg_health_indicators": KEYS, "stg_regions": ("region_key",)}
 
 
@@ -87,6 +89,8 @@ def run(
     prior = prior_snapshot_date(landed_dates(spark, root), snapshot_date).first()[0]
     snapshots = [str(d) for d in (snapshot_date, prior) if d is not None]
     volume = sum(folder_bytes(spark, f"{raw_root(root)}/snapshot_date={d}") for d in snapshots)
+    if mode == "append":  # the warehouse is built from what is loaded already as well
+        volume += published_bytes(spark, root)
     frames = [read_snapshot(spark, raw_root(root), d) for d in snapshots]
     if not present_indicators(frames[0], settings.indicators):
         raise ValueError(f"snapshot {snapshot_date} has none of the configured indicators")
@@ -130,14 +134,16 @@ def _write_all(
         counts.update(write_tables(frames, root, run_id))
         return {n: read_paths(spark, n, [table_path(root, run_id, n)]) for n in frames}
 
-    typed, *before = [typed_wide(s, settings, aliases) for s in snapshots]
+    typed, *before = [typed_wide(well_formed(s), settings, aliases) for s in snapshots]
     revisions = None
     if before:
         revisions = snapshot_revisions(typed, *before, settings, prior_date)
         revisions = revisions.withColumn("detected_at", stamp)
     first = write(
         stg_data_revisions=_or_empty(spark, revisions, "stg_data_revisions"),
-        stg_rejected_rows=quarantined_rows(typed, settings, as_of_year, stamp, row_col),
+        stg_rejected_rows=_with_malformed(
+            quarantined_rows(typed, settings, as_of_year, stamp, row_col), snapshots[0], stamp, row_col
+        ),
         stg_regions=_by_name(seen_regions(typed, settings, as_of_year, row_col)),
     )
 
@@ -167,6 +173,26 @@ def _write_all(
     return counts
 
 
+def well_formed(wide: DataFrame) -> DataFrame:
+    """The rows of a landed snapshot whose lines had no more fields than the header."""
+    if MALFORMED not in wide.columns:
+        return wide
+    return wide.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
+def _with_malformed(rejected: DataFrame, wide: DataFrame, stamp: Column, row_col: str) -> DataFrame:
+    """The rejected rows and, as one row each, the lines that were malformed."""
+    if MALFORMED not in wide.columns:
+        return rejected.withColumn("raw_line", F.lit(None).cast("string"))
+    lines = wide.where(F.col(MALFORMED).isNotNull()).select(
+        F.col(row_col).cast("bigint").alias("source_row"),
+        F.lit("malformed_line").alias("reject_reason"),
+        F.col(MALFORMED).alias("raw_line"),
+        stamp.alias("loaded_at"),
+    )
+    return rejected.unionByName(lines, allowMissingColumns=True)
+
+
 def _or_empty(spark: SparkSession, df: DataFrame | None, name: str) -> DataFrame:
     return spark.createDataFrame([], STAGING[name]) if df is None else df
 

@@ -6,13 +6,16 @@ from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.config import NA_TOKENS
 from tidemark.functions.text import null_if_in, quoted, strip_text
 
 ALIAS_SCHEMA = "alias string, iso_code string, notes string"
+_LINE = "_line"
+_FILE_BITS = 42  # for the place in a file: four terabytes
 _SNAPSHOT_DATE = r"(?:^|[/=])(\d{4}-\d{2}-\d{2})/[^/]+$"
 
 
@@ -32,27 +35,61 @@ def read_wide(
     row_id: str | None = None,
     file_col: str | None = None,
     multi_line: bool = False,
+    malformed_col: str | None = None,
 ) -> DataFrame:
     """A wide snapshot, columns taken from the header and all read as text.
 
-    ``row_id`` names a column that identifies each row of this read, in file order; land the
+    ``row_id`` names a column that numbers the rows in file order, see ``file_order``; land the
     snapshot before relying on it. ``file_col`` names a column for the name of the file.
     ``enforceSchema=False`` makes files whose header differs from the first one fail rather than
-    be read by position. Quoted line breaks need ``multi_line``, at the price of one task per
-    file."""
-    raw = spark.read.csv(
-        path, header=True, quote='"', escape='"', enforceSchema=False, multiLine=multi_line
+    be read by position. A line with fewer fields than the header ends in nulls. One with more is
+    never cut: reading fails, unless ``malformed_col`` names a column for such lines as they are;
+    their other columns are null. Quoted line breaks need ``multi_line``, at the price of one task
+    per file."""
+    options = dict(header=True, quote='"', escape='"', enforceSchema=False, multiLine=multi_line)
+    header = spark.read.csv(path, **options).schema
+    schema = StructType([*header.fields, StructField(_LINE, StringType())])
+    raw = spark.read.option("columnPruning", "false").csv(
+        path, schema=schema, mode="PERMISSIVE", columnNameOfCorruptRecord=_LINE, **options
     )
-    extra = []
+    # The reader keeps each line whose number of fields is not the header's.
+    bare = F.regexp_replace(_LINE, r'"[^"]*"?', "")
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    too_many = F.col(_LINE).isNotNull() & (commas >= len(header.fields))
+    if malformed_col:
+        bad, more = F.lit(None).cast("string"), [F.when(too_many, F.col(_LINE)).alias(malformed_col)]
+    else:
+        bad, more = F.raise_error(F.concat(F.lit("too many fields: "), F.col(_LINE))), []
     if row_id:
-        extra.append(F.monotonically_increasing_id().alias(row_id))
+        raw, order = file_order(raw, path)
+        more.append(order.alias(row_id))
     if file_col:
-        extra.append(F.col("_metadata.file_name").alias(file_col))
-    columns = normalised_columns(raw, na_tokens)
-    return raw.select(*columns, *extra).withColumnsRenamed(dict(renames))
+        more.append(F.col("_metadata.file_name").alias(file_col))
+    columns = [
+        F.when(too_many, bad).otherwise(null_if_in(quoted(c), na_tokens)).alias(c)
+        for c in header.names
+    ]
+    return raw.select(*columns, *more).withColumnsRenamed(dict(renames))
+
+
+def file_order(raw: DataFrame, path: str | Sequence[str]) -> tuple[DataFrame, Column]:
+    """``raw``, read from the files at ``path``, and a number that grows with file and line.
+
+    Files are in order of their paths. Within one, a row counts from the first byte of its split,
+    which is larger than the number of any row before it: a row has a byte at least, and a split
+    that others follow fills its task alone. One row per file is listed, none is opened."""
+    files = raw.sparkSession.read.format("binaryFile").load(path)
+    by_path = Window.orderBy("_path")
+    ranks = files.select(F.col("_metadata.file_path").alias("_path")).select(
+        "_path", (F.row_number().over(by_path) - 1).cast("bigint").alias("_rank")
+    )
+    placed = raw.select("*", F.col("_metadata"), F.monotonically_increasing_id().alias("_id"))
+    placed = placed.join(ranks, placed["_metadata.file_path"] == F.col("_path"), "left")
+    row = F.col("_id").bitwiseAND(F.lit(2**33 - 1))
+    return placed, F.col("_rank") * 2**_FILE_BITS + F.col("_metadata.file_block_start") + row
 
 
-def read_aliases(spark: SparkSession, path: str) -> DataFrame:
+def read_aliases(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """The alias table with a row number in file order; no rows where there is no such file."""
     try:
         raw = spark.read.csv(path, header=True, quote='"', escape='"')
@@ -60,11 +97,13 @@ def read_aliases(spark: SparkSession, path: str) -> DataFrame:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], ALIAS_SCHEMA + ", alias_row bigint")
-    return raw.select(*normalised_columns(raw)).select(
+    columns = normalised_columns(raw)
+    raw, order = file_order(raw, path)
+    return raw.select(*columns, order.alias("alias_row")).select(
         strip_text(F.col("alias")).alias("alias"),
         strip_text(F.col("iso_code")).alias("iso_code"),
         "notes",
-        F.monotonically_increasing_id().alias("alias_row"),
+        "alias_row",
     )
 
 
@@ -111,10 +150,11 @@ def snapshot_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFr
 
 
 def with_snapshot_date(listing: DataFrame) -> DataFrame:
-    """(snapshot_date, file, path) for each ``path`` below a folder named by a date."""
+    """(snapshot_date, file, folder, path) for each ``path`` below a folder named by a date."""
     found = F.regexp_extract("path", _SNAPSHOT_DATE, 1)
     return listing.select(
         F.try_to_date(F.when(found != "", found), "yyyy-MM-dd").alias("snapshot_date"),
         F.element_at(F.split("path", "/"), -1).alias("file"),
+        F.regexp_replace("path", "/[^/]+$", "").alias("folder"),
         "path",
     ).where(F.col("snapshot_date").isNotNull())

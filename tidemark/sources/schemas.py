@@ -42,7 +42,8 @@ STAGING: Mapping[str, T.StructType] = {
     ),
     "stg_rejected_rows": _schema(
         "source_row bigint, region_name string, iso_code string, year int,"
-        " indicator_code string, value double, reject_reason string, loaded_at timestamp"
+        " indicator_code string, value double, reject_reason string, raw_line string,"
+        " loaded_at timestamp"
     ),
     "stg_data_revisions": _schema(
         "region_key string, year int, indicator_code string, old_value double,"

@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import folder_bytes
 from tidemark.sources.schemas import PARTITIONS, SCHEMAS, STAGING, conform
 
 MODES = ("replace", "append")
@@ -61,12 +62,7 @@ def write_tables(frames: Mapping[str, DataFrame], root: str, run_id: str) -> dic
 
 def read_paths(spark: SparkSession, name: str, paths: Sequence[str]) -> DataFrame:
     """A table kept in one or more folders, read with its fixed schema."""
-    schema = SCHEMAS[name]
-    frames = [spark.read.schema(schema).parquet(p) for p in paths]
-    whole = frames[0]
-    for frame in frames[1:]:
-        whole = whole.unionByName(frame)
-    return whole
+    return spark.read.schema(SCHEMAS[name]).parquet(*paths)
 
 
 def publish(
@@ -114,6 +110,12 @@ def current_paths(spark: SparkSession, root: str) -> dict[str, list[str]]:
     return paths
 
 
+def published_bytes(spark: SparkSession, root: str) -> int:
+    """The size of all tables that are current, for sizing jobs that read them."""
+    paths = (p for own in current_paths(spark, root).values() for p in own)
+    return sum(folder_bytes(spark, p) for p in paths)
+
+
 def read_published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Every published table by name, as of now."""
     return {n: read_paths(spark, n, p) for n, p in current_paths(spark, root).items()}

@@ -4,17 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import Settings
-from tidemark.plans.refresh import raw_root, run
+from tidemark.plans.refresh import MALFORMED, raw_root, run
 from tidemark.session import shared_dir
-from tidemark.sources.files import dated_folders, read_aliases, read_wide, with_snapshot_date
-from tidemark.sources.snapshots import land_snapshot
-
-OnSnapshot = Callable[[SparkSession, date, str], None]
+from tidemark.sources.files import (
+    dated_folders,
+    read_aliases,
+    read_wide,
+    snapshot_files,
+    with_snapshot_date,
+)
+from tidemark.sources.snapshots import land_snapshot, pending_snapshots
+
+# Called with each date and the folders that hold its files, oldest first.
+OnSnapshots = Callable[[SparkSession, dict[date, list[str]]], None]
 
 # What a binary-file source reports per file; only the path is ever read.
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
@@ -23,17 +32,18 @@ _LISTING = "path string, modificationTime timestamp, length bigint, content bina
 def stream_snapshots(
     spark: SparkSession,
     source_root: str,
-    on_snapshot: OnSnapshot,
+    on_snapshots: OnSnapshots,
     checkpoint: str | None = None,
     pattern: str = "*.csv",
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Call ``on_snapshot(spark, date, folder)`` for each dated folder that has new files, oldest
-    first, then stop.
+    """Call ``on_snapshots(spark, folders)`` for the dated folders that have new files, then stop.
 
     The stream carries file names only, so its checkpoint remembers which files were seen, while
-    the rows are read by ``on_snapshot`` as an ordinary job with the header of the file. A batch
-    may be delivered again after a failure: ``on_snapshot`` has to replace, not add."""
+    the rows are read by ``on_snapshots`` as an ordinary job with the header of the file. A date
+    comes with all its folders as they are found then, so how many files make a batch does not
+    change what it gets last. A batch may be delivered again after a failure: ``on_snapshots`` has
+    to replace, not add. The checkpoint belongs to one source and one purpose."""
     listing = (
         spark.readStream.format("binaryFile")
         .schema(_LISTING)
@@ -45,47 +55,63 @@ def stream_snapshots(
     )
 
     def each_batch(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
         days = with_snapshot_date(batch).select("snapshot_date").distinct()
-        # At most one row per file of the batch, and the batch is limited.
-        for row in sorted(days.collect()):
-            day = row.snapshot_date
-            on_snapshot(batch.sparkSession, day, f"{source_root}/{day}")
+        files = snapshot_files(session, source_root, pattern)
+        on_snapshots(session, _folders(files.join(days, "snapshot_date", "left_semi")))
 
+    own = sha256(f"{source_root}|{pattern}".encode()).hexdigest()[:16]
     return (
         listing.writeStream.foreachBatch(each_batch)
-        .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/snapshot-stream")
+        .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/snapshot-stream-{own}")
         .trigger(availableNow=True)
         .start()
     )
 
 
-def land_folder(raw: str, settings: Settings, pattern: str = "*.csv") -> OnSnapshot:
-    """An ``on_snapshot`` that reads a folder's files and lands them under their date."""
+def _folders(files: DataFrame) -> dict[date, list[str]]:
+    """Dates and their folders, a row per folder, oldest date first."""
+    found: dict[date, list[str]] = {}
+    for row in files.select("snapshot_date", "folder").distinct().orderBy("snapshot_date", "folder").collect():
+        found.setdefault(row.snapshot_date, []).append(row.folder)
+    return found
+
 
-    def land(spark: SparkSession, day: date, folder: str) -> None:
-        wide = read_wide(
-            spark,
-            f"{folder}/{pattern}",
-            settings.renames,
-            settings.na_tokens,
-            row_id="source_row",
-            file_col="file",
-        )
-        land_snapshot(wide, raw, day)
+def land_folders(raw: str, settings: Settings, pattern: str = "*.csv") -> OnSnapshots:
+    """An ``on_snapshots`` that reads the files of each date and lands them under it. Lines with
+    too many fields are landed as they are, in ``malformed_line``."""
+
+    def land(spark: SparkSession, folders: dict[date, list[str]]) -> None:
+        for day, paths in folders.items():
+            wide = read_wide(
+                spark,
+                [f"{path}/{pattern}" for path in paths],
+                settings.renames,
+                settings.na_tokens,
+                row_id="source_row",
+                file_col="file",
+                malformed_col=MALFORMED,
+            )
+            land_snapshot(wide, raw, day)
 
     return land
 
 
-def refresh_folder(
+def refresh_folders(
     root: str, settings: Settings, alias_path: str | None = None, pattern: str = "*.csv"
-) -> OnSnapshot:
-    """An ``on_snapshot`` for the whole chain: land a folder, then publish a run of it."""
-    land = land_folder(raw_root(root), settings, pattern)
-
-    def refresh(spark: SparkSession, day: date, folder: str) -> None:
-        land(spark, day, folder)
+) -> OnSnapshots:
+    """An ``on_snapshots`` for the whole chain: land all dates, then publish one run of the newest
+    date that is landed. Files that come late for an older date change what the newest is compared
+    with, and never take its place; ``run`` publishes an older date for who asks for it."""
+    land = land_folders(raw_root(root), settings, pattern)
+
+    def refresh(spark: SparkSession, folders: dict[date, list[str]]) -> None:
+        if not folders:
+            return
+        land(spark, folders)
+        newest = dated_folders(spark, raw_root(root))[-1]
         aliases = read_aliases(spark, alias_path) if alias_path else None
-        run(spark, root, day, settings, datetime.now(timezone.utc), aliases)
+        run(spark, root, newest, settings, datetime.now(timezone.utc), aliases)
 
     return refresh
 
@@ -98,12 +124,24 @@ def land_pending(
     pattern: str = "*.csv",
     again: bool = False,
 ) -> list[str]:
-    """Land every dated folder that is not landed yet, or all of them ``again``; no stream, no
-    checkpoint. Returns the dates."""
+    """Land every date that has a file which is not landed yet, with all its files, or all dates
+    ``again``; no stream, no checkpoint. Returns the dates."""
     raw = raw_root(root)
-    known = set() if again else set(dated_folders(spark, raw))
-    days = [d for d in dated_folders(spark, source_root) if d not in known]
-    land = land_folder(raw, settings, pattern)
-    for day in days:
-        land(spark, date.fromisoformat(day), f"{source_root}/{day}")
-    return days
+    if not dated_folders(spark, source_root):
+        return []
+    files = snapshot_files(spark, source_root, pattern)
+    if not again:
+        days = pending_snapshots(files, _landed_files(spark, raw)).select("snapshot_date").distinct()
+        files = files.join(days, "snapshot_date", "left_semi")
+    folders = _folders(files)
+    land_folders(raw, settings, pattern)(spark, folders)
+    return [str(day) for day in folders]
+
+
+def _landed_files(spark: SparkSession, raw: str) -> DataFrame:
+    """The dates and names of the files that are landed; one column is read of each snapshot."""
+    if dated_folders(spark, raw):
+        landed = spark.read.option("mergeSchema", "true").parquet(raw)
+        if "file" in landed.columns:
+            return landed.select(F.col("snapshot_date").cast("date"), "file")
+    return spark.createDataFrame([], "snapshot_date date, file string")

@@ -216,6 +216,13 @@ _CHECKS = "\nUNION ALL ".join(
         _not_null("stg_health_indicators", "region_key", "staged", "region_key"),
         _not_null("stg_health_indicators", "year", "staged", "year"),
         _not_null("stg_health_indicators", "indicator_code", "staged", "indicator_code"),
+        _unique(
+            "stg_health_indicators",
+            "region_key,year,indicator_code",
+            "staged",
+            "region_key, year, indicator_code",
+            "unique_combination",
+        ),
         _not_null("stg_regions", "region_key", "regions", "region_key"),
         _unique("stg_regions", "region_key", "regions", "region_key"),
         _not_null("dim_region", "region_key", "regions", "region_key"),
@@ -245,6 +252,23 @@ _CHECKS = "\nUNION ALL ".join(
     ]
 )
 
+_BOTH_LANDED = """
+SELECT '2024-01-15' AS snapshot_date, k, y, entity AS region_name, code AS iso_code, year, ind_f,
+  ind_a, ind_b, ind_c FROM wide
+UNION ALL SELECT '2024-01-08', k, y, entity, code, year, ind_f, ind_a, ind_b, ind_c FROM prior_wide"""
+
+_STAGE_ROWS = """
+SELECT s.region_key, s.region_name, s.iso_code, s.region_type, s.year, s.indicator_code,
+  i.indicator_name, i.indicator_category, i.indicator_unit, s.value, s.is_missing, s.is_revised,
+  s.is_estimated FROM staged s JOIN indicators i USING (indicator_code)"""
+
+_ALIASED = """
+SELECT l.k, l.y, l.region_name,
+  coalesce(l.iso_code, CASE WHEN p.p_partkey % 20 = 10
+    THEN concat('C', lpad(CAST(p.p_partkey AS VARCHAR), 7, '0')) END) AS iso_code
+FROM long l LEFT JOIN part p ON l.region_name = concat(p.p_name, ' ', CAST(p.p_partkey AS VARCHAR))
+WHERE l.indicator_code = 'F'"""
+
 _STATEMENTS: dict[str, str] = {
     # Sources and sinks
     "read_wide_roundtrip": _with(
@@ -253,17 +277,58 @@ _STATEMENTS: dict[str, str] = {
 SELECT CAST(k AS VARCHAR) AS k, CAST(y AS VARCHAR) AS y, entity AS region_name, code AS iso_code,
   nullif(year, 'n/a') AS year, ind_f, ind_a, ind_b, ind_c FROM wide""",
     ),
-    "land_snapshot_idempotent": _with(
+    "read_wide_malformed": _with(
         [_WIDE],
         """
-SELECT '2024-01-15' AS snapshot_date, k, y, entity AS region_name, ind_f FROM wide
-UNION ALL SELECT '2024-01-08', k, y, entity, ind_f FROM prior_wide""",
-    ),
-    "stream_ingest": _with(
+SELECT CAST(k AS VARCHAR) AS k, CAST(y AS VARCHAR) AS y, entity AS region_name, code AS iso_code,
+  nullif(year, 'n/a') AS year, ind_f, ind_a, ind_b, ind_c, NULL AS line FROM wide WHERE k % 50 <> 0
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  concat(k, ',', y, ',~', entity, ',x~,', code, ',', year, ',', ind_f, ',', ind_a, ',', ind_b, ',', ind_c)
+FROM wide WHERE k % 50 = 0""",
+    ),
+    "land_snapshot_idempotent": _with([_WIDE], _BOTH_LANDED),
+    "stream_ingest": _with([_WIDE], _BOTH_LANDED.replace("year, ind_f", "nullif(year, 'n/a') AS year, ind_f")),
+    "land_second_file": _with(
         [_WIDE],
         """
-SELECT '2024-01-15' AS snapshot_date, k, y, entity AS region_name, ind_f FROM wide
-UNION ALL SELECT '2024-01-08', k, y, entity, ind_f FROM prior_wide""",
+SELECT k, y, entity AS region_name, code AS iso_code, nullif(year, 'n/a') AS year,
+  ind_f, ind_a, ind_b, ind_c FROM prior_wide""",
+    ),
+    "refresh_late_file": _with([*_UP_TO_STAR, _DESCRIBED], _STAGE_ROWS),
+    "stage_append": _with(
+        _UP_TO_STAR,
+        """
+SELECT region_key, region_key AS region_id, CAST(year * 10000 + 101 AS INT) AS date_id,
+  indicator_code AS indicator_id, value, is_missing, FALSE AS is_revised, FALSE AS is_estimated
+FROM star""",
+    ),
+    "published_rejects": _with(
+        _UP_TO_CHECKED,
+        """
+SELECT k * 10000 + y AS source_row, region_name, iso_code, year, indicator_code, value,
+  reject_reason, CAST(NULL AS VARCHAR) AS raw_line FROM checked WHERE reject_reason <> ''""",
+    ),
+    "published_revisions": _with(
+        _UP_TO_REVISED, "SELECT *, '2024-01-08' AS prior_snapshot FROM revised"
+    ),
+    "published_revision_values": _with(_UP_TO_REVISED, "SELECT * FROM listed"),
+    "catalog_trends": _with(
+        _UP_TO_REPORTS,
+        """
+SELECT * RENAME (coverage_pct AS dtp3_coverage_pct) FROM trends
+ORDER BY region_name NULLS LAST, year NULLS LAST""",
+    ),
+    "catalog_comparison": _with(
+        _UP_TO_REPORTS,
+        """
+SELECT region_name, iso_code, year, coverage_pct AS dtp3_coverage_pct, coverage_band
+FROM comparison ORDER BY coverage_pct DESC, region_key""",
+    ),
+    "catalog_below_threshold": _with(
+        _UP_TO_REPORTS,
+        """
+SELECT region_name, iso_code, year, coverage_pct AS dtp3_coverage_pct, gap_to_target_pct
+FROM below ORDER BY coverage_pct, region_key""",
     ),
     "source_row_counts": """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS snapshot_date, event_type AS file,
@@ -276,13 +341,7 @@ FROM events e WHERE NOT EXISTS (
     "prior_snapshot": """
 SELECT CAST(max(CAST(ts AS DATE)) AS VARCHAR) AS prior_snapshot FROM events
 WHERE CAST(ts AS DATE) < DATE '2024-01-15'""",
-    "stage_indicators": _with(
-        [*_UP_TO_STAR, _DESCRIBED],
-        """
-SELECT s.region_key, s.region_name, s.iso_code, s.region_type, s.year, s.indicator_code,
-  i.indicator_name, i.indicator_category, i.indicator_unit, s.value, s.is_missing, s.is_revised,
-  s.is_estimated FROM staged s JOIN indicators i USING (indicator_code)""",
-    ),
+    "stage_indicators": _with([*_UP_TO_STAR, _DESCRIBED], _STAGE_ROWS),
     "load_audit": _with(
         _UP_TO_STAR,
         f"""
@@ -317,7 +376,10 @@ SELECT k, y, TRY_CAST(year AS INT) AS year, TRY_CAST(ind_f AS DOUBLE) AS ind_f,
   TRY_CAST(ind_c AS DOUBLE) AS ind_c FROM wide""",
     ),
     "indicator_metadata": _with(
-        [_WIDE, _DESCRIBED], "SELECT w.k, w.y, i.* FROM wide w CROSS JOIN indicators i"
+        [_WIDE, _DESCRIBED],
+        """
+SELECT w.k, w.y, i.*, CASE i.indicator_code WHEN 'F' THEN ind_f WHEN 'A' THEN ind_a
+  WHEN 'B' THEN ind_b ELSE ind_c END AS value FROM wide w CROSS JOIN indicators i""",
     ),
     "standardise_regions": _with(
         _UP_TO_LONG,
@@ -325,15 +387,8 @@ SELECT k, y, TRY_CAST(year AS INT) AS year, TRY_CAST(ind_f AS DOUBLE) AS ind_f,
 SELECT k, y, region_key, region_name, iso_code, {_TYPE} AS region_type FROM long
 WHERE indicator_code = 'F'""",
     ),
-    "alias_fill": _with(
-        _UP_TO_LONG,
-        """
-SELECT l.k, l.y, l.region_name,
-  coalesce(l.iso_code, CASE WHEN p.p_partkey % 20 = 10
-    THEN concat('C', lpad(CAST(p.p_partkey AS VARCHAR), 7, '0')) END) AS iso_code
-FROM long l LEFT JOIN part p ON l.region_name = concat(p.p_name, ' ', CAST(p.p_partkey AS VARCHAR))
-WHERE l.indicator_code = 'F'""",
-    ),
+    "alias_fill": _with(_UP_TO_LONG, _ALIASED),
+    "alias_file": _with(_UP_TO_LONG, _ALIASED),
     "region_type_counts": _with(
         _UP_TO_LONG,
         f"""

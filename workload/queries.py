@@ -26,15 +26,22 @@ from tidemark.operators import (
 )
 from tidemark.operators.quality import AcceptedRange, Relationship
 from tidemark.plans import reports
+from tidemark.plans.catalog import publish_catalog
+from tidemark.plans.refresh import raw_root, run
 from tidemark.plans.tidy import KEYS, REGION_ATTRS, seen_regions, snapshot_revisions
 from tidemark.sources import snapshots
-from tidemark.sources.files import read_wide
+from tidemark.sources.files import read_aliases, read_wide
 from tidemark.sources.schemas import STAGING
-from tidemark.sources.tables import register_views
-from tidemark.streaming.ingest import land_folder, stream_snapshots
+from tidemark.sources.tables import read_published, register_views
+from tidemark.streaming.ingest import (
+    land_folders,
+    land_pending,
+    refresh_folders,
+    stream_snapshots,
+)
 from workload import inputs
 from workload.inputs import AS_OF_YEAR, CURRENT, PRIOR, SETTINGS
-from workload.workspace import Workspace, scratch, workspace
+from workload.workspace import RUN_TS, Workspace, scratch, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,13 +80,15 @@ def registered() -> dict[str, Query]:
 # Sources and sinks
 
 
-def _write_csv(df: DataFrame, path: str) -> None:
+def _write_csv(df: DataFrame, path: str, quote: str = '"', mode: str = "error") -> None:
     """A snapshot file as it is found in the wild: source column names, quoted where needed."""
     names = {new: old for old, new in SETTINGS.renames.items()}
     df.drop("source_row").withColumnsRenamed(names).write.csv(
         path,
+        mode=mode,
         header=True,
-        escape='"',
+        quote=quote,
+        escape=quote,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
@@ -92,14 +101,26 @@ def read_wide_roundtrip(w: Workspace) -> DataFrame:
     return read_wide(w.spark, folder, SETTINGS.renames)
 
 
+@on_workspace
+def read_wide_malformed(w: Workspace) -> DataFrame:
+    """A file with lines that have a field too many beside one without: lines are kept apart,
+    none is cut."""
+    folder, many = scratch(w.spark, "csv"), F.col("k") % 50 == 0
+    _write_csv(w.wide().where(~many), f"{folder}/good")
+    # Quoted by a sign that the reader does not know, so the comma in the name separates fields.
+    split = w.wide().where(many).withColumn("region_name", F.concat("region_name", F.lit(",x")))
+    _write_csv(split, f"{folder}/bad", quote="~")
+    return read_wide(
+        w.spark, [f"{folder}/good", f"{folder}/bad"], SETTINGS.renames, malformed_col="line"
+    )
+
+
 @on_workspace
 def land_snapshot_idempotent(w: Workspace) -> DataFrame:
     root = scratch(w.spark, "landed")
     for day in (PRIOR, CURRENT, PRIOR):
         snapshots.land_snapshot(w.wide(day), root, day)
-    return w.spark.read.parquet(root).select(
-        "snapshot_date", "k", "y", "region_name", "ind_f"
-    )
+    return w.spark.read.parquet(root).select("snapshot_date", *_WIDE)
 
 
 @on_workspace
@@ -109,16 +130,47 @@ def stream_ingest(w: Workspace) -> DataFrame:
     for folder, day in ((PRIOR, PRIOR), (CURRENT, CURRENT), ("not-a-date", PRIOR)):
         _write_csv(w.wide(day), f"{source}/{folder}")
     stream = stream_snapshots(
-        w.spark, source, land_folder(raw, SETTINGS), checkpoint=scratch(w.spark, "stream")
+        w.spark, source, land_folders(raw, SETTINGS), checkpoint=scratch(w.spark, "stream")
     )
     stream.awaitTermination()
-    return w.spark.read.parquet(raw).select(
-        "snapshot_date",
-        F.col("k").cast("bigint"),
-        F.col("y").cast("int"),
-        "region_name",
-        "ind_f",
-    )
+    return _numbered(w.spark.read.parquet(raw)).select("snapshot_date", *_WIDE)
+
+
+_WIDE = ("k", "y", "region_name", "iso_code", "year", "ind_f", "ind_a", "ind_b", "ind_c")
+
+
+def _numbered(landed: DataFrame) -> DataFrame:
+    return landed.withColumns({"k": F.col("k").cast("bigint"), "y": F.col("y").cast("int")})
+
+
+@on_workspace
+def land_second_file(w: Workspace) -> DataFrame:
+    """A date of which half the rows come in a file after the date was landed."""
+    source, root = scratch(w.spark, "source"), scratch(w.spark, "root")
+    for late in (0, 1):
+        half = w.wide(PRIOR).where(F.col("k") % 2 == late)
+        _write_csv(half, f"{source}/{PRIOR}", mode="append")
+        land_pending(w.spark, source, root, SETTINGS)
+    return _numbered(snapshots.read_snapshot(w.spark, raw_root(root), PRIOR)).select(*_WIDE)
+
+
+@on_workspace
+def refresh_late_file(w: Workspace) -> DataFrame:
+    """What is published after a file came late for the older of two dates."""
+    source, root = scratch(w.spark, "source"), scratch(w.spark, "root")
+    checkpoint = scratch(w.spark, "stream")
+
+    def refresh() -> None:
+        step = refresh_folders(root, SETTINGS)
+        stream_snapshots(w.spark, source, step, checkpoint).awaitTermination()
+
+    _write_csv(w.wide(PRIOR), f"{source}/{PRIOR}")
+    _write_csv(w.wide(), f"{source}/{CURRENT}")
+    refresh()
+    new_regions = w.wide().where(F.col("k") % 29 == 0)
+    _write_csv(new_regions, f"{source}/{PRIOR}", mode="append")
+    refresh()
+    return read_published(w.spark, root)["stg_health_indicators"].drop("loaded_at")
 
 
 def _event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,6 +202,53 @@ def stage_indicators(w: Workspace) -> DataFrame:
     return w.table("stg_health_indicators").drop("loaded_at")
 
 
+@on_workspace
+def stage_append(w: Workspace) -> DataFrame:
+    """Two snapshots without a region in common, the second appended to the first."""
+    root = scratch(w.spark, "append")
+    for place, day in enumerate((PRIOR, CURRENT)):
+        half = w.wide().where(F.col("k") % 2 == place)
+        snapshots.land_snapshot(half, raw_root(root), day)
+        mode = "append" if place else "replace"
+        run(w.spark, root, day, SETTINGS, RUN_TS, mode=mode, as_of_year=AS_OF_YEAR)
+    return read_published(w.spark, root)["fact_health_indicator"].drop("loaded_at")
+
+
+@on_workspace
+def published_rejects(w: Workspace) -> DataFrame:
+    return w.table("stg_rejected_rows").drop("loaded_at")
+
+
+@on_workspace
+def published_revisions(w: Workspace) -> DataFrame:
+    return w.table("stg_data_revisions").drop("detected_at")
+
+
+@on_workspace
+def published_revision_values(w: Workspace) -> DataFrame:
+    return w.table("stg_revision_values")
+
+
+def _catalog(w: Workspace, view: str) -> DataFrame:
+    publish_catalog(w.spark, w.root, SETTINGS)
+    return w.spark.table(f"reporting.{view}")
+
+
+@on_workspace
+def catalog_trends(w: Workspace) -> DataFrame:
+    return _catalog(w, "rpt_vaccination_trends")
+
+
+@on_workspace
+def catalog_comparison(w: Workspace) -> DataFrame:
+    return _catalog(w, "rpt_regional_comparison")
+
+
+@on_workspace
+def catalog_below_threshold(w: Workspace) -> DataFrame:
+    return _catalog(w, "rpt_below_threshold")
+
+
 def _published_counts(w: Workspace) -> DataFrame:
     staged = {n: w.table(n) for n in STAGING}
     return metrics.view_status(staged).select(F.col("view_name").alias("table_name"), "row_count")
@@ -194,7 +293,7 @@ def indicator_metadata(w: Workspace) -> DataFrame:
     unknown = Indicator("year", "year", "year", "none", "none")
     long = reshape.unpivot_indicators(w.wide(), (*SETTINGS.indicators, unknown), ["k", "y"])
     described = reshape.apply_indicator_metadata(long, SETTINGS.indicators)
-    return described.drop("indicator_source_col", "value")
+    return described.drop("indicator_source_col")
 
 
 def _standardised(w: Workspace) -> DataFrame:
@@ -214,6 +313,18 @@ def alias_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.select("k", "y", "region_name", "iso_code")
 
 
+@on_tables
+def alias_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from files: of a name in several files, the row of the last file counts."""
+    given, folder = inputs.aliases(spark, sf_dir), scratch(spark, "aliases")
+    for row in (1, 2):
+        rows = given.where(F.col("alias_row") == row).select("alias", "iso_code", F.lit("x").alias("notes"))
+        rows.write.csv(f"{folder}/{row}", header=True, ignoreTrailingWhiteSpace=False)
+    read = read_aliases(spark, [f"{folder}/1", f"{folder}/2"])
+    filled = regions.fill_from_alias(_standardised(workspace(spark, sf_dir)), read)
+    return filled.select("k", "y", "region_name", "iso_code")
+
+
 @on_workspace
 def region_type_counts(w: Workspace) -> DataFrame:
     code = normalise_code(F.col("iso_code"))
