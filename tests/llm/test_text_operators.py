@@ -160,7 +160,7 @@ def test_fertility_rejects_what_no_vocabulary_knows(spark):
     rows = [(1, plain), (2, noise), (3, same)]
     got = fertility.measure(spark.createDataFrame(rows, "doc_id int, text string"), queries.RULES)
     assert {r.doc_id: r.kept for r in got.collect()} == {1: True, 2: False, 3: False}
-    strict = fertility.Rules(queries.RULES.vocabulary, language_bands={"xx": fertility.Band(50, 60, 0)})
+    strict = fertility.Rules(queries.RULES.vocabulary, least_tokens=10, language_bands={"xx": fertility.Band(50, 60, 0)})
     rows = spark.createDataFrame([(1, plain, "xx"), (2, plain, "en")], "doc_id int, text string, lang string")
     kept = fertility.keep(rows, strict, lang_col="lang").collect()
     assert [r.doc_id for r in kept] == [2]

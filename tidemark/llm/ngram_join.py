@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
-from math import ceil, log
+from math import ceil, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,7 @@ def choose_bands(threshold: float, recall: float) -> tuple[int, int]:
     best = None
     for rows in range(1, 17):
         share = threshold**rows
-        bands = 1 if share >= 1 else max(1, ceil(log(1 - recall) / log(1 - share)))
+        bands = 1 if share >= 1 else max(1, ceil(log(1 - recall) / log1p(-share)))
         if bands * rows <= 128:
             best = (bands, rows)
     if best is None:
