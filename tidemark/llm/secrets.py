@@ -88,17 +88,18 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
 def coverage(values: DataFrame, words: DataFrame) -> DataFrame:
     """``value`` and ``coverage``, the share of its characters in dictionary words, per distinct value."""
     distinct = values.select("value").distinct()
-    starts = F.sequence(F.lit(1), F.greatest(F.length("value") - 2, F.lit(1)))
-    placed = distinct.select("value", F.explode(starts).alias("s")).select(
-        "value", "s", F.explode(F.sequence(F.lit(3), F.lit(12))).alias("n")
-    )
-    pieces = placed.where(F.col("s") + F.col("n") - 1 <= F.length("value")).select(
-        "value", "s", "n", F.lower(F.substr("value", F.col("s"), F.col("n"))).alias("piece")
+    key = F.sha2("value", 256).alias("key")
+    # What begins at each place, twelve characters at most; the value itself is not repeated.
+    begins = F.regexp_extract_all("value", F.lit("(?=(.{1,12}))"), F.lit(1))
+    placed = distinct.select(key, F.posexplode(begins).alias("s", "begin"))
+    pieces = placed.select("key", "s", "begin", F.explode(F.sequence(F.lit(3), F.lit(12))).alias("n"))
+    pieces = pieces.where(F.length("begin") >= F.col("n")).select(
+        "key", "s", "n", F.lower(F.left("begin", F.col("n"))).alias("piece")
     )
     hits = pieces.join(F.broadcast(words), F.col("piece") == F.col("word"))
     spans = F.collect_list(F.sequence(F.col("s"), F.col("s") + F.col("n") - 1))
-    covered = hits.groupBy("value").agg(F.size(F.array_distinct(F.flatten(spans))).alias("c"))
-    return distinct.join(covered, "value", "left").select(
+    covered = hits.groupBy("key").agg(F.size(F.array_distinct(F.flatten(spans))).alias("c"))
+    return distinct.select("value", key).join(covered, "key", "left").select(
         "value", (F.coalesce("c", F.lit(0)) / F.length("value")).alias("coverage")
     )
 
