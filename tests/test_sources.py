@@ -8,10 +8,18 @@ from pyspark.sql import functions as F
 from helpers import FOUR_ROWS, HEADER, rows, write_snapshot
 from tidemark.config import Settings
 from tidemark.operators.quality import run_checks
+from tidemark.plans import reports
 from tidemark.plans.refresh import raw_root, read_warehouse, run
 from tidemark.sources import snapshots
 from tidemark.sources.files import dated_folders, read_aliases, read_wide, snapshot_files
-from tidemark.sources.tables import current_paths, key_conflicts, read_published
+from tidemark.sources.tables import (
+    current_paths,
+    key_conflicts,
+    read_paths,
+    read_published,
+    table_path,
+    write_table,
+)
 from tidemark.streaming.ingest import land_pending, refresh_folders, stream_snapshots
 
 SETTINGS = Settings()
@@ -343,6 +351,48 @@ def test_appended_folders_are_one_scan(spark, landed):
     assert "Union" not in plan
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+
+
+def test_fact_files_hold_ranges_of_regions(spark, tmp_path):
+    keys = spark.range(20_000).select(F.format_string("R%05d", F.col("id") % 5000).alias("region_id"), "id")
+    fact = keys.select(
+        "region_id", F.lit(2024).alias("date_id"), F.lit("d").alias("indicator_id"), F.lit(1).alias("value"),
+        *(F.lit(None).alias(c) for c in ("region_key", "is_missing", "is_revised", "is_estimated", "loaded_at")),
+    )
+    name = "fact_health_indicator"
+    coalescing = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalescing, "false")
+    try:
+        assert write_table(fact, str(tmp_path), "many", name) == 20_000
+    finally:
+        spark.conf.unset(coalescing)
+    written = read_paths(spark, name, [table_path(str(tmp_path), "many", name)])
+    files = written.groupBy(F.input_file_name().alias("f")).agg(F.min("region_id").alias("a"), F.max("region_id").alias("b"))
+    ranges = sorted((r.a, r.b) for r in files.collect())
+    assert len(ranges) > 1
+    assert all(high < low for (_, high), (low, _) in zip(ranges, ranges[1:]))
+
+
+def test_one_region_is_sought_by_key(spark, landed):
+    run(spark, landed, "2026-02-15", SETTINGS, datetime(2026, 3, 1))
+    w = read_warehouse(spark, landed)
+    name, key = w.region.select("region_name", "region_key").orderBy("region_key").first()
+    plan = final_plan(reports.recent_for_region(w, name, SETTINGS.main_indicator))
+    assert f"GreaterThanOrEqual(region_id,{key}), LessThanOrEqual(region_id,{key})" in plan
+    assert reports.recent_for_region(w, "nobody", SETTINGS.main_indicator).count() == 0
+
+
+def test_keys_of_the_fact_table_are_counted_once(spark, landed):
+    run(spark, landed, "2026-02-15", SETTINGS, datetime(2026, 3, 1))
+    plan = final_plan(run_checks(read_published(spark, landed)))
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "region_id#" in line]
+    assert len(scans) == 2  # keys, and single rows
+    assert plan.count("ReusedExchange [region_id") == 3
+
+
 def test_header_text_is_what_the_settings_expect():
     names = [i.source_col for i in SETTINGS.indicators]
     assert all(n in HEADER for n in names)

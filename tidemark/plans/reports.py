@@ -32,6 +32,16 @@ def _latest(w: Warehouse, indicator: str) -> Warehouse:
     return w._replace(date=w.date.where(F.col("year") == year))
 
 
+def _of_region(w: Warehouse, region_name: str) -> Warehouse:
+    """The warehouse cut down to the regions of a name. The fact table is sorted by key, so the
+    range of their keys, mostly a single key, lets the scan skip what is outside. The range is
+    looked up here, one row, because as a subquery it would not reach the files."""
+    named = w.region.where(F.col("region_name") == region_name)
+    low, high = map(F.lit, named.agg(F.min("region_key"), F.max("region_key")).first())
+    fact = w.fact.where(F.col("region_id").between(low, high))
+    return w._replace(region=named, fact=fact)
+
+
 def vaccination_trends(w: Warehouse, indicator: str, coverage: str = COVERAGE) -> DataFrame:
     """Coverage by region and year, all types of region."""
     return (
@@ -136,23 +146,22 @@ def recent_for_region(
 ) -> DataFrame:
     """The last ``n`` years of one region."""
     return (
-        star(w)
-        .where((F.col("region_name") == region_name) & (F.col("indicator_id") == indicator))
+        star(_of_region(w, region_name))
+        .where(F.col("indicator_id") == indicator)
         .select("region_name", "year", "indicator_name", "value")
         .orderBy(F.desc("year"))
         .limit(n)
     )
 
 
-def headline(
-    trends: DataFrame, comparison: DataFrame, below: DataFrame
-) -> DataFrame:
-    """One row: countries tracked, countries below target, latest year with data."""
-    return one_row(
-        comparison.agg(F.count(F.lit(1)).alias("countries_tracked")),
-        below.agg(F.count(F.lit(1)).alias("countries_below")),
-        trends.agg(F.max("year").alias("latest_year")),
+def headline(w: Warehouse, indicator: str, threshold: float = 80.0) -> DataFrame:
+    """One row: countries tracked, countries below target, latest year with data. The latest
+    year's facts are read once, and the year itself comes from the table of periods."""
+    countries = regional_comparison(w, indicator, threshold).agg(
+        F.count(F.lit(1)).alias("countries_tracked"),
+        F.count_if(is_below(F.col(COVERAGE), threshold)).alias("countries_below"),
     )
+    return one_row(countries, latest_year(w, indicator))
 
 
 def ordered(name: str, report: DataFrame, coverage: str = COVERAGE) -> DataFrame:

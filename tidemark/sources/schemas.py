@@ -80,6 +80,9 @@ WAREHOUSE: Mapping[str, T.StructType] = {
 # A report reads one indicator, and mostly its last year: one folder of the fact table.
 PARTITIONS: Mapping[str, tuple[str, ...]] = {"fact_health_indicator": ("indicator_id", "date_id")}
 
+# Within a folder rows are in this order, so that the history of one region is a small part of it.
+CLUSTERS: Mapping[str, tuple[str, ...]] = {"fact_health_indicator": ("region_id",)}
+
 SCHEMAS = {**STAGING, **WAREHOUSE}
 
 QUALITY_LOG = "data_quality_log"

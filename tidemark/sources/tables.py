@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.files import folder_bytes
-from tidemark.sources.schemas import PARTITIONS, SCHEMAS, STAGING, conform
+from tidemark.sources.schemas import CLUSTERS, PARTITIONS, SCHEMAS, STAGING, conform
 
 MODES = ("replace", "append")
 _PUBLISHED = ("published_ns", "run_id", "run_ts", "mode", "table_name", "path")
@@ -36,13 +36,14 @@ def table_path(root: str, run_id: str, name: str) -> str:
 def write_table(df: DataFrame, root: str, run_id: str, name: str) -> int:
     """Write one table of a run and return its number of rows, counted during the write.
 
-    A partitioned table is rebalanced on its partition columns first: each folder gets files of
-    the advised size, small ones are merged and a folder with a third of the data is split over
-    many tasks."""
+    A partitioned table is dealt by ranges of its partition and cluster columns, and sorted: a task
+    writes one stretch of it, small folders share a task, and a folder with a third of the data is
+    split over many tasks, each with a range of its own."""
     out = conform(df, name)
     parts = PARTITIONS.get(name, ())
     if parts:
-        out = out.hint("rebalance", *[F.col(c) for c in parts])
+        order = [*parts, *CLUSTERS.get(name, ())]
+        out = out.repartitionByRange(*order).sortWithinPartitions(*order)
     seen = Observation()
     out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode("overwrite")

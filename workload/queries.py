@@ -529,7 +529,7 @@ def count_below_threshold(w: Workspace) -> DataFrame:
 
 @on_workspace
 def headline_metrics(w: Workspace) -> DataFrame:
-    return reports.headline(_trends(w), _comparison(w), _below(w))
+    return reports.headline(w.warehouse(), MAIN, SETTINGS.threshold)
 
 
 # Quality
