@@ -105,7 +105,7 @@ def test_reports_read_one_partition_and_few_columns(spark):
     assert "(indicator_id" in text and "dynamicpruning" in text
     assert "LessThan(value,80.00)" in text
     assert "ReadSchema: struct<region_id:string,value:decimal(8,2)>" in text
-    assert len({x for x in text.splitlines() if "/fact_health_indicator]" in x}) == 1
+    assert len({x for x in text.splitlines() if "/fact_health_indicator/run=" in x}) == 1
 
 
 def test_cleaning_does_not_shuffle(spark):

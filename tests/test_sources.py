@@ -8,10 +8,18 @@ from pyspark.sql import functions as F
 from helpers import FOUR_ROWS, HEADER, rows, write_snapshot
 from tidemark.config import Settings
 from tidemark.operators.quality import run_checks
+from tidemark.operators.warehouse import (
+    build_dim_date,
+    build_dim_indicator,
+    build_dim_region,
+    build_fact,
+    build_periods,
+)
 from tidemark.plans import reports
 from tidemark.plans.refresh import raw_root, read_warehouse, run
 from tidemark.sources import snapshots
 from tidemark.sources.files import dated_folders, read_aliases, read_wide, snapshot_files
+from tidemark.sources.schemas import SCHEMAS
 from tidemark.sources.tables import (
     current_paths,
     key_conflicts,
@@ -151,8 +159,21 @@ def test_append_keeps_earlier_rows_and_refuses_repeated_keys(spark, landed):
     run(spark, landed, "2026-03-01", SETTINGS, datetime(2026, 3, 2), mode="append")
     t = read_published(spark, landed)
     assert t["stg_health_indicators"].count() == 20 and t["stg_regions"].count() == 4
-    assert read_warehouse(spark, landed).fact.count() == 19
+    w = read_warehouse(spark, landed)
+    assert w.fact.count() == 19
     assert t["dim_region"].count() == 4
+    # What was appended is what building all at once from the staged rows would give.
+    dims = {
+        "dim_region": build_dim_region(t["stg_regions"]),
+        "dim_date": build_dim_date(t["stg_health_indicators"]),
+        "dim_indicator": build_dim_indicator(t["stg_health_indicators"]),
+    }
+    for name, whole in dims.items():
+        assert rows(t[name]) == rows(whole)
+    columns = w.fact.columns
+    whole = build_fact(t["stg_health_indicators"], **dims)
+    assert rows(w.fact) == rows(whole.select(columns))
+    assert rows(w.periods) == rows(build_periods(w.fact))
     before = current_paths(spark, landed)
     with pytest.raises(ValueError, match="repeat keys"):
         run(spark, landed, "2026-02-22", SETTINGS, datetime(2026, 3, 3), mode="append")
@@ -347,8 +368,26 @@ def test_repeated_keys_without_values_fail_a_check(spark, tmp_path):
 def test_appended_folders_are_one_scan(spark, landed):
     run(spark, landed, "2026-02-15", SETTINGS, datetime(2026, 3, 1))
     run(spark, landed, "2026-03-01", SETTINGS, datetime(2026, 3, 2), mode="append")
-    plan = read_published(spark, landed)["stg_health_indicators"]._jdf.queryExecution().toString()
-    assert "Union" not in plan
+    for name in ("stg_health_indicators", "fact_health_indicator"):
+        assert len(current_paths(spark, landed)[name]) == 2
+        plan = read_published(spark, landed)[name]._jdf.queryExecution().toString()
+        assert "Union" not in plan
+    assert read_published(spark, landed)["fact_health_indicator"].columns == SCHEMAS["fact_health_indicator"].names
+
+
+def test_append_of_a_run_without_facts(spark, tmp_path):
+    source, root = tmp_path / "source", str(tmp_path / "root")
+    head = "Entity,Code,Year,Polio (Pol3)\n"
+    for day, line in (("2024-01-01", "Kenya,KEN,2020,50\n"), ("2024-01-08", "Ghana,GHA,2021,\n")):
+        write_snapshot(source, day).write_text(head + line)
+    land_pending(spark, str(source), root, SETTINGS)
+    run(spark, root, "2024-01-01", SETTINGS, datetime(2026, 3, 1))
+    counts = run(spark, root, "2024-01-08", SETTINGS, datetime(2026, 3, 2), mode="append").counts
+    assert counts["fact_health_indicator"] == 0 and counts["stg_health_indicators"] == 1
+    t = read_published(spark, root)
+    assert rows(t["fact_health_indicator"], "region_id", "date_id") == [("KEN", 20200101)]
+    assert rows(t["dim_date"], "year") == [(2020,), (2021,)]
+    assert rows(t["fact_periods"], "date_id", "fact_rows") == [(20200101, 1)]
 
 
 def final_plan(df):

@@ -89,6 +89,11 @@ def build_periods(fact: DataFrame) -> DataFrame:
     return fact.groupBy("indicator_id", "date_id").agg(F.count(F.lit(1)).alias("fact_rows"))
 
 
+def merge_periods(periods: DataFrame) -> DataFrame:
+    """One row per indicator and date from those of several lots of facts."""
+    return periods.groupBy("indicator_id", "date_id").agg(F.sum("fact_rows").alias("fact_rows"))
+
+
 def star(w: Warehouse) -> DataFrame:
     """Every fact row with its region, date and indicator attributes. Filters put on the result
     travel to the dimensions, and from there to the partitions of the fact table."""

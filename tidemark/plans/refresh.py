@@ -18,6 +18,7 @@ from tidemark.operators.warehouse import (
     build_dim_region,
     build_fact,
     build_periods,
+    merge_periods,
 )
 from tidemark.plans.tidy import (
     KEYS,
@@ -30,7 +31,7 @@ from tidemark.plans.tidy import (
 )
 from tidemark.session import sized_shuffles
 from tidemark.sources.files import dated_folders, folder_bytes
-from tidemark.sources.schemas import QUALITY_LOG, STAGING
+from tidemark.sources.schemas import QUALITY_LOG, STAGING, conform
 from tidemark.sources.snapshots import prior_snapshot_date, read_snapshot
 from tidemark.sources.tables import (
     check_mode,
@@ -89,7 +90,7 @@ def run(
     prior = prior_snapshot_date(landed_dates(spark, root), snapshot_date).first()[0]
     snapshots = [str(d) for d in (snapshot_date, prior) if d is not None]
     volume = sum(folder_bytes(spark, f"{raw_root(root)}/snapshot_date={d}") for d in snapshots)
-    if mode == "append":  # the warehouse is built from what is loaded already as well
+    if mode == "append":  # new keys are compared with those that are loaded already
         volume += published_bytes(spark, root)
     frames = [read_snapshot(spark, raw_root(root), d) for d in snapshots]
     if not present_indicators(frames[0], settings.indicators):
@@ -158,18 +159,25 @@ def _write_all(
         stg_revision_values=_or_empty(spark, values, "stg_revision_values"),
     )
     staged = {**first, **second}
-    if mode == "append":
-        staged = append_to_current(spark, root, staged)
+    current = current_paths(spark, root) if mode == "append" else {}
+    refuse_repeated_keys(spark, current, staged)
 
     indicators = staged["stg_health_indicators"]
-    dims = write(
-        dim_region=build_dim_region(staged["stg_regions"]),
-        dim_date=build_dim_date(indicators),
-        dim_indicator=build_dim_indicator(indicators),
-    )
-    # Joined to the dimensions as written, whose sizes are known as well.
+    dims = {
+        "dim_region": build_dim_region(staged["stg_regions"]),
+        "dim_date": build_dim_date(indicators),
+        "dim_indicator": build_dim_indicator(indicators),
+    }
+    if mode == "append":
+        dims = {n: beside_current(spark, current, n, df) for n, df in dims.items()}
+        # Years and indicators may have been there already; region keys are new.
+        dims |= {n: dims[n].distinct() for n in ("dim_date", "dim_indicator")}
+    dims = write(**dims)
+    # Joined to the dimensions as written, whose sizes are known as well. An appending run has
+    # facts for its own rows only: a key that is loaded is refused, so earlier facts stay as they are.
     fact = write(fact_health_indicator=build_fact(indicators, **dims))["fact_health_indicator"]
-    write(fact_periods=build_periods(fact))
+    periods = beside_current(spark, current, "fact_periods", build_periods(fact))
+    write(fact_periods=merge_periods(periods))
     return counts
 
 
@@ -201,21 +209,23 @@ def _by_name(regions: DataFrame) -> DataFrame:
     return regions.orderBy(F.asc_nulls_last("region_name"), "region_key")
 
 
-def append_to_current(
-    spark: SparkSession, root: str, staged: dict[str, DataFrame]
-) -> dict[str, DataFrame]:
-    """The staging tables with their current rows beside the new ones. Keys stay unique: a key
-    that is already loaded is an error."""
-    current = current_paths(spark, root)
-    both = dict(staged)
-    for name, df in staged.items():
-        if name not in current:
-            continue
-        existing = read_paths(spark, name, current[name])
-        if name in PRIMARY_KEYS and not key_conflicts(df, existing, PRIMARY_KEYS[name]).isEmpty():
-            raise ValueError(f"append would repeat keys of {name}")
-        both[name] = existing.unionByName(df)
-    return both
+def refuse_repeated_keys(
+    spark: SparkSession, current: dict[str, list[str]], staged: dict[str, DataFrame]
+) -> None:
+    """Raise ValueError if a staged row has a key that is already in the current tables."""
+    for name, keys in PRIMARY_KEYS.items():
+        if name in current:
+            existing = read_paths(spark, name, current[name])
+            if not key_conflicts(staged[name], existing, keys).isEmpty():
+                raise ValueError(f"append would repeat keys of {name}")
+
+
+def beside_current(
+    spark: SparkSession, current: dict[str, list[str]], name: str, new: DataFrame
+) -> DataFrame:
+    """The current rows of a table, if it has any, and the new ones."""
+    new = conform(new, name)
+    return read_paths(spark, name, current[name]).unionByName(new) if name in current else new
 
 
 def log_loads(

@@ -21,6 +21,9 @@ from tidemark.sources.files import folder_bytes
 from tidemark.sources.schemas import CLUSTERS, PARTITIONS, SCHEMAS, STAGING, conform
 
 MODES = ("replace", "append")
+# An appending run adds rows to these; it writes the others whole.
+GROWING = (*STAGING, "fact_health_indicator")
+RUN = "run"
 _PUBLISHED = ("published_ns", "run_id", "run_ts", "mode", "table_name", "path")
 
 
@@ -30,6 +33,10 @@ def new_run_id(run_ts: datetime) -> str:
 
 
 def table_path(root: str, run_id: str, name: str) -> str:
+    """The folder of one table of a run. Those of a partitioned table lie side by side with the run
+    as one more partition, so that the folders of several runs are read in one scan."""
+    if name in PARTITIONS:
+        return f"{root}/{name}/{RUN}={run_id}"
     return f"{root}/runs/{run_id}/{name}"
 
 
@@ -63,17 +70,21 @@ def write_tables(frames: Mapping[str, DataFrame], root: str, run_id: str) -> dic
 
 def read_paths(spark: SparkSession, name: str, paths: Sequence[str]) -> DataFrame:
     """A table kept in one or more folders, read with its fixed schema."""
-    return spark.read.schema(SCHEMAS[name]).parquet(*paths)
+    reader = spark.read.schema(SCHEMAS[name])
+    if name not in PARTITIONS:
+        return reader.parquet(*paths)
+    return reader.option("basePath", paths[0].rsplit("/", 1)[0]).parquet(*paths).drop(RUN)
 
 
 def publish(
     spark: SparkSession, root: str, run_id: str, run_ts: datetime, mode: str, names: Sequence[str]
 ) -> None:
-    """Make the tables of a run current. ``append`` keeps the earlier staging rows beside them."""
+    """Make the tables of a run current. ``append`` keeps the earlier staging rows and facts beside
+    them."""
     check_mode(mode)
     now = time_ns()
     rows = [
-        (now, run_id, run_ts, mode if n in STAGING else "replace", n, table_path(root, run_id, n))
+        (now, run_id, run_ts, mode if n in GROWING else "replace", n, table_path(root, run_id, n))
         for n in names
     ]
     constant_rows(spark, rows, _PUBLISHED).write.mode("append").parquet(f"{root}/published")
