@@ -25,6 +25,7 @@ from tidemark.sources.tables import (
     key_conflicts,
     read_paths,
     read_published,
+    same_table,
     table_path,
     write_table,
 )
@@ -375,6 +376,12 @@ def test_appended_folders_are_one_scan(spark, landed):
     assert read_published(spark, landed)["fact_health_indicator"].columns == SCHEMAS["fact_health_indicator"].names
 
 
+def test_folders_of_one_table():
+    new = [table_path("/r", x, "fact_health_indicator") for x in "ab"]
+    assert same_table(*new)
+    assert not same_table("/r/runs/a/fact_health_indicator", new[0])
+
+
 def test_append_of_a_run_without_facts(spark, tmp_path):
     source, root = tmp_path / "source", str(tmp_path / "root")
     head = "Entity,Code,Year,Polio (Pol3)\n"

@@ -31,7 +31,7 @@ from tidemark.plans.tidy import (
 )
 from tidemark.session import sized_shuffles
 from tidemark.sources.files import dated_folders, folder_bytes
-from tidemark.sources.schemas import QUALITY_LOG, STAGING, conform
+from tidemark.sources.schemas import PARTITIONS, QUALITY_LOG, STAGING, conform
 from tidemark.sources.snapshots import prior_snapshot_date, read_snapshot
 from tidemark.sources.tables import (
     check_mode,
@@ -43,6 +43,7 @@ from tidemark.sources.tables import (
     published_bytes,
     read_paths,
     read_published,
+    same_table,
     table_path,
     write_tables,
 )
@@ -160,6 +161,9 @@ def _write_all(
     )
     staged = {**first, **second}
     current = current_paths(spark, root) if mode == "append" else {}
+    for name in PARTITIONS:
+        if not all(same_table(p, table_path(root, run_id, name)) for p in current.get(name, ())):
+            raise ValueError(f"{name} is in an earlier layout: replace it before appending")
     refuse_repeated_keys(spark, current, staged)
 
     indicators = staged["stg_health_indicators"]

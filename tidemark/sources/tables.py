@@ -40,6 +40,12 @@ def table_path(root: str, run_id: str, name: str) -> str:
     return f"{root}/runs/{run_id}/{name}"
 
 
+def same_table(a: str, b: str) -> bool:
+    """Whether two folders of a partitioned table lie side by side, as one scan needs them."""
+    above, last = zip(*(p.split("/")[-2:] for p in (a, b)))
+    return above[0] == above[1] and all(x.startswith(f"{RUN}=") for x in last)
+
+
 def write_table(df: DataFrame, root: str, run_id: str, name: str) -> int:
     """Write one table of a run and return its number of rows, counted during the write.
 
