@@ -156,6 +156,32 @@ def swapped(spark):
     return {r.doc_id: r for r in surrogates.replaced(rows, "k", count_col="n").collect()}
 
 
+ADJACENT = {
+    "two ssns": ("123-45-6789 123-45-6780", 2),
+    "number first": ("2024 123-45-6789", 1),
+    "phone behind": ("in 2024 606-555-7814", 1),
+    "expiry": ("4111 1111 1111 1111 12/27", 1),
+    "cvv": ("4111111111111111 123", 1),
+    "table": ("7 123-45-6789 4111-1111-1111-1111 606-555-7814 5500 0000 0000 0004 12", 4),
+    "others": ("123-45-6789 10.0.0.1 606-555-7814 joe@a.io 123456789 12@a.io", 5),
+    "none": ("1234 5678 9012 345 " * 5000, 0),
+}
+
+
+def test_numbers_side_by_side(spark):
+    rows = spark.createDataFrame([(k, t) for k, (t, _) in ADJACENT.items()], "doc_id string, text string")
+    got = {r.doc_id: r for r in surrogates.replaced(rows, "k", count_col="n").collect()}
+    assert {k: r.n for k, r in got.items()} == {k: n for k, (_, n) in ADJACENT.items()}
+    for k, (text, _) in ADJACENT.items():
+        private = re.findall(r"\d{3}-\d{2}-\d{4}|\d{3}-\d{3}-\d{4}|4111[ -]?1111[ -]?1111[ -]?1111|5500 0000 0000 0004|10\.0\.0\.1|\w+@a.io", text)
+        assert not [p for p in private if p in got[k].text]
+        if "@" not in text and "10." not in text:
+            assert re.sub(r"\d", "9", got[k].text) == re.sub(r"\d", "9", text)
+    assert got["none"].text == ADJACENT["none"][0]
+    assert got["number first"].text.startswith("2024 ") and got["expiry"].text.endswith(" 12/27")
+    assert got["cvv"].text.endswith(" 123") and luhn(got["cvv"].text[:16])
+
+
 def test_formats_stay(swapped):
     counts = {k: r.n for k, r in swapped.items()}
     assert counts == {"email": 2, "iban": 2, "phone": 5, "card": 2, "ssn": 1, "ip": 2, "ipv6": 1, "name": 8}

@@ -4,6 +4,11 @@ Found are e-mail addresses, IP addresses (4 and 6), IBANs, payment cards (with a
 digit), US social security numbers, telephone numbers, given names (of a list, before a surname)
 and surnames (after a title or a given name). All work is in column expressions.
 
+Numbers side by side, joined by single spaces or hyphens, are searched number by number: at each, a
+social security number, a telephone number or a card in the groupings that cards have is looked for
+and what follows it is searched further. Where there is none of these, 13 to 19 digits in any
+grouping are a card if the check digit is right.
+
 A surrogate is a keyed permutation of the values of its format: a Feistel network over the two
 halves of the value, whose steps shift each character within its own alphabet (digits, lower case,
 upper case, Cyrillic, Greek and accented Latin letters). So length, separators, script and case stay,
@@ -64,7 +69,11 @@ _titles = "|".join(TITLES)
 _octet = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _begin, _end = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _surname = r"\p{Lu}[\p{L}'’-]{1,40}"
-# In order of preference where several match. Each begins with what rules most places out.
+_ip = rf"(?:{_octet}\.){{3}}{_octet}"
+# What a number may be followed by that is no part of it: another address or number with dots.
+_other = rf"{_ip}|\d{{3}}\.\d{{3}}[.-]\d{{4}}|(?:[0-9A-Fa-f]{{1,4}}:){{2}}|[\p{{L}}\p{{N}}._%+-]++@"
+# In order of preference where several match. Each begins with what rules most places out. A "run"
+# is all numbers joined by single spaces and hyphens; ``_in_run`` finds the entities in it.
 PATTERNS = {
     "email": r"(?<![._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "ipv6": rf"(?=[0-9A-Fa-f]{{1,4}}:)(?<!:)(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}{_end}",
@@ -73,14 +82,23 @@ PATTERNS = {
     "phone": r"(?=[0-9+(])(?<!\+)(?:\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}"
              r"|\+\d{1,3}(?:[ .-]\d{2,4}){3,4}|\+\d{8,14}|\(\d{3}\) ?\d{3}[ .-]\d{4}"
              r"|\d{3}[.-]\d{3}[.-]\d{4}|0\d(?:[ .]\d{2}){4})(?![\p{L}\p{N}])",
-    "card": rf"\d(?:[ -]?\d){{12,18}}{_end}",
-    "ssn": rf"(?=\d{{3}}-)(?<!-)\d{{3}}-\d{{2}}-\d{{4}}(?![\p{{L}}\p{{N}}-])",
+    "run": rf"(?=\d(?:[ -]?\d){{8}})\d++(?!\p{{L}})(?:[ -](?!{_other})\d++(?!\p{{L}}))*+",
     "given": rf"(?=\p{{Lu}})(?:{_names})(?= {_surname})",
     "surname": rf"(?=\p{{Lu}})(?<= )(?:(?<=(?<![\p{{L}}\p{{N}}])(?:{_titles})\.? )|(?<=(?<![\p{{L}}\p{{N}}])(?:{_names}) )){_surname}",
 }
 # Entities begin where a word does, so nothing is tried inside words.
 ANY = _begin + r"(?=[\p{L}\p{N}._%+(-])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
 _DIGITS_ONLY = ("phone", "card", "ssn")
+RUN = r"^\d++(?:[ -]\d++)*+$"
+# What may begin at a number of a run.
+RUN_SSN = r"^\d{3}-\d{2}-\d{4}(?![\d-])"
+RUN_PHONE = r"^(?:\d{3}-\d{3}-\d{4}|0\d(?: \d{2}){4})(?!\d)"
+# Groupings of cards, beginning as issuers' numbers do unless they are in one piece.
+RUN_CARDS = (
+    r"^\d{13,19}(?!\d)",
+    *(rf"^(?=[3-6]|2[2-7])\d{{4,}}(?:[ -]\d{{4,}}){{{n}}}(?!\d)" for n in (3, 2, 1)),
+    r"^(?=[3-6]|2[2-7])\d{4}(?:[ -]\d{4}){3}[ -]\d{3}(?!\d)",
+)
 
 
 def _luhn(digits: Column) -> Column:
@@ -106,21 +124,109 @@ def _mod97(text: Column) -> Column:
 
 
 def kind_of(found: Column) -> Column:
-    """The type of a match; null for digits that are no card."""
+    """The type of a match that is no run of numbers."""
     shapes = {
         "email": "@", "ipv6": "^[0-9A-Fa-f:]*:[0-9A-Fa-f:]*$", "ip": rf"^(?:{_octet}\.){{3}}{_octet}$",
-        "iban": r"^[A-Z]{2}\d{2}[A-Z0-9 ]+$", "ssn": r"^\d{3}-\d{2}-\d{4}$",
+        "iban": r"^[A-Z]{2}\d{2}[A-Z0-9 ]+$",
         "given": rf"^(?:{_names})$", "surname": r"^\p{Lu}[\p{L}'’-]+$",
     }
-    digits = F.regexp_replace(found, "[^0-9]", "")
-    card = found.rlike(r"^\d(?:[ -]?\d){12,18}$")
-    out = F.when(card, F.when(_luhn(digits) % 10 == 0, F.lit("card")))
-    out = out.when(found.rlike(r"^\d{3}[.-]\d{3}[.-]\d{4}$"), F.lit("phone"))
+    out = F.when(found.rlike(r"^\d{3}[.-]\d{3}[.-]\d{4}$"), F.lit("phone"))
     for kind, shape in shapes.items():
         out = out.when(found.rlike(shape), F.lit(kind))
     return out.otherwise(F.lit("phone"))
 
 
+def _is_card(found: Column) -> Column:
+    digits = F.regexp_replace(found, "[ -]", "")
+    return F.length(digits).between(13, 19) & (_luhn(digits) % 10 == 0)
+
+
+def _at_number(rest: Column, before: Column) -> Column:
+    """The entity, struct (s, k), with which ``rest`` of a run begins, or null; ``before`` is the
+    number in front of it."""
+    first = lambda shape: F.nullif(F.regexp_extract(rest, shape, 0), F.lit(""))
+    entity = lambda s, k: F.struct(s.alias("s"), F.lit(k).alias("k"))
+    alone = ~F.coalesce(before.endswith("-"), F.lit(False))
+    out = F.when(alone & rest.rlike(RUN_SSN), entity(first(RUN_SSN), "ssn"))
+    out = out.when(rest.rlike(RUN_PHONE), entity(first(RUN_PHONE), "phone"))
+    for shape in RUN_CARDS:
+        out = out.when(rest.rlike(shape) & _is_card(first(shape)), entity(first(shape), "card"))
+    return out
+
+
+def _in_run(gap: Column, run: Column) -> Column:
+    """Pieces (g, s, k) of a run of numbers: its entities from left to right, each beginning at a
+    number, with the text before them; what follows the last is a piece of its own. A run without
+    any is a card if its check digit says so."""
+    parts = F.regexp_extract_all(run, F.lit(r"\d+[ -]?"), F.lit(0))
+
+    def pieces(parts: Column) -> Column:
+        joined = lambda start, n: F.array_join(F.slice(parts, start, n), "")
+        starts = F.transform(
+            parts,
+            lambda _, i: F.struct(
+                (i + 1).alias("i"), _at_number(joined(i + 1, F.lit(19)), F.get(parts, i - 1)).alias("e")
+            ),
+        )
+        sized = F.transform(
+            F.filter(starts, lambda x: x.e.isNotNull()),
+            lambda x: F.struct(
+                x.i.alias("i"), (x.i + F.regexp_count(x.e.s, F.lit(r"\d+"))).cast("int").alias("next"),
+                x.e.s.alias("s"), x.e.k.alias("k"),
+            ),
+        )
+        picked = F.aggregate(
+            sized,
+            F.filter(sized, lambda x: F.lit(False)),
+            lambda a, x: F.when(
+                F.coalesce(F.get(a, F.size(a) - 1).next, F.lit(1)) <= x.i, F.concat(a, F.array(x))
+            ).otherwise(a),
+        )
+        piece = lambda g, s, k: F.struct(g.alias("g"), s.alias("s"), k.alias("k"))
+        # From behind the entity ``x`` to number ``end``.
+        behind = lambda x, end: F.substr(
+            joined(F.coalesce(x.i, F.lit(1)), end - F.coalesce(x.i, F.lit(1))),
+            F.coalesce(F.length(x.s), F.lit(0)) + 1,
+        )
+
+        def finished(picked: Column) -> Column:
+            found = F.transform(
+                picked,
+                lambda x, j: piece(
+                    F.concat(F.when(j == 0, gap).otherwise(F.lit("")), behind(F.get(picked, j - 1), x.i)), x.s, x.k
+                ),
+            )
+            rest = behind(F.get(picked, F.size(picked) - 1), F.size(parts) + 1)
+            none = F.lit(None).cast("string")
+            tail = F.when(rest != "", F.array(piece(rest, F.lit(""), none))).otherwise(
+                F.filter(found, lambda x: F.lit(False))
+            )
+            whole = F.when(_is_card(run), piece(gap, run, F.lit("card"))).otherwise(
+                piece(F.concat(gap, run), F.lit(""), none)
+            )
+            return F.when(F.size(picked) > 0, F.concat(found, tail)).otherwise(F.array(whole))
+
+        return F.transform(F.array(picked), finished)[0]
+
+    # One transform over one element names a value, so that it is not worked out at each use.
+    return F.transform(F.array(parts), pieces)[0]
+
+
+def pieces_of(text: Column, found: Column, pattern: Column) -> Column:
+    """A text with matches as pieces (g, s, k): the text before, an entity and its type (null: none)."""
+    return F.flatten(
+        F.transform(
+            F.arrays_zip(F.split(text, pattern, -1).alias("g"), found.alias("s")),
+            lambda x: F.when(
+                x.s.isNull(),
+                F.array(F.struct(x.g.alias("g"), F.lit("").alias("s"), F.lit(None).cast("string").alias("k"))),
+            )
+            .when(x.s.rlike(RUN), _in_run(x.g, x.s))
+            .otherwise(F.array(F.struct(x.g.alias("g"), x.s.alias("s"), kind_of(x.s).alias("k")))),
+        )
+    )
+
+
 def canonical(kind: Column, found: Column) -> Column:
     """What two mentions of one thing have in common."""
     country = F.regexp_extract(found, r"^\+(\d{1,3})(?=[ .(-])", 1)
@@ -285,32 +391,33 @@ class Columns:
 
     text: str
     found: str
-    kinds: str
+    pieces: str
     taken: str
 
     @classmethod
     def free(cls, columns: list[str], text: str) -> Columns:
         names: list[str] = []
-        for name in ("pii_found", "pii_kinds", "pii_attempts"):
+        for name in ("pii_found", "pii_pieces", "pii_attempts"):
             names.append(free_name([*columns, *names], name))
         return cls(text, *names)
 
 
 def detected(df: DataFrame, c: Columns) -> DataFrame:
-    """``df`` with the matches of each text and their types (null: no entity after all)."""
+    """``df`` with the matches of each text, and with its pieces, none for a text without matches."""
     found = F.regexp_extract_all(F.col(c.text), F.lit(ANY), F.lit(0))
+    pieces = pieces_of(F.col(c.text), F.col(c.found), F.lit(ANY))
     return df.withColumn(c.found, F.coalesce(found, F.array().cast("array<string>"))).withColumn(
-        c.kinds, F.transform(c.found, kind_of)
+        c.pieces, F.when(F.size(c.found) > 0, pieces).otherwise(F.array().cast("array<struct<g:string,s:string,k:string>>"))
     )
 
 
-def _values(found: Column, kinds: Column, attempt: Callable[[Column, Column], Column]) -> Column:
+def _values(pieces: Column, attempt: Callable[[Column, Column], Column]) -> Column:
     return F.transform(
-        F.arrays_zip(found.alias("f"), kinds.alias("k")),
+        pieces,
         lambda z: F.struct(
             F.coalesce(z.k, F.lit("none")).alias("kind"),
-            F.coalesce(canonical(z.k, z.f), F.lit("")).alias("text"),
-            attempt(z.k, canonical(z.k, z.f)).alias("attempt"),
+            F.coalesce(canonical(z.k, z.s), F.lit("")).alias("text"),
+            attempt(z.k, canonical(z.k, z.s)).alias("attempt"),
         ),
     )
 
@@ -322,7 +429,7 @@ def entities(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     first = lambda k, t: F.lit(0)
     mentions = detected(df.select(text_col), c).where(F.size(c.found) > 0)
     distinct = (
-        mentions.select(F.explode(_values(F.col(c.found), F.col(c.kinds), first)).alias("e"))
+        mentions.select(F.explode(_values(F.col(c.pieces), first)).alias("e"))
         .select("e.kind", "e.text", "e.attempt").where("kind <> 'none'").distinct()
     )
 
@@ -367,7 +474,7 @@ def replaced(
     if not later.isEmpty():
         digest, kept = free_name([*work.columns, c.taken], "pii_digest"), "pii_texts"
         work = work.withColumn(digest, F.sha2(F.col(text_col), 256))
-        e = _values(F.col(c.found), F.col(c.kinds), attempts)
+        e = _values(F.col(c.pieces), attempts)
         holders = (
             work.select(digest, F.explode(e).alias("e")).select(digest, "e.kind", "e.text").distinct()
             .join(later, ["kind", "text"])
@@ -379,18 +486,14 @@ def replaced(
         attempts = lambda k, t: F.coalesce(
             F.element_at(F.col(c.taken), F.concat_ws("|", k, t)), F.lit(0)
         )
-    found, kinds = F.col(c.found), F.col(c.kinds)
-    new = surrogates(_values(found, kinds, attempts), key)
-    pieces = F.transform(
-        F.arrays_zip(found.alias("f"), kinds.alias("k"), new.alias("s")),
-        lambda z: F.when(z.k.isNull(), z.f).otherwise(rendered(z.k, z.f, z.s)),
-    )
+    pieces = F.col(c.pieces)
+    new = surrogates(_values(pieces, attempts), key)
     whole = F.zip_with(
-        F.split(F.col(text_col), ANY, -1), pieces, lambda g, p: F.concat(g, F.coalesce(p, F.lit("")))
+        pieces, new, lambda x, s: F.when(x.k.isNull(), x.g).otherwise(F.concat(x.g, rendered(x.k, x.s, s)))
     )
-    text = F.when(F.size(found) > 0, F.array_join(whole, "")).otherwise(F.col(text_col))
+    text = F.when(F.size(pieces) > 0, F.array_join(whole, "")).otherwise(F.col(text_col))
     out = work.withColumn(text_col, text)
     if count_col:
-        out = out.withColumn(count_col, F.size(F.filter(kinds, lambda k: k.isNotNull())).cast("bigint"))
+        out = out.withColumn(count_col, F.size(F.filter(pieces, lambda x: x.k.isNotNull())).cast("bigint"))
     names = [*df.columns, *([count_col] if count_col and count_col not in df.columns else [])]
     return out.select(*names)
