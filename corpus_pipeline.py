@@ -31,7 +31,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data, and their new lengths."""
-    out = surrogates.replaced(docs, PII_KEY)
+    out = surrogates.replaced(docs, PII_KEY, bare_given=True)
     length = F.coalesce(F.length("text").cast(dict(docs.dtypes)["n_chars"]), F.col("n_chars"))
     return out.withColumn("n_chars", length)
 

@@ -182,6 +182,33 @@ def test_numbers_side_by_side(spark):
     assert got["cvv"].text.endswith(" 123") and luhn(got["cvv"].text[:16])
 
 
+NUMBERS = ["+49 30 1234567", "+44 7911 123456", "+33 1 42 68 53 00", "+1 6065557814", "606 555 7814", "+44 (0)20 7946 0958",
+           "07911 123456", "020 7946 0958", "2001:db8::1", "fe80::a1b:2", "2001:db8:0:1::"]
+OTHERS = "x[::1] std::dead 12:30:45 a::b 100 200 3000 01 02 2024 version 1.2.3 (2019 2020 2021 2022)"
+
+
+def test_more_forms_of_numbers(spark):
+    rows = [(n, f"at {n}, then {n} 123-45-6789") for n in NUMBERS] + [("others", OTHERS)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: r for r in surrogates.replaced(df, "k", count_col="n").collect()}
+    assert got["others"].text == OTHERS and got["others"].n == 0
+    form = lambda t: re.sub("[0-9a-f]", "9", t)
+    for n in NUMBERS:
+        one, two = re.fullmatch("at (.*), then (.*) [0-9-]{11}", got[n].text).groups()
+        assert got[n].n == 3 and one == two != n and form(one) == form(n)
+
+
+def test_names_standing_alone(spark):
+    texts = ["Mr Smith came. Smith said; SMITH's hat, Smithson, a smith", "Maria Jones. Maria said. Jones's Jones", "Smith Maria"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r for r in surrogates.replaced(df, "k", count_col="n", bare_given=True).collect()}
+    m = re.fullmatch(r"Mr (\w+) came\. (\w+) said; (\w+)'s hat, Smithson, a smith", got[0].text)
+    assert m[1] == m[2] != "Smith" and m[3] == m[1].upper() and got[0].n == 3
+    m = re.fullmatch(r"(\w+) (\w+)\. (\w+) said\. (\w+)'s (\w+)", got[1].text)
+    assert m[1] == m[3] != "Maria" and m[2] == m[4] == m[5] != "Jones" and got[1].n == 5
+    assert got[2].text == texts[2] and got[2].n == 0
+
+
 def test_formats_stay(swapped):
     counts = {k: r.n for k, r in swapped.items()}
     assert counts == {"email": 2, "iban": 2, "phone": 5, "card": 2, "ssn": 1, "ip": 2, "ipv6": 1, "name": 8}

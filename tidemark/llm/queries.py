@@ -110,7 +110,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return surrogates.replaced(docs, PII_KEY, count_col="n_entities")
+    return surrogates.replaced(docs, PII_KEY, count_col="n_entities", bare_given=True)
 
 
 @query

@@ -4,6 +4,11 @@ Found are e-mail addresses, IP addresses (4 and 6), IBANs, payment cards (with a
 digit), US social security numbers, telephone numbers, given names (of a list, before a surname)
 and surnames (after a title or a given name). All work is in column expressions.
 
+A surname that was found is replaced wherever it stands alone in the same text with a capital
+letter, given names too with ``bare_given``. Telephone numbers are those with a country code (8 to 15
+digits), those of North America, and those with a zero before the area. IPv6 addresses may be
+shortened; with fewer than four digits (``::1``) they name no host and stay.
+
 Numbers side by side, joined by single spaces or hyphens, are searched number by number: at each, a
 social security number, a telephone number or a card in the groupings that cards have is looked for
 and what follows it is searched further. Where there is none of these, 13 to 19 digits in any
@@ -69,30 +74,51 @@ _titles = "|".join(TITLES)
 _octet = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _begin, _end = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _surname = r"\p{Lu}[\p{L}'’-]{1,40}"
+_hex = "[0-9A-Fa-f]{1,4}"
+# With "::" for at least one group, four digits or more and a decimal digit or three colons.
+_compressed = (
+    rf"(?=(?::*[0-9A-Fa-f]){{4}})(?=[A-Fa-f:]*+\d|(?:[0-9A-Fa-f]*+:){{3}})(?!(?:[0-9A-Fa-f]*+:){{9}})"
+    rf"(?:{_hex}(?::{_hex}){{0,6}})?::(?:{_hex}(?::{_hex}){{0,6}})?"
+)
+# A digit of a telephone number and what may be before it; where another number begins, it ends.
+_ends = r"(?!\d{3}-\d{2}-\d{4}|(?:\d{1,3}\.){3}\d)"
+_next = rf"(?:(?:[ ./-]|[ .-]?\(|\)[ .-]?){_ends})?\d"
+_plain = rf"(?:[ ./-]{_ends})?\d"
+# Ten or nine digits after country codes whose numbers have that many, else 8 to 15 in all; fewer
+# where they are grouped.
+_international = (
+    rf"\+(?:(?:1|7|44|91)(?:{_next}){{10}}|(?:3[0134]|4[18]|61)(?:{_next}){{9}}"
+    rf"|\d{{1,3}}[ .-]?\(\d{{1,5}}\)[ .-]?\d(?:{_plain}){{4,11}}|\d(?:{_plain}){{7,14}}"
+    rf"|\d{{1,3}}[ .-]?\(\d{{1,4}}\)[ .-]?\d{{2,4}}(?:[ .-]?\d{{2,4}}){{1,3}}|\d{{1,3}}(?:[ .-]\d{{2,4}}){{3,4}})(?!\d)"
+)
+# Without country code: area and exchange of North America, or a zero and the area.
+_national = (
+    r"[2-9]\d{2}[ -][2-9]\d{2}[ -]\d{4}|0[1-9]\d \d{4} \d{4}|0[1-9]\d{2} \d{3} \d{3,4}"
+    r"|0[1-9]\d{3} \d{3} \d{3}|0[1-9]\d{1,3} \d{6,8}"
+)
 _ip = rf"(?:{_octet}\.){{3}}{_octet}"
 # What a number may be followed by that is no part of it: another address or number with dots.
-_other = rf"{_ip}|\d{{3}}\.\d{{3}}[.-]\d{{4}}|(?:[0-9A-Fa-f]{{1,4}}:){{2}}|[\p{{L}}\p{{N}}._%+-]++@"
+_other = rf"{_ip}|\d{{3}}\.\d{{3}}[.-]\d{{4}}|(?:{_hex}:){{2}}|{_hex}::|[\p{{L}}\p{{N}}._%+-]++@"
 # In order of preference where several match. Each begins with what rules most places out. A "run"
 # is all numbers joined by single spaces and hyphens; ``_in_run`` finds the entities in it.
 PATTERNS = {
     "email": r"(?<![._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "ipv6": rf"(?=[0-9A-Fa-f]{{1,4}}:)(?<!:)(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}{_end}",
+    "ipv6": rf"(?=[0-9A-Fa-f]{{0,4}}:)(?<!:)(?:(?:{_hex}:){{7}}{_hex}|{_compressed}){_end}(?!\.\d|:[0-9A-Fa-f:])",
     "ip": rf"(?=\d{{1,3}}\.\d)(?<!\.)(?:{_octet}\.){{3}}{_octet}{_end}(?!\.\d)",
     "iban": rf"(?=[A-Z]{{2}}\d\d)[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_end}",
-    "phone": r"(?=[0-9+(])(?<!\+)(?:\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}"
-             r"|\+\d{1,3}(?:[ .-]\d{2,4}){3,4}|\+\d{8,14}|\(\d{3}\) ?\d{3}[ .-]\d{4}"
-             r"|\d{3}[.-]\d{3}[.-]\d{4}|0\d(?:[ .]\d{2}){4})(?![\p{L}\p{N}])",
+    "phone": rf"(?=[0-9+(])(?<!\+)(?:{_international}|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}"
+             rf"|\d{{3}}[.-]\d{{3}}[.-]\d{{4}}|0\d(?:[ .]\d{{2}}){{4}})(?![\p{{L}}\p{{N}}])",
     "run": rf"(?=\d(?:[ -]?\d){{8}})\d++(?!\p{{L}})(?:[ -](?!{_other})\d++(?!\p{{L}}))*+",
     "given": rf"(?=\p{{Lu}})(?:{_names})(?= {_surname})",
     "surname": rf"(?=\p{{Lu}})(?<= )(?:(?<=(?<![\p{{L}}\p{{N}}])(?:{_titles})\.? )|(?<=(?<![\p{{L}}\p{{N}}])(?:{_names}) )){_surname}",
 }
 # Entities begin where a word does, so nothing is tried inside words.
-ANY = _begin + r"(?=[\p{L}\p{N}._%+(-])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
+ANY = _begin + r"(?=[\p{L}\p{N}._%+(:-])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
 _DIGITS_ONLY = ("phone", "card", "ssn")
 RUN = r"^\d++(?:[ -]\d++)*+$"
 # What may begin at a number of a run.
 RUN_SSN = r"^\d{3}-\d{2}-\d{4}(?![\d-])"
-RUN_PHONE = r"^(?:\d{3}-\d{3}-\d{4}|0\d(?: \d{2}){4})(?!\d)"
+RUN_PHONE = rf"^(?:\d{{3}}-\d{{3}}-\d{{4}}|0\d(?: \d{{2}}){{4}}|{_national})(?!\d)"
 # Groupings of cards, beginning as issuers' numbers do unless they are in one piece.
 RUN_CARDS = (
     r"^\d{13,19}(?!\d)",
@@ -391,22 +417,52 @@ class Columns:
 
     text: str
     found: str
+    again: str
     pieces: str
     taken: str
 
     @classmethod
     def free(cls, columns: list[str], text: str) -> Columns:
         names: list[str] = []
-        for name in ("pii_found", "pii_pieces", "pii_attempts"):
+        for name in ("pii_found", "pii_again", "pii_pieces", "pii_attempts"):
             names.append(free_name([*columns, *names], name))
         return cls(text, *names)
 
 
-def detected(df: DataFrame, c: Columns) -> DataFrame:
-    """``df`` with the matches of each text, and with its pieces, none for a text without matches."""
-    found = F.regexp_extract_all(F.col(c.text), F.lit(ANY), F.lit(0))
-    pieces = pieces_of(F.col(c.text), F.col(c.found), F.lit(ANY))
-    return df.withColumn(c.found, F.coalesce(found, F.array().cast("array<string>"))).withColumn(
+def _again(found: Column, bare_given: bool) -> Column:
+    """ANY and, standing alone, the surnames among ``found`` in any case and, if ``bare_given``, the
+    given names; null where there are none."""
+    listed = F.array(*map(F.lit, [n for names in GIVEN.values() for n in names]))
+    plain = F.transform(found, lambda f: F.regexp_replace(f, r"['’]s$|['’-]+$", ""))
+    names = F.filter(F.array_distinct(plain), lambda f: f.rlike(r"^\p{Lu}[\p{L}'’-]+$"))
+    # Longer names before those they begin with; the first alternative never matches.
+    either = lambda names: F.array_join(
+        F.concat(F.array(F.lit("(?!)")), F.reverse(F.array_sort(names))), "|"
+    )
+
+    def pattern(names: Column) -> Column:
+        given = F.filter(names, lambda f: F.lit(bare_given) & F.array_contains(listed, f))
+        others = F.filter(names, lambda f: ~F.array_contains(listed, f))
+        return F.when(
+            F.size(given) + F.size(others) > 0,
+            F.concat(
+                F.lit(ANY[:-1] + r"|(?=\p{Lu})(?:"), either(given), F.lit("|(?iu:"), either(others), F.lit(f")){_end})")
+            ),
+        )
+
+    return F.transform(F.array(names), pattern)[0]
+
+
+def detected(df: DataFrame, c: Columns, bare_given: bool = False) -> DataFrame:
+    """``df`` with the matches of each text, and with its pieces, none for a text without matches.
+    A text with names is searched once more, for other mentions of them."""
+    text, found, again = F.col(c.text), F.col(c.found), F.col(c.again)
+    first = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    all_of = F.when(again.isNull(), found).otherwise(F.regexp_extract_all(text, again, F.lit(0)))
+    pieces = pieces_of(text, found, F.coalesce(again, F.lit(ANY)))
+    return df.withColumn(c.found, F.coalesce(first, F.array().cast("array<string>"))).withColumn(
+        c.again, F.when(F.size(c.found) > 0, _again(found, bare_given))
+    ).withColumn(c.found, all_of).withColumn(
         c.pieces, F.when(F.size(c.found) > 0, pieces).otherwise(F.array().cast("array<struct<g:string,s:string,k:string>>"))
     )
 
@@ -422,12 +478,12 @@ def _values(pieces: Column, attempt: Callable[[Column, Column], Column]) -> Colu
     )
 
 
-def entities(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+def entities(df: DataFrame, key: str, text_col: str = "text", bare_given: bool = False) -> DataFrame:
     """Every distinct entity of the corpus: kind, text (canonical), attempt, surrogate; collisions
     are resolved. An entity that half the texts mention is one row per task before the shuffle."""
     c = Columns.free(df.columns, text_col)
     first = lambda k, t: F.lit(0)
-    mentions = detected(df.select(text_col), c).where(F.size(c.found) > 0)
+    mentions = detected(df.select(text_col), c, bare_given).where(F.size(c.found) > 0)
     distinct = (
         mentions.select(F.explode(_values(F.col(c.pieces), first)).alias("e"))
         .select("e.kind", "e.text", "e.attempt").where("kind <> 'none'").distinct()
@@ -462,14 +518,15 @@ def entities(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
 
 
 def replaced(
-    df: DataFrame, key: str, text_col: str = "text", count_col: str | None = None
+    df: DataFrame, key: str, text_col: str = "text", count_col: str | None = None, bare_given: bool = False
 ) -> DataFrame:
     """``df`` with the entities of ``text_col`` replaced, all other columns as they are; their number
-    goes to ``count_col`` if it is named. Texts without entities are not taken apart."""
+    goes to ``count_col`` if it is named. Texts without entities are not taken apart. ``bare_given``:
+    given names of a text are replaced where they stand alone as well."""
     c = Columns.free([*df.columns, *([count_col] if count_col else [])], text_col)
-    corpus = entities(df, key, text_col)
+    corpus = entities(df, key, text_col, bare_given)
     later = corpus.where("attempt > 0").select("kind", "text", "attempt")
-    work = detected(df, c)
+    work = detected(df, c, bare_given)
     attempts: Callable[[Column, Column], Column] = lambda k, t: F.lit(0)
     if not later.isEmpty():
         digest, kept = free_name([*work.columns, c.taken], "pii_digest"), "pii_texts"
