@@ -339,6 +339,25 @@ def test_secret_scan_of_awkward_rows(spark, awkward, empty):
         secrets.fit(secrets.labelled_by_shape(found))
 
 
+def test_context_has_other_findings(spark):
+    names = ["AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMIK7MDENGbPxRfiCY", "AWS_SECRET_ACCESS_KEY=7MDENGbPxRfiCYwJalrXUtnFEMI"]
+    texts = [*names, "id " + " ".join("abcdefghij0123456789" for _ in range(40)) + " end"]
+    docs = spark.createDataFrame([(i, t, "a.py") for i, t in enumerate(texts)], "doc_id int, text string, source string")
+    found = secrets.findings(docs)
+    for i, text in enumerate(texts):
+        at = 0
+        for r in sorted(found.where(f"id = {i}").collect(), key=lambda r: r.number):
+            at = text.index(r.value, at)
+            end = at + len(r.value)
+            assert r.before == text[max(at - 64, 0) : at] and r.after == text[end : end + 64]
+            at = end
+    words = spark.createDataFrame([("cat",)], "word string")
+    rows = secrets.featured(found, words).where("id < 2 and number = 2").collect()
+    assert len(rows) == 2 and all(r.word_secret and r.assigned for r in rows)
+    assert secrets.labelled_by_shape(found).where("id < 2 and number = 2 and label = 1").count() == 2
+
+
+
 def test_secret_scan_runs_without_python(spark):
     plan = queries.registered()["op2_secret_forest"](spark, "/root/testdata/sf0.01")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

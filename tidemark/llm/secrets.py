@@ -38,7 +38,7 @@ HARMLESS_PATHS = r"(?i)(test|example|sample|doc|vendor|fixture|mock|node_modules
 CODE_PATHS = r"(?i)\.(py|js|ts|java|go|rb|php|env|ya?ml|json|cfg|ini|toml|properties|sh|tf)$"
 # Shapes that providers give their keys, for labelling (fixed values).
 PROVIDER = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36}$|^glpat-[0-9A-Za-z_-]{20}$|^AIza[0-9A-Za-z_-]{35}$|^sk_live_[0-9A-Za-z]{24,}$"
-ASSIGNED = r"(?i)(pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|auth|credential)[\"']?\s*[:=]\s*[\"']?$"
+ASSIGNED = r"(?i)(pass(?:word|wd|phrase)?|pwd|secret|token|(?:api|access|secret|private)_?key|auth|credential)[\"']?\s*[:=]\s*[\"']?$"
 
 FEATURES = (
     "length", "digit_share", "upper_share", "class_changes", "case_changes", "distinct_share",
@@ -65,7 +65,8 @@ def dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """One row per finding: id, ``number`` in its text, ``value``, ``before`` and ``after``, path."""
+    """One row per finding: id, ``number`` in its text, ``value``, path, and ``before`` and ``after``, the text on
+    either side, with other findings in it."""
     text = F.col("t")
     rows = docs.select(
         docs[id_col].alias("id"), F.coalesce(docs[path_col].cast("string"), F.lit("")).alias("path"),
@@ -74,12 +75,25 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     gaps = rows.where(F.size("found") > 0).select(
         "id", "path", "found", F.split(text, CANDIDATE, -1).alias("gaps")
     )
+    # The text as gap, finding, gap and so on. A gap and a finding have a character at least, so so
+    # many pieces hold the context, and no more than its length is needed of each.
+    both = F.flatten(
+        F.transform(F.arrays_zip("gaps", "found"), lambda z: F.array(z.gaps, F.coalesce(z.found, F.lit(""))))
+    )
+    gaps = gaps.select(
+        "*", F.transform(both, lambda x: F.right(x, F.lit(CONTEXT))).alias("ends"),
+        F.transform(both, lambda x: F.left(x, F.lit(CONTEXT))).alias("begins"),
+    )
+    most = 2 * CONTEXT
+    joined = lambda pieces, start, n: F.array_join(F.slice(pieces, start, n), "")
     each = F.transform(
         "found",
         lambda v, i: F.struct(
             (i + 1).cast("bigint").alias("number"), v.alias("value"),
-            F.right(F.col("gaps")[i], F.lit(CONTEXT)).alias("before"),
-            F.left(F.col("gaps")[i + 1], F.lit(CONTEXT)).alias("after"),
+            F.right(
+                joined("ends", F.greatest(2 * i + 2 - most, F.lit(1)), F.least(2 * i + 1, F.lit(most))), F.lit(CONTEXT)
+            ).alias("before"),
+            F.left(joined("begins", 2 * i + 3, F.lit(most)), F.lit(CONTEXT)).alias("after"),
         ),
     )
     return gaps.select("id", "path", F.inline(each))
