@@ -358,6 +358,25 @@ def test_context_has_other_findings(spark):
 
 
 
+def test_secrets_by_place_and_beside_other_scripts(spark):
+    texts = {
+        "password=Tr0ub4dor&3": "Tr0ub4dor&3",
+        'x = {"db_password": "hunter 2, ok", 1}': "hunter 2, ok",
+        "pwd: 'a b\"c'": 'a b"c',
+        "(api_key=k9!),": "k9!",
+        "TOKEN_PROD = пароль7.": "пароль7",
+        "token为ghp_abcdefghijklmnopqrstuvwxyz0123456789": "ghp_abcdefghijklmnopqrstuvwxyz0123456789",
+        "ghp_abcdefghijklmnopqrstuvwxyz0123456789です": "ghp_abcdefghijklmnopqrstuvwxyz0123456789",
+        "the author: nobody, a keyboard = no": None,
+    }
+    docs = spark.createDataFrame([(t, t, "a.py") for t in texts], "doc_id string, text string, source string")
+    got = {t: [] for t in texts}
+    for r in secrets.findings(docs).collect():
+        got[r.id].append(r.value)
+    assert got == {t: [v] if v else [] for t, v in texts.items()}
+
+
+
 def test_secret_scan_runs_without_python(spark):
     plan = queries.registered()["op2_secret_forest"](spark, "/root/testdata/sf0.01")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -1,6 +1,7 @@
 """Secret scans: a random forest that removes false findings.
 
-Findings are stretches of 16 or more letters, digits and ``+/_-``. Each gets figures: its length,
+Findings are stretches of 16 or more letters, digits and ``+/_-``, and what stands after the name of
+a password, token or key and a colon or equals sign, of any length and characters. Each gets figures: its length,
 how often its characters change class or case, how many differ, how much of it is covered by words
 of a dictionary, what the path of its document says, and what the words next to it say. A random
 forest trained on labelled findings gives the probability that it is a secret.
@@ -30,7 +31,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.cluster import written
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_\-\p{L}])[A-Za-z0-9+/_\-]{16,}+={0,2}(?!\p{L})"
+# What stands after the name of a password, token or key and ":" or "=": all between quotes, or else
+# all up to a space, without closing punctuation.
+_named = (
+    r"(?<=[:=]\s{0,3}[\"']?)(?<=(?i:pass(?:word|wd|phrase)?|pwd|secret|token|key|auth|credential)"
+    r"(?:s|[0-9]{1,3}|[_\-A-Z][A-Za-z0-9_\-]{0,20})?[\"']?\s{0,3}[:=]\s{0,3}[\"']?)"
+)
+PLACED = _named + r"(?:(?<=\")[^\"\r\n]+(?=\")|(?<=')[^'\r\n]+(?=')|(?![\s\"':=])\S*[^\s\"',;.)\]}>])"
+# Latin letters beside a stretch make it part of a word; other scripts are written without spaces.
+CANDIDATE = PLACED + r"|(?<![A-Za-z0-9+/_\-\p{IsLatin}])[A-Za-z0-9+/_\-]{16,}+={0,2}(?!\p{IsLatin})"
 CONTEXT = 64
 SECRET_WORDS = r"(?i)(pass(?:word|wd|phrase)?|pwd|secret|token|api|key|auth|credential|bearer|private)"
 HARMLESS_WORDS = r"(?i)(example|sample|dummy|placeholder|test|sha\d*|md5|commit|checksum|hash|uuid|version)"
@@ -155,7 +164,9 @@ def labelled_by_shape(found: DataFrame) -> DataFrame:
     """Findings whose nature their shape or place makes certain, with ``label``: keys of providers
     and assigned passwords are secrets; plain words and plain numbers elsewhere are not."""
     value, before = F.col("value"), F.col("before")
-    secret = value.rlike(PROVIDER) | (before.rlike(ASSIGNED) & value.rlike("[0-9]") & value.rlike("[A-Za-z]"))
+    secret = value.rlike(PROVIDER) | (
+        before.rlike(ASSIGNED) & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.length(value) >= 8)
+    )
     harmless = (value.rlike(r"^[A-Z]?[a-z]+$|^[A-Z]+$|^[0-9]+$|^[a-z_\-/]+$") | before.rlike(r"(?i)(commit|sha\d*|md5|uuid)\W*$")) & ~before.rlike(ASSIGNED)
     return found.withColumn("label", F.when(secret, 1.0).when(harmless, 0.0)).where("label is not null")
 
