@@ -14,7 +14,8 @@ first by a hash of their value, as one bounded set; every finding is scored.
 Defined cases: null and empty texts have no findings; a null path counts as an empty one; a text of
 any length is scanned whole; equal findings of one text are numbered and score by their own
 neighbours; rows of equal id are scanned each. Without labelled findings of both kinds nothing can
-be learned and ``fit`` raises ValueError. An empty table has no findings. Other columns are not
+be learned: ``fit`` raises ValueError, and ``scan``, if it had to label by shape, keeps every
+finding with a null score. An empty table has no findings. Other columns are not
 looked at."""
 
 from __future__ import annotations
@@ -171,6 +172,10 @@ def labelled_by_shape(found: DataFrame) -> DataFrame:
     return found.withColumn("label", F.when(secret, 1.0).when(harmless, 0.0)).where("label is not null")
 
 
+class MissingKind(ValueError):
+    """Labelled findings are all of one kind, or there are none."""
+
+
 def fit(labelled: DataFrame, forest: Forest | None = None) -> PipelineModel:
     """A forest of labelled findings with figures (``label`` 1 or 0). Of more than
     ``most_labelled``, half the places go to each kind, by hash of value and place."""
@@ -180,7 +185,7 @@ def fit(labelled: DataFrame, forest: Forest | None = None) -> PipelineModel:
     chosen = [labelled.where(F.col("label") == k).orderBy(*order).limit(half) for k in (0.0, 1.0)]
     sample = written(chosen[0].unionByName(chosen[1]).select("label", *FEATURES), "labelled")
     if sample.select("label").distinct().count() < 2:
-        raise ValueError("labelled findings of both kinds are needed")
+        raise MissingKind("labelled findings of both kinds are needed")
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     trees = RandomForestClassifier(
         numTrees=forest.trees, maxDepth=forest.depth, seed=forest.seed, labelCol="label", featuresCol="features"
@@ -200,9 +205,17 @@ def scan(
     id_col: str = "doc_id", text_col: str = "text", path_col: str = "source",
 ) -> DataFrame:
     """Every finding of ``docs`` with its score. ``labelled`` are findings with ``label``; without
-    them, those whose shape makes them certain are taken from ``docs``."""
+    them, those whose shape makes them certain are taken from ``docs``; if these are not of both kinds,
+    nothing can be judged, and every finding is kept, with a null score."""
     forest = forest or Forest()
     found = written(findings(docs, id_col, text_col, path_col), "findings")
     figures = written(featured(found, words), "figures")
     known = labelled_by_shape(figures) if labelled is None else featured(labelled, words)
-    return scored(figures, fit(known, forest), forest.threshold).withColumnRenamed("id", id_col)
+    try:
+        out = scored(figures, fit(known, forest), forest.threshold)
+    except MissingKind:
+        if labelled is not None:
+            raise
+        unjudged = (F.lit(None).cast("double").alias("score"), F.lit(True).alias("kept"))
+        out = figures.select("id", "number", "value", *unjudged)
+    return out.withColumnRenamed("id", id_col)
