@@ -2,8 +2,37 @@
 
 from __future__ import annotations
 
+FILL_IN_MIDDLE = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS a,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM units
+), parts AS (
+  SELECT doc_id, n, form, t, array_to_string(u[1:least(a, b)], '') AS prefix,
+         array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS middle,
+         array_to_string(u[greatest(a, b) + 1:], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
 
 def statements() -> dict[str, str]:
-    """None yet: base32 digests, vocabularies, permutations, MinHash and learned models are beyond
-    SQL, and windows of words over whole tables are too slow in it. Brute force is in tests/llm."""
-    return {}
+    """Vocabularies, permutations, MinHash, eigenvectors and learned models are beyond SQL; for
+    those brute force is in tests/llm."""
+    return {"op13_fill_in_middle": FILL_IN_MIDDLE}

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, fertility, language_id, materialise, ngram_join, secrets, surrogates, warc
+from tidemark.llm import (
+    bpe, chat, decontaminate, fertility, fim, language_id, materialise, ngram_join, secrets, surrogates, warc,
+)
 from tidemark.llm.cluster import folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +123,8 @@ def op9_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
