@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     bpe, chat, decontaminate, fertility, fim, language_id, materialise, ngram_join, secrets, surrogates, warc,
+    whitening,
 )
 from tidemark.llm.cluster import folder, written
 
@@ -125,6 +126,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"))
