@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, chat, decontaminate, fertility, fim, language_id, materialise, ngram_join, secrets, surrogates, warc,
-    whitening,
+    bpe, chat, decontaminate, fertility, fim, language_id, licenses, materialise, ngram_join, secrets,
+    surrogates, warc, whitening,
 )
 from tidemark.llm.cluster import folder, written
 
@@ -126,6 +126,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whitened(table(spark, sf_dir, "embeddings"))
