@@ -24,13 +24,13 @@ import base64
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.cluster import written
+from tidemark.llm.cluster import folder, written
 
 # What stands after the name of a password, token or key and ":" or "=": all between quotes, or else
 # all up to a space, without closing punctuation.
@@ -190,7 +190,11 @@ def fit(labelled: DataFrame, forest: Forest | None = None) -> PipelineModel:
     trees = RandomForestClassifier(
         numTrees=forest.trees, maxDepth=forest.depth, seed=forest.seed, labelCol="label", featuresCol="features"
     )
-    return PipelineModel([assembler, trees.fit(assembler.transform(sample))])
+    # Read back, the forest is without its training summary, which holds the session and with it
+    # things that cannot be sent to tasks once a job of the session was observed.
+    path = folder(sample.sparkSession, "forest")
+    trees.fit(assembler.transform(sample)).write().save(path)
+    return PipelineModel([assembler, RandomForestClassificationModel.load(path)])
 
 
 def scored(found: DataFrame, model: PipelineModel, threshold: float = 0.5) -> DataFrame:
