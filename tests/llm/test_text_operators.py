@@ -85,14 +85,45 @@ def test_items_in_several_sets(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "SET_BYTES", 200)
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    search = decontaminate.Search(items, "item_id", "text", 13)
-    assert len(search.sets) > 5
+    assert len(list(decontaminate.item_sets(items, "item_id", "text"))) > 5
     columns = ["doc_id", "n_hit", "items_sha256"]
     many = decontaminate.scan(docs, items).select(columns).collect()
     monkeypatch.undo()
     assert sorted(many) == sorted(decontaminate.scan(docs, items).select(columns).collect())
 
 
+def test_cleaning_with_several_sets(spark, awkward, monkeypatch):
+    items = spark.createDataFrame(
+        [(1, "word " * 14), (None, "ok"), (3, "Equal text on two rows of"), (4, "nothing of it")], "item_id int, text string"
+    )
+    once = sorted(map(repr, decontaminate.clean(awkward, items).collect()))
+    found = sorted(map(repr, decontaminate.scan(awkward, items).collect()))
+    monkeypatch.setattr(decontaminate, "SET_BYTES", 10)
+    assert sorted(map(repr, decontaminate.clean(awkward, items).collect())) == once
+    assert sorted(map(repr, decontaminate.scan(awkward, items).collect())) == found
+    assert len(once) == awkward.count() - 4
+
+
+def test_items_without_id_count_for_hits(spark, monkeypatch):
+    items = spark.createDataFrame([(None, "a b c d"), (5, "x y z"), (None, "x y z"), (6, None)], "item_id int, text string")
+    docs = spark.createDataFrame(
+        [(1, "a b c d e"), (2, "x y z"), (3, "q r s"), (4, "a b c d x y z")], "doc_id int, text string"
+    )
+    for size in (1 << 20, 3):
+        monkeypatch.setattr(decontaminate, "SET_BYTES", size)
+        got = {r.doc_id: (r.n_hit, list(r["items"]), r.n_items, r.contaminated) for r in decontaminate.scan(docs, items).collect()}
+        assert got == {1: (4, [], 0, True), 2: (3, [5], 1, True), 3: (0, [], 0, False), 4: (7, [5], 1, True)}
+        assert [r.doc_id for r in decontaminate.clean(docs, items).collect()] == [3]
+        assert {r.items_sha256 for r in decontaminate.scan(docs, items).collect() if r.doc_id in (1, 3)} == {sha256(b"").hexdigest()}
+
+
+def test_a_worker_holds_the_tables_of_one_set(spark):
+    sets = [decontaminate.Search(spark, [(i, f"one two {i}")], 13) for i in range(3)]
+    for search in sets:
+        list(search(decontaminate.pa.array(["one two 1", None])))
+        assert list(decontaminate.Search._built) == [search.key]
+
+
 def test_decontamination_of_awkward_rows(spark, awkward, empty):
     items = spark.createDataFrame([(1, "word " * 14), (2, None), (3, ""), (4, "ok")], "item_id int, text string")
     got = decontaminate.scan(awkward, items).collect()

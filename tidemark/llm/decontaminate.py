@@ -9,25 +9,35 @@ jump, because no window has them nearer to its m-th word. Where the shift is 0,
 last words selects the windows to test, that of the first words narrows them down, and the bytes
 are compared. Stretches of the texts are searched side by side, one numpy lane each.
 
-Defined cases: a null text has no words, and a document without words is clean. Items that are
-null or have no words have no window. Repeated items and repeated documents each count for
-themselves; items with equal ids count once. A text of any length is searched whole. An empty
-table of documents gives no rows; without items nothing is hit. Only the id and text columns are
-read, whatever other columns are called."""
+Items travel in sets of bounded size. One set, as most benchmarks are, is searched in one pass. Of
+several, each is searched in a pass of its own, and its tables are let go before the next: the pass
+writes the places hit, for documents with any, and the places of all sets are put together in the
+end. So neither driver nor workers ever hold more than one set.
+
+Defined cases: a null text has no words, and a document without words is clean. Items whose text is
+null or has no words have no window. An item without an id counts for ``n_hit`` like any other, but
+has no id to be listed or counted. Repeated items and repeated documents each count for themselves;
+items with equal ids count once. A text of any length is searched whole. An empty table of documents
+gives no rows; without items nothing is hit. Only the id and text columns are read, whatever other
+columns are called."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from hashlib import sha256
+from itertools import chain
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.cluster import prepare
+from tidemark.llm.cluster import prepare, written
 from tidemark.llm.words import Texts, counted, mixed, parts, stretch, sums
 
 WINDOW = 13
@@ -153,23 +163,23 @@ def item_windows(items: list[tuple[int, str]], window: int) -> list[Windows]:
     return [Windows.build(length, patterns) for length, patterns in sorted(by_length.items())]
 
 
-def searched(texts: pa.Array, sets: list[list[Windows]]) -> Iterator[tuple]:
-    """Per text: words, words hit, numbers of the items found."""
+def places(texts: pa.Array, tables: list[Windows]) -> Iterator[tuple[int, np.ndarray, set[int]]]:
+    """Per text: words, numbers of the words hit, numbers of the items found."""
     for _, part in parts(texts):
         found = tokens(part)
         words = counted(found.owner, len(part))
         bounds = np.concatenate([[0], np.cumsum(words)])
         cover = np.zeros(len(found.start) + 1, dtype=np.int64)
         items: dict[int, set[int]] = {}
-        for tables in sets:
-            for table in tables:
-                for last, numbers in table.occurrences(found, bounds):
-                    cover[last - table.length + 1] += 1
-                    cover[last + 1] -= 1
-                    items.setdefault(int(found.owner[last]), set()).update(numbers)
-        hit = counted(found.owner[np.cumsum(cover)[:-1] > 0], len(part))
-        for i, (n_words, n_hit) in enumerate(zip(words.tolist(), hit.tolist(), strict=True)):
-            yield n_words, n_hit, items.get(i, ())
+        for table in tables:
+            for last, numbers in table.occurrences(found, bounds):
+                cover[last - table.length + 1] += 1
+                cover[last + 1] -= 1
+                items.setdefault(int(found.owner[last]), set()).update(numbers)
+        hit = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
+        cuts = np.searchsorted(hit, bounds)
+        for i, n in enumerate(words.tolist()):
+            yield n, hit[cuts[i] : cuts[i + 1]] - bounds[i], items.get(i, set())
 
 
 def contaminated(n_words: int, n_hit: int) -> bool:
@@ -177,11 +187,11 @@ def contaminated(n_words: int, n_hit: int) -> bool:
     return n_hit > 0 and 20 * n_hit >= n_words
 
 
-def _sets(items: DataFrame, item_id: str, text_col: str) -> Iterator[list[tuple]]:
+def item_sets(items: DataFrame, item_id: str, text_col: str) -> Iterator[list[tuple]]:
     """The items in sets of at most SET_BYTES; they come to the driver a partition at a time."""
     rows, size = [], 0
     picked = items.select(F.col(item_id).alias("i"), F.col(text_col).alias("t"))
-    for row in picked.where("i is not null and t is not null").distinct().toLocalIterator():
+    for row in picked.where("t is not null").distinct().toLocalIterator():
         length = len(row.t.encode())
         if rows and size + length > SET_BYTES:
             yield rows
@@ -193,36 +203,23 @@ def _sets(items: DataFrame, item_id: str, text_col: str) -> Iterator[list[tuple]
 
 
 class Search:
-    """The broadcast sets of items, and the search over a column of texts.
+    """One set of items, broadcast, and the search over a column of texts. A worker process builds
+    the tables of a set once, and holds those of one set at a time."""
 
-    Each broadcast holds at most SET_BYTES of item text, so its size does not depend on the number
-    of items; tasks build the tables of a set once per worker process."""
+    _built: dict[str, list[Windows]] = {}
 
-    _built: dict[str, list[tuple[list, list[Windows]]]] = {}
-
-    def __init__(self, items: DataFrame, item_id: str, text_col: str, window: int):
-        spark = items.sparkSession
+    def __init__(self, spark: SparkSession, items: list[tuple], window: int):
         self.key, self.window = uuid4().hex, window
-        self.sets = [spark.sparkContext.broadcast(s) for s in _sets(items, item_id, text_col)]
+        self.held = spark.sparkContext.broadcast(items)
 
-    def tables(self) -> list[tuple[list, list[Windows]]]:
-        """Ids and tables of each set; items are numbered through all sets."""
+    def __call__(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, list]]:
+        """Words, numbers of the words hit, and ids of the items found, per text."""
         if self.key not in Search._built:
-            out, first = [], 0
-            for held in self.sets:
-                numbered = [(first + i, text) for i, (_, text) in enumerate(held.value)]
-                out.append(([i for i, _ in held.value], item_windows(numbered, self.window)))
-                first += len(numbered)
             Search._built.clear()
-            Search._built[self.key] = out
-        return Search._built[self.key]
-
-    def __call__(self, texts: pa.Array) -> Iterator[tuple[int, int, list]]:
-        """Words, words hit, and ids of the items found, per text."""
-        built = self.tables()
-        ids = [i for own, _ in built for i in own]
-        for n_words, n_hit, numbers in searched(texts, [tables for _, tables in built]):
-            yield n_words, n_hit, sorted({ids[n] for n in numbers})
+            Search._built[self.key] = item_windows([(i, t) for i, (_, t) in enumerate(self.held.value)], self.window)
+        ids = [i for i, _ in self.held.value]
+        for n_words, hit, numbers in places(texts, Search._built[self.key]):
+            yield n_words, hit, sorted({ids[n] for n in numbers if ids[n] is not None})
 
 
 def scan(
@@ -231,35 +228,12 @@ def scan(
 ) -> DataFrame:
     """Per document: id, n_words, n_hit, ``items`` (ids found, in order), n_items, items_sha256 (of
     the ids as sorted strings, with commas) and ``contaminated``."""
-    prepare(docs.sparkSession)
-    search = Search(items, item_id, item_text, window)
-    kinds = dict(docs.dtypes)[id_col], dict(items.dtypes)[item_id]
-
-    def work(batches):
-        for batch in batches:
-            found = list(search(batch.column(1)))
-            names = [sorted(map(str, x[2])) for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([x[0] for x in found], pa.int64()),
-                    pa.array([x[1] for x in found], pa.int64()),
-                    pa.array([len(x) for x in names], pa.int64()),
-                    pa.array([sha256(",".join(x).encode()).hexdigest() for x in names], pa.string()),
-                    pa.array([contaminated(x[0], x[1]) for x in found], pa.bool_()),
-                    pa.array([x[2] for x in found], item_type),
-                ],
-                ["id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"],
-            )
-
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    item_type = pa.list_(to_arrow_type(items.schema[item_id].dataType))
-    schema = (
-        f"`{id_col}` {kinds[0]}, n_words bigint, n_hit bigint, n_items bigint,"
-        f" items_sha256 string, contaminated boolean, items array<{kinds[1]}>"
-    )
-    return docs.select(docs[id_col], docs[text_col]).mapInArrow(work, schema)
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return _found(rows, items, item_id, item_text, window).select(
+        F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"), "contaminated", "items",
+    )
 
 
 def clean(
@@ -267,12 +241,91 @@ def clean(
     item_text: str = "text", window: int = WINDOW,
 ) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns as they are."""
-    prepare(docs.sparkSession)
-    search, at = Search(items, item_id, item_text, window), docs.columns.index(text_col)
+    spark, at = docs.sparkSession, docs.columns.index(text_col)
+    prepare(spark)
+    first, more = _split(item_sets(items, item_id, item_text))
+    if more:
+        rows = docs.select(F.lit(0).alias("id"), docs[text_col].alias("text"))
+        found = _in_turn(rows, chain([first], more), window, items.schema[item_id].dataType)
+        bad = _judged(found).where("contaminated").select(F.col("text_key").alias("_bad_text")).distinct()
+        return docs.join(bad, F.unhex(F.sha2(docs[text_col].cast("binary"), 256)) == F.col("_bad_text"), "left_anti")
+    search = Search(spark, first, window)
 
     def work(batches):
         for batch in batches:
-            keep = [not contaminated(n, hit) for n, hit, _ in search(batch.column(at))]
+            keep = [not contaminated(n, len(hit)) for n, hit, _ in search(batch.column(at))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
+
+
+def _split(sets: Iterator[list[tuple]]) -> tuple[list[tuple], Iterator[list[tuple]] | None]:
+    """The first set, and the others if there are any."""
+    first, second = next(sets, []), next(sets, None)
+    return first, None if second is None else chain([second], sets)
+
+
+def _found(rows: DataFrame, items: DataFrame, item_id: str, item_text: str, window: int) -> DataFrame:
+    prepare(rows.sparkSession)
+    kind = items.schema[item_id].dataType
+    first, more = _split(item_sets(items, item_id, item_text))
+    if more:
+        return _judged(_in_turn(rows, chain([first], more), window, kind))
+    return _judged(_hits(rows, Search(rows.sparkSession, first, window), kind, "figures"))
+
+
+def _judged(found: DataFrame) -> DataFrame:
+    hit = F.col("n_hit")
+    return found.withColumn("contaminated", (hit > 0) & (20 * hit >= F.col("n_words")))
+
+
+def _hits(rows: DataFrame, search: Search, kind: T.DataType, give: str) -> DataFrame:
+    """Per row of (id, text): id, text_key (digest of the text), n_words, n_hit and ``items``. To
+    ``give`` "figures" leaves the digest out; "places" gives rows with hits only, and the numbers of the
+    words hit for n_hit."""
+    id_type, item_type = to_arrow_type(rows.schema["id"].dataType), pa.list_(to_arrow_type(kind))
+    hit_type = pa.list_(pa.int64()) if give == "places" else pa.int64()
+
+    def work(batches):
+        for batch in batches:
+            found = list(search(batch.column(1)))
+            keep = pa.array([i for i, x in enumerate(found) if give != "places" or len(x[1])], pa.int64())
+            found = [found[i] for i in keep.to_pylist()]
+            hits = [hit.tolist() if give == "places" else len(hit) for _, hit, _ in found]
+            keys = [None] * len(found)
+            if give != "figures":
+                texts = batch.column(1).take(keep).to_pylist()
+                keys = [t if t is None else sha256(t.encode()).digest() for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(keep).cast(id_type), pa.array(keys, pa.binary()),
+                    pa.array([x[0] for x in found], pa.int64()), pa.array(hits, hit_type),
+                    pa.array([x[2] for x in found], item_type),
+                ],
+                ["id", "text_key", "n_words", "n_hit", "items"],
+            )
+
+    ddl = (
+        f"id {rows.schema['id'].dataType.simpleString()}, text_key binary, n_words bigint,"
+        f" n_hit {'array<bigint>' if give == 'places' else 'bigint'}, items array<{kind.simpleString()}>"
+    )
+    return rows.mapInArrow(work, ddl)
+
+
+def _in_turn(rows: DataFrame, sets: Iterable[list[tuple]], window: int, kind: T.DataType) -> DataFrame:
+    """As ``_hits``, a pass per set. Equal texts have equal hits, so what is found goes by the text,
+    once for all its rows."""
+    spark, found = rows.sparkSession, []
+    for own in sets:
+        search = Search(spark, own, window)
+        found.append(written(_hits(rows, search, kind, "places"), "hits"))
+        search.held.destroy()
+    together = reduce(DataFrame.unionByName, found).groupBy(F.col("text_key").alias("k")).agg(
+        F.size(F.array_distinct(F.flatten(F.collect_set("n_hit")))).cast("bigint").alias("hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("own"),
+    )
+    plain = _hits(rows, Search(spark, [], window), kind, "keys").drop("n_hit", "items")
+    return plain.join(together, F.col("text_key") == F.col("k"), "left").select(
+        "id", "text_key", "n_words", F.coalesce("hit", F.lit(0).cast("bigint")).alias("n_hit"),
+        F.coalesce("own", F.array().cast(T.ArrayType(kind))).alias("items"),
+    )
