@@ -275,3 +275,54 @@ def test_awkward_rows_and_empty_tables(spark, awkward, empty, tmp_path):
     assert materialise.write_shards(spark, str(tmp_path / "c"), str(tmp_path / "d"), layout) == 0
     Path(tmp_path / "d").mkdir()
     assert materialise.read_slots(spark, str(tmp_path / "d"), layout).count() == 0
+
+
+# Archives with null ids, long records, broken framing
+
+
+def test_query_with_null_ids(spark, tmp_path):
+    """Null ids of a response, of a revisit and of the page that a revisit refers to."""
+    rows = [(None, "u", "alone"), (7, "u", "both"), (None, "u", "both"), (None, "v", "twice"), (None, "w", "twice"),
+            (3, "a\r\nb", "x" * 90_000), (None, None, None)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    frame.write.parquet(str(tmp_path / "pages.parquet"))
+    got = queries.registered()["op1_warc"](spark, str(tmp_path)).collect()
+    assert dict(queries.registered()["op1_warc"](spark, str(tmp_path)).dtypes)["page_id"] == "bigint"
+    digest = lambda t: base64.b32encode(sha1(t.encode()).digest()).decode()
+    assert Counter(map(tuple, got)) == Counter([
+        (None, 5, digest("alone"), "response", None), (7, 4, digest("both"), "response", None),
+        (None, 4, digest("both"), "revisit", 7), (None, 5, digest("twice"), "response", None),
+        (None, 5, digest("twice"), "revisit", None), (3, 90_000, digest("x" * 90_000), "response", None),
+        (None, 0, digest(""), "response", None),
+    ])
+
+
+def test_a_record_of_fifty_megabytes(spark, tmp_path):
+    body = "0123456789abcde\n" * (50 << 16)
+    frame = spark.createDataFrame([(1, "u", body), (2, "u", "small")], "page_id bigint, url string, html string")
+    warc.write(frame, str(tmp_path / "w"))
+    got = {r.row_id: r for r in warc.read_figures(spark, str(tmp_path / "w")).collect()}
+    assert got["1"].payload_bytes == len(body) and got["1"].complete
+    assert got["1"].payload_digest == base64.b32encode(sha1(body.encode()).digest()).decode()
+
+
+@pytest.mark.parametrize("cut", [1, 2, 3, 7, 50])
+def test_bodies_in_pieces(cut):
+    body = bytes(range(256)) * 3 + b"\r\n0\r\n\r\n"
+    block = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + warc.chunked(body, 100)
+    taken = warc.Body("response", True)
+    for at in range(0, len(block), cut):
+        taken.feed(block[at : at + cut])
+    assert taken.figures(True)["payload"] == body and taken.figures(True)["payload_bytes"] == len(body)
+    assert taken.figures(False)["payload"] is None
+    short = warc.Body("response", True)
+    short.feed(block[:-6])
+    assert short.figures(True) == {"complete": False, "payload_bytes": None, "payload_digest": None, "payload": None}
+
+
+def test_archives_are_parsed_once(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "u", "a" * 90_000), (2, "u", "b")], "page_id bigint, url string, html string")
+    warc.write(frame, str(tmp_path / "w"))
+    found = warc.resolved(warc.read_figures(spark, str(tmp_path / "w")))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in text and "Scan text" not in text

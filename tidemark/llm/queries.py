@@ -47,7 +47,7 @@ def held_out(doc_id: Column) -> Column:
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, path = table(spark, sf_dir, "pages"), folder(spark, "warc")
     warc.write(pages, path)
-    found = warc.resolved(warc.read_payloads(spark, path))
+    found = warc.resolved(warc.read_figures(spark, path))
     kind = dict(pages.dtypes)["page_id"]
     return found.select(
         F.col("row_id").cast(kind).alias("page_id"),

@@ -8,19 +8,22 @@ The files are gzip text files whose rows end with the two line feeds that end a
 own writer, with its commit protocol, makes them on any file system; and a gzip file is not split,
 so its rows reach one task in order. Reading goes through them row by row and holds one record.
 
-Reassembly groups segments by the identifier of their first record, orders them by number, checks
-that none is missing and that the total length is the stated one, and decodes the chunked framing.
-Records in one piece skip that shuffle.
-
-Defined cases: a null body is written as an empty one. Rows of equal id are all kept: they are told
-apart by their record identifiers; of equal bodies and equal ids, one is the response. Repeated
-copies of one segment count once. A record that lacks segments or has a wrong length is given back
-with ``complete`` false and no payload. An empty table writes no record. Only named columns are
-read."""
+Reassembly deals segments by the identifier of their first record, sorts them by number within
+partitions, and reads each record as a stream: none may be missing, the total length must be the
+stated one, and the chunked framing is decoded piece by piece, so that for sizes and digests no
+record is held whole. Records in one piece are decoded where they are parsed and skip that shuffle.
+
+Defined cases: a null body is written as an empty one. A null id is left out of its record and read
+back as null; of equal bodies a row without an id comes after those with one. Rows of equal id are
+all kept: they are told apart by their record identifiers; of equal bodies and equal ids, one is the
+response. Control characters in addresses are written as %XX. Repeated copies of one segment count
+once. A record that lacks segments, has a wrong length or broken framing is given back with
+``complete`` false and no payload. An empty table writes no record. Only named columns are read."""
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from hashlib import sha1
 from uuid import UUID
@@ -29,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.cluster import prepare
+from tidemark.llm.cluster import prepare, written
 
 SEGMENT_BYTES = 32 << 10
 CHUNK_BYTES = 8 << 10
 ROWS_PER_FILE = 200_000
 END = b"\r\n\r\n"
+CONTROL = re.compile(r"[\x00-\x1f\x7f]")
 DATE = "2026-01-05T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -52,24 +56,52 @@ def chunked(body: bytes, size: int = CHUNK_BYTES) -> bytes:
     return b"".join([*out, b"0\r\n\r\n"])
 
 
+class Chunks:
+    """The body of a chunked transfer coding that comes in pieces."""
+
+    def __init__(self):
+        self.held, self.left, self.ended = b"", 0, False  # left: of a chunk and the line feed behind it
+
+    def feed(self, data: bytes) -> Iterator[bytes]:
+        """Parts of the body; ValueError if the framing is broken."""
+        data, at = self.held + data, 0
+        while not self.ended:
+            if self.left > 2:
+                part = data[at : at + self.left - 2]
+                if not part:
+                    break
+                yield part
+                self.left, at = self.left - len(part), at + len(part)
+            elif self.left:
+                if len(data) - at < 2:
+                    break
+                if data[at : at + 2] != b"\r\n":
+                    raise ValueError("a chunk does not end where it should")
+                self.left, at = 0, at + 2
+            else:
+                end = data.find(b"\r\n", at)
+                if end < 0:
+                    break
+                size = int(data[at:end].split(b";")[0], 16)
+                if size < 0:
+                    raise ValueError("a chunk of negative size")
+                self.left, at, self.ended = size + 2, end + 2, size == 0
+        self.held = data[at:]
+
+
 def unchunked(data: bytes) -> bytes:
     """The body of ``data`` in chunked transfer coding; ValueError if the framing is broken."""
-    out, at = [], 0
-    while True:
-        line = data.index(b"\r\n", at)
-        size = int(data[at:line].split(b";")[0], 16)
-        at = line + 2
-        if size == 0:
-            return b"".join(out)
-        if data[at + size : at + size + 2] != b"\r\n":
-            raise ValueError("a chunk does not end where it should")
-        out.append(data[at : at + size])
-        at += size + 2
-
-
-def record(fields: dict[str, str], block: bytes) -> bytes:
+    chunks = Chunks()
+    body = b"".join(chunks.feed(data))
+    if not chunks.ended:
+        raise ValueError("the last chunk is missing")
+    return body
+
+
+def record(fields: dict[str, str | None], block: bytes) -> bytes:
     """A record without the two line feeds at its end."""
-    head = "".join(f"{k}: {v}\r\n" for k, v in fields.items() if v is not None)
+    plain = {k: CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", v) for k, v in fields.items() if v is not None}
+    head = "".join(f"{k}: {v}\r\n" for k, v in plain.items())
     return f"WARC/1.1\r\n{head}Content-Length: {len(block)}\r\n\r\n".encode() + block
 
 
@@ -80,7 +112,7 @@ def record_id(text: str, part: int = 1) -> str:
     return f"<urn:uuid:{UUID(bytes=bytes(raw))}>"
 
 
-def records(key: str, row_id: str, url: str, body: bytes, digest: str, first: str | None,
+def records(key: str, row_id: str | None, url: str, body: bytes, digest: str, first: str | None,
             first_key: str | None, segment_bytes: int) -> Iterator[bytes]:
     """The records of one page: its response in segments, or a revisit of ``first``."""
     fields = {
@@ -126,7 +158,7 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
         F.sha1(body).alias("digest"),
     )
     # Rows of equal id and body are alike but for their url, and the smallest of them is first.
-    order = F.struct("row_id", "url")
+    order = F.struct(F.col("row_id").isNull().alias("no_id"), "row_id", "url")
     same = F.length("body") >= min_bytes
     firsts = (
         rows.where(same).groupBy("digest").agg(F.min(order).alias("first"))
@@ -146,8 +178,8 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
                 key, first_key = f"{row_id}|{url}|{digest}", None
                 if not response:
                     first_key = f"{first['row_id']}|{first['url']}|{digest}"
-                name = "" if row_id is None else str(row_id)
-                seen = first and ("" if first["row_id"] is None else str(first["row_id"]))
+                name = None if row_id is None else str(row_id)
+                seen = None if first is None or first["row_id"] is None else str(first["row_id"])
                 out += records(key, name, url or "", body, base32_digest(digest), seen, first_key,
                                segment_bytes)
                 if sum(map(len, out[-64:])) > 8 << 20 or len(out) > 4096:
@@ -165,12 +197,16 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
 FIELDS = pa.schema([
     ("record_id", pa.string()), ("type", pa.string()), ("url", pa.string()), ("row_id", pa.string()),
     ("digest", pa.string()), ("refers_to", pa.string()), ("segment", pa.int32()),
-    ("origin", pa.string()), ("total", pa.int64()), ("block", pa.binary()),
+    ("origin", pa.string()), ("total", pa.int64()), ("block", pa.binary()), ("complete", pa.bool_()),
+    ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary()),
 ])
 FIELDS_DDL = (
     "record_id string, type string, url string, row_id string, digest string, refers_to string,"
-    " segment int, origin string, total bigint, block binary"
+    " segment int, origin string, total bigint, block binary, complete boolean,"
+    " payload_bytes bigint, payload_digest string, payload binary"
 )
+HEAD = ("record_id", "type", "url", "row_id", "digest", "refers_to")
+FIGURES = ("complete", "payload_bytes", "payload_digest")
 
 
 class Parser:
@@ -216,111 +252,145 @@ class Parser:
         }
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records of the gzip archives below ``path``, each segment a row."""
+class Body:
+    """The payload of a record that comes in pieces: an HTTP head, then a body, chunked or not."""
+
+    def __init__(self, kind: str | None, keep: bool):
+        self.kind, self.digest, self.size, self.broken = kind, sha1(), 0, False
+        self.kept: list[bytes] | None = [] if keep else None
+        self.head: bytes | None = b""  # None when it has been read
+        self.chunks: Chunks | None = None
+
+    def feed(self, data: bytes) -> None:
+        if self.kind == "revisit" or self.broken:
+            return
+        if self.head is not None:
+            head, split, data = (self.head + data).partition(END)
+            if not split:
+                self.head = head
+                return
+            self.chunks = Chunks() if b"transfer-encoding: chunked" in head.lower() else None
+            self.head = None
+        try:
+            for part in self.chunks.feed(data) if self.chunks else (data,):
+                self.size += len(part)
+                self.digest.update(part)
+                if self.kept is not None:
+                    self.kept.append(part)
+        except ValueError:
+            self.broken = True
+
+    def figures(self, complete: bool) -> dict:
+        """``complete`` of the record, and size, digest and bytes of its payload if it is."""
+        if self.kind != "revisit":
+            open_end = self.head is not None or (self.chunks is not None and not self.chunks.ended)
+            complete = complete and not self.broken and not open_end
+        if self.kind == "revisit" or not complete:
+            return {"complete": complete, "payload_bytes": None, "payload_digest": None, "payload": None}
+        return {
+            "complete": True, "payload_bytes": self.size,
+            "payload_digest": base64.b32encode(self.digest.digest()).decode(),
+            "payload": None if self.kept is None else b"".join(self.kept),
+        }
+
+
+def payload(block: bytes) -> bytes | None:
+    """The body of an HTTP response; None if it cannot be decoded."""
+    body = Body(None, True)
+    body.feed(block)
+    return body.figures(True)["payload"]
+
+
+def _batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    out, size = [], 0
+    for row in rows:
+        out.append(row)
+        size += len(row["block"] or b"") + len(row["payload"] or b"")
+        if size > 8 << 20 or len(out) > 2048:
+            yield pa.RecordBatch.from_pylist(out, schema=FIELDS)
+            out, size = [], 0
+    if out:
+        yield pa.RecordBatch.from_pylist(out, schema=FIELDS)
+
+
+def read_records(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
+    """All records of the gzip archives below ``path``: segments with their ``block``, and records in
+    one piece with the figures of their payload instead, and the ``payload`` itself if asked for."""
     prepare(spark)
     lines = spark.read.text(path, lineSep="\r\n").select(
         F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file")
     )
 
     def work(batches):
-        parser, file, out, size = Parser(), None, [], 0
+        yield from _batches(parsed(batches))
+
+    def parsed(batches):
+        parser, file = Parser(), None
         for batch in batches:
             for raw, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if name != file:
                     parser, file = Parser(), name
                 found = parser.line(raw)
-                if found:
-                    out.append(found)
-                    size += len(found["block"])
-                    if size > 8 << 20 or len(out) > 2048:
-                        yield pa.RecordBatch.from_pylist(out, schema=FIELDS)
-                        out, size = [], 0
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema=FIELDS)
+                if not found:
+                    continue
+                body = Body(found["type"], payloads)
+                if found["segment"] is None:
+                    body.feed(found["block"])
+                    found["block"] = None
+                yield found | body.figures(found["segment"] is None)
 
     return lines.mapInArrow(work, FIELDS_DDL)
 
 
-def reassembled(found: DataFrame) -> DataFrame:
-    """One row per record, its segments joined: ``block`` and whether it is ``complete``."""
-    keep = ("type", "url", "row_id", "digest", "refers_to")
-    single = found.where("segment is null").select(
-        "record_id", *keep, "block", F.lit(True).alias("complete")
-    )
-    # A segment that was archived twice counts once, and is dropped before the join of its record.
-    one = found.where("segment is not null").groupBy("origin", "segment").agg(
-        F.min(F.struct("record_id", *keep, "total", "block")).alias("s")
-    )
-    parts = F.sort_array(F.collect_list(F.struct("segment", F.col("s.block").alias("block"))))
-    first = F.min_by("s", "segment")
-    whole = one.groupBy("origin").agg(
-        parts.alias("parts"), first.alias("first"), F.max("s.total").alias("total"),
-        F.max("segment").alias("last"), F.min("segment").alias("lowest"),
-    )
-    blocks = F.transform("parts", lambda p: p.block)
-    joined = F.aggregate(
-        F.slice(blocks, 2, F.greatest(F.size(blocks) - 1, F.lit(0))), blocks[0], lambda a, b: F.concat(a, b)
-    )
-    whole = whole.select("*", joined.alias("block"))
-    return single.unionByName(
-        whole.select(
-            F.col("origin").alias("record_id"),
-            *(F.col(f"first.{c}").alias(c) for c in keep),
-            "block",
-            F.coalesce(
-                (F.col("lowest") == 1) & (F.col("last") == F.size("parts"))
-                & (F.octet_length("block") == F.col("total")), F.lit(False),
-            ).alias("complete"),
-        )
-    )
+def reassembled(found: DataFrame, payloads: bool = False) -> DataFrame:
+    """One row per record; the figures of those in segments are found by reading them in order."""
+    single, parts = found.where("segment is null"), found.where("segment is not null")
+    dealt = parts.repartition("origin").sortWithinPartitions("origin", "segment", "record_id", "block")
 
+    def work(batches):
+        yield from _batches(joined(batches))
 
-def payload(block: bytes) -> bytes | None:
-    """The body of an HTTP response; None if it cannot be decoded."""
-    head, split, body = block.partition(END)
-    if not split:
-        return None
-    if b"transfer-encoding: chunked" in head.lower():
-        try:
-            return unchunked(body)
-        except ValueError:
-            return None
-    return body
+    def joined(batches):
+        origin, head, body, last, length, total = None, None, None, 0, 0, None
+
+        def record():
+            whole = total is not None and length == total
+            return head | body.figures(whole and last > 0) | {"record_id": origin, "segment": None, "block": None}
+
+        for batch in batches:
+            # A few segments at a time become Python objects.
+            for first in range(0, batch.num_rows, 64):
+                for row in batch.slice(first, 64).to_pylist():
+                    if row["origin"] != origin:
+                        if origin is not None:
+                            yield record()
+                        origin, head, last, length, total = row["origin"], row, 0, 0, None
+                        body = Body(row["type"], payloads)
+                    if row["segment"] == last and last > 0:
+                        continue  # a copy
+                    # A gap spoils the record: its length cannot be right any more.
+                    last = row["segment"] if row["segment"] == last + 1 and last >= 0 else -1
+                    if last > 0:
+                        body.feed(row["block"])
+                        length += len(row["block"])
+                        total = row["total"] if row["total"] is not None else total
+        if origin is not None:
+            yield record()
+
+    return single.unionByName(dealt.mapInArrow(work, FIELDS_DDL))
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Per record: record_id, type, url, row_id, digest (as stated), refers_to, complete, payload
     (null for revisits and what is not complete), payload_bytes, payload_digest (as found)."""
-    names = ["record_id", "type", "url", "row_id", "digest", "refers_to", "complete"]
-    rows = reassembled(read_records(spark, path)).select(*names, "block")
-    schema = (
-        "record_id string, type string, url string, row_id string, digest string,"
-        " refers_to string, complete boolean, payload binary, payload_bytes bigint, payload_digest string"
-    )
+    return reassembled(read_records(spark, path, payloads=True), payloads=True).select(*HEAD, *FIGURES, "payload")
 
-    def work(batches):
-        for batch in batches:
-            kinds, whole = batch.column(1).to_pylist(), batch.column(6).to_pylist()
-            bodies = [
-                payload(block) if ok and kind != "revisit" else None
-                for block, ok, kind in zip(batch.column(7).to_pylist(), whole, kinds, strict=True)
-            ]
-            found = [b if b is None else base64.b32encode(sha1(b).digest()).decode() for b in bodies]
-            decoded = [
-                ok and (kind == "revisit" or b is not None)
-                for ok, kind, b in zip(whole, kinds, bodies, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:6], pa.array(decoded, pa.bool_()), pa.array(bodies, pa.binary()),
-                    pa.array([None if b is None else len(b) for b in bodies], pa.int64()),
-                    pa.array(found, pa.string()),
-                ],
-                [*names, "payload", "payload_bytes", "payload_digest"],
-            )
-
-    return rows.mapInArrow(work, schema)
+
+def read_figures(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_payloads``, without the payloads. The archives are parsed once: what is written on
+    the way are figures, and the blocks of segments only."""
+    found = written(read_records(spark, path), "warc-records")
+    return written(reassembled(found).select(*HEAD, *FIGURES), "warc-figures")
 
 
 def resolved(found: DataFrame) -> DataFrame:
@@ -328,7 +398,7 @@ def resolved(found: DataFrame) -> DataFrame:
 
     Only figures are joined, not payloads; a digest that many revisits share is split by adaptive
     execution, as each digest has one figure."""
-    figures = found.drop("payload")
+    figures = found.select(*HEAD, *FIGURES)
     known = (
         figures.where("type = 'response' and complete").groupBy("payload_digest")
         .agg(F.first("payload_bytes").alias("n"))
