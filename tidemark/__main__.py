@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +17,15 @@ from tidemark.plans import reports
 from tidemark.plans.refresh import raw_root, read_warehouse, run
 from tidemark.session import build_session, sized_shuffles
 from tidemark.sources.files import dated_folders, read_aliases
+from tidemark.sources.retention import expire_runs
 from tidemark.sources.snapshots import source_row_counts
 from tidemark.sources.tables import MODES, published_bytes, read_published
-from tidemark.streaming.ingest import land_pending, refresh_folders, stream_snapshots
+from tidemark.streaming.ingest import (
+    land_pending,
+    refresh_folders,
+    refresh_pending,
+    stream_snapshots,
+)
 
 SETTINGS = Settings()
 COVERAGE = "coverage_pct"
@@ -76,6 +82,13 @@ def build(spark: SparkSession, args: argparse.Namespace) -> int:
 def refresh(spark: SparkSession, args: argparse.Namespace) -> int:
     step = refresh_folders(args.root, SETTINGS, args.aliases)
     stream_snapshots(spark, args.source, step, f"{args.root}/_seen").awaitTermination()
+    refresh_pending(spark, args.source, args.root, SETTINGS, args.aliases)
+    return 0
+
+
+def expire(spark: SparkSession, args: argparse.Namespace) -> int:
+    for folder in expire_runs(spark, args.root, timedelta(days=args.days), datetime.now(timezone.utc)):
+        print(f"removed {folder}")
     return 0
 
 
@@ -130,6 +143,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--date", help="snapshot date; the newest if left out")
     sub.add_argument("--mode", choices=MODES, default="replace")
     step(refresh, "land and build for each new folder, oldest first", source=True, aliases=True)
+    sub = step(expire, "remove folders of runs that were replaced some time ago")
+    sub.add_argument("--days", type=float, default=7.0, help="longer than any query or run takes")
     sub = step(check, "run the data tests; fails if one does")
     sub.add_argument("--expect", nargs="*", default=[], metavar="TABLE=ROWS", help="exact row counts")
     step(verify, "count the rows of each report; fails if one is empty")

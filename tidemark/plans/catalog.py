@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 from tidemark.config import Settings
 from tidemark.functions.coverage import AT_TARGET, LOW, MODERATE
-from tidemark.sources.schemas import SCHEMAS, STAGING
-from tidemark.sources.tables import current_paths
+from tidemark.sources.schemas import PARTITIONS, SCHEMAS, STAGING
+from tidemark.sources.tables import current_paths, run_folder
 
 _STAR = """
 FROM warehouse.fact_health_indicator f
@@ -45,7 +47,30 @@ def _table_sql(name: str, paths: list[str]) -> str:
     cols = ", ".join(
         f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in SCHEMAS[name].fields
     )
-    return " UNION ALL ".join(f"SELECT {cols} FROM parquet.`{p}`" for p in paths)
+    return " UNION ALL ".join(
+        f"SELECT {cols} FROM parquet.`{folder}`{_only(name, kept)}" for folder, kept in _by_run(paths).items()
+    )
+
+
+def _by_run(paths: list[str]) -> dict[str, list[str]]:
+    """Folders of runs, each with the partitions that are kept of it; an empty list means all."""
+    found: dict[str, list[str]] = {}
+    for path in paths:
+        folder = run_folder(path) or path
+        found.setdefault(folder, [])
+        if path != folder:
+            found[folder].append(path)
+    return found
+
+
+def _only(name: str, kept: list[str]) -> str:
+    """The condition that picks out partitions; it is on partition columns, so others are not read."""
+    if not kept:
+        return ""
+    columns = PARTITIONS[name]
+    rows = [[unquote(part.partition("=")[2]) for part in path.split("/")[-len(columns) :]] for path in kept]
+    quoted = ("(" + ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in row) + ")" for row in rows)
+    return f" WHERE ({', '.join(f'CAST({c} AS STRING)' for c in columns)}) IN ({', '.join(quoted)})"
 
 
 def publish_catalog(spark: SparkSession, root: str, settings: Settings) -> list[str]:

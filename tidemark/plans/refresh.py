@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -20,8 +21,10 @@ from tidemark.operators.warehouse import (
     build_periods,
     merge_periods,
 )
+from tidemark.functions.text import quoted
 from tidemark.plans.tidy import (
     KEYS,
+    REGION_ATTRS,
     flagged_rows,
     quarantined_rows,
     seen_regions,
@@ -29,8 +32,8 @@ from tidemark.plans.tidy import (
     snapshot_revisions,
     typed_wide,
 )
-from tidemark.session import sized_shuffles
-from tidemark.sources.files import dated_folders, folder_bytes
+from tidemark.session import shared_dir, sized_shuffles
+from tidemark.sources.files import dated_folders, folder_bytes, remove_folder
 from tidemark.sources.schemas import PARTITIONS, QUALITY_LOG, STAGING, conform
 from tidemark.sources.snapshots import prior_snapshot_date, read_snapshot
 from tidemark.sources.tables import (
@@ -39,10 +42,13 @@ from tidemark.sources.tables import (
     current_paths,
     key_conflicts,
     new_run_id,
+    partition_folders,
     publish,
     published_bytes,
+    published_version,
     read_paths,
     read_published,
+    run_folder,
     same_table,
     table_path,
     write_tables,
@@ -84,10 +90,16 @@ def run(
     """Clean one landed snapshot, compare it with the one before, rebuild the warehouse and make
     all of it current. ``run_ts`` is the only clock, so a repeated run writes the same rows.
 
-    The wide snapshot is scanned once per output rather than kept in its long form: unpivoting is
-    cheap and narrow, while the long form is four times the rows to write and read back."""
+    The text of each snapshot is parsed once: its rows, typed and with standardised regions, are
+    written as wide as they are, and every output is made from that. Unpivoting is cheap and narrow,
+    so the long form, four times the rows, is not kept.
+
+    In mode ``refresh`` a partition of staging whose rows are the same as those published stays as it
+    is, with its facts, and keeps its earlier ``loaded_at``; only the others are written.
+
+    Raises ConcurrentRun, and publishes nothing, if another run was published since this one began."""
     check_mode(mode)
-    run_id = new_run_id(run_ts)
+    run_id, base = new_run_id(run_ts), published_version(spark, root)
     prior = prior_snapshot_date(landed_dates(spark, root), snapshot_date).first()[0]
     snapshots = [str(d) for d in (snapshot_date, prior) if d is not None]
     volume = sum(folder_bytes(spark, f"{raw_root(root)}/snapshot_date={d}") for d in snapshots)
@@ -96,47 +108,73 @@ def run(
     frames = [read_snapshot(spark, raw_root(root), d) for d in snapshots]
     if not present_indicators(frames[0], settings.indicators):
         raise ValueError(f"snapshot {snapshot_date} has none of the configured indicators")
+    scratch = f"{shared_dir(spark)}/typed-{run_id}"
     with sized_shuffles(spark, volume):
-        counts = _write_all(
+        counts, kept = _write_all(
             spark,
             root,
             run_id,
             frames,
+            _typed_once(frames, scratch, settings, aliases, row_col),
             settings,
             prior,
             F.lit(run_ts),
-            aliases,
             mode,
             run_ts.year if as_of_year is None else as_of_year,
             row_col,
         )
-    publish(spark, root, run_id, run_ts, mode, list(counts))
+    publish(spark, root, run_id, run_ts, mode, list(counts), kept, base)
     log_loads(spark, root, counts, run_ts)
+    remove_folder(spark, scratch)
     return RunResult(run_id, str(snapshot_date), None if prior is None else str(prior), counts)
 
 
+def _typed_once(
+    snapshots: list[DataFrame], path: str, settings: Settings, aliases: DataFrame | None, row_col: str
+) -> list[DataFrame]:
+    """The typed wide rows of each snapshot, written below ``path`` and read back. They go to the
+    shared folder, not to memory: a lost executor costs no parsing again."""
+
+    def once(place: int) -> DataFrame:
+        typed = typed_wide(well_formed(snapshots[place]), settings, aliases)
+        rows = [row_col] if row_col in typed.columns else []
+        typed = typed.select(
+            *rows, "region_key", *REGION_ATTRS, "year",
+            *(quoted(c) for c in present_indicators(typed, settings.indicators)),
+        )
+        typed.write.parquet(f"{path}/{place}")
+        return typed.sparkSession.read.schema(typed.schema).parquet(f"{path}/{place}")
+
+    with ThreadPoolExecutor(len(snapshots)) as pool:
+        return list(pool.map(once, range(len(snapshots))))
+
+
 def _write_all(
     spark: SparkSession,
     root: str,
     run_id: str,
     snapshots: list[DataFrame],
+    typed_rows: list[DataFrame],
     settings: Settings,
     prior_date: date | None,
     stamp: Column,
-    aliases: DataFrame | None,
     mode: str,
     as_of_year: int,
     row_col: str,
-) -> dict[str, int]:
+) -> tuple[dict[str, int], dict[str, list[str]]]:
     """Write every table of a run from the snapshot and, if there is one, the one before it.
-    Returns the numbers of rows."""
+    Returns the numbers of rows, and the folders of earlier runs that are kept."""
     counts: dict[str, int] = {}
+    current = {} if mode == "replace" else current_paths(spark, root)
+    kept: dict[str, list[str]] = {}
 
     def write(**frames: DataFrame) -> dict[str, DataFrame]:
         counts.update(write_tables(frames, root, run_id))
-        return {n: read_paths(spark, n, [table_path(root, run_id, n)]) for n in frames}
+        return {
+            n: read_paths(spark, n, [*kept.get(n, ()), table_path(root, run_id, n)]) for n in frames
+        }
 
-    typed, *before = [typed_wide(well_formed(s), settings, aliases) for s in snapshots]
+    typed, *before = typed_rows
     revisions = None
     if before:
         revisions = snapshot_revisions(typed, *before, settings, prior_date)
@@ -155,16 +193,27 @@ def _write_all(
     if before:
         found = first["stg_data_revisions"]
         values = snapshot_revision_values(typed, *before, found, settings)
+    rows = flagged_rows(typed, found, settings, as_of_year, stamp)
+    same = []
+    if mode == "refresh":
+        marks = write(partition_marks=partition_marks(rows))["partition_marks"]
+        same = _unchanged(spark, marks, current)
+    if same:
+        fact_keys = [(code, year * 10000 + 101) for code, year in same]
+        kept["stg_health_indicators"] = _folders_of(spark, "stg_health_indicators", current, same)
+        kept["fact_health_indicator"] = _folders_of(spark, "fact_health_indicator", current, fact_keys)
+        keys = ["indicator_code", "year"]
+        rows = rows.join(constant_rows(spark, same, keys), keys, "left_anti")
     second = write(
-        stg_health_indicators=flagged_rows(typed, found, settings, as_of_year, stamp),
+        stg_health_indicators=rows,
         stg_revision_values=_or_empty(spark, values, "stg_revision_values"),
     )
     staged = {**first, **second}
-    current = current_paths(spark, root) if mode == "append" else {}
-    for name in PARTITIONS:
-        if not all(same_table(p, table_path(root, run_id, name)) for p in current.get(name, ())):
-            raise ValueError(f"{name} is in an earlier layout: replace it before appending")
-    refuse_repeated_keys(spark, current, staged)
+    if mode == "append":
+        for name in PARTITIONS:
+            if not all(same_table(p, table_path(root, run_id, name)) for p in current.get(name, ())):
+                raise ValueError(f"{name} is in an earlier layout: replace it before appending")
+        refuse_repeated_keys(spark, current, staged)
 
     indicators = staged["stg_health_indicators"]
     dims = {
@@ -177,12 +226,62 @@ def _write_all(
         # Years and indicators may have been there already; region keys are new.
         dims |= {n: dims[n].distinct() for n in ("dim_date", "dim_indicator")}
     dims = write(**dims)
-    # Joined to the dimensions as written, whose sizes are known as well. An appending run has
-    # facts for its own rows only: a key that is loaded is refused, so earlier facts stay as they are.
-    fact = write(fact_health_indicator=build_fact(indicators, **dims))["fact_health_indicator"]
-    periods = beside_current(spark, current, "fact_periods", build_periods(fact))
+    # Joined to the dimensions as written, whose sizes are known as well. A run has facts for the
+    # rows it wrote only: an appending run refuses keys that are loaded, a refreshing one keeps the
+    # facts of the partitions that are the same.
+    own = read_paths(
+        spark, "stg_health_indicators", [table_path(root, run_id, "stg_health_indicators")]
+    )
+    last = {"fact_health_indicator": build_fact(own, **dims)}
+    # Rows that were appended to before there were marks have none to add to.
+    if mode == "replace" or (mode == "append" and ("partition_marks" in current or not current)):
+        last["partition_marks"] = partition_marks(own)
+        if mode == "append":
+            marks = beside_current(spark, current, "partition_marks", last["partition_marks"])
+            last["partition_marks"] = merge_marks(marks)
+    periods = build_periods(write(**last)["fact_health_indicator"])
+    if mode == "append":
+        periods = beside_current(spark, current, "fact_periods", periods)
     write(fact_periods=merge_periods(periods))
-    return counts
+    return counts, kept
+
+
+def partition_marks(rows: DataFrame) -> DataFrame:
+    """Per partition of staging: rows, and two sums of hashes of all their columns but the time of
+    loading. They do not depend on the order of rows, and those of two lots add up."""
+    rows = conform(rows, "stg_health_indicators").drop("loaded_at")
+    hashed = [F.xxhash64(F.lit(i), *rows.columns).cast("decimal(38,0)") for i in range(2)]
+    return rows.groupBy("indicator_code", "year").agg(
+        F.count(F.lit(1)).alias("staged_rows"), F.sum(hashed[0]).alias("one"), F.sum(hashed[1]).alias("other")
+    )
+
+
+def merge_marks(marks: DataFrame) -> DataFrame:
+    """One mark per partition from those of several lots of rows."""
+    sums = [F.sum(c).alias(c) for c in ("staged_rows", "one", "other")]
+    return marks.groupBy("indicator_code", "year").agg(*sums)
+
+
+def _unchanged(
+    spark: SparkSession, marks: DataFrame, current: dict[str, list[str]]
+) -> list[tuple[str, int]]:
+    """The partitions whose marks are those of the current tables: one row per indicator and year at
+    most. None if the current tables have no marks, or are not laid out by partitions."""
+    if "partition_marks" not in current:
+        return []
+    if not all(run_folder(p) for name in PARTITIONS for p in current.get(name, ())):
+        return []
+    known = read_paths(spark, "partition_marks", current["partition_marks"])
+    return [(r.indicator_code, r.year) for r in marks.intersect(known).collect()]
+
+
+def _folders_of(
+    spark: SparkSession, name: str, current: dict[str, list[str]], keys: list[tuple]
+) -> list[str]:
+    """The folders of the partitions ``keys`` of a current table."""
+    wanted = {tuple(map(str, k)) for k in keys}
+    found = partition_folders(spark, name, current.get(name, ()))
+    return [folder for key, folders in sorted(found.items()) if key in wanted for folder in folders]
 
 
 def well_formed(wide: DataFrame) -> DataFrame:

@@ -107,7 +107,7 @@ def read_aliases(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _storage(spark: SparkSession, path: str):
+def storage(spark: SparkSession, path: str):
     """The path and the file system it is on, as Hadoop objects."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -118,7 +118,7 @@ def dated_folders(spark: SparkSession, root: str) -> list[str]:
 
     One listing of one folder, whatever the number of files further down. Folders that are not
     named by a date are left out."""
-    top, store = _storage(spark, root)
+    top, store = storage(spark, root)
     if not store.exists(top):
         return []
     names = [f.getPath().getName() for f in store.listStatus(top) if f.isDirectory()]
@@ -127,10 +127,16 @@ def dated_folders(spark: SparkSession, root: str) -> list[str]:
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """The size of all files below ``path``."""
-    where, store = _storage(spark, path)
+    where, store = storage(spark, path)
     return store.getContentSummary(where).getLength()
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder and all below it."""
+    where, store = storage(spark, path)
+    return store.delete(where, True)
+
+
 def _is_date(text: str) -> bool:
     try:
         return date.fromisoformat(text).isoformat() == text
@@ -138,23 +144,29 @@ def _is_date(text: str) -> bool:
         return False
 
 
-def snapshot_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """One row per file in the dated folders below ``root``. No file is opened."""
+def snapshot_files(spark: SparkSession, root: str | Sequence[str], pattern: str = "*") -> DataFrame:
+    """One row per file in the dated folders below ``root``, with the length and modification time
+    that tell a corrected file from the one before. No file is opened."""
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(root)
     )
-    return with_snapshot_date(listing.select("path"))
+    return with_snapshot_date(
+        listing.select(
+            "path", F.col("length").alias("file_bytes"), F.col("modificationTime").alias("file_modified")
+        )
+    )
 
 
 def with_snapshot_date(listing: DataFrame) -> DataFrame:
-    """(snapshot_date, file, folder, path) for each ``path`` below a folder named by a date."""
+    """(snapshot_date, file, folder, path) for each ``path`` below a folder named by a date, and
+    what else the listing has."""
     found = F.regexp_extract("path", _SNAPSHOT_DATE, 1)
     return listing.select(
         F.try_to_date(F.when(found != "", found), "yyyy-MM-dd").alias("snapshot_date"),
         F.element_at(F.split("path", "/"), -1).alias("file"),
         F.regexp_replace("path", "/[^/]+$", "").alias("folder"),
-        "path",
+        *listing.columns,
     ).where(F.col("snapshot_date").isNotNull())

@@ -19,6 +19,7 @@ _TYPES: Mapping[str, T.DataType] = {
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
     "figure": T.DecimalType(8, 2),
+    "digest": T.DecimalType(38, 0),
 }
 
 
@@ -75,13 +76,21 @@ WAREHOUSE: Mapping[str, T.StructType] = {
         " indicator_id string, date_id int"
     ),
     "fact_periods": _schema("indicator_id string, date_id int, fact_rows bigint"),
+    "partition_marks": _schema("indicator_code string, year int, staged_rows bigint, one digest, other digest"),
 }
 
-# A report reads one indicator, and mostly its last year: one folder of the fact table.
-PARTITIONS: Mapping[str, tuple[str, ...]] = {"fact_health_indicator": ("indicator_id", "date_id")}
+# A report reads one indicator, and mostly its last year: one folder of the fact table. Staging is
+# laid out in the same way, so that a late file has but the folders it touches written again.
+PARTITIONS: Mapping[str, tuple[str, ...]] = {
+    "stg_health_indicators": ("indicator_code", "year"),
+    "fact_health_indicator": ("indicator_id", "date_id"),
+}
 
 # Within a folder rows are in this order, so that the history of one region is a small part of it.
-CLUSTERS: Mapping[str, tuple[str, ...]] = {"fact_health_indicator": ("region_id",)}
+CLUSTERS: Mapping[str, tuple[str, ...]] = {
+    "stg_health_indicators": ("region_key",),
+    "fact_health_indicator": ("region_id",),
+}
 
 SCHEMAS = {**STAGING, **WAREHOUSE}
 

@@ -20,7 +20,7 @@ from tidemark.sources.files import (
     snapshot_files,
     with_snapshot_date,
 )
-from tidemark.sources.snapshots import land_snapshot, pending_snapshots
+from tidemark.sources.snapshots import changed_dates, land_snapshot, record_files, recorded_files
 
 # Called with each date and the folders that hold its files, oldest first.
 OnSnapshots = Callable[[SparkSession, dict[date, list[str]]], None]
@@ -79,10 +79,12 @@ def _folders(files: DataFrame) -> dict[date, list[str]]:
 
 def land_folders(raw: str, settings: Settings, pattern: str = "*.csv") -> OnSnapshots:
     """An ``on_snapshots`` that reads the files of each date and lands them under it. Lines with
-    too many fields are landed as they are, in ``malformed_line``."""
+    too many fields are landed as they are, in ``malformed_line``. Names, lengths and modification
+    times are listed before the files are read, so one that changes meanwhile is seen next time."""
 
     def land(spark: SparkSession, folders: dict[date, list[str]]) -> None:
         for day, paths in folders.items():
+            files = snapshot_files(spark, paths, pattern).where(F.col("snapshot_date") == F.lit(day))
             wide = read_wide(
                 spark,
                 [f"{path}/{pattern}" for path in paths],
@@ -93,6 +95,7 @@ def land_folders(raw: str, settings: Settings, pattern: str = "*.csv") -> OnSnap
                 malformed_col=MALFORMED,
             )
             land_snapshot(wide, raw, day)
+            record_files(files.where(F.col("folder").isin(paths)), raw)
 
     return land
 
@@ -102,7 +105,8 @@ def refresh_folders(
 ) -> OnSnapshots:
     """An ``on_snapshots`` for the whole chain: land all dates, then publish one run of the newest
     date that is landed. Files that come late for an older date change what the newest is compared
-    with, and never take its place; ``run`` publishes an older date for who asks for it."""
+    with, and never take its place; ``run`` publishes an older date for who asks for it. Partitions
+    whose rows are as they were published are kept, so a late file costs what it touches."""
     land = land_folders(raw_root(root), settings, pattern)
 
     def refresh(spark: SparkSession, folders: dict[date, list[str]]) -> None:
@@ -111,11 +115,25 @@ def refresh_folders(
         land(spark, folders)
         newest = dated_folders(spark, raw_root(root))[-1]
         aliases = read_aliases(spark, alias_path) if alias_path else None
-        run(spark, root, newest, settings, datetime.now(timezone.utc), aliases)
+        run(spark, root, newest, settings, datetime.now(timezone.utc), aliases, mode="refresh")
 
     return refresh
 
 
+def pending_folders(
+    spark: SparkSession, source_root: str, raw: str, pattern: str = "*.csv", again: bool = False
+) -> dict[date, list[str]]:
+    """The dates, with their folders, that have a file which is not landed as it is now: one that is
+    new, was corrected under its name, or was taken away. All dates ``again``."""
+    if not dated_folders(spark, source_root):
+        return {}
+    files = snapshot_files(spark, source_root, pattern)
+    if not again:
+        days = changed_dates(files, recorded_files(spark, raw))
+        files = files.join(days, "snapshot_date", "left_semi")
+    return _folders(files)
+
+
 def land_pending(
     spark: SparkSession,
     source_root: str,
@@ -124,24 +142,24 @@ def land_pending(
     pattern: str = "*.csv",
     again: bool = False,
 ) -> list[str]:
-    """Land every date that has a file which is not landed yet, with all its files, or all dates
-    ``again``; no stream, no checkpoint. Returns the dates."""
+    """Land every date that has a file which is not landed as it is now, with all its files, or all
+    dates ``again``; no stream, no checkpoint. Returns the dates."""
     raw = raw_root(root)
-    if not dated_folders(spark, source_root):
-        return []
-    files = snapshot_files(spark, source_root, pattern)
-    if not again:
-        days = pending_snapshots(files, _landed_files(spark, raw)).select("snapshot_date").distinct()
-        files = files.join(days, "snapshot_date", "left_semi")
-    folders = _folders(files)
+    folders = pending_folders(spark, source_root, raw, pattern, again)
     land_folders(raw, settings, pattern)(spark, folders)
     return [str(day) for day in folders]
 
 
-def _landed_files(spark: SparkSession, raw: str) -> DataFrame:
-    """The dates and names of the files that are landed; one column is read of each snapshot."""
-    if dated_folders(spark, raw):
-        landed = spark.read.option("mergeSchema", "true").parquet(raw)
-        if "file" in landed.columns:
-            return landed.select(F.col("snapshot_date").cast("date"), "file")
-    return spark.createDataFrame([], "snapshot_date date, file string")
+def refresh_pending(
+    spark: SparkSession,
+    source_root: str,
+    root: str,
+    settings: Settings,
+    alias_path: str | None = None,
+    pattern: str = "*.csv",
+) -> list[str]:
+    """Land as ``land_pending`` does, and publish the newest date if anything was landed. This finds
+    corrected files, which a stream does not see: it knows a file by its name."""
+    folders = pending_folders(spark, source_root, raw_root(root), pattern)
+    refresh_folders(root, settings, alias_path, pattern)(spark, folders)
+    return [str(day) for day in folders]

@@ -293,6 +293,22 @@ FROM wide WHERE k % 50 = 0""",
         """
 SELECT k, y, entity AS region_name, code AS iso_code, nullif(year, 'n/a') AS year,
   ind_f, ind_a, ind_b, ind_c FROM prior_wide""",
+    ),
+    "land_corrected_file": _with(
+        [*_UP_TO_STAR, _DESCRIBED],
+        """
+SELECT s.region_key, s.region_name, s.iso_code, s.region_type, s.year, s.indicator_code,
+  i.indicator_name, i.indicator_category, i.indicator_unit, s.value, s.is_missing,
+  FALSE AS is_revised, s.is_missing AS is_estimated FROM staged s JOIN indicators i USING (indicator_code)""",
+    ),
+    "expire_replaced_runs": _with(
+        _UP_TO_STAR,
+        """
+SELECT 'stg_health_indicators' AS table_name, count(*) AS row_count, 1 AS run_folders FROM staged
+UNION ALL SELECT 'stg_regions', count(*), 1 FROM regions
+UNION ALL SELECT 'stg_rejected_rows', count(*), 1 FROM checked WHERE reject_reason <> ''
+UNION ALL SELECT 'stg_data_revisions', 0, 1
+UNION ALL SELECT 'stg_revision_values', 0, 1""",
     ),
     "refresh_late_file": _with([*_UP_TO_STAR, _DESCRIBED], _STAGE_ROWS),
     "stage_append": _with(

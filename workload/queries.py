@@ -6,6 +6,7 @@ reports read the published tables."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +31,15 @@ from tidemark.plans.catalog import publish_catalog
 from tidemark.plans.refresh import raw_root, run
 from tidemark.plans.tidy import KEYS, REGION_ATTRS, seen_regions, snapshot_revisions
 from tidemark.sources import snapshots
-from tidemark.sources.files import read_aliases, read_wide
+from tidemark.sources.files import read_aliases, read_wide, remove_folder, storage
+from tidemark.sources.retention import expire_runs
 from tidemark.sources.schemas import STAGING
 from tidemark.sources.tables import read_published, register_views
 from tidemark.streaming.ingest import (
     land_folders,
     land_pending,
     refresh_folders,
+    refresh_pending,
     stream_snapshots,
 )
 from workload import inputs
@@ -154,6 +157,29 @@ def land_second_file(w: Workspace) -> DataFrame:
     return _numbered(snapshots.read_snapshot(w.spark, raw_root(root), PRIOR)).select(*_WIDE)
 
 
+def _put_csv(df: DataFrame, path: str) -> None:
+    """Snapshot files of fixed names at ``path``, in place of those that were there."""
+    aside = scratch(df.sparkSession, "csv")
+    _write_csv(df, aside)
+    remove_folder(df.sparkSession, path)
+    target, store = storage(df.sparkSession, path)
+    store.mkdirs(target)
+    for status in store.listStatus(storage(df.sparkSession, aside)[0]):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            store.rename(status.getPath(), storage(df.sparkSession, f"{path}/{name[:10]}.csv")[0])
+
+
+@on_workspace
+def land_corrected_file(w: Workspace) -> DataFrame:
+    """What is published after a date's files, landed and published, were corrected under their names."""
+    source, root = scratch(w.spark, "source"), scratch(w.spark, "root")
+    for figures in (PRIOR, CURRENT):
+        _put_csv(w.wide(figures), f"{source}/{CURRENT}")
+        refresh_pending(w.spark, source, root, SETTINGS)
+    return read_published(w.spark, root)["stg_health_indicators"].drop("loaded_at")
+
+
 @on_workspace
 def refresh_late_file(w: Workspace) -> DataFrame:
     """What is published after a file came late for the older of two dates."""
@@ -214,6 +240,23 @@ def stage_append(w: Workspace) -> DataFrame:
     return read_published(w.spark, root)["fact_health_indicator"].drop("loaded_at")
 
 
+@on_workspace
+def expire_replaced_runs(w: Workspace) -> DataFrame:
+    """Rows of the published tables, and folders of the fact table, after a date was published twice
+    and the replaced run was removed."""
+    root = scratch(w.spark, "expired")
+    snapshots.land_snapshot(w.wide(), raw_root(root), CURRENT)
+    for _ in range(2):
+        run(w.spark, root, CURRENT, SETTINGS, RUN_TS, as_of_year=AS_OF_YEAR)
+    expire_runs(w.spark, root, timedelta(0), datetime.now(timezone.utc))
+    left, store = storage(w.spark, f"{root}/fact_health_indicator")
+    tables = read_published(w.spark, root)
+    rows = metrics.view_status({n: tables[n] for n in STAGING})
+    return rows.select(
+        F.col("view_name").alias("table_name"), "row_count", F.lit(len(store.listStatus(left))).alias("run_folders")
+    )
+
+
 @on_workspace
 def published_rejects(w: Workspace) -> DataFrame:
     return w.table("stg_rejected_rows").drop("loaded_at")
