@@ -14,6 +14,7 @@ from tidemark.functions.coverage import AT_TARGET, LOW, MODERATE
 from tidemark.operators.metrics import quality_stats, view_status
 from tidemark.operators.quality import LENGTH_CHECKS, STANDARD_CHECKS, RowCount, run_checks
 from tidemark.plans import reports
+from tidemark.plans.history import update_history
 from tidemark.plans.refresh import raw_root, read_warehouse, run
 from tidemark.session import build_session, sized_shuffles
 from tidemark.sources.files import dated_folders, read_aliases
@@ -86,6 +87,13 @@ def refresh(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def history(spark: SparkSession, args: argparse.Namespace) -> int:
+    aliases = read_aliases(spark, args.aliases) if args.aliases else None
+    for day in update_history(spark, args.root, SETTINGS, datetime.now(timezone.utc), aliases):
+        print(f"merged {day}")
+    return 0
+
+
 def expire(spark: SparkSession, args: argparse.Namespace) -> int:
     for folder in expire_runs(spark, args.root, timedelta(days=args.days), datetime.now(timezone.utc)):
         print(f"removed {folder}")
@@ -143,6 +151,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--date", help="snapshot date; the newest if left out")
     sub.add_argument("--mode", choices=MODES, default="replace")
     step(refresh, "land and build for each new folder, oldest first", source=True, aliases=True)
+    step(history, "bring the history of values up to the landed snapshots", aliases=True)
     sub = step(expire, "remove folders of runs that were replaced some time ago")
     sub.add_argument("--days", type=float, default=7.0, help="longer than any query or run takes")
     sub = step(check, "run the data tests; fails if one does")

@@ -27,7 +27,7 @@ REPORT_VIEWS = {
     "rpt_vaccination_trends": "SELECT r.region_name, r.iso_code, r.region_type_label, d.year,"
     " f.value AS dtp3_coverage_pct, f.is_estimated"
     + _STAR
-    + "\nORDER BY r.region_name NULLS LAST, d.year NULLS LAST",
+    + "\nORDER BY r.region_name COLLATE UNICODE NULLS LAST, r.region_name NULLS LAST, d.year NULLS LAST",
     "rpt_regional_comparison": "SELECT r.region_name, r.iso_code, d.year,"
     " f.value AS dtp3_coverage_pct, CASE WHEN f.value >= {threshold} THEN '" + AT_TARGET + "'"
     " WHEN f.value >= {moderate} THEN '" + MODERATE + "' ELSE '" + LOW + "' END AS coverage_band"

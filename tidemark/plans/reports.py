@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.coverage import coverage_band, gap_to_target, is_below, target_marker
@@ -16,6 +16,8 @@ from tidemark.operators.metrics import one_row
 from tidemark.operators.warehouse import Warehouse, star
 
 COVERAGE = "dtp3_coverage_pct"
+# The order of names in the root locale, which suits names of many languages.
+COLLATION = "UNICODE"
 
 
 def latest_year(w: Warehouse, indicator: str) -> DataFrame:
@@ -65,11 +67,25 @@ def trends_for(trends: DataFrame, regions: Sequence[str]) -> DataFrame:
 def series_by_region(trends: DataFrame, coverage: str = COVERAGE) -> DataFrame:
     """The line of each region, one row per point, regions and years in order. Kept as rows: an
     array per region would gather a whole group in one place."""
-    return trends.select("region_name", "year", coverage).orderBy("region_name", "year", coverage)
+    rows = trends.select("region_name", "year", coverage)
+    return rows.orderBy(*by_name("region_name"), "year", coverage)
 
 
 def region_list(trends: DataFrame) -> DataFrame:
-    return trends.select("region_name").distinct().orderBy("region_name")
+    return trends.select("region_name").distinct().orderBy(*by_name("region_name"))
+
+
+def by_name(column: str, collation: str = COLLATION) -> list[Column]:
+    """The order of names that readers expect: accents and case decide between equal letters only.
+    Names that the collation holds for equal are in the order of their characters."""
+    return [F.asc_nulls_last(F.collate(F.col(column), collation)), F.asc_nulls_last(column)]
+
+
+def first_and_last(df: DataFrame, by: str, column: str, collation: str = COLLATION) -> DataFrame:
+    """Per value of ``by``: the first and last of ``column`` in the order of names."""
+    name = F.collate(F.col(column), collation)
+    plain = lambda c: F.collate(c, "UTF8_BINARY")
+    return df.groupBy(by).agg(plain(F.min(name)).alias("first_name"), plain(F.max(name)).alias("last_name"))
 
 
 def regional_comparison(
@@ -168,7 +184,7 @@ def ordered(name: str, report: DataFrame, coverage: str = COVERAGE) -> DataFrame
     """A report in the order it is shown. Ties are broken by further columns, which also lets the
     sort divide a region that has a large part of all rows."""
     order = {
-        "trends": [F.asc_nulls_last("region_name"), F.asc_nulls_last("year"), F.asc(coverage)],
+        "trends": [*by_name("region_name"), F.asc_nulls_last("year"), F.asc(coverage)],
         "comparison": [F.desc_nulls_first(coverage), F.asc("region_key")],
         "below_threshold": [F.asc_nulls_last(coverage), F.asc("region_key")],
     }

@@ -76,6 +76,13 @@ WAREHOUSE: Mapping[str, T.StructType] = {
         " indicator_id string, date_id int"
     ),
     "fact_periods": _schema("indicator_id string, date_id int, fact_rows bigint"),
+    "value_history_closed": _schema(
+        "region_key string, year int, indicator_code string, value double, valid_from date, valid_to date"
+    ),
+    "value_history_open": _schema(
+        "region_key string, year int, indicator_code string, value double, valid_from date, valid_to date"
+    ),
+    "value_history_dates": _schema("snapshot_date date, mark string"),
     "partition_marks": _schema("indicator_code string, year int, staged_rows bigint, one digest, other digest"),
 }
 

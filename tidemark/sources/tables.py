@@ -28,7 +28,7 @@ from tidemark.sources.schemas import CLUSTERS, PARTITIONS, SCHEMAS, STAGING, con
 # ``refresh`` replaces like ``replace``, and keeps the folders of partitions whose rows are the same.
 MODES = ("replace", "append", "refresh")
 # An appending run adds rows to these; it writes the others whole.
-GROWING = (*STAGING, "fact_health_indicator")
+GROWING = (*STAGING, "fact_health_indicator", "value_history_closed")
 RUN = "run"
 _VERSION = "version-"
 _PUBLISHED = ("published_ns", "run_id", "run_ts", "mode", "table_name", "path")

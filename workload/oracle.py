@@ -262,6 +262,31 @@ SELECT s.region_key, s.region_name, s.iso_code, s.region_type, s.year, s.indicat
   i.indicator_name, i.indicator_category, i.indicator_unit, s.value, s.is_missing, s.is_revised,
   s.is_estimated FROM staged s JOIN indicators i USING (indicator_code)"""
 
+_HISTORY = """
+known AS (
+  SELECT region_key, year, indicator_code, arg_max(value, k * 10000 + y) AS value, day FROM (
+    SELECT *, DATE '2024-01-08' AS day FROM prior_long UNION ALL SELECT *, DATE '2024-01-15' FROM long
+    UNION ALL SELECT *, DATE '2024-01-22' FROM prior_long
+  ) WHERE region_key IS NOT NULL AND year IS NOT NULL AND value IS NOT NULL
+  GROUP BY region_key, year, indicator_code, day
+),
+wide_days AS (
+  SELECT region_key, year, indicator_code, max(value) FILTER (WHERE day = DATE '2024-01-08') AS a,
+    max(value) FILTER (WHERE day = DATE '2024-01-15') AS b, max(value) FILTER (WHERE day = DATE '2024-01-22') AS c
+  FROM known GROUP BY region_key, year, indicator_code
+),
+intervals AS (
+  SELECT region_key, year, indicator_code, a AS value, DATE '2024-01-08' AS valid_from,
+    CASE WHEN a IS NOT DISTINCT FROM b AND b IS NOT DISTINCT FROM c THEN NULL
+         WHEN a IS NOT DISTINCT FROM b THEN DATE '2024-01-22' ELSE DATE '2024-01-15' END AS valid_to
+  FROM wide_days WHERE a IS NOT NULL
+  UNION ALL SELECT region_key, year, indicator_code, b, DATE '2024-01-15',
+    CASE WHEN b IS NOT DISTINCT FROM c THEN NULL ELSE DATE '2024-01-22' END
+  FROM wide_days WHERE b IS NOT NULL AND a IS DISTINCT FROM b
+  UNION ALL SELECT region_key, year, indicator_code, c, DATE '2024-01-22', NULL
+  FROM wide_days WHERE c IS NOT NULL AND b IS DISTINCT FROM c
+)"""
+
 _ALIASED = """
 SELECT l.k, l.y, l.region_name,
   coalesce(l.iso_code, CASE WHEN p.p_partkey % 20 = 10
@@ -517,6 +542,27 @@ ORDER BY t.year DESC LIMIT 10""",
     "region_list": _with(
         _UP_TO_REPORTS, "SELECT DISTINCT region_name FROM trends ORDER BY region_name"
     ),
+    "value_history": _with([*_UP_TO_STAR, _HISTORY], """
+SELECT region_key, year, indicator_code, value, CAST(valid_from AS VARCHAR) AS valid_from,
+  CAST(valid_to AS VARCHAR) AS valid_to FROM intervals"""),
+    "value_as_of": _with([*_UP_TO_STAR, _HISTORY], """
+SELECT region_key, year, indicator_code, value FROM known WHERE day = DATE '2024-01-15'"""),
+    "region_names_locale": _with(
+        _UP_TO_STAR,
+        """
+SELECT region_type_label, first(x ORDER BY x COLLATE en) AS first_name, last(x ORDER BY x COLLATE en) AS last_name
+FROM (
+  SELECT region_type_label, CASE WHEN length(region_name) % 3 = 0
+    THEN array_to_string(list_transform(string_split(lower(a), ' '), lambda w: upper(w[1]) || w[2:]), ' ')
+    ELSE a END AS x
+  FROM (
+    SELECT CASE region_type WHEN 'country' THEN 'Country' WHEN 'aggregate' THEN 'Regional aggregate' ELSE 'Other' END
+        AS region_type_label, region_name,
+      CASE WHEN length(region_name) % 2 = 0 THEN translate(region_name, 'aeou', 'áéöü') ELSE region_name END AS a
+    FROM regions
+  )
+) GROUP BY region_type_label""",
+    ),
     "top_regions": _with(
         _UP_TO_REPORTS,
         """

@@ -17,6 +17,7 @@ from tidemark.functions.numbers import to_year
 from tidemark.functions.regions import region_key, region_type
 from tidemark.functions.text import normalise_code, strip_text, to_flag
 from tidemark.operators import (
+    history,
     metrics,
     quality,
     regions,
@@ -28,6 +29,7 @@ from tidemark.operators import (
 from tidemark.operators.quality import AcceptedRange, Relationship
 from tidemark.plans import reports
 from tidemark.plans.catalog import publish_catalog
+from tidemark.plans.history import read_history, update_history
 from tidemark.plans.refresh import raw_root, run
 from tidemark.plans.tidy import KEYS, REGION_ATTRS, seen_regions, snapshot_revisions
 from tidemark.sources import snapshots
@@ -446,6 +448,31 @@ def order_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("prior_snapshot")
 
 
+# History
+
+THIRD = "2024-01-22"
+
+
+def _history(w: Workspace) -> DataFrame:
+    """Three snapshots, of which the last is as the first, merged as they are landed."""
+    root = scratch(w.spark, "history")
+    for day, figures in ((PRIOR, PRIOR), (CURRENT, CURRENT), (THIRD, PRIOR)):
+        snapshots.land_snapshot(w.wide(figures), raw_root(root), day)
+        update_history(w.spark, root, SETTINGS, RUN_TS)
+    return read_history(w.spark, root)
+
+
+@on_workspace
+def value_history(w: Workspace) -> DataFrame:
+    return _history(w)
+
+
+@on_workspace
+def value_as_of(w: Workspace) -> DataFrame:
+    """Each figure as it was known between the second and the third snapshot."""
+    return history.as_of(_history(w), "2024-01-20").drop(*history.INTERVAL)
+
+
 # Dimensions and fact
 
 
@@ -550,6 +577,17 @@ def region_list(w: Workspace) -> DataFrame:
     return reports.region_list(_trends(w))
 
 
+@on_workspace
+def region_names_locale(w: Workspace) -> DataFrame:
+    """The first and last names of each kind of region, many with accents or a capital letter."""
+    name, size = F.col("region_name"), F.length("region_name")
+    accented = F.when(size % 2 == 0, F.translate(name, "aeou", "áéöü")).otherwise(name)
+    names = w.table("dim_region").withColumn(
+        "region_name", F.when(size % 3 == 0, F.initcap(accented)).otherwise(accented)
+    )
+    return reports.first_and_last(names, "region_type_label", "region_name")
+
+
 @on_workspace
 def top_regions(w: Workspace) -> DataFrame:
     return reports.top_regions(_comparison(w), coverage=COVERAGE)
