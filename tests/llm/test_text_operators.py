@@ -11,7 +11,9 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
+from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, fertility, language_id, queries
 from tidemark.llm.cluster import written
@@ -234,9 +236,19 @@ def coder():
 
 def agrees(coder, texts):
     encoder, decoder, library = coder
-    for text, (ids, pieces) in zip(texts, encoder.encode(texts), strict=True):
+    for text, (ids, pieces, at) in zip(texts, encoder.encode(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text), repr(text)
         assert b"".join(pieces) == ids and decoder.decode(ids) == text.encode()
+        assert at.tolist() == np.cumsum([0, *(len(decoder.decode(p)) for p in pieces)]).tolist()[:-1]
+
+
+def offsets(text):
+    """Where each match of the pattern begins, in bytes."""
+    widths = np.cumsum([0, *(len(c.encode()) for c in text)])
+    return [int(widths[m.start()]) for m in PIECE.finditer(text)]
+
+
+PIECE = regex.compile(public_tokenizers.PATTERN)
 
 
 def test_ids_are_those_of_the_library(spark, documents, coder):
@@ -246,6 +258,9 @@ def test_ids_are_those_of_the_library(spark, documents, coder):
         assert got[doc].n_tokens == len(ids)
         assert got[doc].ids_sha256 == sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert got[doc].decoded_sha256 == sha256(text.encode()).hexdigest()
+        at = offsets(text)
+        assert got[doc].n_pieces == len(at)
+        assert got[doc].offsets_sha256 == sha256(np.array(at, "<u8").tobytes()).hexdigest()
 
 
 def test_ids_of_random_texts(coder):
@@ -275,6 +290,28 @@ def test_encode_and_decode(spark, awkward, empty):
     assert bpe.digests(awkward, queries.BYTE_BPE).count() == awkward.count()
 
 
+def test_ranges_are_decoded_from_their_pieces(spark, awkward, coder):
+    random.seed(10)
+    coded = written(bpe.encode(awkward, queries.BYTE_BPE), "ranges")
+    texts = {r.doc_id: (r.text or "").encode() for r in awkward.collect()}
+    cuts = [(0, 10), (3, 9), (7, 7), (9, 3), (0, 10**6), (-5, 4), (149_990, 150_010), (10**7, 10**8)]
+    cuts += [(a := random.randint(0, 200), a + random.randint(0, 90)) for _ in range(30)]
+    ranges = spark.createDataFrame([*cuts, (None, 3), (3, None)], "a int, b int")
+    got = bpe.decode_ranges(coded.crossJoin(ranges).withColumn("key", F.struct("doc_id", "a", "b")), queries.BYTE_BPE,
+                            "a", "b", id_col="key").collect()
+    assert len(got) == coded.count() * (len(cuts) + 2)
+    for r in got:
+        doc, a, b = r.key
+        want = None if a is None or b is None else texts[doc][max(a, 0) : max(b, 0)]
+        assert (None if r.decoded is None else bytes(r.decoded)) == want, r.key
+    # No other token is looked at.
+    encoder, decoder, _ = coder
+    (ids, pieces, at), = encoder.encode(["some words and more"])
+    n = np.array([len(x) // 4 for x in pieces])
+    broken = ids[: 4 * n[0]] + b"\xff" * (len(ids) - 4 * n[0])
+    assert decoder.decode_range(broken, n, at, 1, 4) == b"ome"
+
+
 def test_a_full_cache_changes_nothing(coder, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
     agrees((bpe.Encoder(coder[0].ranks), *coder[1:]), ["some words and more words of some kind", "and more"])

@@ -7,7 +7,9 @@ functions are closed under composition, a finite set with a table of products; p
 associative, so the function of a row of code points is worked out for all rows side by side, a
 scan over the rows gives each row's first state, and a second sweep finds the boundaries.
 
-Pieces then go through pair merging by rank, with a cache from piece to ids.
+Pieces then go through pair merging by rank, with a cache from piece to ids. Each piece's offset in
+the text's bytes is kept with its number of tokens, so that any range of bytes can be decoded from
+the tokens of the pieces it touches.
 
 Defined cases: null is empty and has no tokens. A text of any length is one stretch, never cut
 where a piece might cross. Rows are independent; an empty table gives no rows; only the columns
@@ -240,20 +242,25 @@ class Encoder:
                 offer(before[i])
         return [ranks[x] for x in token if x is not None]
 
-    def pieces(self, texts: list[str]) -> tuple[str, list[int], np.ndarray]:
-        """The texts as one, the bounds of all pieces in it, and each text's first piece."""
+    def pieces(self, texts: list[str]) -> tuple[str, list[int], np.ndarray, np.ndarray]:
+        """The texts as one, the bounds of all pieces in it, each text's first piece, and the bounds
+        in bytes."""
         joined = "".join(texts)
         lengths = np.array([len(t) for t in texts], dtype=np.int64)
         starts = np.cumsum(lengths) - lengths
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         at = boundaries(points, starts[lengths > 0])
         first = np.searchsorted(at, np.append(starts, len(joined)))
-        return joined, [*at.tolist(), len(joined)], first
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, list[bytes]]]:
-        """Per text: its ids as little-endian 32-bit numbers, and the same by piece."""
+        # How many bytes each code point takes, added up to where each piece begins.
+        width = 1 + (points >= 0x80) + (points >= 0x800).astype(np.int8) + (points >= 0x10000)
+        before = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])
+        return joined, [*at.tolist(), len(joined)], first, before[np.append(at, len(joined))]
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, list[bytes], np.ndarray]]:
+        """Per text: its ids as little-endian 32-bit numbers, the same by piece, and the offset of
+        each piece in the text's bytes."""
         cache = self.cache
-        joined, at, first = self.pieces(texts)
+        joined, at, first, in_bytes = self.pieces(texts)
         pieces = [joined[a:b] for a, b in zip(at, at[1:], strict=False)]
         for piece in set(pieces).difference(cache):
             if len(cache) >= CACHE_PIECES:
@@ -267,7 +274,7 @@ class Encoder:
             ]
         for a, b in zip(first.tolist(), first[1:].tolist(), strict=False):
             own = coded[a:b]
-            yield b"".join(own), own
+            yield b"".join(own), own, in_bytes[a:b] - in_bytes[a]
 
 
 class Decoder:
@@ -280,6 +287,19 @@ class Decoder:
         """The bytes that the ids stand for."""
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
+    def decode_range(
+        self, ids: bytes, piece_tokens: np.ndarray, piece_offsets: np.ndarray, start: int, end: int
+    ) -> bytes:
+        """Bytes [start, end) of the text, from the tokens of the pieces that are in it."""
+        low = max(int(np.searchsorted(piece_offsets, start, side="right")) - 1, 0)
+        high = int(np.searchsorted(piece_offsets, end, side="left"))
+        if start >= end or low >= high:
+            return b""
+        tokens = np.concatenate([[0], np.cumsum(piece_tokens)])
+        found = self.decode(ids[4 * tokens[low] : 4 * tokens[high]])
+        begin = int(piece_offsets[low])
+        return found[max(start - begin, 0) : end - begin]
+
 
 _CODERS: dict[str, tuple[Encoder, Decoder]] = {}
 
@@ -308,8 +328,8 @@ def groups(texts: list[str | None]) -> Iterator[list[str]]:
 def encode(
     df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Per row: id, n_tokens, ``ids`` (little-endian unsigned 32-bit) and ``piece_tokens`` (tokens
-    per piece, so that decoding can find each piece's place)."""
+    """Per row: id, n_tokens, ``ids`` (little-endian unsigned 32-bit), ``piece_tokens`` (tokens per
+    piece) and ``piece_offsets`` (where each piece begins in the text's bytes)."""
     prepare(df.sparkSession)
 
     def work(batches):
@@ -321,16 +341,17 @@ def encode(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, len(out)),
-                        pa.array([len(ids) // 4 for ids, _ in out], pa.int64()),
-                        pa.array([ids for ids, _ in out], pa.binary()),
-                        pa.array([[len(x) // 4 for x in own] for _, own in out], pa.list_(pa.int32())),
+                        pa.array([len(ids) // 4 for ids, _, _ in out], pa.int64()),
+                        pa.array([ids for ids, _, _ in out], pa.binary()),
+                        pa.array([[len(x) // 4 for x in own] for _, own, _ in out], pa.list_(pa.int32())),
+                        pa.array([at for _, _, at in out], pa.list_(pa.int64())),
                     ],
-                    ["id", "n_tokens", "ids", "piece_tokens"],
+                    ["id", "n_tokens", "ids", "piece_tokens", "piece_offsets"],
                 )
                 first += len(out)
 
     kind = dict(df.dtypes)[id_col]
-    schema = f"`{id_col}` {kind}, n_tokens bigint, ids binary, piece_tokens array<int>"
+    schema = f"`{id_col}` {kind}, n_tokens bigint, ids binary, piece_tokens array<int>, piece_offsets array<bigint>"
     return df.select(df[id_col], df[text_col]).mapInArrow(work, schema)
 
 
@@ -352,11 +373,36 @@ def decode(
     return df.select(df[id_col], df[ids_col]).mapInArrow(work, f"`{id_col}` {kind}, decoded binary")
 
 
+def decode_ranges(df: DataFrame, vocabulary: str, start: str, end: str, id_col: str = "doc_id") -> DataFrame:
+    """Per row of ``encode``'s with columns ``start`` and ``end``: id and ``decoded``, the bytes from
+    start up to end of its text. Only the tokens of the pieces in that range are decoded; a range
+    beyond the text gives what there is of it, one without start or end gives null."""
+    prepare(df.sparkSession)
+
+    def work(batches):
+        _, decoder = coders(vocabulary)
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)
+            decoded = [
+                None if a is None or b is None
+                else decoder.decode_range(ids or b"", np.array(n or [], np.int64), np.array(at or [], np.int64), max(a, 0), b)
+                for ids, n, at, a, b in rows
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(decoded, pa.binary())], ["id", "decoded"]
+            )
+
+    kind = dict(df.dtypes)[id_col]
+    picked = df.select(df[id_col], "ids", "piece_tokens", "piece_offsets", df[start].cast("bigint"), df[end].cast("bigint"))
+    return picked.mapInArrow(work, f"`{id_col}` {kind}, decoded binary")
+
+
 def digests(
     df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Per row: id, n_tokens, and SHA-256 of the ids and of what they decode to. The ids of a batch
-    are decoded where they were made, instead of being sent between processes."""
+    """Per row: id, n_tokens, SHA-256 of the ids and of what they decode to, n_pieces, and SHA-256 of
+    the pieces' byte offsets (unsigned 64-bit, little-endian). The ids of a batch are decoded where
+    they were made, instead of being sent between processes."""
     prepare(df.sparkSession)
 
     def work(batches):
@@ -364,7 +410,8 @@ def digests(
         for batch in batches:
             first = 0
             for texts in groups(batch.column(1).to_pylist()):
-                ids = [x for x, _ in encoder.encode(texts)]
+                out = list(encoder.encode(texts))
+                ids = [x for x, _, _ in out]
                 back = [sha256(decoder.decode(x)).hexdigest() for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -372,11 +419,16 @@ def digests(
                         pa.array([len(x) // 4 for x in ids], pa.int64()),
                         pa.array([sha256(x).hexdigest() for x in ids], pa.string()),
                         pa.array(back, pa.string()),
+                        pa.array([len(at) for _, _, at in out], pa.int64()),
+                        pa.array([sha256(at.astype("<u8").tobytes()).hexdigest() for _, _, at in out], pa.string()),
                     ],
-                    ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                    ["id", "n_tokens", "ids_sha256", "decoded_sha256", "n_pieces", "offsets_sha256"],
                 )
                 first += len(ids)
 
     kind = dict(df.dtypes)[id_col]
-    schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    schema = (
+        f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string,"
+        " n_pieces bigint, offsets_sha256 string"
+    )
     return df.select(df[id_col], df[text_col]).mapInArrow(work, schema)
