@@ -2,9 +2,11 @@
 
 Large-star and small-star steps alternate: each joins a node's neighbours to the smallest node
 next to it, first the larger neighbours, then the others, until nothing changes. A step moves
-links only; the smallest neighbour comes from an aggregation that combines before it shuffles, and
-joins it back, so that a node with many links is split like any skewed join. Every step's links
-are written to the shared folder, so a lost executor costs one step."""
+links only. The links of a node are dealt by node and a salt of the neighbour: each lot has its own
+smallest neighbour, the smallest of a node's lots goes back to the lots, of which there are SALTS at
+most, and from there to the links. So a node with a third of all links is spread over tasks without
+any measuring. Every step's links are written to the shared folder, so a lost executor costs one
+step."""
 
 from __future__ import annotations
 
@@ -13,14 +15,20 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.cluster import written
 
+SALTS = 32
+
 
 def _stars(links: DataFrame, both_ways: bool) -> DataFrame:
     """Each node's neighbours ``v`` with ``m``, the smallest of the node and its neighbours."""
     if both_ways:
         links = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select(F.col("u").alias("w"), F.least("m", "u").alias("m"))
-    return links.join(least, links.u == least.w).select("u", "v", "m")
+    links = links.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    lots = links.groupBy("u", "s").agg(F.min("v").alias("m"))
+    least = lots.groupBy("u").agg(F.min("m").alias("m"))
+    least = lots.select("u", "s").join(least, "u").select(
+        F.col("u").alias("w"), F.col("s").alias("t"), F.least("m", "u").alias("m")
+    )
+    return links.join(least, (links.u == least.w) & (links.s == least.t)).select("u", "v", "m")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
