@@ -251,10 +251,12 @@ class Encoder:
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         at = boundaries(points, starts[lengths > 0])
         first = np.searchsorted(at, np.append(starts, len(joined)))
-        # How many bytes each code point takes, added up to where each piece begins.
-        width = 1 + (points >= 0x80) + (points >= 0x800).astype(np.int8) + (points >= 0x10000)
-        before = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])
-        return joined, [*at.tolist(), len(joined)], first, before[np.append(at, len(joined))]
+        in_bytes = np.append(at, len(joined))
+        if not joined.isascii():
+            # Bytes that continue a code point begin none; the others stand in the order of the text.
+            raw = np.frombuffer(joined.encode(), np.int8)
+            in_bytes = np.append(np.flatnonzero(raw >= -64), len(raw))[in_bytes]
+        return joined, [*at.tolist(), len(joined)], first, in_bytes
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, list[bytes], np.ndarray]]:
         """Per text: its ids as little-endian 32-bit numbers, the same by piece, and the offset of
