@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import groups
-from tidemark.llm.cluster import prepare
+from tidemark.llm.cluster import prepare, written
 from tidemark.llm.words import mixed
 
 UNKNOWN = "und"
@@ -149,7 +149,8 @@ def fit(
     features = features or Features()
     size = 1 << features.bits
     most = MATRIX_BYTES // (8 * size)
-    table = counts(df, features, text_col, lang_col)
+    # Written, so that the texts are counted once for the totals and the buckets.
+    table = written(counts(df, features, text_col, lang_col), "language-counts")
     totals = table.where("bucket = -1").orderBy("label").limit(most + 1).collect()
     if len(totals) > most:
         raise ValueError(f"more than {most} languages: take fewer bits, so that the matrix fits")
