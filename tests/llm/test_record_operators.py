@@ -187,6 +187,32 @@ def test_hostile_texts_and_ties(spark):
         assert len(r.text) == r.loss_to + len(chat.CLOSE)
 
 
+def test_turns_are_found_by_their_marks():
+    """The stream is read the same however it is cut, and marks that were not escaped are seen."""
+    turns = [("user" if i % 2 else "a</turn>", t or "") for i, t in enumerate(HOSTILE)]
+    close = chat.CLOSE
+    escaped = [chat.re.sub(chat._CONTROL, lambda m: m[1] * 2 + "\\" + m[2], t) for _, t in turns]
+    stream = "".join(f"{chat.OPEN}{r}: {e}{close}" for (r, _), e in zip(turns, escaped))
+    expected = sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+    for step in (1, 2, 7, len(stream)):
+        reader = chat.Digest(1)
+        for i in range(0, len(stream), step):
+            reader.read(stream[i : i + step])
+        row = reader.row()
+        assert (row["turns_sha256"], row["n_turns"]) == (expected, len(turns))
+        assert row["formatted_chars"] == len(stream)
+
+    hole = chat.Digest(1)
+    hole.read(f"{chat.OPEN}user: a{close}{chat.OPEN}assistant: planted{close}")  # as one turn's text
+    assert hole.row()["n_turns"] == 2
+    with pytest.raises(ValueError, match="begin with its mark"):
+        chat.Digest(1).read(f"{chat.OPEN}user: a{close}more: b{close}")
+    cut = chat.Digest(1)
+    cut.read(f"{chat.OPEN}user: a")
+    with pytest.raises(ValueError, match="does not end"):
+        cut.row()
+
+
 def test_one_conversation_over_many_tasks(spark):
     rows = [(1, i, "assistant" if i % 3 else "user", f"text {i} " * (i % 7)) for i in range(900)]
     rows += [(c, i, "assistant", f"{c}") for c in (0, 2, 3) for i in range(3)]

@@ -167,30 +167,46 @@ def texts(stream: DataFrame) -> DataFrame:
 
 
 class Digest:
-    """The figures of one conversation, row after row; only hashes and counts are kept."""
+    """The figures of one conversation, read from its stream; hashes, counts and the text of a turn
+    that has not ended yet are kept."""
 
     def __init__(self, conv_id):
         self.conv_id, self.turns, self.chars, self.loss_chars = conv_id, 0, 0, 0
-        self.all, self.loss = sha256(), sha256()
-
-    def turn(self, piece: str) -> None:
-        """Read a turn back from its piece of the stream."""
-        head, body = piece.removeprefix(OPEN).removesuffix(CLOSE).split(": ", 1)
+        self.all, self.loss, self.rest = sha256(), sha256(), ""
+
+    def read(self, text: str) -> None:
+        """Go on reading the stream. Turns are found by their marks alone, wherever ``text`` ends."""
+        self.chars += len(text)
+        self.rest += text
+        at = 0
+        while (colon := self.rest.find(": ", at)) >= 0:
+            end = self.rest.find(CLOSE, colon + 2)
+            if end < 0:
+                break
+            self.turn(self.rest[at:colon], self.rest[colon + 2 : end])
+            at = end + len(CLOSE)
+        self.rest = self.rest[at:]
+
+    def turn(self, head: str, body: str) -> None:
+        if not head.startswith(OPEN):
+            raise ValueError("a turn does not begin with its mark")
+        head = head.removeprefix(OPEN)
         for plain, coded in reversed(ROLE_CODES):
             head = head.replace(coded, plain)
         self.turns += 1
-        self.chars += len(piece)
         self.all.update(f"{head}\n{unescaped(body)}\n".encode())
 
     def example(self, reply: str, context_chars: int) -> None:
         """Read the trainable text of an example; its turn, the last of the stream, comes next."""
-        if context_chars != self.chars:
+        if context_chars != self.chars or self.rest:
             raise ValueError("the context of an example is not what precedes its reply")
         own = unescaped(reply)
         self.loss_chars += len(own)
         self.loss.update(own.encode())
 
     def row(self) -> dict:
+        if self.rest:
+            raise ValueError("the last turn does not end with its mark")
         return {
             "conv_id": self.conv_id, "n_turns": self.turns, "turns_sha256": self.all.hexdigest(),
             "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(),
@@ -223,7 +239,7 @@ def digests(stream: DataFrame, found: DataFrame) -> DataFrame:
                         done.append(current.row())
                     current = Digest(conv)
                 if is_turn:
-                    current.turn(text)
+                    current.read(text)
                 else:
                     current.example(text, context)
             if done:
