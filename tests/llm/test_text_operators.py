@@ -217,6 +217,35 @@ def test_fertility_of_awkward_rows(awkward, empty):
     assert fertility.measure(empty, queries.RULES).count() == fertility.keep(empty, queries.RULES).count() == 0
 
 
+PROSE = {
+    "han": "人民共和国的首都是北京,这座城市有三千多年的历史。今天天气很好,我们一起去公园散步,看见许多孩子在湖边放风筝。",
+    "kana": "これはとてもおもしろい本です。昨日、友達と一緒に図書館へ行って、いろいろな本を借りました。カタカナの言葉もあります。",
+    "hangul": "오늘은 날씨가 매우 좋아서 친구들과 함께 공원에 갔습니다. 대한민국의 수도는 서울이며 많은 사람들이 살고 있습니다.",
+    "arabic": "اللغة العربية من أكثر اللغات انتشارا في العالم، ذهبنا اليوم إلى الحديقة وشاهدنا الأطفال يلعبون بالقرب من البحيرة.",
+    "hebrew": "העברית היא שפה שמית ממשפחת השפות הידועה כשפתם של היהודים. היום הלכנו לפארק וראינו ילדים משחקים ליד האגם.",
+    "indic": "हिन्दी विश्व की एक प्रमुख भाषा है और भारत की एक राजभाषा है। आज मौसम बहुत अच्छा है इसलिए हम सब बगीचे में घूमने गए।",
+    "thai": "ภาษาไทยเป็นภาษาที่มีระดับเสียงของคำแน่นอน วันนี้อากาศดีมากเราจึงไปเดินเล่นที่สวนสาธารณะและเห็นเด็กๆ เล่นอยู่",
+}
+
+
+@pytest.mark.parametrize("name", PROSE)
+def test_bands_of_scripts(name):
+    """Prose of each script is accepted; a few of its letters over and over are not, and neither are
+    letters that the vocabulary knows as bytes only, where prose is not made of such."""
+    rules, band = queries.RULES, queries.RULES.bands[name]
+    encode, raw = fertility.vocabulary(rules.vocabulary)
+
+    def verdict(text):
+        assert fertility.script(text) == name
+        n, *figures = fertility.fertility(text, encode, raw)
+        return fertility.accepted(band, n, rules.least_tokens, *figures)
+
+    assert verdict(PROSE[name]) and verdict(PROSE[name] * 5)
+    assert not verdict((PROSE[name][:2] + " ") * 200)
+    if name == "han":
+        assert not verdict("龘靐齉齾爩鱻麤龗灪籱龖厵滟爨癵饢驫鲡鹂鸾麣纞虋讟钃骊郁吁齹齺齻齼麷麶麵麴鼟鼞鼝鼜黸黷黶黵")
+
+
 def test_scripts():
     assert fertility.script("привет, world") == "cyrillic" and fertility.script("漢字 ok") == "han"
     assert fertility.script("12 .,!") == fertility.script("") == "other"

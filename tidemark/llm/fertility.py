@@ -65,6 +65,14 @@ class Rules:
             "latin": Band(1.50, 12.0, 0.25, 4.3),
             "greek": Band(0.40, 8.0, 0.60),
             "cyrillic": Band(0.80, 10.0, 0.40),
+            "han": Band(0.45, 4.0, 0.70, 4.0),
+            "kana": Band(0.45, 4.0, 0.70, 3.8),
+            "hangul": Band(0.40, 4.0, 0.70, 3.8),
+            "arabic": Band(0.60, 8.0, 0.40, 3.3),
+            "hebrew": Band(0.50, 8.0, 0.40),
+            # Letters of some of these scripts are in no vocabulary here: bytes alone are no fault.
+            "indic": Band(0.25, 8.0, 0.97, 3.3),
+            "thai": Band(0.45, 8.0, 0.60, 3.5),
         }
     )
     language_bands: dict[str, Band] = field(default_factory=dict)
