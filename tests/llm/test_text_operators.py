@@ -341,6 +341,21 @@ def test_ranges_are_decoded_from_their_pieces(spark, awkward, coder):
     assert decoder.decode_range(broken, n, at, 1, 4) == b"ome"
 
 
+def test_pieces_side_by_side(coder):
+    """Merging many pieces at once gives what merging each alone does."""
+    draw = random.Random(5)
+    signs = "abcdetnaeiosßé漢 🙂xQ"
+    pieces = ["".join(draw.choices(signs, k=draw.randint(1, 30))).encode() for _ in range(3000)]
+    encoder = coder[0]
+    found, bounds = encoder.merged_together(pieces)
+    own = [found[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)]
+    whole = [encoder.ranks.get(p) is not None for p in pieces]
+    assert [o for o, w in zip(own, whole) if not w] == [
+        encoder.merged(p) for p, w in zip(pieces, whole) if not w
+    ]
+    assert bounds[-1] == len(found)
+
+
 def test_a_full_cache_changes_nothing(coder, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
     agrees((bpe.Encoder(coder[0].ranks), *coder[1:]), ["some words and more words of some kind", "and more"])

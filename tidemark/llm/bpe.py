@@ -33,6 +33,8 @@ from tidemark.llm.cluster import prepare
 PART_CHARS = 1 << 20
 CACHE_PIECES = 300_000
 ROW = 128
+NO_PAIR = 1 << 40  # above any rank
+SHORT_BYTES = 64  # longer pieces are merged one by one
 
 LETTER, NUMBER, SPACE, BLANK, QUOTE, OTHER = range(6)
 # White space other than U+0020, as Unicode defines it (fixed values).
@@ -179,11 +181,24 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Pair merging by rank, with a cache of pieces."""
+    """Pair merging by rank, with a cache of pieces in two halves. When the newer half has
+    CACHE_PIECES / 2 it becomes the older one, and pieces asked for again move to the newer."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # Every split of a token into two tokens, by key; and the token of each byte.
+        splits = sorted(
+            (ranks[token[:i]] << 32 | ranks[token[i:]], rank)
+            for token, rank in ranks.items()
+            for i in range(1, len(token))
+            if token[:i] in ranks and token[i:] in ranks
+        )
+        table = np.array([*splits, (NO_PAIR << 22, NO_PAIR)], dtype=np.int64)
+        self.pairs = np.ascontiguousarray(table[:, 0]), np.ascontiguousarray(table[:, 1])
+        alone = [ranks.get(bytes([b])) for b in range(256)]
+        self.of_byte = None if None in alone else np.array(alone, dtype=np.int64)
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of one piece: again and again, the adjacent pair of lowest rank becomes one."""
@@ -193,21 +208,16 @@ class Encoder:
             return [whole]
         if len(piece) > 256:
             return self.merged_long(piece)
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-        while True:
-            best, at = None, -1
-            for i, rank in enumerate(pairs):
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                return [ranks[x] for x in parts]
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del pairs[at]
+        cut = list(range(len(piece) + 1))  # where parts begin, and the end
+        pairs = [ranks.get(piece[i : i + 2], NO_PAIR) for i in range(len(piece) - 1)]
+        while pairs and (best := min(pairs)) != NO_PAIR:
+            at = pairs.index(best)
+            del cut[at + 1], pairs[at]
             if at < len(pairs):
-                pairs[at] = ranks.get(parts[at] + parts[at + 1])
+                pairs[at] = ranks.get(piece[cut[at] : cut[at + 2]], NO_PAIR)
             if at:
-                pairs[at - 1] = ranks.get(parts[at - 1] + parts[at])
+                pairs[at - 1] = ranks.get(piece[cut[at - 1] : cut[at + 1]], NO_PAIR)
+        return [ranks[piece[i:j]] for i, j in zip(cut, cut[1:], strict=False)]
 
     def merged_long(self, piece: bytes) -> list[int]:
         """The same with a heap and links, for long pieces."""
@@ -242,6 +252,81 @@ class Encoder:
                 offer(before[i])
         return [ranks[x] for x in token if x is not None]
 
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of the token that two adjacent tokens make, NO_PAIR if they make none."""
+        keys, made = self.pairs
+        wanted = left << 32 | right
+        at = np.searchsorted(keys, wanted)
+        return np.where(keys[at] == wanted, made[at], NO_PAIR)
+
+    def merged_together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for many pieces side by side: each round merges the first pair of lowest rank of
+        every piece that has one. All ids in the order of the pieces, and the bounds of each."""
+        sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+        owner = np.repeat(np.arange(len(pieces)), sizes)
+        ids = self.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        rank = np.full(len(ids), NO_PAIR)  # of each part with the next one of its piece
+        inner = np.flatnonzero(owner[1:] == owner[:-1])
+        rank[inner] = self.rank_of(ids[inner], ids[inner + 1])
+        done = []
+        while len(ids):
+            starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            least = np.minimum.reduceat(rank, starts)
+            counts = np.diff(np.append(starts, len(ids)))
+            lowest = np.repeat(least, counts)
+            live = lowest != NO_PAIR
+            if not live.all():
+                done.append((ids[~live], owner[~live]))
+                ids, owner, rank, lowest = ids[live], owner[live], rank[live], lowest[live]
+            at = np.flatnonzero(rank == lowest)
+            at = at[np.append(True, owner[at[1:]] != owner[at[:-1]])] if len(at) else at
+            ids[at] = lowest[at]
+            stay = np.ones(len(ids), dtype=bool)
+            stay[at + 1] = False
+            ids, owner, rank = ids[stay], owner[stay], rank[stay]
+            at -= np.arange(len(at))
+            rank[at] = NO_PAIR
+            after = at[at + 1 < len(ids)]
+            after = after[owner[after + 1] == owner[after]]
+            rank[after] = self.rank_of(ids[after], ids[after + 1])
+            before = at[at > 0]
+            before = before[owner[before - 1] == owner[before]]
+            rank[before - 1] = self.rank_of(ids[before - 1], ids[before])
+        found, of = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(of, kind="stable")
+        ends = np.cumsum(np.bincount(of, minlength=len(pieces)))
+        return found[order], np.append(0, ends)
+
+    def known(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of each piece as little-endian 32-bit numbers, from the cache where they are there."""
+        cache, older, ranks = self.cache, self.older, self.ranks
+        out, alone, together = {}, [], []
+        for piece in pieces:
+            ids = cache.get(piece)
+            if ids is not None:
+                out[piece] = ids
+                continue
+            ids = older.get(piece)
+            if ids is not None:
+                out[piece] = ids
+            else:
+                raw = piece.encode()
+                if raw in ranks or len(raw) > SHORT_BYTES or self.of_byte is None:
+                    out[piece] = np.array(self.merged(raw), "<u4").tobytes()
+                else:
+                    alone.append(piece)
+                    together.append(raw)
+                    continue
+            cache[piece] = ids or out[piece]
+        if together:
+            found, bounds = self.merged_together(together)
+            raw, ends = found.astype("<u4").tobytes(), (4 * bounds).tolist()
+            for piece, a, b in zip(alone, ends, ends[1:], strict=False):
+                out[piece] = cache[piece] = raw[a:b]
+        if len(cache) >= CACHE_PIECES // 2:
+            self.cache, self.older = {}, cache
+        return out
+
     def pieces(self, texts: list[str]) -> tuple[str, list[int], np.ndarray, np.ndarray]:
         """The texts as one, the bounds of all pieces in it, each text's first piece, and the bounds
         in bytes."""
@@ -261,19 +346,9 @@ class Encoder:
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, list[bytes], np.ndarray]]:
         """Per text: its ids as little-endian 32-bit numbers, the same by piece, and the offset of
         each piece in the text's bytes."""
-        cache = self.cache
         joined, at, first, in_bytes = self.pieces(texts)
         pieces = [joined[a:b] for a, b in zip(at, at[1:], strict=False)]
-        for piece in set(pieces).difference(cache):
-            if len(cache) >= CACHE_PIECES:
-                cache = self.cache = {}
-            cache[piece] = np.array(self.merged(piece.encode()), "<u4").tobytes()
-        try:
-            coded = [cache[p] for p in pieces]
-        except KeyError:  # the cache was emptied between
-            coded = [
-                cache.get(p) or np.array(self.merged(p.encode()), "<u4").tobytes() for p in pieces
-            ]
+        coded = list(map(self.known(set(pieces)).__getitem__, pieces))
         for a, b in zip(first.tolist(), first[1:].tolist(), strict=False):
             own = coded[a:b]
             yield b"".join(own), own, in_bytes[a:b] - in_bytes[a]
