@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from tidemark.config import Settings
 from tidemark.functions.coverage import AT_TARGET, LOW, MODERATE
 from tidemark.operators.metrics import quality_stats, view_status
-from tidemark.operators.quality import LENGTH_CHECKS, STANDARD_CHECKS, RowCount, run_checks
+from tidemark.operators.quality import RowCount, run_checks
 from tidemark.plans import reports
+from tidemark.plans.checks import check_published
 from tidemark.plans.history import update_history
 from tidemark.plans.refresh import raw_root, read_warehouse, run
 from tidemark.session import build_session, sized_shuffles
@@ -102,9 +103,10 @@ def expire(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def check(spark: SparkSession, args: argparse.Namespace) -> int:
     expected = [RowCount(name, int(n)) for name, n in (x.split("=") for x in args.expect)]
-    checks = (*STANDARD_CHECKS, *LENGTH_CHECKS, *expected)
     with sized_shuffles(spark, published_bytes(spark, args.root)):
-        results = run_checks(read_published(spark, args.root), checks).collect()
+        results = check_published(spark, args.root).collect()
+        if expected:
+            results += run_checks(read_published(spark, args.root), expected).collect()
     for r in results:
         state = "pass" if r.failures == 0 else f"FAIL {r.failures}"
         print(f"{r.check_name} {r.table_name}.{r.column_name}: {state}")

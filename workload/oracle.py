@@ -211,41 +211,44 @@ _DIMS = """
 dates AS (SELECT DISTINCT year, year * 10000 + 101 AS date_id FROM staged),
 kinds AS (SELECT DISTINCT indicator_code FROM staged),
 facts AS (SELECT region_key, year * 10000 + 101 AS date_id, indicator_code, value FROM star)"""
+_STANDARD = [
+    _not_null("stg_health_indicators", "region_key", "staged", "region_key"),
+    _not_null("stg_health_indicators", "year", "staged", "year"),
+    _not_null("stg_health_indicators", "indicator_code", "staged", "indicator_code"),
+    _unique(
+        "stg_health_indicators",
+        "region_key,year,indicator_code",
+        "staged",
+        "region_key, year, indicator_code",
+        "unique_combination",
+    ),
+    _not_null("stg_regions", "region_key", "regions", "region_key"),
+    _unique("stg_regions", "region_key", "regions", "region_key"),
+    _not_null("dim_region", "region_key", "regions", "region_key"),
+    _unique("dim_region", "region_key", "regions", "region_key"),
+    _not_null("dim_date", "date_id", "dates", "date_id"),
+    _unique("dim_date", "date_id", "dates", "date_id"),
+    _not_null("dim_date", "year", "dates", "year"),
+    _not_null("dim_indicator", "indicator_code", "kinds", "indicator_code"),
+    _unique("dim_indicator", "indicator_code", "kinds", "indicator_code"),
+    _not_null(_FACT, "region_id", "facts", "region_key"),
+    _not_null(_FACT, "date_id", "facts", "date_id"),
+    _not_null(_FACT, "indicator_id", "facts", "indicator_code"),
+    _orphans(_FACT, "region_id", "facts", "region_key", "regions", "region_key"),
+    _orphans(_FACT, "date_id", "facts", "date_id", "dates", "date_id"),
+    _orphans(_FACT, "indicator_id", "facts", "indicator_code", "kinds", "indicator_code"),
+    _unique(
+        _FACT,
+        "region_id,date_id,indicator_id",
+        "facts",
+        "region_key, date_id, indicator_code",
+        "unique_combination",
+    ),
+    _outside(_FACT, "facts"),
+]
 _CHECKS = "\nUNION ALL ".join(
     [
-        _not_null("stg_health_indicators", "region_key", "staged", "region_key"),
-        _not_null("stg_health_indicators", "year", "staged", "year"),
-        _not_null("stg_health_indicators", "indicator_code", "staged", "indicator_code"),
-        _unique(
-            "stg_health_indicators",
-            "region_key,year,indicator_code",
-            "staged",
-            "region_key, year, indicator_code",
-            "unique_combination",
-        ),
-        _not_null("stg_regions", "region_key", "regions", "region_key"),
-        _unique("stg_regions", "region_key", "regions", "region_key"),
-        _not_null("dim_region", "region_key", "regions", "region_key"),
-        _unique("dim_region", "region_key", "regions", "region_key"),
-        _not_null("dim_date", "date_id", "dates", "date_id"),
-        _unique("dim_date", "date_id", "dates", "date_id"),
-        _not_null("dim_date", "year", "dates", "year"),
-        _not_null("dim_indicator", "indicator_code", "kinds", "indicator_code"),
-        _unique("dim_indicator", "indicator_code", "kinds", "indicator_code"),
-        _not_null(_FACT, "region_id", "facts", "region_key"),
-        _not_null(_FACT, "date_id", "facts", "date_id"),
-        _not_null(_FACT, "indicator_id", "facts", "indicator_code"),
-        _orphans(_FACT, "region_id", "facts", "region_key", "regions", "region_key"),
-        _orphans(_FACT, "date_id", "facts", "date_id", "dates", "date_id"),
-        _orphans(_FACT, "indicator_id", "facts", "indicator_code", "kinds", "indicator_code"),
-        _unique(
-            _FACT,
-            "region_id,date_id,indicator_id",
-            "facts",
-            "region_key, date_id, indicator_code",
-            "unique_combination",
-        ),
-        _outside(_FACT, "facts"),
+        *_STANDARD,
         _orphans("orders", "o_custkey", "orders", "o_custkey", "customer", "c_custkey"),
         _orphans("lineitem", "l_orderkey", "lineitem", "l_orderkey", "orders", "o_orderkey"),
         _outside("events", "events"),
@@ -606,6 +609,7 @@ SELECT reason, count(*) AS rejected_rows FROM (
 GROUP BY reason""",
     ),
     "dq_checks": _with([*_UP_TO_STAR, _DIMS], _CHECKS),
+    "dq_checks_added": _with([*_UP_TO_STAR, _DIMS], "\nUNION ALL ".join(_STANDARD)),
     "dq_duplicate_keys": """
 SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",

@@ -27,6 +27,7 @@ from tidemark.operators import (
     warehouse,
 )
 from tidemark.operators.quality import AcceptedRange, Relationship
+from tidemark.plans.checks import check_published
 from tidemark.plans import reports
 from tidemark.plans.catalog import publish_catalog
 from tidemark.plans.history import read_history, update_history
@@ -649,6 +650,20 @@ def dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_checks(tables, (*quality.STANDARD_CHECKS, *more))
 
 
+@on_workspace
+def dq_checks_added(w: Workspace) -> DataFrame:
+    """The standard checks after a second snapshot was appended to a first that was checked: what was
+    added is checked, and met with the earlier keys of its partitions."""
+    root = scratch(w.spark, "checked")
+    for place, day in enumerate((PRIOR, CURRENT)):
+        half = w.wide().where(F.col("k") % 2 == place)
+        snapshots.land_snapshot(half, raw_root(root), day)
+        mode = "append" if place else "replace"
+        run(w.spark, root, day, SETTINGS, RUN_TS, mode=mode, as_of_year=AS_OF_YEAR)
+        results = check_published(w.spark, root, quality.STANDARD_CHECKS)
+    return results
+
+
 @on_tables
 def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = inputs.table(spark, sf_dir, "lineitem")
