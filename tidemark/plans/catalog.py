@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from tidemark.config import Settings
 from tidemark.functions.coverage import AT_TARGET, LOW, MODERATE
 from tidemark.sources.schemas import PARTITIONS, SCHEMAS, STAGING
-from tidemark.sources.tables import current_paths, run_folder
+from tidemark.sources.tables import BOOKKEEPING, current_paths, run_folder
 
 _STAR = """
 FROM warehouse.fact_health_indicator f
@@ -81,6 +81,8 @@ def publish_catalog(spark: SparkSession, root: str, settings: Settings) -> list[
     for schema in ("staging", "warehouse", "reporting"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
     for name, paths in current_paths(spark, root).items():
+        if name in BOOKKEEPING:
+            continue
         qualified = f"{'staging' if name in STAGING else 'warehouse'}.{name}"
         spark.sql(f"CREATE OR REPLACE VIEW {qualified} AS {_table_sql(name, paths)}")
         names.append(qualified)

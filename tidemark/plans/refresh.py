@@ -37,6 +37,7 @@ from tidemark.sources.files import dated_folders, folder_bytes, remove_folder
 from tidemark.sources.schemas import PARTITIONS, QUALITY_LOG, STAGING, conform
 from tidemark.sources.snapshots import prior_snapshot_date, read_snapshot
 from tidemark.sources.tables import (
+    BOOKKEEPING,
     check_mode,
     constant_rows,
     current_paths,
@@ -126,7 +127,8 @@ def run(
     publish(spark, root, run_id, run_ts, mode, list(counts), kept, base)
     log_loads(spark, root, counts, run_ts)
     remove_folder(spark, scratch)
-    return RunResult(run_id, str(snapshot_date), None if prior is None else str(prior), counts)
+    figures = {n: c for n, c in counts.items() if n not in BOOKKEEPING}
+    return RunResult(run_id, str(snapshot_date), None if prior is None else str(prior), figures)
 
 
 def _typed_once(

@@ -29,6 +29,8 @@ from tidemark.sources.schemas import CLUSTERS, PARTITIONS, SCHEMAS, STAGING, con
 MODES = ("replace", "append", "refresh")
 # An appending run adds rows to these; it writes the others whole.
 GROWING = (*STAGING, "fact_health_indicator", "value_history_closed")
+# What runs compare themselves with; nobody asks for it by name, nor is it among a run's figures.
+BOOKKEEPING = ("partition_marks",)
 RUN = "run"
 _VERSION = "version-"
 _PUBLISHED = ("published_ns", "run_id", "run_ts", "mode", "table_name", "path")
