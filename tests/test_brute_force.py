@@ -115,3 +115,17 @@ def test_cleaning_agrees_with_plain_python(spark, current, prior):
         if not reasons(r):
             first.setdefault(r["key"], (r["name"], r["code"], r["kind"]))
     assert {r[0]: tuple(r)[1:] for r in seen_regions(now, SETTINGS, 2026).collect()} == first
+
+
+def test_rows_are_dealt_while_they_are_wide(spark):
+    """Dealing wide rows gives the same long rows, and none that a rule on region or year rejects is moved."""
+    data = [(i, f"r{i % 5}", f"C{i % 5}", "x" if i % 7 == 0 else str(2000 + i % 3), *map(str, (i, i + 1, i + 2, 300))) for i in range(60)]
+    columns = "source_row bigint, region_name string, iso_code string, year string, " + ", ".join(
+        f"`{i.source_col}` string" for i in SETTINGS.indicators
+    )
+    now = typed_wide(spark.createDataFrame([d[: 4 + len(SETTINGS.indicators)] for d in data], columns), SETTINGS)
+    plain = flagged_rows(now, None, SETTINGS, 2026, F.lit(STAMP))
+    dealt = flagged_rows(now, None, SETTINGS, 2026, F.lit(STAMP), deal=("year", "region_key"))
+    assert Counter(map(tuple, dealt.collect())) == Counter(map(tuple, plain.collect()))
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.index("RepartitionByExpression")

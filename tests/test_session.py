@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tidemark.session import PARTITION_BYTES, shared_dir, shuffle_partitions, sized_shuffles
+from tidemark.session import PARTITION_BYTES, TASK_BYTES, shared_dir, shuffle_partitions, sized_shuffles
 
 
 def test_shuffles_grow_with_the_input():
@@ -39,3 +39,11 @@ def test_only_a_local_session_gets_a_temporary_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(session("yarn"))
     assert shared_dir(session("local[2]")) == shared_dir(session("local[2]"))
+
+
+def test_sized_shuffles_bound_what_a_task_sorts_and_hashes(spark):
+    keys = [f"spark.sql.adaptive.{k}" for k in ("advisoryPartitionSizeInBytes", "maxShuffledHashJoinLocalMapThreshold")]
+    before = [spark.conf.get(k) for k in keys]
+    with sized_shuffles(spark, 2**40):
+        assert [int(spark.conf.get(k)) for k in keys] == [TASK_BYTES, TASK_BYTES]
+    assert [spark.conf.get(k) for k in keys] == before

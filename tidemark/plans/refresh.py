@@ -32,7 +32,7 @@ from tidemark.plans.tidy import (
     snapshot_revisions,
     typed_wide,
 )
-from tidemark.session import shared_dir, sized_shuffles
+from tidemark.session import FILE_EXPANSION, shared_dir, sized_shuffles
 from tidemark.sources.files import dated_folders, folder_bytes, remove_folder
 from tidemark.sources.schemas import PARTITIONS, QUALITY_LOG, STAGING, conform
 from tidemark.sources.snapshots import prior_snapshot_date, read_snapshot
@@ -110,7 +110,7 @@ def run(
     if not present_indicators(frames[0], settings.indicators):
         raise ValueError(f"snapshot {snapshot_date} has none of the configured indicators")
     scratch = f"{shared_dir(spark)}/typed-{run_id}"
-    with sized_shuffles(spark, volume):
+    with sized_shuffles(spark, FILE_EXPANSION * volume):
         counts, kept = _write_all(
             spark,
             root,
@@ -170,8 +170,8 @@ def _write_all(
     current = {} if mode == "replace" else current_paths(spark, root)
     kept: dict[str, list[str]] = {}
 
-    def write(**frames: DataFrame) -> dict[str, DataFrame]:
-        counts.update(write_tables(frames, root, run_id))
+    def write(dealt: tuple[str, ...] = (), **frames: DataFrame) -> dict[str, DataFrame]:
+        counts.update(write_tables(frames, root, run_id, dealt))
         return {
             n: read_paths(spark, n, [*kept.get(n, ()), table_path(root, run_id, n)]) for n in frames
         }
@@ -196,7 +196,7 @@ def _write_all(
         found = first["stg_data_revisions"]
         values = snapshot_revision_values(typed, *before, found, settings)
     rows = flagged_rows(typed, found, settings, as_of_year, stamp)
-    same = []
+    same, dealt = [], ()
     if mode == "refresh":
         marks = write(partition_marks=partition_marks(rows))["partition_marks"]
         same = _unchanged(spark, marks, current)
@@ -206,7 +206,11 @@ def _write_all(
         kept["fact_health_indicator"] = _folders_of(spark, "fact_health_indicator", current, fact_keys)
         keys = ["indicator_code", "year"]
         rows = rows.join(constant_rows(spark, same, keys), keys, "left_anti")
+    else:
+        rows = flagged_rows(typed, found, settings, as_of_year, stamp, deal=("year", "region_key"))
+        dealt = ("stg_health_indicators",)
     second = write(
+        dealt,
         stg_health_indicators=rows,
         stg_revision_values=_or_empty(spark, values, "stg_revision_values"),
     )

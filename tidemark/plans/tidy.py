@@ -132,10 +132,15 @@ def flagged_rows(
     settings: Settings,
     as_of_year: int,
     run_ts: Column,
+    deal: Sequence[str] = (),
 ) -> DataFrame:
     """The valid long rows of typed wide rows with their flags. ``revisions`` is None without a
-    prior snapshot."""
-    marked = revised_measures(typed, revisions, WIDE_KEYS, "indicator_code")
+    prior snapshot. ``deal`` names columns by whose ranges the rows are dealt, while they are wide:
+    that moves a row where dealing long ones moves one per indicator."""
+    ok = typed.where(~violates_any(region_year_rules(settings, as_of_year)))
+    marked = revised_measures(ok, revisions, WIDE_KEYS, "indicator_code")
+    if deal:
+        marked = marked.repartitionByRange(*deal)
     long = long_rows(marked, settings, ["revised_measures"]).withColumn(
         "is_revised", F.array_contains("revised_measures", F.col("indicator_code"))
     )

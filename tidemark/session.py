@@ -13,6 +13,12 @@ _LOCAL_SCRATCH: dict[str, str] = {}
 
 # A shuffle partition of this size is sorted or hashed in the memory of one task.
 PARTITION_BYTES = 256 * 2**20
+# Rows of snapshots in memory, unpivoted, take about so many times their size in compressed files.
+FILE_EXPANSION = 32
+# What adaptive execution merges partitions up to, in compressed bytes: some hundred megabytes as
+# rows, however large the input, so that a task sorts and hashes in memory. Where all partitions of
+# a join's side are smaller, it is hashed and the other side need not be sorted.
+TASK_BYTES = 16 * 2**20
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,12 +53,19 @@ def shuffle_partitions(configured: int, input_bytes: int) -> int:
 def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Within, shuffles are sized for ``input_bytes`` of input."""
     key = "spark.sql.shuffle.partitions"
-    configured = spark.conf.get(key)
-    spark.conf.set(key, str(shuffle_partitions(int(configured), input_bytes)))
+    sized = {
+        key: shuffle_partitions(int(spark.conf.get(key)), input_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": TASK_BYTES,
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": TASK_BYTES,
+    }
+    configured = {name: spark.conf.get(name) for name in sized}
+    for name, value in sized.items():
+        spark.conf.set(name, str(value))
     try:
         yield
     finally:
-        spark.conf.set(key, configured)
+        for name, value in configured.items():
+            spark.conf.set(name, value)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -63,17 +63,18 @@ def same_table(a: str, b: str) -> bool:
     return len(tables) == 1 and None not in tables
 
 
-def write_table(df: DataFrame, root: str, run_id: str, name: str) -> int:
+def write_table(df: DataFrame, root: str, run_id: str, name: str, dealt: bool = False) -> int:
     """Write one table of a run and return its number of rows, counted during the write.
 
     A partitioned table is dealt by ranges of its partition and cluster columns, and sorted: a task
     writes one stretch of it, small folders share a task, and a folder with a third of the data is
-    split over many tasks, each with a range of its own."""
+    split over many tasks, each with a range of its own. Rows that are ``dealt`` already, by ranges of
+    some of these columns, are sorted where they are."""
     out = conform(df, name)
     parts = PARTITIONS.get(name, ())
     if parts:
         order = [*parts, *CLUSTERS.get(name, ())]
-        out = out.repartitionByRange(*order).sortWithinPartitions(*order)
+        out = (out if dealt else out.repartitionByRange(*order)).sortWithinPartitions(*order)
     seen = Observation()
     out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode("overwrite")
@@ -83,11 +84,13 @@ def write_table(df: DataFrame, root: str, run_id: str, name: str) -> int:
     return seen.get["rows"]
 
 
-def write_tables(frames: Mapping[str, DataFrame], root: str, run_id: str) -> dict[str, int]:
+def write_tables(
+    frames: Mapping[str, DataFrame], root: str, run_id: str, dealt: Sequence[str] = ()
+) -> dict[str, int]:
     """Write tables that do not depend on each other at the same time, so that executors done
-    with one go on with the next. Returns their numbers of rows."""
+    with one go on with the next; ``dealt`` as in ``write_table``. Returns their numbers of rows."""
     with ThreadPoolExecutor(len(frames)) as pool:
-        rows = pool.map(lambda name: write_table(frames[name], root, run_id, name), frames)
+        rows = pool.map(lambda name: write_table(frames[name], root, run_id, name, name in dealt), frames)
         return dict(zip(frames, rows))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.warehouse import Warehouse
 from tidemark.plans.refresh import raw_root, run
 from tidemark.plans.tidy import long_rows, typed_wide
-from tidemark.session import shared_dir
+from tidemark.session import FILE_EXPANSION, shared_dir, sized_shuffles
 from tidemark.sources.files import folder_bytes
 from tidemark.sources.snapshots import land_snapshot, read_snapshot
 from tidemark.sources.tables import current_paths, read_paths
@@ -66,7 +66,9 @@ def _land(spark: SparkSession, sf_dir: str, root: str) -> Workspace:
     space = Workspace(spark, root)
     row = (F.col("k") * 10000 + F.col("y")).alias("source_row")
     current = inputs.wide(spark, sf_dir).withColumnsRenamed(SETTINGS.renames).select("*", row)
-    land_snapshot(current, raw_root(root), CURRENT)
+    volume = sum(folder_bytes(spark, f"{sf_dir}/{t}.parquet") for t in ("lineitem", "part"))
+    with sized_shuffles(spark, FILE_EXPANSION * volume):
+        land_snapshot(current, raw_root(root), CURRENT)
     # From the landed rows: line items are aggregated once for both snapshots.
     land_snapshot(inputs.prior_wide(space.wide()), raw_root(root), PRIOR)
     return space
