@@ -10,7 +10,7 @@ from helpers import FOUR_ROWS, rows, write_snapshot
 from tidemark.config import Settings
 from tidemark.operators.history import as_of, history_of, last_values, merge_snapshot
 from tidemark.plans import reports
-from tidemark.plans.history import read_history, update_history
+from tidemark.plans.history import read_history, snapshot_values, update_history
 from tidemark.streaming.ingest import land_pending
 
 SETTINGS = Settings()
@@ -75,6 +75,29 @@ def test_merged_one_by_one_and_all_at_once(spark):
     assert as_of(at_once, "2026-01-01").count() == 0
 
 
+def test_the_last_values_of_several_columns(spark):
+    """Each column has a last row of its own, and a key moves once for all of them."""
+    df = spark.createDataFrame(
+        [("a", 1, 1.0, None, 1), ("a", 1, 2.0, 5.0, 2), ("a", 1, None, 6.0, 3), ("a", 1, 9.0, None, None),
+         ("b", 1, None, None, 4), (None, 1, 3.0, 3.0, 5), ("c", None, 4.0, 4.0, 6), ("d", 2, None, 7.0, 7),
+         ("d", 2, None, 8.0, 7)],
+        "k string, y int, one double, other double, source_row bigint",
+    )
+    found = last_values(df, ["k", "y"], ["one", "other"])
+    assert rows(found) == [("a", 1, 2.0, 6.0), ("d", 2, None, 8.0)]
+
+
+def test_a_snapshot_is_reduced_to_its_keys_while_it_is_wide(spark, tmp_path):
+    write_snapshot(tmp_path / "source", "2026-02-15", [*FOUR_ROWS, "Kenya,KEN,2024,,87,91,89", "Nowhere,,x,1,1,1,1"])
+    land_pending(spark, str(tmp_path / "source"), str(tmp_path), SETTINGS)
+    found = snapshot_values(spark, str(tmp_path), "2026-02-15", SETTINGS, None, "source_row")
+    kenya = found.where("region_key = 'KEN'").select("indicator_code", "value")
+    assert {c: v for c, v in rows(kenya)} == {"dtp3": 90.0, "measles_mcv1": 87.0, "polio_pol3": 91.0, "hepb3": 89.0}
+    assert found.count() == 15 and found.columns == ["region_key", "year", "indicator_code", "value"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.index("Aggregate")
+
+
 def test_history_follows_the_landed_snapshots(spark, tmp_path):
     source, root = tmp_path / "source", str(tmp_path / "root")
     assert update_history(spark, root, SETTINGS, NOW) == []

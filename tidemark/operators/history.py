@@ -12,8 +12,9 @@ which is the way after an older snapshot was changed."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import quoted
@@ -23,13 +24,19 @@ INTERVAL = ("valid_from", "valid_to")
 
 
 def last_values(
-    long: DataFrame, keys: Sequence[str], value: str = "value", order_col: str = "source_row"
+    rows: DataFrame, keys: Sequence[str], value: str | Sequence[str] = "value", order_col: str = "source_row"
 ) -> DataFrame:
-    """A row per key with a value: that of its last row. Hashed and combined before the shuffle, so a
-    repeated key is a row per task."""
-    present = long.dropna(subset=list(keys)).where(quoted(value).isNotNull())
-    last = F.max_by(quoted(value), F.struct(quoted(order_col), quoted(value)))
-    return present.groupBy(*map(quoted, keys)).agg(last.alias(value))
+    """A row per key with a value: that of its last row that has one. Combined before the shuffle, so
+    a repeated key is a row per task. Of several columns of values each has a last row of its own;
+    wide rows move once for all of them."""
+    values = [value] if isinstance(value, str) else list(value)
+    has_any = reduce(Column.__or__, [quoted(v).isNotNull() for v in values])
+    present = rows.dropna(subset=list(keys)).where(has_any)
+    last = [
+        F.max(F.when(quoted(v).isNotNull(), F.struct(quoted(order_col).alias("row"), quoted(v).alias("v"))))["v"]
+        for v in values
+    ]
+    return present.groupBy(*map(quoted, keys)).agg(*(c.alias(v) for c, v in zip(last, values, strict=True)))
 
 
 def merge_snapshot(

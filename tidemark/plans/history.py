@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Settings
 from tidemark.operators.history import history_of, last_values, merge_snapshot
+from tidemark.operators.reshape import apply_indicator_metadata, present_indicators, unpivot_indicators
 from tidemark.plans.refresh import raw_root, well_formed
-from tidemark.plans.tidy import KEYS, long_rows, typed_wide
-from tidemark.session import sized_shuffles
+from tidemark.plans.tidy import KEYS, WIDE_KEYS, long_rows, typed_wide
+from tidemark.session import FILE_EXPANSION, sized_shuffles
 from tidemark.sources.files import dated_folders, folder_bytes, remove_folder
 from tidemark.sources.snapshots import read_snapshot, recorded_files
 from tidemark.sources.tables import (
@@ -34,7 +35,13 @@ def snapshot_values(
 ) -> DataFrame:
     """A row per key with a value of one landed snapshot."""
     typed = typed_wide(well_formed(read_snapshot(spark, raw_root(root), day)), settings, aliases)
-    return last_values(long_rows(typed, settings, [row_col]), KEYS, order_col=row_col)
+    figures = present_indicators(typed, settings.indicators)
+    codes = {i.code for i in settings.indicators if i.source_col in figures}
+    if len(codes) < len(figures) or not figures:  # columns that share a code are one list of rows
+        return last_values(long_rows(typed, settings, [row_col]), KEYS, order_col=row_col)
+    wide = last_values(typed, WIDE_KEYS, figures, row_col)
+    long = apply_indicator_metadata(unpivot_indicators(wide, settings.indicators, WIDE_KEYS), settings.indicators)
+    return long.where(F.col("value").isNotNull()).select(*KEYS, "value")
 
 
 def landed_marks(spark: SparkSession, root: str) -> dict[str, str]:
@@ -73,7 +80,9 @@ def update_history(
         return []
     days, run_id = new if grows else list(marks), new_run_id(run_ts)
     volume = sum(folder_bytes(spark, f"{raw_root(root)}/snapshot_date={d}") for d in days)
-    with sized_shuffles(spark, volume):
+    if grows:
+        volume += sum(folder_bytes(spark, p) for p in current[OPEN])
+    with sized_shuffles(spark, FILE_EXPANSION * volume):
         values = {d: snapshot_values(spark, root, d, settings, aliases, row_col) for d in days}
         if grows:
             rows = read_paths(spark, OPEN, current[OPEN])
