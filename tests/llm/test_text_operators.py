@@ -3,6 +3,7 @@
 import base64
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -10,12 +11,13 @@ from hashlib import sha256
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, fertility, language_id, queries
+from tidemark.llm import bpe, decontaminate, fertility, language_id, ngram_join, queries, words
 from tidemark.llm.cluster import written
 from tidemark.llm.words import Texts
 
@@ -403,3 +405,15 @@ def test_too_many_languages_are_refused(spark, monkeypatch):
     rows = spark.createDataFrame([("abc", "x"), ("abd", "y")], "text string, lang string")
     with pytest.raises(ValueError, match="fewer bits"):
         language_id.fit(rows)
+
+
+def test_a_part_takes_little_memory():
+    """A worker keeps tables as long as a part, and arrays of several times its size while at work."""
+    texts = pa.array([" ".join(f"w{i * j % 977}" for j in range(400)) for i in range(3000)])
+    words._POWERS.clear()
+    tracemalloc.start()
+    for _, part in words.parts(texts):
+        ngram_join.signatures(part, ngram_join.Join())
+    kept, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept < 24e6 and most < 64e6

@@ -12,7 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PART_BYTES = 2 << 20
+# Arrays over a part, and tables of powers as long as one, take up to some hundred times this.
+PART_BYTES = 1 << 19
 _R = 0x9E3779B97F4A7C15 | 1
 _R_INVERSE = pow(_R, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
