@@ -3,12 +3,13 @@
 import random
 import re
 from collections import Counter, defaultdict
+from contextlib import contextmanager
 
 import duckdb
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import ngram_join, queries, secrets, surrogates
+from tidemark.llm import cluster, ngram_join, queries, secrets, surrogates
 from tidemark.llm.cluster import written
 from tidemark.llm.components import components
 
@@ -16,6 +17,25 @@ SMALL = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+@contextmanager
+def many_partitions(spark, n):
+    """Within, a shuffle has ``n`` partitions, and none are merged."""
+    conf = {"spark.sql.shuffle.partitions": n, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def files_of(path):
+    """Part files in each table below ``path``."""
+    return {t.name.rsplit("-", 1)[0]: len(list(t.glob("part-*"))) for t in path.iterdir()}
+
+
 # N-gram join
 
 
@@ -84,6 +104,31 @@ def test_groups_larger_than_blocks_and_salts(spark, monkeypatch):
     assert joined(df) == expected
 
 
+def test_tables_on_the_way_are_few_files(spark, monkeypatch, tmp_path):
+    docs = near_copies(40, seed=6)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(8)
+    monkeypatch.setattr(cluster, "shared_dir", lambda _: str(tmp_path / "way"))
+    with many_partitions(spark, 40):
+        found = ngram_join.neighbours(df)
+        found.write.parquet(str(tmp_path / "result"))
+    rows = spark.read.parquet(str(tmp_path / "result")).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in rows) == Counter(links(docs))
+    files = files_of(tmp_path / "way")
+    cores = spark.sparkContext.defaultParallelism
+    assert {"sketches", "classes", "buckets", "texts", "stars", "links", "components"} <= set(files)
+    assert all(n <= (16 if name == "texts" else 8 if name == "sketches" else cores) for name, n in files.items())
+    assert len(list((tmp_path / "result").glob("part-*"))) <= cores
+
+
+def test_files_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "FILE_ROWS", 10)
+    cores = spark.sparkContext.defaultParallelism
+    assert [cluster.files_for(spark, n) for n in (0, 10, 10 * cores + 1, 1000)] == [cores, cores, cores + 1, 100]
+    assert cluster.files_for(spark, 0, waves=3) == 3 * cores
+    docs = near_copies(30, seed=3)
+    assert joined(spark.createDataFrame(docs, "doc_id bigint, text string")) == Counter(links(docs))
+
+
 def test_links_of_awkward_rows(spark, awkward, empty):
     docs = [(r.doc_id, r.text) for r in awkward.collect()]
     expected = Counter(

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.cluster import prepare, written
+from tidemark.llm.cluster import files_for, prepare, written
 from tidemark.llm.components import components
 from tidemark.llm.decontaminate import LOWER, WORD, Tokens, tokens
 from tidemark.llm.words import Texts, counted, mixed, parts, powers
@@ -326,17 +326,20 @@ def linked_classes(
 ) -> Classes:
     """Classes of copies, and the components that links between classes form."""
     join = join or Join()
+    spark = docs.sparkSession
     rows = written(sketches(docs, join, id_col, text_col), "sketches")
+    n_rows, n_bytes = rows.select(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     classes = written(
         rows.where("key is not null").groupBy("key", "bands")
         .agg(F.count("*").alias("n_docs"), F.min("id").alias("least"))
         .withColumn("node", F.monotonically_increasing_id()),
-        "classes",
+        "classes", files_for(spark, n_rows),
     )
     # A band's place is part of its hash, so hashes of different bands do not meet.
     placed = classes.select("node", F.explode("bands").alias("h"))
     shared = placed.groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("pivot"))
-    buckets = written(placed.join(shared.where("c > 1").drop("c"), "h"), "buckets")
+    in_buckets = files_for(spark, n_rows * join.bands[0])
+    buckets = written(placed.join(shared.where("c > 1").drop("c"), "h"), "buckets", in_buckets)
     wanted = classes.join(buckets.select("node").distinct(), "node", "left_semi").select(
         F.col("key").alias("k"), F.col("least"), "node", "n_docs"
     )
@@ -345,11 +348,13 @@ def linked_classes(
         sources.join(wanted, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("least")))
         .groupBy("node", "n_docs").agg(F.first("text").alias("text"))
         .withColumn("size", F.octet_length("text")),
-        "texts",
+        "texts", max(files_for(spark, n_rows, waves=4), -(-n_bytes // BLOCK_BYTES)),
     )
     edges = buckets.where("node <> pivot").select("node", "pivot").distinct()
-    stars = written(verified_stars(edges, texts.select("node", "text"), join), "stars")
-    first = written(components(stars), "components")
+    # Links that are found are at most the members of buckets.
+    n_links = files_for(spark, buckets.count())
+    stars = written(verified_stars(edges, texts.select("node", "text"), join), "stars", n_links, dealt=True)
+    first = written(components(stars), "components", n_links)
     labelled = buckets.join(first, "node", "left").select(
         "h", "node", F.coalesce("component", "node").alias("component")
     )
@@ -362,8 +367,8 @@ def linked_classes(
     open_groups = buckets.join(mixed_up.select("h"), "h", "left_semi").select(
         F.col("h").alias("group"), "node"
     )
-    more = written(compared(open_groups, texts, join, counting=False), "more-links")
-    members = written(components(stars.unionByName(more)), "components")
+    more = written(compared(open_groups, texts, join, counting=False), "more-links", n_links, dealt=True)
+    members = written(components(stars.unionByName(more)), "components", n_links)
     return Classes(rows, classes, members, texts)
 
 
@@ -381,7 +386,10 @@ def neighbours(
     )
     placed = (
         found.classes.select("key", "node", "n_docs", "least")
-        .join(found.members, "node", "left").join(least, "component", "left").join(counts, "node", "left")
+        .join(found.members, "node", "left")
+        # Classes without links have keys of their own, so that they are not dealt to one task.
+        .withColumn("component", F.coalesce("component", "node"))
+        .join(least, "component", "left").join(counts, "node", "left")
         .select(
             F.col("key").alias("k"), F.coalesce("class_id", "least").alias("class_id"),
             F.col("least").alias("copy_id"),
@@ -389,10 +397,11 @@ def neighbours(
         )
     )
     rows = found.rows.select("id", "key")
-    return rows.join(placed, F.col("key") == F.col("k"), "left").select(
+    out = rows.join(placed, F.col("key") == F.col("k"), "left").select(
         F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"),
         F.coalesce("copy_id", "id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
+    return out.coalesce(files_for(docs.sparkSession, rows.count()))
 
 
 def free_name(columns: list[str], name: str) -> str:
