@@ -302,6 +302,18 @@ def test_surrogates_are_distinct_and_stable(spark):
     assert sum(out[i] == other[i] for i in out) < 5
 
 
+def test_entities_are_few_files(spark, monkeypatch, tmp_path):
+    rows = [(i, f"x{i}@a.io and {chr(97 + i % 26)}@a.io") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    expected = Counter(surrogates.entities(df, "k").collect())
+    monkeypatch.setattr(cluster, "shared_dir", lambda _: str(tmp_path))
+    with many_partitions(spark, 40):
+        assert Counter(surrogates.entities(df, "k").collect()) == expected
+    files = files_of(tmp_path)
+    assert {"entities", "collisions"} <= set(files)
+    assert max(files.values()) <= spark.sparkContext.defaultParallelism
+
+
 def test_collisions_are_resolved(spark, monkeypatch):
     """With every value of a tiny format present, no surrogate may be a value of the corpus."""
     rows = [(i, f"{c}@a.io") for i, c in enumerate("abcdefghijklm")]

@@ -38,7 +38,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.cluster import written
+from tidemark.llm.cluster import files_for, written
 from tidemark.llm.ngram_join import free_name
 
 ROUNDS = 4
@@ -493,7 +493,9 @@ def entities(df: DataFrame, key: str, text_col: str = "text", bare_given: bool =
         one = F.array(F.struct("kind", "text", "attempt"))
         return rows.select("kind", "text", "attempt", surrogates(one, key)[0].alias("surrogate"))
 
-    current = written(with_surrogate(distinct), "entities")
+    # Distinct entities grow with the texts at most.
+    files = files_for(df.sparkSession, df.count())
+    current = written(with_surrogate(distinct), "entities", files, dealt=True)
     while True:
         free = current.where("kind <> 'given'")
         # The least of the values that share a surrogate keeps it.
@@ -503,7 +505,7 @@ def entities(df: DataFrame, key: str, text_col: str = "text", bare_given: bool =
         real = free.join(
             known.withColumnRenamed("kind", "k"), (free.kind == F.col("k")) & (free.surrogate == F.col("known")), "left_semi"
         ).select("kind", "text")
-        again = written(twice.unionByName(real).distinct(), "collisions")
+        again = written(twice.unionByName(real).distinct(), "collisions", files)
         if again.isEmpty():
             return current
         marked = again.withColumn("again", F.lit(1))
@@ -513,8 +515,8 @@ def entities(df: DataFrame, key: str, text_col: str = "text", bare_given: bool =
                     "kind", "text", (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt")
                 )
             ),
-            "entities",
-        )
+            "entities", files, dealt=True,
+        )
 
 
 def replaced(
